@@ -295,7 +295,7 @@ _SHARE = (
     )
     + " FROM (SELECT *, "
     + " + ".join(f"CAST(coalesce({c}, 0) AS DOUBLE)" for c in _PCOLS)
-    + " AS tot FROM pivot) p"
+    + " AS tot FROM piv) p"
 )
 
 
@@ -399,7 +399,7 @@ def oracle_sql() -> dict[str, str]:
         "top_countries": _with(_top_sql("country_code")),
         "version_adoption": _with(_ADOPTION),
         "adoption_pivot": _with(f"SELECT * FROM (WITH adoption AS ({_ADOPTION}) {_PIVOT}) q"),
-        "adoption_share": _with(f"SELECT * FROM (WITH adoption AS ({_ADOPTION}), pivot AS ({_PIVOT}) {_SHARE}) q"),
+        "adoption_share": _with(f"SELECT * FROM (WITH adoption AS ({_ADOPTION}), piv AS ({_PIVOT}) {_SHARE}) q"),
         "adoption_share_long": _with(
             f"SELECT download_date, version, round(CASE WHEN tot > 0 THEN CAST(downloads AS DOUBLE) / tot * 100.0 "
             f"ELSE 0.0 END, 6) AS share_pct FROM (SELECT *, SUM(downloads) OVER (PARTITION BY download_date) AS tot "

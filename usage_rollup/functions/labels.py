@@ -15,8 +15,9 @@ def _c(c) -> Column:
 
 
 def _fixed(x: Column, digits: int) -> Column:
-    # round() on a decimal is half-up; format with exactly `digits` places
-    return F.format_string(f"%.{digits}f", F.round(x.cast("decimal(38,6)"), digits))
+    # round() on a decimal is half-up and keeps exactly `digits` places,
+    # which the decimal-to-string cast prints as is
+    return F.round(x.cast("decimal(38,6)"), digits).cast("string")
 
 
 def _grouped(x: Column) -> Column:
