@@ -125,8 +125,10 @@ def _range_dates(start, end) -> list[str]:
 
 
 def _publish(spark: SparkSession, new_path: str, target: str, partition_col: str, touched: list[str],
-             max_records: int | None) -> None:
-    new = spark.read.parquet(new_path)
+             max_records: int | None, schema=None) -> None:
+    # the schema is passed on because a fully emptied range writes no files
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    new = reader.parquet(new_path)
     w = (new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(partition_col))
     if max_records:
@@ -181,10 +183,10 @@ def replace_range(
     old = spark.read.parquet(target).where(F.col(partition_col).isin([_date(d) for d in touched]))
     survivors = delete_range_scoped(old, staged_df, ts, start, end, scope)
     new_path = scratch_dir(spark, "replaced")
-    (survivors.unionByName(staged_df).write.mode("overwrite")
-     .partitionBy(partition_col).parquet(new_path))
+    new = survivors.unionByName(staged_df)
+    new.write.mode("overwrite").partitionBy(partition_col).parquet(new_path)
     # 3 + 4. swap touched partitions, drop emptied ones
-    _publish(spark, new_path, target, partition_col, touched, max_records)
+    _publish(spark, new_path, target, partition_col, touched, max_records, new.schema)
     return int(stats["total_rows"])
 
 
@@ -200,8 +202,9 @@ def delete_range_table(spark: SparkSession, target: str, ts: str, start, end,
     touched = _range_dates(start, end)
     old = spark.read.parquet(target).where(F.col(partition_col).isin([_date(d) for d in touched]))
     new_path = scratch_dir(spark, "deleted")
-    delete_range(old, ts, start, end).write.mode("overwrite").partitionBy(partition_col).parquet(new_path)
-    _publish(spark, new_path, target, partition_col, touched, None)
+    survivors = delete_range(old, ts, start, end)
+    survivors.write.mode("overwrite").partitionBy(partition_col).parquet(new_path)
+    _publish(spark, new_path, target, partition_col, touched, None, survivors.schema)
 
 
 # --- keyed upsert (W8) ----------------------------------------------------------
