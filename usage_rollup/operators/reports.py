@@ -58,7 +58,9 @@ def newest_recent_week(rollup: DataFrame, as_of=None, weeks: int = 4) -> Column:
     """Scalar: newest loaded week among weeks >= week(as_of - 4 weeks); NULL if none."""
     wk = week_bucket(DATE)
     floor = week_bucket(F.date_sub(_as_of(as_of), 7 * weeks))
-    return rollup.where(wk >= floor).select(F.max(wk)).scalar()
+    # floor is a Monday, so week(d) >= floor  <=>  d >= floor; the plain date
+    # form is what the Parquet reader can take as a pushed filter
+    return rollup.where(F.col(DATE) >= floor).select(F.max(wk)).scalar()
 
 
 def release_filter(df: DataFrame, prefixes=ADOPTION_PREFIXES, exclude=DEV_MARKER, col: str = "version") -> DataFrame:
