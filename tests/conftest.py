@@ -13,7 +13,10 @@ SF01 = "/root/testdata/sf0.01"
 def spark():
     from usage_rollup.session import checkpoint_root, get_session
 
-    s = get_session("local[4]", 8)
+    import tempfile
+
+    # a fresh warehouse per test session so managed test tables never collide
+    s = get_session("local[4]", 8, extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="usage-rollup-wh-")})
     checkpoint_root(s)  # reads spark.checkpoint.dir; sets a local one only if unset
     yield s
     s.stop()

@@ -1,7 +1,7 @@
 """Table maintenance: range replace, keyed upsert, append, export.
 
 Tables are Parquet directories partitioned by a date column (``log_date`` for
-the raw log, ``download_date`` for the rollup); catalog names work through
+the raw log, ``download_month`` for the rollup); catalog names work through
 ``spark.table`` / ``saveAsTable`` where noted.
 
 Publish protocol (range replace and keyed upsert). Spark cannot overwrite a
@@ -38,7 +38,29 @@ from usage_rollup.session import scratch_dir
 from usage_rollup.sources import storage
 
 LOG_PARTITION = "log_date"
-ROLLUP_PARTITION = "download_date"
+# The rollup is partitioned by month: a day of rollup rows is far smaller
+# than a day of raw rows, so day directories would mostly hold tiny files;
+# a keyed upsert rewrites the months its batch touches.
+ROLLUP_PARTITION = "download_month"
+ROLLUP_DATE = "download_date"
+
+
+def with_rollup_partition(df: DataFrame) -> DataFrame:
+    """Add ``download_month`` (first day of the month of ``download_date``)."""
+    if ROLLUP_PARTITION in df.columns:
+        return df
+    return df.withColumn(ROLLUP_PARTITION, F.trunc(F.col(ROLLUP_DATE), "month"))
+
+
+def clustered(df: DataFrame, *cols: str) -> DataFrame:
+    """Cluster rows by the partition columns before a partitioned write.
+
+    A ``REBALANCE`` hint: AQE hashes on ``cols``, merges small partitions and
+    splits skewed ones, so each table partition is written by one task (one
+    file) unless it is hot, in which case several tasks share it. Without it
+    every task writes a file into every partition it holds rows for.
+    """
+    return df.hint("rebalance", *cols)
 
 
 # --- catalog helpers (W1-W3) -------------------------------------------------
@@ -106,6 +128,20 @@ def delete_range_scoped(target: DataFrame, staged: DataFrame, ts: str, start, en
     return outside.unionByName(inside)
 
 
+def _observed(obs: Observation, fallback) -> dict:
+    """Metrics observed during a write; ``fallback()`` if none were reported.
+
+    An empty input can leave no task to report the observed metrics (AQE may
+    plan zero partitions); the fallback then computes them from what was
+    written, which is empty and cheap to read.
+    """
+    try:
+        got = obs.get
+    except Exception:  # noqa: BLE001 - metrics missing for an empty write
+        got = None
+    return got if got else fallback()
+
+
 def _date(v) -> _dt.date:
     s = str(v)
     return _dt.date.fromisoformat(s[:10])
@@ -128,7 +164,7 @@ def _publish(spark: SparkSession, new_path: str, target: str, partition_col: str
              max_records: int | None, schema=None) -> None:
     # the schema is passed on because a fully emptied range writes no files
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    new = reader.parquet(new_path)
+    new = clustered(reader.parquet(new_path), partition_col)
     w = (new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(partition_col))
     if max_records:
@@ -165,10 +201,12 @@ def replace_range(
     # 1. stage once; the quality statistics ride along on the same pass
     obs = Observation("quality")
     stage_path = scratch_dir(spark, "staged")
-    (staged.observe(obs, *quality_exprs(ts, key)).write.mode("overwrite")
+    (clustered(staged.observe(obs, *quality_exprs(ts, key)), partition_col).write.mode("overwrite")
      .partitionBy(partition_col).parquet(stage_path))
-    stats = obs.get
-    if not stats or not stats.get("total_rows"):
+    if not storage.list_partitions(spark, stage_path, partition_col):
+        return 0
+    stats = _observed(obs, lambda: spark.read.parquet(stage_path).agg(*quality_exprs(ts, key)).first().asDict())
+    if not stats.get("total_rows"):
         return 0
     validate_stats(stats, "timestamp", key, max_null_pct)
     staged_df = spark.read.parquet(stage_path)
@@ -184,7 +222,7 @@ def replace_range(
     survivors = delete_range_scoped(old, staged_df, ts, start, end, scope)
     new_path = scratch_dir(spark, "replaced")
     new = survivors.unionByName(staged_df)
-    new.write.mode("overwrite").partitionBy(partition_col).parquet(new_path)
+    clustered(new, partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(new_path)
     # 3 + 4. swap touched partitions, drop emptied ones
     _publish(spark, new_path, target, partition_col, touched, max_records, new.schema)
     return int(stats["total_rows"])
@@ -203,7 +241,7 @@ def delete_range_table(spark: SparkSession, target: str, ts: str, start, end,
     old = spark.read.parquet(target).where(F.col(partition_col).isin([_date(d) for d in touched]))
     new_path = scratch_dir(spark, "deleted")
     survivors = delete_range(old, ts, start, end)
-    survivors.write.mode("overwrite").partitionBy(partition_col).parquet(new_path)
+    clustered(survivors, partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(new_path)
     _publish(spark, new_path, target, partition_col, touched, None, survivors.schema)
 
 
@@ -216,7 +254,7 @@ def upsert_frame(target: DataFrame, batch: DataFrame, key: str = "load_id",
 
     Tolerates duplicate keys inside the batch (delete+insert, not MERGE).
     When the key determines ``partition_col`` (the rollup key starts with the
-    date), the anti-join also matches on it so both sides hash on it.
+    date, which fixes the month), the anti-join also matches on it.
     """
     keys = [partition_col, key] if partition_col else [key]
     return target.join(batch.select(*keys).distinct(), keys, "left_anti").unionByName(batch)
@@ -224,15 +262,20 @@ def upsert_frame(target: DataFrame, batch: DataFrame, key: str = "load_id",
 
 def upsert_by_key(spark: SparkSession, target: str, batch: DataFrame, key: str = "load_id",
                   partition_col: str = ROLLUP_PARTITION) -> int:
-    """Keyed incremental load of a date-partitioned table; returns batch rows.
+    """Keyed incremental load of a partitioned table; returns batch rows.
 
-    Only partitions holding batch dates are read and rewritten.
+    Only partitions holding batch rows are read and rewritten. For the rollup
+    the partition column (month) is derived from the key's leading date.
     """
+    if partition_col == ROLLUP_PARTITION:
+        batch = with_rollup_partition(batch)
     obs = Observation("batch")
     stage_path = scratch_dir(spark, "batch")
-    (batch.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
+    (clustered(batch.observe(obs, F.count(F.lit(1)).alias("n")), partition_col).write.mode("overwrite")
      .partitionBy(partition_col).parquet(stage_path))
-    n = int((obs.get or {}).get("n", 0))
+    if not storage.list_partitions(spark, stage_path, partition_col):
+        return 0
+    n = int(_observed(obs, lambda: {"n": spark.read.parquet(stage_path).count()})["n"])
     if n == 0:
         return 0
     if not target_exists(spark, target):
@@ -242,7 +285,7 @@ def upsert_by_key(spark: SparkSession, target: str, batch: DataFrame, key: str =
     touched = storage.list_partitions(spark, stage_path, partition_col)
     old = spark.read.parquet(target).where(F.col(partition_col).isin([_date(d) for d in touched]))
     new_path = scratch_dir(spark, "upserted")
-    (upsert_frame(old, staged, key, partition_col).write.mode("overwrite")
+    (clustered(upsert_frame(old, staged, key, partition_col), partition_col).write.mode("overwrite")
      .partitionBy(partition_col).parquet(new_path))
     _publish(spark, new_path, target, partition_col, touched, None)
     return n
@@ -259,15 +302,17 @@ def append(df: DataFrame, target: str, max_records: int = DEFAULT_CHUNK,
     during the write (no second pass).
     """
     obs = Observation("append")
-    w = df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("append").option(
-        "maxRecordsPerFile", int(max_records))
+    src = df.observe(obs, F.count(F.lit(1)).alias("n"))
+    if partition_by:
+        src = clustered(src, *partition_by)
+    w = src.write.mode("append").option("maxRecordsPerFile", int(max_records))
     if partition_by:
         w = w.partitionBy(*partition_by)
     if "/" in target or ":" in target:
         w.parquet(target)
     else:
         w.format("parquet").saveAsTable(target)
-    return int((obs.get or {}).get("n", 0))
+    return int(_observed(obs, lambda: {"n": 0})["n"])
 
 
 def write_rollup(spark: SparkSession, rollup: DataFrame, target: str, mode: str = "full") -> int:
@@ -277,28 +322,26 @@ def write_rollup(spark: SparkSession, rollup: DataFrame, target: str, mode: str
     if mode != "full":
         raise ValueError("mode must be 'full' or 'incremental'")
     obs = Observation("rollup")
-    (rollup.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
+    rollup = with_rollup_partition(rollup)
+    (clustered(rollup.observe(obs, F.count(F.lit(1)).alias("n")), ROLLUP_PARTITION).write.mode("overwrite")
      .partitionBy(ROLLUP_PARTITION).parquet(target))
-    return int((obs.get or {}).get("n", 0))
+    return int(_observed(obs, lambda: {"n": 0})["n"])
 
 
-def with_year_month(df: DataFrame, date_col: str = ROLLUP_PARTITION) -> DataFrame:
+def with_year_month(df: DataFrame, date_col: str = ROLLUP_DATE) -> DataFrame:
     return df.withColumns({"year": F.year(date_col), "month": F.month(date_col)})
 
 
-def export_partitioned(df: DataFrame, date_col: str, path: str, max_records: int = DEFAULT_EXPORT_ROWS,
-                       num_partitions: int | None = None) -> None:
+def export_partitioned(df: DataFrame, date_col: str, path: str, max_records: int = DEFAULT_EXPORT_ROWS) -> None:
     """Export as zstd Parquet partitioned by ``year``/``month``.
 
-    Range-partitioning on (year, month, date) gives each month a contiguous run
-    of tasks: a dominating month is split across several tasks by sampled
-    bounds instead of landing on one, and no task writes into many months.
+    Rows are rebalanced on (year, month): each month is written by one task
+    unless it dominates, in which case AQE splits it over several tasks (no
+    month lands whole on one task, no task writes into every month).
     Dynamic overwrite rewrites only the exported months.
     """
     out = with_year_month(df, date_col)
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (out.repartitionByRange(n, "year", "month", date_col)
+    (clustered(out, "year", "month")
      .write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .option("compression", "zstd")

@@ -24,6 +24,7 @@ from usage_rollup.functions.columns import date_label, month_bucket, month_label
 from usage_rollup.params import safe_period
 
 DATE = "download_date"
+MONTH = "download_month"  # partition column of a stored rollup, when present
 N = "daily_download_sum"
 
 # Release-line prefixes of the adoption report and the
@@ -51,7 +52,15 @@ def trailing_days(rollup: DataFrame, days: int, as_of=None, date_col: str = DATE
     days = int(days or 0)
     if days <= 0:
         return rollup
-    return rollup.where(F.col(date_col) >= F.date_sub(_as_of(as_of), days))
+    lower = F.date_sub(_as_of(as_of), days)
+    return _prune_months(rollup, lower).where(F.col(date_col) >= lower)
+
+
+def _prune_months(rollup: DataFrame, lower: Column) -> DataFrame:
+    """On a month-partitioned rollup, state the lower bound on the partition too."""
+    if MONTH in rollup.columns:
+        return rollup.where(F.col(MONTH) >= F.trunc(lower, "month"))
+    return rollup
 
 
 def newest_recent_week(rollup: DataFrame, as_of=None, weeks: int = 4) -> Column:
@@ -60,7 +69,7 @@ def newest_recent_week(rollup: DataFrame, as_of=None, weeks: int = 4) -> Column:
     floor = week_bucket(F.date_sub(_as_of(as_of), 7 * weeks))
     # floor is a Monday, so week(d) >= floor  <=>  d >= floor; the plain date
     # form is what the Parquet reader can take as a pushed filter
-    return rollup.where(F.col(DATE) >= floor).select(F.max(wk)).scalar()
+    return _prune_months(rollup, floor).where(F.col(DATE) >= floor).select(F.max(wk)).scalar()
 
 
 def release_filter(df: DataFrame, prefixes=ADOPTION_PREFIXES, exclude=DEV_MARKER, col: str = "version") -> DataFrame:
