@@ -104,6 +104,18 @@ def _export(spark, sf, start=None, end=None):
     return read_partitioned(spark, path, start, end).select(*ROLLUP_COLUMNS, "year", "month")
 
 
+def _jobs(spark, sf):
+    """Ingest two projects into a raw table, then the transform job over it."""
+    from usage_rollup.plans import run_ingest, run_transform
+
+    log = _log(spark, sf, with_orders=False)
+    raw, rollup = scratch_dir(spark, "q-raw"), scratch_dir(spark, "q-rollup")
+    for project in ("alpha", "beta"):
+        run_ingest(spark, log, raw, JobParams(project=project, start="2024-01-01", end="2024-02-01"), scope="project")
+    run_transform(spark, rollup, "2024-01-05", "2024-01-25", data_source="external_source", root=raw)
+    return spark.read.parquet(rollup).select(*ROLLUP_COLUMNS)
+
+
 # --- report queries ------------------------------------------------------------
 
 
@@ -188,6 +200,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "append_chunks": _append,
         "export_partitioned": lambda s, sf: _export(s, sf),
         "export_pruned": lambda s, sf: _export(s, sf, "1998-03-15", "1999-02-10"),
+        "ingest_transform_jobs": _jobs,
     }
 
 
@@ -443,6 +456,8 @@ def oracle_sql() -> dict[str, str]:
         "export_pruned": _with(
             f"SELECT {rollup_cols}, year(download_date) AS year, month(download_date) AS month FROM rollup "
             "WHERE download_date >= DATE '1998-03-15' AND download_date < DATE '1999-02-10'"),
+        "ingest_transform_jobs": ev_only(
+            "SELECT * FROM rollup WHERE download_date >= DATE '2024-01-05' AND download_date < DATE '2024-01-25'"),
     }
 
 

@@ -202,6 +202,11 @@ def version_adoption(rollup: DataFrame, prefixes=ADOPTION_PREFIXES, exclude=DEV_
     )
 
 
+def adoption_versions(adoption: DataFrame) -> DataFrame:
+    """Distinct versions of the adoption report, sorted (one per pivot column)."""
+    return adoption.select("version").distinct().orderBy(F.col("version").asc_nulls_last())
+
+
 def version_column(v: str) -> str:
     """Column name for a pivoted version: ``1.2.0`` -> ``v1_2_0``."""
     return "v" + "".join(ch if ch.isalnum() else "_" for ch in v)
@@ -288,7 +293,7 @@ def kpi_cards(rollup: DataFrame, as_of=None, digits: int | None = 6) -> DataFram
     """One KPI row: last/previous week and month with change, total, freshness.
 
     Anchored on the single-row total/freshness aggregate; week and month pairs
-    enter as scalar subqueries over their <=2-row frames (no joins).
+    enter as two scalar subqueries over their <=2-row frames (no joins).
     """
     wk = change_pct(last_two_weeks(rollup, as_of), "week_start_date", "weekly_downloads", digits)
     mo = change_pct(last_two_months(rollup), "year_month", "monthly_downloads", digits)
@@ -296,15 +301,18 @@ def kpi_cards(rollup: DataFrame, as_of=None, digits: int | None = 6) -> DataFram
         F.coalesce(F.sum(N), F.lit(0)).cast("bigint").alias("total_downloads"),
         F.coalesce(date_label(F.max(DATE)), F.lit("")).alias("refresh_date"),
     )
+    # one scalar subquery per pair, returning the whole pair as a struct
+    w = wk.select(F.struct(*wk.columns)).scalar()
+    m = mo.select(F.struct(*mo.columns)).scalar()
     return anchor.select(
-        wk.select("last_label").scalar().alias("last_week_start"),
-        wk.select("last_value").scalar().alias("last_week_downloads"),
-        wk.select("previous_value").scalar().alias("previous_week_downloads"),
-        wk.select("change_pct").scalar().alias("week_change_pct"),
-        mo.select("last_label").scalar().alias("last_month"),
-        mo.select("last_value").scalar().alias("last_month_downloads"),
-        mo.select("previous_value").scalar().alias("previous_month_downloads"),
-        mo.select("change_pct").scalar().alias("month_change_pct"),
+        w.getField("last_label").alias("last_week_start"),
+        w.getField("last_value").alias("last_week_downloads"),
+        w.getField("previous_value").alias("previous_week_downloads"),
+        w.getField("change_pct").alias("week_change_pct"),
+        m.getField("last_label").alias("last_month"),
+        m.getField("last_value").alias("last_month_downloads"),
+        m.getField("previous_value").alias("previous_month_downloads"),
+        m.getField("change_pct").alias("month_change_pct"),
         "total_downloads",
         "refresh_date",
     )
