@@ -162,3 +162,23 @@ def test_export_partitions_and_pruning(spark, scratch):
     # rewriting one month keeps the others
     maintain.export_partitioned(daily_rollup(mock_log(spark, rows[1:2])), "download_date", p)
     assert read_partitioned(spark, p).count() == 3
+
+
+def test_interrupted_publish_is_completed_by_next_run(spark, scratch, monkeypatch):
+    t = scratch("rr")
+    _load(spark, t, ROWS, "2023-01-01", "2023-01-05")
+    real_swap = maintain._swap_in
+
+    def crash_mid_swap(spark_, new_path, target, partition_col, touched, max_records, schema):
+        # the driver dies after removing one touched partition and before writing any
+        storage.delete_partition(spark_, target, partition_col, touched[0])
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(maintain, "_swap_in", crash_mid_swap)
+    with pytest.raises(RuntimeError):
+        _load(spark, t, [log_row("2023-01-02 12:00:00", project="a")], "2023-01-02", "2023-01-04")
+    monkeypatch.setattr(maintain, "_swap_in", real_swap)
+    assert maintain.finish_pending(spark, t, "log_date") is True
+    assert _rows(spark, t) == [("2023-01-01 10:00:00", "a"), ("2023-01-02 12:00:00", "a"),
+                               ("2023-01-04 10:00:00", "b")]
+    assert maintain.finish_pending(spark, t, "log_date") is False

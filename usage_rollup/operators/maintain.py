@@ -11,22 +11,25 @@ that receive no rows untouched. So:
 1. stage the incoming rows once into the shared checkpoint folder (with the
    quality statistics observed in the same pass);
 2. compute the new content of the *touched* partitions only (survivors of
-   the old partitions plus staged rows) and write it to the checkpoint folder,
-   which cuts the lineage to the target;
+   the old partitions plus staged rows) and write it, with the list of
+   touched partitions, as a complete snapshot into a fixed per-target
+   "pending" folder; this cuts the lineage to the target;
 3. copy that content into the target with dynamic partition overwrite, so only
    touched partitions are replaced and all others are never read or written;
-4. remove touched partitions that ended up empty.
-
-A failure before step 3 leaves the target untouched. Steps 2-4 are
-idempotent: survivors are rows outside the range, which are identical in the
-old and new versions of a partition, so re-running the job gives the same
-table. Every intermediate lives in ``spark.checkpoint.dir``, never on a
-machine-local disk, so it survives executor loss.
+4. remove touched partitions that ended up empty, then the pending folder.
+
+A failure before step 3 leaves the target untouched. A failure during 3-4
+leaves a complete snapshot behind; the next maintenance call on that target
+first swaps it in again (``finish_pending``), which is idempotent, so no
+interrupted run leaves a gap. Every intermediate lives in
+``spark.checkpoint.dir``, never on a machine-local disk, so it survives
+executor loss; executor loss inside a job is handled by task retry.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -34,7 +37,7 @@ from pyspark.sql import functions as F
 from usage_rollup.functions.columns import bound_like
 from usage_rollup.operators.quality import quality_exprs, validate_stats
 from usage_rollup.params import DEFAULT_CHUNK, DEFAULT_EXPORT_ROWS, MAX_NULL_PCT
-from usage_rollup.session import scratch_dir
+from usage_rollup.session import checkpoint_root, scratch_dir
 from usage_rollup.sources import storage
 
 LOG_PARTITION = "log_date"
@@ -160,11 +163,17 @@ def _range_dates(start, end) -> list[str]:
     return out
 
 
-def _publish(spark: SparkSession, new_path: str, target: str, partition_col: str, touched: list[str],
-             max_records: int | None, schema=None) -> None:
+def _pending_dir(spark: SparkSession, target: str) -> str:
+    """Fixed per-target folder (under the shared checkpoint dir) of an unpublished change."""
+    h = hashlib.sha1(target.rstrip("/").encode()).hexdigest()[:20]
+    return f"{checkpoint_root(spark).rstrip('/')}/usage_rollup/pending-{h}"
+
+
+def _swap_in(spark: SparkSession, new_path: str, target: str, partition_col: str, touched: list[str],
+             max_records: int | None, schema) -> None:
+    """Dynamic-overwrite the touched partitions from ``new_path``; drop emptied ones."""
     # the schema is passed on because a fully emptied range writes no files
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    new = clustered(reader.parquet(new_path), partition_col)
+    new = clustered(spark.read.schema(schema).parquet(new_path), partition_col)
     w = (new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(partition_col))
     if max_records:
@@ -176,6 +185,49 @@ def _publish(spark: SparkSession, new_path: str, target: str, partition_col: str
             storage.delete_partition(spark, target, partition_col, value)
 
 
+def finish_pending(spark: SparkSession, target: str, partition_col: str, max_records: int | None = None) -> bool:
+    """Complete a publish that an earlier run computed but did not finish.
+
+    The new content and the touched partition list are written completely
+    (``_SUCCESS``) before any partition of the target is swapped, so a run that
+    died while swapping left a full snapshot behind; swapping it in again is
+    idempotent. Returns True if there was one.
+    """
+    pend = _pending_dir(spark, target)
+    if not (storage.exists(spark, f"{pend}/new/_SUCCESS") and storage.exists(spark, f"{pend}/touched/_SUCCESS")):
+        if storage.exists(spark, pend):
+            storage.delete_path(spark, pend)  # an unfinished snapshot: the target was never touched
+        return False
+    touched = [r[0] for r in spark.read.parquet(f"{pend}/touched").collect()]
+    schema = spark.read.parquet(f"{pend}/schema").schema
+    _swap_in(spark, f"{pend}/new", target, partition_col, touched, max_records, schema)
+    storage.delete_path(spark, pend)
+    return True
+
+
+def _publish(spark: SparkSession, new: DataFrame, target: str, partition_col: str, touched: list[str],
+             max_records: int | None) -> None:
+    """Snapshot the touched partitions' new content, then swap it into the target.
+
+    ``touched`` holds partition values (a few per run: the loaded range).
+    """
+    pend = _pending_dir(spark, target)
+    new.limit(0).write.mode("overwrite").parquet(f"{pend}/schema")
+    spark.createDataFrame([(t,) for t in touched], "value string").coalesce(1) \
+        .write.mode("overwrite").parquet(f"{pend}/touched")
+    clustered(new, partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(f"{pend}/new")
+    finish_pending(spark, target, partition_col, max_records)
+
+
+def _first_load(spark: SparkSession, stage_path: str, target: str, partition_col: str,
+                max_records: int | None) -> None:
+    staged = spark.read.parquet(stage_path)
+    w = clustered(staged, partition_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    if max_records:
+        w = w.option("maxRecordsPerFile", int(max_records))
+    w.partitionBy(partition_col).parquet(target)
+
+
 def replace_range(
     spark: SparkSession,
     staged: DataFrame,
@@ -197,35 +249,34 @@ def replace_range(
     ``scope="project"`` (or any column name) restricts the delete to the values
     present in the staged rows.
     """
+    finish_pending(spark, target, partition_col, max_records)
     staged = staged.withColumn(partition_col, F.to_date(F.col(ts)))
     # 1. stage once; the quality statistics ride along on the same pass
     obs = Observation("quality")
     stage_path = scratch_dir(spark, "staged")
     (clustered(staged.observe(obs, *quality_exprs(ts, key)), partition_col).write.mode("overwrite")
      .partitionBy(partition_col).parquet(stage_path))
-    if not storage.list_partitions(spark, stage_path, partition_col):
-        return 0
-    stats = _observed(obs, lambda: spark.read.parquet(stage_path).agg(*quality_exprs(ts, key)).first().asDict())
-    if not stats.get("total_rows"):
-        return 0
-    validate_stats(stats, "timestamp", key, max_null_pct)
-    staged_df = spark.read.parquet(stage_path)
-
     staged_dates = storage.list_partitions(spark, stage_path, partition_col)
-    touched = sorted(set(_range_dates(start, end)) | set(staged_dates))
-    if not target_exists(spark, target):
-        _publish(spark, stage_path, target, partition_col, [], max_records)
+    try:
+        if not staged_dates:
+            return 0
+        stats = _observed(obs, lambda: spark.read.parquet(stage_path).agg(*quality_exprs(ts, key)).first().asDict())
+        if not stats.get("total_rows"):
+            return 0
+        validate_stats(stats, "timestamp", key, max_null_pct)
+        if not target_exists(spark, target):
+            _first_load(spark, stage_path, target, partition_col, max_records)
+            return int(stats["total_rows"])
+        # 2. new content of the touched partitions only (partition-pruned read)
+        staged_df = spark.read.parquet(stage_path)
+        touched = sorted(set(_range_dates(start, end)) | set(staged_dates))
+        old = spark.read.parquet(target).where(F.col(partition_col).isin([_date(d) for d in touched]))
+        survivors = delete_range_scoped(old, staged_df, ts, start, end, scope)
+        # 3 + 4. snapshot, swap touched partitions, drop emptied ones
+        _publish(spark, survivors.unionByName(staged_df), target, partition_col, touched, max_records)
         return int(stats["total_rows"])
-
-    # 2. new content of the touched partitions only (partition-pruned read)
-    old = spark.read.parquet(target).where(F.col(partition_col).isin([_date(d) for d in touched]))
-    survivors = delete_range_scoped(old, staged_df, ts, start, end, scope)
-    new_path = scratch_dir(spark, "replaced")
-    new = survivors.unionByName(staged_df)
-    clustered(new, partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(new_path)
-    # 3 + 4. swap touched partitions, drop emptied ones
-    _publish(spark, new_path, target, partition_col, touched, max_records, new.schema)
-    return int(stats["total_rows"])
+    finally:
+        storage.delete_path(spark, stage_path)
 
 
 def delete_range_table(spark: SparkSession, target: str, ts: str, start, end,
@@ -237,12 +288,10 @@ def delete_range_table(spark: SparkSession, target: str, ts: str, start, end,
     """
     if not target_exists(spark, target):
         return
+    finish_pending(spark, target, partition_col)
     touched = _range_dates(start, end)
     old = spark.read.parquet(target).where(F.col(partition_col).isin([_date(d) for d in touched]))
-    new_path = scratch_dir(spark, "deleted")
-    survivors = delete_range(old, ts, start, end)
-    clustered(survivors, partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(new_path)
-    _publish(spark, new_path, target, partition_col, touched, None, survivors.schema)
+    _publish(spark, delete_range(old, ts, start, end), target, partition_col, touched, None)
 
 
 # --- keyed upsert (W8) ----------------------------------------------------------
@@ -267,28 +316,27 @@ def upsert_by_key(spark: SparkSession, target: str, batch: DataFrame, key: str =
     Only partitions holding batch rows are read and rewritten. For the rollup
     the partition column (month) is derived from the key's leading date.
     """
+    finish_pending(spark, target, partition_col)
     if partition_col == ROLLUP_PARTITION:
         batch = with_rollup_partition(batch)
     obs = Observation("batch")
     stage_path = scratch_dir(spark, "batch")
     (clustered(batch.observe(obs, F.count(F.lit(1)).alias("n")), partition_col).write.mode("overwrite")
      .partitionBy(partition_col).parquet(stage_path))
-    if not storage.list_partitions(spark, stage_path, partition_col):
-        return 0
-    n = int(_observed(obs, lambda: {"n": spark.read.parquet(stage_path).count()})["n"])
-    if n == 0:
-        return 0
-    if not target_exists(spark, target):
-        _publish(spark, stage_path, target, partition_col, [], None)
-        return n
-    staged = spark.read.parquet(stage_path)
     touched = storage.list_partitions(spark, stage_path, partition_col)
-    old = spark.read.parquet(target).where(F.col(partition_col).isin([_date(d) for d in touched]))
-    new_path = scratch_dir(spark, "upserted")
-    (clustered(upsert_frame(old, staged, key, partition_col), partition_col).write.mode("overwrite")
-     .partitionBy(partition_col).parquet(new_path))
-    _publish(spark, new_path, target, partition_col, touched, None)
-    return n
+    try:
+        if not touched:
+            return 0
+        n = int(_observed(obs, lambda: {"n": spark.read.parquet(stage_path).count()})["n"])
+        if not target_exists(spark, target):
+            _first_load(spark, stage_path, target, partition_col, None)
+            return n
+        staged = spark.read.parquet(stage_path)
+        old = spark.read.parquet(target).where(F.col(partition_col).isin([_date(d) for d in touched]))
+        _publish(spark, upsert_frame(old, staged, key, partition_col), target, partition_col, touched, None)
+        return n
+    finally:
+        storage.delete_path(spark, stage_path)
 
 
 # --- plain writes (W5, W7, W9) ------------------------------------------------------

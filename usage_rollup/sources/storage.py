@@ -61,3 +61,9 @@ def count_files(spark: SparkSession, path: str, suffix: str = ".parquet") -> int
         if it.next().getPath().getName().endswith(suffix):
             n += 1
     return n
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Recursively remove a folder this library created (scratch and pending data)."""
+    fs, p = _fs_and_path(spark, path)
+    return bool(fs.delete(p, True)) if fs.exists(p) else False
