@@ -1,4 +1,4 @@
-"""Driver contract: entry runs, every query has an oracle, a sample matches DuckDB."""
+"""Driver contract: entry runs, every query has an oracle, a sample matches the SQL oracle."""
 
 import duckdb
 

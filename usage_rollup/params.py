@@ -8,11 +8,11 @@ from dataclasses import dataclass, replace
 # value means "all time" (0).
 REPORT_PERIODS = (0, 7, 30, 90)
 
-# Default ingest window and names.
+# Default ingest window and table name. The project to load has
+# no default; the database name is ours.
 DEFAULT_START = "2019-04-01"
 DEFAULT_END = "2023-11-30"
-DEFAULT_PROJECT = "duckdb"
-DEFAULT_DATABASE = "duckdb_stats"
+DEFAULT_DATABASE = "download_stats"
 DEFAULT_TABLE = "pypi_file_downloads"
 DEFAULT_TS_COL = "timestamp"
 DEFAULT_CHUNK = 100_000
@@ -24,7 +24,7 @@ MAX_NULL_PCT = 5.0
 class JobParams:
     """Parameters of one ingest run: which project, which half-open range."""
 
-    project: str = DEFAULT_PROJECT
+    project: str
     start: str = DEFAULT_START
     end: str = DEFAULT_END
     database: str = DEFAULT_DATABASE
