@@ -30,9 +30,11 @@ from __future__ import annotations
 
 import datetime as _dt
 import hashlib
+import json
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from usage_rollup.functions.columns import bound_like
 from usage_rollup.operators.quality import quality_exprs, validate_stats
@@ -198,8 +200,9 @@ def finish_pending(spark: SparkSession, target: str, partition_col: str, max_rec
         if storage.exists(spark, pend):
             storage.delete_path(spark, pend)  # an unfinished snapshot: the target was never touched
         return False
-    touched = [r[0] for r in spark.read.parquet(f"{pend}/touched").collect()]
-    schema = spark.read.parquet(f"{pend}/schema").schema
+    manifest = spark.read.parquet(f"{pend}/touched").collect()
+    touched = [r.value for r in manifest if r.value is not None]
+    schema = T.StructType.fromJson(json.loads(manifest[0].schema_json))
     _swap_in(spark, f"{pend}/new", target, partition_col, touched, max_records, schema)
     storage.delete_path(spark, pend)
     return True
@@ -212,8 +215,10 @@ def _publish(spark: SparkSession, new: DataFrame, target: str, partition_col: st
     ``touched`` holds partition values (a few per run: the loaded range).
     """
     pend = _pending_dir(spark, target)
-    new.limit(0).write.mode("overwrite").parquet(f"{pend}/schema")
-    spark.createDataFrame([(t,) for t in touched], "value string").coalesce(1) \
+    # manifest: the touched partition values plus the schema (one small file)
+    schema_json = json.dumps(new.schema.jsonValue())
+    rows = [(t, schema_json) for t in touched] or [(None, schema_json)]
+    spark.createDataFrame(rows, "value string, schema_json string").coalesce(1) \
         .write.mode("overwrite").parquet(f"{pend}/touched")
     clustered(new, partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(f"{pend}/new")
     finish_pending(spark, target, partition_col, max_records)
