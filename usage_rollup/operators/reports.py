@@ -301,18 +301,19 @@ def kpi_cards(rollup: DataFrame, as_of=None, digits: int | None = 6) -> DataFram
         F.coalesce(F.sum(N), F.lit(0)).cast("bigint").alias("total_downloads"),
         F.coalesce(date_label(F.max(DATE)), F.lit("")).alias("refresh_date"),
     )
-    # one scalar subquery per pair, returning the whole pair as a struct
+    # one scalar subquery per pair, returning the whole pair as a struct; the
+    # fields are read in a second projection so each subquery runs once
     w = wk.select(F.struct(*wk.columns)).scalar()
     m = mo.select(F.struct(*mo.columns)).scalar()
-    return anchor.select(
-        w.getField("last_label").alias("last_week_start"),
-        w.getField("last_value").alias("last_week_downloads"),
-        w.getField("previous_value").alias("previous_week_downloads"),
-        w.getField("change_pct").alias("week_change_pct"),
-        m.getField("last_label").alias("last_month"),
-        m.getField("last_value").alias("last_month_downloads"),
-        m.getField("previous_value").alias("previous_month_downloads"),
-        m.getField("change_pct").alias("month_change_pct"),
+    return anchor.select(w.alias("_w"), m.alias("_m"), "total_downloads", "refresh_date").select(
+        F.col("_w.last_label").alias("last_week_start"),
+        F.col("_w.last_value").alias("last_week_downloads"),
+        F.col("_w.previous_value").alias("previous_week_downloads"),
+        F.col("_w.change_pct").alias("week_change_pct"),
+        F.col("_m.last_label").alias("last_month"),
+        F.col("_m.last_value").alias("last_month_downloads"),
+        F.col("_m.previous_value").alias("previous_month_downloads"),
+        F.col("_m.change_pct").alias("month_change_pct"),
         "total_downloads",
         "refresh_date",
     )
