@@ -41,6 +41,18 @@ USER_SQL = (
 )
 
 
+def _text_dates(df: DataFrame) -> DataFrame:
+    """DATE columns as ``yyyy-MM-dd`` text (the form the SQL oracle renders too).
+
+    The operators return DATE; only the compared output is rendered, so both
+    engines' client-side date types cannot disagree.
+    """
+    return df.select(*[
+        F.date_format(F.col(f.name), "yyyy-MM-dd").alias(f.name) if f.dataType.typeName() == "date" else F.col(f.name)
+        for f in df.schema.fields
+    ])
+
+
 def _log(spark, sf, with_orders=True):
     return download_log(spark, sf, with_orders)
 
@@ -155,8 +167,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     R = reports
     return {
         # transform
-        "daily_rollup": lambda s, sf: _rollup(s, sf),
-        "daily_rollup_range": lambda s, sf: daily_rollup(_log(s, sf), "2024-01-05", "2024-01-25"),
+        "daily_rollup": lambda s, sf: _text_dates(_rollup(s, sf)),
+        "daily_rollup_range": lambda s, sf: _text_dates(daily_rollup(_log(s, sf), "2024-01-05", "2024-01-25")),
         # ingest: scan + quality
         "scan_filtered_log": lambda s, sf: flat_log(scan_log(s, _log(s, sf), SCAN)),
         "quality_report": lambda s, sf: quality.quality_report(_log(s, sf), "timestamp", "project"),
@@ -196,11 +208,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "replace_range": lambda s, sf: _replace(s, sf),
         "replace_range_scoped": lambda s, sf: _replace(s, sf, scope="project"),
         "delete_range": _delete,
-        "upsert_by_key": _upsert,
-        "append_chunks": _append,
-        "export_partitioned": lambda s, sf: _export(s, sf),
-        "export_pruned": lambda s, sf: _export(s, sf, "1998-03-15", "1999-02-10"),
-        "ingest_transform_jobs": _jobs,
+        "upsert_by_key": lambda s, sf: _text_dates(_upsert(s, sf)),
+        "append_chunks": lambda s, sf: _text_dates(_append(s, sf)),
+        "export_partitioned": lambda s, sf: _text_dates(_export(s, sf)),
+        "export_pruned": lambda s, sf: _text_dates(_export(s, sf, "1998-03-15", "1999-02-10")),
+        "ingest_transform_jobs": lambda s, sf: _text_dates(_jobs(s, sf)),
     }
 
 
@@ -383,12 +395,13 @@ def _bundle_sql() -> str:
 
 def oracle_sql() -> dict[str, str]:
     ev_only = lambda body: _with(body, orders=False)
-    rollup_cols = ", ".join(ROLLUP_COLUMNS)
+    rollup_cols = _ROLLUP_TEXT
     in_range = "\"timestamp\" >= TIMESTAMP '2024-01-15' AND \"timestamp\" < TIMESTAMP '2024-01-25'"
     return {
-        "daily_rollup": _with("SELECT * FROM rollup"),
+        "daily_rollup": _with(f"SELECT {rollup_cols} FROM rollup"),
         "daily_rollup_range": _with(
-            "SELECT * FROM rollup WHERE download_date >= DATE '2024-01-05' AND download_date < DATE '2024-01-25'"),
+            f"SELECT {rollup_cols} FROM rollup "
+            "WHERE download_date >= DATE '2024-01-05' AND download_date < DATE '2024-01-25'"),
         "scan_filtered_log": _with(
             f"SELECT {_FLAT} FROM log WHERE project = 'alpha' AND \"timestamp\" >= TIMESTAMP '2024-01-10' "
             "AND \"timestamp\" < TIMESTAMP '2024-01-20 12:00:00'"),
@@ -457,7 +470,8 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT {rollup_cols}, year(download_date) AS year, month(download_date) AS month FROM rollup "
             "WHERE download_date >= DATE '1998-03-15' AND download_date < DATE '1999-02-10'"),
         "ingest_transform_jobs": ev_only(
-            "SELECT * FROM rollup WHERE download_date >= DATE '2024-01-05' AND download_date < DATE '2024-01-25'"),
+            f"SELECT {rollup_cols} FROM rollup "
+            "WHERE download_date >= DATE '2024-01-05' AND download_date < DATE '2024-01-25'"),
     }
 
 
@@ -480,13 +494,17 @@ def _quality_sql(key: str) -> str:
                MIN("timestamp") AS min_ts, MAX("timestamp") AS max_ts FROM log) s"""
 
 
+_ROLLUP_TEXT = ", ".join(
+    "CAST(download_date AS VARCHAR) AS download_date" if c == "download_date" else c for c in ROLLUP_COLUMNS)
+
+
 def _upsert_sql() -> str:
     log = _EVENTS_LOG
     early = _rollup_sql(
         "(SELECT * FROM log WHERE \"timestamp\" < TIMESTAMP '2024-01-20 12:00:00') l",
         "WHERE download_date >= DATE '2024-01-01' AND download_date < DATE '2024-01-21'")
     batch = _rollup_sql("log", "WHERE download_date >= DATE '2024-01-19' AND download_date < DATE '2024-01-25'")
-    cols = ", ".join(ROLLUP_COLUMNS)
+    cols = _ROLLUP_TEXT
     return (f"WITH log AS ({log}\n),\nearly AS ({early}),\nbatch AS ({batch})\n"
             f"SELECT {cols} FROM early e WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE b.load_id = e.load_id)\n"
             f"UNION ALL SELECT {cols} FROM batch")

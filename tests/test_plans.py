@@ -56,3 +56,16 @@ def test_export_read_prunes_partitions(spark, scratch):
     df = read_partitioned(spark, p, "1998-03-15", "1999-02-10")
     pf = " ".join(partition_filters(df))
     assert "year" in pf and "month" in pf
+
+
+def test_streaming_recompute_prunes_partitions_dynamically(spark, scratch):
+    from pyspark.sql import functions as F
+
+    src = scratch("plan-src")
+    (download_log(spark, SF, with_orders=False).withColumn("log_date", F.to_date("timestamp"))
+     .write.partitionBy("log_date").parquet(src))
+    batch = spark.read.parquet(src).where(F.col("log_date") == F.lit("2024-01-05").cast("date"))
+    dates = batch.select(F.to_date("timestamp").alias("_d")).distinct()
+    full = spark.read.option("basePath", src).parquet(src)
+    affected = full.join(dates, F.col("log_date") == F.col("_d"), "left_semi")
+    assert "dynamicpruningexpression" in plan_text(daily_rollup(affected), "simple")
