@@ -52,3 +52,14 @@ def test_resolve_source_catalog_table(spark):
     spark.sql("DROP TABLE IF EXISTS usage_src_test.pypi_file_downloads")
     download_log(spark, SF, with_orders=False).limit(5).write.saveAsTable("usage_src_test.pypi_file_downloads")
     assert resolve_source(spark, "warehouse", "usage_src_test").count() == 5
+
+
+def test_collect_reports_concurrently(spark):
+    from usage_rollup.plans import collect_reports
+
+    rollup = daily_rollup(download_log(spark, SF))
+    frames = run_reports(spark, rollup, days=30, as_of="2024-01-31")
+    got = collect_reports(frames, workers=4)
+    assert set(got) == set(frames)
+    assert got["total_downloads"][0][0] == rollup.agg(F.sum("daily_download_sum")).first()[0]
+    assert [tuple(r) for r in got["top_versions"]] == [tuple(r) for r in frames["top_versions"].collect()]

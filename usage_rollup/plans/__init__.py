@@ -2,4 +2,4 @@
 
 from usage_rollup.plans.ingest import run_ingest  # noqa: F401
 from usage_rollup.plans.transform import run_transform  # noqa: F401
-from usage_rollup.plans.report import run_reports  # noqa: F401
+from usage_rollup.plans.report import collect_reports, run_reports  # noqa: F401

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from usage_rollup.operators import reports
 from usage_rollup.params import safe_period
@@ -20,3 +22,15 @@ def run_reports(spark: SparkSession, rollup, days: int = 0, as_of=None, cache: b
     if cache:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
     return reports.report_bundle(df, safe_period(days), as_of)
+
+
+def collect_reports(frames: dict[str, DataFrame], workers: int = 8) -> dict[str, list[Row]]:
+    """Evaluate the bundle's frames concurrently (one Spark job group per report).
+
+    The reports are independent and each result is small (top-N, series over
+    the loaded history), so their jobs are submitted from a thread pool and
+    share the cluster instead of running one after another.
+    """
+    with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
+        futures = {name: pool.submit(df.collect) for name, df in frames.items()}
+        return {name: f.result() for name, f in futures.items()}

@@ -35,13 +35,15 @@ def upsert_affected_dates(spark: SparkSession, batch: DataFrame, source_path: st
 
 
 def start_incremental_rollup(spark: SparkSession, source_path: str, target: str, checkpoint: str | None = None,
-                             ts: str = "timestamp", available_now: bool = True, max_files_per_trigger: int | None = None):
+                             ts: str = "timestamp", available_now: bool = True, max_files_per_trigger: int | None = None,
+                             schema=None):
     """Start the streaming query; returns the ``StreamingQuery``.
 
     ``available_now`` processes what has landed and stops (scheduled runs);
-    otherwise it keeps running with the default trigger.
+    otherwise it keeps running with the default trigger. Pass ``schema`` to
+    skip inferring it from the source's files.
     """
-    schema = spark.read.option("basePath", source_path).parquet(source_path).schema
+    schema = schema or spark.read.option("basePath", source_path).parquet(source_path).schema
     reader = spark.readStream.schema(schema).option("basePath", source_path)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
