@@ -190,19 +190,19 @@ def _swap_in(spark: SparkSession, new_path: str, target: str, partition_col: str
 def finish_pending(spark: SparkSession, target: str, partition_col: str, max_records: int | None = None) -> bool:
     """Complete a publish that an earlier run computed but did not finish.
 
-    The new content and the touched partition list are written completely
-    (``_SUCCESS``) before any partition of the target is swapped, so a run that
-    died while swapping left a full snapshot behind; swapping it in again is
-    idempotent. Returns True if there was one.
+    The new content (``_SUCCESS``) and then the manifest (touched partitions,
+    schema) are written before any partition of the target is swapped, so a run
+    that died while swapping left a full snapshot behind; swapping it in again
+    is idempotent. Returns True if there was one.
     """
     pend = _pending_dir(spark, target)
-    if not (storage.exists(spark, f"{pend}/new/_SUCCESS") and storage.exists(spark, f"{pend}/touched/_SUCCESS")):
+    if not (storage.exists(spark, f"{pend}/new/_SUCCESS") and storage.exists(spark, f"{pend}/manifest.json")):
         if storage.exists(spark, pend):
             storage.delete_path(spark, pend)  # an unfinished snapshot: the target was never touched
         return False
-    manifest = spark.read.parquet(f"{pend}/touched").collect()
-    touched = [r.value for r in manifest if r.value is not None]
-    schema = T.StructType.fromJson(json.loads(manifest[0].schema_json))
+    manifest = json.loads(storage.read_text(spark, f"{pend}/manifest.json"))
+    touched = manifest["touched"]
+    schema = T.StructType.fromJson(manifest["schema"])
     _swap_in(spark, f"{pend}/new", target, partition_col, touched, max_records, schema)
     storage.delete_path(spark, pend)
     return True
@@ -215,12 +215,10 @@ def _publish(spark: SparkSession, new: DataFrame, target: str, partition_col: st
     ``touched`` holds partition values (a few per run: the loaded range).
     """
     pend = _pending_dir(spark, target)
-    # manifest: the touched partition values plus the schema (one small file)
-    schema_json = json.dumps(new.schema.jsonValue())
-    rows = [(t, schema_json) for t in touched] or [(None, schema_json)]
-    spark.createDataFrame(rows, "value string, schema_json string").coalesce(1) \
-        .write.mode("overwrite").parquet(f"{pend}/touched")
     clustered(new, partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(f"{pend}/new")
+    # manifest last: a snapshot counts as complete only once both exist
+    manifest = {"touched": list(touched), "schema": new.schema.jsonValue()}
+    storage.write_text(spark, f"{pend}/manifest.json", json.dumps(manifest))
     finish_pending(spark, target, partition_col, max_records)
 
 

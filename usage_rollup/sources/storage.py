@@ -67,3 +67,23 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     """Recursively remove a folder this library created (scratch and pending data)."""
     fs, p = _fs_and_path(spark, path)
     return bool(fs.delete(p, True)) if fs.exists(p) else False
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small UTF-8 file (a manifest) without a Spark job; overwrites."""
+    fs, p = _fs_and_path(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs_and_path(spark, path)
+    jvm = spark.sparkContext._jvm
+    stream = fs.open(p)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
