@@ -190,6 +190,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "top_versions_90": lambda s, sf: R.top_versions(_rollup(s, sf), 90, AS_OF),
         "top_runtime": lambda s, sf: R.top_runtimes(_rollup(s, sf), 0, AS_OF),
         "top_countries": lambda s, sf: R.top_countries(_rollup(s, sf), 0, AS_OF),
+        "top_breakdowns_30": lambda s, sf: R.top_breakdowns(_rollup(s, sf), 30, AS_OF),
         "version_adoption": lambda s, sf: R.version_adoption(_rollup(s, sf)),
         "adoption_pivot": lambda s, sf: R.adoption_pivot(R.version_adoption(_rollup(s, sf)), PIVOT_VERSIONS),
         "adoption_share": lambda s, sf: R.adoption_share(
@@ -423,6 +424,7 @@ def oracle_sql() -> dict[str, str]:
         "top_versions_90": _with(_top_sql("version", 90)),
         "top_runtime": _with(_top_sql("python_version")),
         "top_countries": _with(_top_sql("country_code")),
+        "top_breakdowns_30": _with(_breakdowns_sql(30)),
         "version_adoption": _with(_ADOPTION),
         "adoption_pivot": _with(f"SELECT * FROM (WITH adoption AS ({_ADOPTION}) {_PIVOT}) q"),
         "adoption_share": _with(f"SELECT * FROM (WITH adoption AS ({_ADOPTION}), piv AS ({_PIVOT}) {_SHARE}) q"),
@@ -475,6 +477,17 @@ def oracle_sql() -> dict[str, str]:
     }
 
 
+def _breakdowns_sql(days: int) -> str:
+    """Top 10 per dimension, each dimension ranked on its own (one UNION ALL branch each)."""
+    parts = [
+        f"SELECT '{d}' AS dimension, CAST({d} AS VARCHAR) AS value, CAST(SUM(daily_download_sum) AS BIGINT) "
+        f"AS total_downloads FROM rollup WHERE download_date >= DATE '{AS_OF}' - INTERVAL '{days} days' GROUP BY {d}"
+        for d in ("version", "python_version", "country_code")
+    ]
+    return ("SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY dimension ORDER BY total_downloads DESC, "
+            "value ASC NULLS LAST) AS rank FROM (" + " UNION ALL ".join(parts) + ") u) r WHERE rank <= 10")
+
+
 def _with_kpi(body: str) -> str:
     log = _EVENTS_LOG + "\n  UNION ALL" + _ORDERS_LOG
     return f"WITH log AS ({log}\n),\nrollup AS ({_rollup_sql()}\n),{_KPI}\n{body}"

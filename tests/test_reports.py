@@ -120,3 +120,16 @@ def test_labels(spark):
     assert tuple(dd) == ("Nov 30, 2026", "Nov 30, 26")
     pl = spark.createDataFrame([(0,), (30,)], "d int").select(period_label("d")).collect()
     assert [r[0] for r in pl] == ["all time", "last 30 days"]
+
+
+def test_top_breakdowns_equals_three_top_by(spark):
+    from usage_rollup.operators.rollup import daily_rollup
+    from usage_rollup.sources.driverdata import download_log
+
+    r = daily_rollup(download_log(spark, "/root/testdata/sf0.001"))
+    b = R.top_breakdowns(r, 30, "2024-01-31")
+    for dim in ("version", "python_version", "country_code"):
+        got = [(x.value, x.total_downloads) for x in
+               b.where(F.col("dimension") == dim).orderBy("rank").collect()]
+        want = [tuple(x) for x in R.top_by(r, dim, 30, "2024-01-31").collect()]
+        assert got == want

@@ -191,6 +191,32 @@ def top_countries(rollup, days=0, as_of=None, n=TOP_N):
     return top_by(rollup, "country_code", days, as_of, n)
 
 
+def top_breakdowns(rollup: DataFrame, days: int = 0, as_of=None, n: int = TOP_N,
+                   dims=("version", "python_version", "country_code")) -> DataFrame:
+    """R7-R9 in one pass: top ``n`` per dimension -> (dimension, value, total_downloads, rank).
+
+    One scan and one shuffle with GROUPING SETS (one set per dimension); the
+    ranking window then runs over the aggregated rows only, partitioned by
+    dimension (each partition holds that dimension's distinct values).
+    Same order and tie-break as ``top_by``.
+    """
+    src = trailing_days(rollup, days, as_of).select(*dims, N)
+    g = src.groupingSets([[d] for d in dims], *dims).agg(
+        _sum_n("total_downloads"), F.grouping_id().alias("_gid"))
+    # grouping_id has a 0 bit for the dimension in the set, 1s elsewhere
+    width = len(dims)
+    which = F.lit(None).cast("string")
+    value = F.lit(None).cast("string")
+    for i, d in enumerate(dims):
+        gid = (1 << width) - 1 - (1 << (width - 1 - i))
+        which = F.when(F.col("_gid") == gid, F.lit(d)).otherwise(which)
+        value = F.when(F.col("_gid") == gid, F.col(d).cast("string")).otherwise(value)
+    long = g.select(which.alias("dimension"), value.alias("value"), "total_downloads")
+    w = Window.partitionBy("dimension").orderBy(F.col("total_downloads").desc_nulls_last(),
+                                                F.col("value").asc_nulls_last())
+    return long.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+
+
 def version_adoption(rollup: DataFrame, prefixes=ADOPTION_PREFIXES, exclude=DEV_MARKER) -> DataFrame:
     """Long form (date, version, downloads) over release versions, by date."""
     return (
