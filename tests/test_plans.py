@@ -69,3 +69,21 @@ def test_streaming_recompute_prunes_partitions_dynamically(spark, scratch):
     full = spark.read.option("basePath", src).parquet(src)
     affected = full.join(dates, F.col("log_date") == F.col("_d"), "left_semi")
     assert "dynamicpruningexpression" in plan_text(daily_rollup(affected), "simple")
+
+
+def test_scan_prunes_date_partitions(spark, scratch):
+    from pyspark.sql import functions as F
+
+    src = scratch("plan-raw")
+    (download_log(spark, SF, with_orders=False).withColumn("log_date", F.to_date("timestamp"))
+     .write.partitionBy("log_date").parquet(src))
+    df = scan_log(spark, src, JobParams(project="alpha", start="2024-01-10", end="2024-01-20 06:00:00"))
+    import re
+
+    pf = re.sub(r"#\d+", "", " ".join(partition_filters(df)))
+    assert "log_date >= 2024-01-10" in pf and "log_date <= 2024-01-20" in pf
+    raw = spark.read.parquet(src)
+    ts = F.col("timestamp")
+    want = raw.where((F.col("project") == "alpha") & (ts >= F.lit("2024-01-10").cast("timestamp_ntz"))
+                     & (ts < F.lit("2024-01-20 06:00:00").cast("timestamp_ntz"))).count()
+    assert df.count() == want

@@ -34,12 +34,15 @@ def scan_log(
     columns=LOG_COLUMNS,
     fmt: str = "parquet",
     options: dict | None = None,
+    date_partition: str | None = "log_date",
 ) -> DataFrame:
     """Filtered + projected scan of a raw download log.
 
     ``path_or_df`` is a path (read with ``fmt``) or an existing DataFrame
     (e.g. a catalog table). Bounds are cast to the column's own timestamp
-    type so the range reaches the Parquet reader as pushed filters.
+    type so the range reaches the Parquet reader as pushed filters. When the
+    source has a ``date_partition`` column (``to_date`` of the timestamp), the
+    range is also stated on it for partition pruning.
     """
     if isinstance(path_or_df, DataFrame):
         src = path_or_df
@@ -52,6 +55,11 @@ def scan_log(
     if params.ts_col not in cols and params.ts_col in src.columns:
         # a custom timestamp column is carried along so the range can apply
         cols = [params.ts_col] + cols
+    if date_partition and date_partition in src.columns:
+        # a date-partitioned source: bound the partition column as well, so
+        # directories outside the range are never listed or opened
+        src = src.where((F.col(date_partition) >= F.to_date(F.lit(params.start)))
+                        & (F.col(date_partition) <= F.to_date(F.lit(params.end))))
     return src.where(log_predicate(params, _ts_type(src, params.ts_col))).select(*cols)
 
 
