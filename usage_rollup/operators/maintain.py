@@ -224,6 +224,13 @@ def _publish(spark: SparkSession, new: DataFrame, target: str, partition_col: st
 
 def _first_load(spark: SparkSession, stage_path: str, target: str, partition_col: str,
                 max_records: int | None) -> None:
+    """Create the target from the staged rows (already laid out as the target is).
+
+    On the same file system the staged folder is moved into place (one
+    metadata operation, and the target appears whole); otherwise it is copied.
+    """
+    if not storage.exists(spark, target) and storage.rename(spark, stage_path, target):
+        return
     staged = spark.read.parquet(stage_path)
     w = clustered(staged, partition_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if max_records:
@@ -258,7 +265,7 @@ def replace_range(
     obs = Observation("quality")
     stage_path = scratch_dir(spark, "staged")
     (clustered(staged.observe(obs, *quality_exprs(ts, key)), partition_col).write.mode("overwrite")
-     .partitionBy(partition_col).parquet(stage_path))
+     .option("maxRecordsPerFile", int(max_records or 0)).partitionBy(partition_col).parquet(stage_path))
     staged_dates = storage.list_partitions(spark, stage_path, partition_col)
     try:
         if not staged_dates:

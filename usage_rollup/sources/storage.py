@@ -87,3 +87,15 @@ def read_text(spark: SparkSession, path: str) -> str:
         return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
+
+
+def rename(spark: SparkSession, src: str, dst: str) -> bool:
+    """Move ``src`` to ``dst`` when both live on one file system; False otherwise."""
+    fs, ps = _fs_and_path(spark, src)
+    fd, pd = _fs_and_path(spark, dst)
+    if fs.getUri().toString() != fd.getUri().toString():
+        return False
+    parent = pd.getParent()
+    if parent is not None and not fs.exists(parent):
+        fs.mkdirs(parent)
+    return bool(fs.rename(ps, pd))
