@@ -182,3 +182,18 @@ def test_interrupted_publish_is_completed_by_next_run(spark, scratch, monkeypatc
     assert _rows(spark, t) == [("2023-01-01 10:00:00", "a"), ("2023-01-02 12:00:00", "a"),
                                ("2023-01-04 10:00:00", "b")]
     assert maintain.finish_pending(spark, t, "log_date") is False
+
+
+def test_day_grain_rollup_upsert(spark, scratch):
+    t = scratch("up-day")
+    first = [log_row("2023-01-01 10:00:00")] * 2 + [log_row("2023-01-02 10:00:00")]
+    second = [log_row("2023-01-02 10:00:00")] * 5 + [log_row("2023-02-03 10:00:00")]
+    maintain.write_rollup(spark, daily_rollup(mock_log(spark, first)), t, "incremental", grain="day")
+    maintain.write_rollup(spark, daily_rollup(mock_log(spark, second)), t, "incremental", grain="day")
+    back = spark.read.parquet(t)
+    assert "download_month" not in back.columns
+    assert storage.list_partitions(spark, t, "download_date") == ["2023-01-01", "2023-01-02", "2023-02-03"]
+    got = {r.download_date: r.daily_download_sum for r in back.collect()}
+    assert got == {dt.date(2023, 1, 1): 2, dt.date(2023, 1, 2): 5, dt.date(2023, 2, 3): 1}
+    with pytest.raises(ValueError):
+        maintain.write_rollup(spark, daily_rollup(mock_log(spark, first)), t, "full", grain="week")

@@ -43,16 +43,25 @@ from usage_rollup.session import checkpoint_root, scratch_dir
 from usage_rollup.sources import storage
 
 LOG_PARTITION = "log_date"
-# The rollup is partitioned by month: a day of rollup rows is far smaller
-# than a day of raw rows, so day directories would mostly hold tiny files;
-# a keyed upsert rewrites the months its batch touches.
+# The rollup is partitioned by month by default: a day of rollup rows is far
+# smaller than a day of raw rows, so day directories would mostly hold tiny
+# files; a keyed upsert rewrites the months its batch touches. When a day of
+# rollup rows is itself large (many projects), use grain="day": partitions
+# are then the dates and an upsert rewrites only the days it touches.
 ROLLUP_PARTITION = "download_month"
 ROLLUP_DATE = "download_date"
+ROLLUP_GRAINS = {"month": ROLLUP_PARTITION, "day": ROLLUP_DATE}
 
 
-def with_rollup_partition(df: DataFrame) -> DataFrame:
-    """Add ``download_month`` (first day of the month of ``download_date``)."""
-    if ROLLUP_PARTITION in df.columns:
+def rollup_partition_column(grain: str = "month") -> str:
+    if grain not in ROLLUP_GRAINS:
+        raise ValueError(f"grain must be one of {sorted(ROLLUP_GRAINS)}")
+    return ROLLUP_GRAINS[grain]
+
+
+def with_rollup_partition(df: DataFrame, partition_col: str = ROLLUP_PARTITION) -> DataFrame:
+    """Add ``download_month`` (first day of the month of ``download_date``) if it is the partition."""
+    if partition_col != ROLLUP_PARTITION or ROLLUP_PARTITION in df.columns:
         return df
     return df.withColumn(ROLLUP_PARTITION, F.trunc(F.col(ROLLUP_DATE), "month"))
 
@@ -327,8 +336,7 @@ def upsert_by_key(spark: SparkSession, target: str, batch: DataFrame, key: str =
     the partition column (month) is derived from the key's leading date.
     """
     finish_pending(spark, target, partition_col)
-    if partition_col == ROLLUP_PARTITION:
-        batch = with_rollup_partition(batch)
+    batch = with_rollup_partition(batch, partition_col)
     obs = Observation("batch")
     stage_path = scratch_dir(spark, "batch")
     (clustered(batch.observe(obs, F.count(F.lit(1)).alias("n")), partition_col).write.mode("overwrite")
@@ -373,16 +381,21 @@ def append(df: DataFrame, target: str, max_records: int = DEFAULT_CHUNK,
     return int(_observed(obs, lambda: {"n": 0})["n"])
 
 
-def write_rollup(spark: SparkSession, rollup: DataFrame, target: str, mode: str = "full") -> int:
-    """Materialize the rollup: ``full`` rewrites it, ``incremental`` upserts by key."""
+def write_rollup(spark: SparkSession, rollup: DataFrame, target: str, mode: str = "full",
+                 grain: str = "month") -> int:
+    """Materialize the rollup: ``full`` rewrites it, ``incremental`` upserts by key.
+
+    ``grain`` picks the partitioning (``month`` or ``day``); keep it fixed per table.
+    """
+    part = rollup_partition_column(grain)
     if mode == "incremental":
-        return upsert_by_key(spark, target, rollup)
+        return upsert_by_key(spark, target, rollup, partition_col=part)
     if mode != "full":
         raise ValueError("mode must be 'full' or 'incremental'")
     obs = Observation("rollup")
-    rollup = with_rollup_partition(rollup)
-    (clustered(rollup.observe(obs, F.count(F.lit(1)).alias("n")), ROLLUP_PARTITION).write.mode("overwrite")
-     .partitionBy(ROLLUP_PARTITION).parquet(target))
+    rollup = with_rollup_partition(rollup, part)
+    (clustered(rollup.observe(obs, F.count(F.lit(1)).alias("n")), part).write.mode("overwrite")
+     .partitionBy(part).parquet(target))
     return int(_observed(obs, lambda: {"n": 0})["n"])
 
 

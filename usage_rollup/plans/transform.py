@@ -43,9 +43,10 @@ def run_transform(
     mode: str = "full",
     export_path: str | None = None,
     export_rows: int = DEFAULT_EXPORT_ROWS,
+    grain: str = "month",
 ) -> int:
     src = prune_log_dates(resolve_source(spark, data_source, database, root), start, end)
-    n = write_rollup(spark, daily_rollup(src, start, end), target, mode)
+    n = write_rollup(spark, daily_rollup(src, start, end), target, mode, grain)
     if export_path and mode == "full":
         export_partitioned(spark.read.parquet(target), "download_date", export_path, export_rows)
     return n

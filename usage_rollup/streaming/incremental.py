@@ -16,13 +16,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from usage_rollup.operators.maintain import LOG_PARTITION, upsert_by_key
+from usage_rollup.operators.maintain import LOG_PARTITION, rollup_partition_column, upsert_by_key
 from usage_rollup.operators.rollup import daily_rollup
 from usage_rollup.session import scratch_dir
 
 
 def upsert_affected_dates(spark: SparkSession, batch: DataFrame, source_path: str, target: str,
-                          ts: str = "timestamp") -> int:
+                          ts: str = "timestamp", grain: str = "month") -> int:
     """Recompute the rollup for the dates present in ``batch`` and upsert it."""
     dates = batch.select(F.to_date(F.col(ts)).alias("_d")).where(F.col("_d").isNotNull()).distinct()
     full = spark.read.option("basePath", source_path).parquet(source_path)
@@ -31,12 +31,12 @@ def upsert_affected_dates(spark: SparkSession, batch: DataFrame, source_path: st
         affected = full.join(dates, F.col(LOG_PARTITION) == F.col("_d"), "left_semi")
     else:
         affected = full.join(dates, F.to_date(F.col(ts)) == F.col("_d"), "left_semi")
-    return upsert_by_key(spark, target, daily_rollup(affected, ts=ts))
+    return upsert_by_key(spark, target, daily_rollup(affected, ts=ts), partition_col=rollup_partition_column(grain))
 
 
 def start_incremental_rollup(spark: SparkSession, source_path: str, target: str, checkpoint: str | None = None,
                              ts: str = "timestamp", available_now: bool = True, max_files_per_trigger: int | None = None,
-                             schema=None):
+                             schema=None, grain: str = "month"):
     """Start the streaming query; returns the ``StreamingQuery``.
 
     ``available_now`` processes what has landed and stops (scheduled runs);
@@ -50,7 +50,7 @@ def start_incremental_rollup(spark: SparkSession, source_path: str, target: str,
     stream = reader.parquet(source_path)
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        upsert_affected_dates(batch.sparkSession, batch, source_path, target, ts)
+        upsert_affected_dates(batch.sparkSession, batch, source_path, target, ts, grain)
 
     w = (stream.writeStream.foreachBatch(apply)
          .option("checkpointLocation", checkpoint or scratch_dir(spark, "stream-ckpt")))
