@@ -41,3 +41,17 @@ def test_custom_timestamp_column_pushed(spark, scratch):
     assert df.count() == 1 and df.columns[0] == "created_at"
     pf = " ".join(pushed_filters(df))
     assert "created_at" in pf and "project" in pf
+
+
+def test_scan_json_source_with_explicit_schema(spark, scratch):
+    from helpers import log_row
+    from usage_rollup.sources.scan import mock_log, scan_log
+
+    path = scratch("json-src")
+    rows = [log_row("2023-01-10 10:00:00", project="pkg", version="1.0"),
+            log_row("2023-01-10 11:00:00", project="other"),
+            log_row("2023-02-10 10:00:00", project="pkg")]
+    mock_log(spark, rows).write.json(path)
+    df = scan_log(spark, path, JobParams(project="pkg", start="2023-01-01", end="2023-02-01"), fmt="json")
+    got = df.collect()
+    assert len(got) == 1 and got[0].file.version == "1.0" and df.columns == LOG_COLUMNS
