@@ -87,3 +87,21 @@ def test_scan_prunes_date_partitions(spark, scratch):
     want = raw.where((F.col("project") == "alpha") & (ts >= F.lit("2024-01-10").cast("timestamp_ntz"))
                      & (ts < F.lit("2024-01-20 06:00:00").cast("timestamp_ntz"))).count()
     assert df.count() == want
+
+
+def test_upsert_reads_only_touched_partitions_and_breakdowns_limit_early(spark, scratch):
+    import re
+
+    from pyspark.sql import functions as F
+
+    from usage_rollup.operators import maintain as M
+
+    rp = scratch("plan-rollup")
+    M.write_rollup(spark, daily_rollup(download_log(spark, SF)), rp)
+    old = spark.read.parquet(rp).where(F.col("download_month").isin([F.lit("2024-01-01").cast("date")]))
+    batch = M.with_rollup_partition(daily_rollup(download_log(spark, SF), "2024-01-20", "2024-01-25"))
+    text = re.sub(r"#\d+", "", " ".join(partition_filters(M.upsert_frame(old, batch))))
+    assert "download_month" in text
+    top = R.top_breakdowns(spark.read.parquet(rp), 30, "2024-01-31")
+    plan = plan_text(top, "simple")
+    assert "WindowGroupLimit" in plan and "Partial" in plan
