@@ -14,8 +14,15 @@ fresh directory under ``spark.checkpoint.dir`` and return the re-read table.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
+# importable however this file is loaded (by path or as a module)
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
