@@ -135,6 +135,20 @@ def _jobs(spark, sf):
     return spark.read.parquet(rollup).select(*ROLLUP_COLUMNS)
 
 
+def _stream(spark, sf):
+    """Raw files land in two drops; the streaming job keeps the rollup current."""
+    from usage_rollup.streaming import start_incremental_rollup
+
+    log = _log(spark, sf, with_orders=False).withColumn("log_date", F.to_date("timestamp"))
+    src, target = scratch_dir(spark, "q-landing"), scratch_dir(spark, "q-rollup")
+    ckpt = scratch_dir(spark, "q-stream-ckpt")
+    cut = _ts_lt(log, "2024-01-15 12:00:00")
+    for drop in (log.where(cut), log.where(~cut)):
+        drop.write.mode("append").partitionBy("log_date").parquet(src)
+        start_incremental_rollup(spark, src, target, ckpt).awaitTermination()
+    return spark.read.parquet(target).select(*ROLLUP_COLUMNS)
+
+
 # --- report queries ------------------------------------------------------------
 
 
@@ -199,6 +213,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "top_countries": lambda s, sf: R.top_countries(_rollup(s, sf), 0, AS_OF),
         "top_breakdowns_30": lambda s, sf: R.top_breakdowns(_rollup(s, sf), 30, AS_OF),
         "version_adoption": lambda s, sf: R.version_adoption(_rollup(s, sf)),
+        "adoption_versions": lambda s, sf: R.adoption_versions(R.version_adoption(_rollup(s, sf))),
         "adoption_pivot": lambda s, sf: R.adoption_pivot(R.version_adoption(_rollup(s, sf)), PIVOT_VERSIONS),
         "adoption_share": lambda s, sf: R.adoption_share(
             R.adoption_pivot(R.version_adoption(_rollup(s, sf)), PIVOT_VERSIONS)),
@@ -221,6 +236,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "export_partitioned": lambda s, sf: _text_dates(_export(s, sf)),
         "export_pruned": lambda s, sf: _text_dates(_export(s, sf, "1998-03-15", "1999-02-10")),
         "ingest_transform_jobs": lambda s, sf: _text_dates(_jobs(s, sf)),
+        "incremental_stream_rollup": lambda s, sf: _text_dates(_stream(s, sf)),
     }
 
 
@@ -433,6 +449,7 @@ def oracle_sql() -> dict[str, str]:
         "top_countries": _with(_top_sql("country_code")),
         "top_breakdowns_30": _with(_breakdowns_sql(30)),
         "version_adoption": _with(_ADOPTION),
+        "adoption_versions": _with(f"SELECT DISTINCT version FROM ({_ADOPTION}) a"),
         "adoption_pivot": _with(f"SELECT * FROM (WITH adoption AS ({_ADOPTION}) {_PIVOT}) q"),
         "adoption_share": _with(f"SELECT * FROM (WITH adoption AS ({_ADOPTION}), piv AS ({_PIVOT}) {_SHARE}) q"),
         "adoption_share_long": _with(
@@ -478,6 +495,7 @@ def oracle_sql() -> dict[str, str]:
         "export_pruned": _with(
             f"SELECT {rollup_cols}, year(download_date) AS year, month(download_date) AS month FROM rollup "
             "WHERE download_date >= DATE '1998-03-15' AND download_date < DATE '1999-02-10'"),
+        "incremental_stream_rollup": ev_only(f"SELECT {rollup_cols} FROM rollup"),
         "ingest_transform_jobs": ev_only(
             f"SELECT {rollup_cols} FROM rollup "
             "WHERE download_date >= DATE '2024-01-05' AND download_date < DATE '2024-01-25'"),
