@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 from usage_rollup.functions.columns import bound_like
 from usage_rollup.operators.quality import quality_exprs, validate_stats
 from usage_rollup.params import DEFAULT_CHUNK, DEFAULT_EXPORT_ROWS, MAX_NULL_PCT
-from usage_rollup.session import checkpoint_root, scratch_dir
+from usage_rollup.session import scratch_dir, shared_root
 from usage_rollup.sources import storage
 
 LOG_PARTITION = "log_date"
@@ -177,7 +177,9 @@ def _range_dates(start, end) -> list[str]:
 def _pending_dir(spark: SparkSession, target: str) -> str:
     """Fixed per-target folder (under the shared checkpoint dir) of an unpublished change."""
     h = hashlib.sha1(target.rstrip("/").encode()).hexdigest()[:20]
-    return f"{checkpoint_root(spark).rstrip('/')}/usage_rollup/pending-{h}"
+    # under the configured root, not the per-application subfolder: a restarted
+    # driver must find what the previous one left
+    return f"{shared_root(spark)}/usage_rollup/pending-{h}"
 
 
 def _swap_in(spark: SparkSession, new_path: str, target: str, partition_col: str, touched: list[str],

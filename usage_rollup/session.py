@@ -52,6 +52,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
+def shared_root(spark: SparkSession) -> str:
+    """The configured ``spark.checkpoint.dir`` itself (not the per-application
+    subfolder Spark creates under it), so state written there outlives the
+    application that wrote it; falls back to ``checkpoint_root``."""
+    conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    return conf_dir.rstrip("/") if conf_dir else checkpoint_root(spark).rstrip("/")
+
+
 def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     """A fresh, unique directory path under the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
@@ -63,4 +71,4 @@ def local_path(p: str) -> str:
     return p[5:] if p.startswith("file:") else p
 
 
-__all__ = ["get_session", "checkpoint_root", "scratch_dir", "local_path", "SESSION_CONF", "os"]
+__all__ = ["get_session", "checkpoint_root", "shared_root", "scratch_dir", "local_path", "SESSION_CONF", "os"]
