@@ -43,11 +43,18 @@ def main() -> None:
     spark = get_session(f"local[{cpus}]", max(cpus, 8),
                         extra={"spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"})
     times: dict[str, float] = {}
+    rows: dict[str, int] = {}
 
     def timed(name, fn):
         t0 = time.perf_counter()
         out = fn()
         times[name] = round(time.perf_counter() - t0, 3)
+        if isinstance(out, int):
+            rows[name] = out
+        elif isinstance(out, list):
+            rows[name] = len(out)
+        elif isinstance(out, dict):
+            rows[name] = sum(len(v) for v in out.values())
         return out
 
     # warm-up (not counted)
@@ -67,8 +74,11 @@ def main() -> None:
     timed("rollup_upsert", lambda: maintain.upsert_by_key(
         spark, rollup_path, daily_rollup(log, "2024-01-20", "2024-01-27")))
     export_path = scratch_dir(spark, "bench-export")
-    timed("export", lambda: maintain.export_partitioned(spark.read.parquet(rollup_path), "download_date",
-                                                        export_path))
+    def export():
+        maintain.export_partitioned(spark.read.parquet(rollup_path), "download_date", export_path)
+        return spark.read.parquet(export_path).count()
+
+    timed("export", export)
 
     rollup = spark.read.parquet(rollup_path)
     report_queries = {
@@ -95,7 +105,7 @@ def main() -> None:
     total = round(sum(times.values()), 3)
     print(json.dumps({"metric": "pipeline_wall_seconds", "value": total, "unit": "sec", "queries": times,
                       "sf": os.path.basename(sf_dir).replace("sf", ""), "cpus": cpus,
-                      "spark": spark.version}))
+                      "spark": spark.version, "rows": rows}))
     spark.stop()
 
 
