@@ -34,7 +34,7 @@ def quality_stats(df: DataFrame, ts: str = "timestamp", key: str = "project") ->
 
 
 def _null_pct(total: Column, non_null: Column) -> Column:
-    return F.when(total > 0, (total - non_null) / total * 100.0)
+    return F.when(total > 0, (total - non_null) * 100.0 / total)
 
 
 def quality_report(df: DataFrame, ts: str = "timestamp", key: str = "project",
