@@ -133,3 +133,19 @@ def test_top_breakdowns_equals_three_top_by(spark):
                b.where(F.col("dimension") == dim).orderBy("rank").collect()]
         want = [tuple(x) for x in R.top_by(r, dim, 30, "2024-01-31").collect()]
         assert got == want
+
+
+def test_with_labels_adds_columns(spark):
+    from usage_rollup.functions.labels import with_labels
+
+    df = spark.createDataFrame([("2024-01-05", 1234, 12.5, 2_345_678)], "d string, n bigint, p double, k bigint")
+    out = with_labels(df, count_cols=["n"], date_cols=["d"], pct_cols=["p"], kpi_cols=["k"]).first()
+    assert (out.n_label, out.d_label, out.p_label, out.k_label) == ("1.2K", "Jan 5, 24", "+12.5%", "2.35M")
+
+
+def test_share_long_matches_wide(spark):
+    rows = [(d("2024-01-01"), "1.2.0", "3.8", "US", 1), (d("2024-01-01"), "1.3.0", "3.8", "US", 3),
+            (d("2024-01-02"), "1.3.0", "3.8", "US", 2)]
+    ad = R.version_adoption(rollup(spark, rows))
+    long = {(r.download_date, r.version): r.share_pct for r in R.adoption_share_long(ad).collect()}
+    assert long == {("2024-01-01", "1.2.0"): 25.0, ("2024-01-01", "1.3.0"): 75.0, ("2024-01-02", "1.3.0"): 100.0}
