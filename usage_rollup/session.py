@@ -6,7 +6,6 @@ cluster names); only when that is unset (local tests) do we set one.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -71,4 +70,4 @@ def local_path(p: str) -> str:
     return p[5:] if p.startswith("file:") else p
 
 
-__all__ = ["get_session", "checkpoint_root", "shared_root", "scratch_dir", "local_path", "SESSION_CONF", "os"]
+__all__ = ["get_session", "checkpoint_root", "shared_root", "scratch_dir", "local_path", "SESSION_CONF"]
