@@ -37,3 +37,7 @@ def test_sample_queries_match_oracle(spark):
         idx = [ocols.index(c) for c in cols]
         b = sorted((tuple(_norm(r[i]) for i in idx) for r in cur.fetchall()), key=repr)
         assert a == b, name
+
+
+def test_every_query_names_its_operators():
+    assert set(E.SURVEY_IDS) == set(E.queries())
