@@ -6,7 +6,9 @@ from usage_rollup.sources.driverdata import download_log
 SF = "/root/testdata/sf0.001"
 
 
-def test_cli_ingest_transform_report(spark, scratch, capsys):
+def test_cli_ingest_transform_report(spark, scratch, capsys, monkeypatch):
+    # keep the shared test session's settings (the cluster profile would widen its shuffles)
+    monkeypatch.setenv("USAGE_ROLLUP_PROFILE", "local")
     src, raw, rollup = scratch("cli-src"), scratch("cli-raw"), scratch("cli-rollup")
     download_log(spark, SF, with_orders=False).write.parquet(src)
     assert cli.main(["ingest", "--source", src, "--target", raw, "--project", "alpha",

@@ -57,7 +57,7 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv=None) -> int:
     args = _parser().parse_args(argv)
-    spark = get_session()
+    spark = get_session(profile=os.environ.get("USAGE_ROLLUP_PROFILE", "cluster"))
     if args.cmd == "ingest":
         from usage_rollup.plans import run_ingest
 

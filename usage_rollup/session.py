@@ -21,12 +21,35 @@ SESSION_CONF = {
 }
 
 
+# Starting points for a large cluster (100 TB of raw log, ~1000 executors).
+# Scan splits of 256 MB give ~400k map tasks over 100 TB; the rollup's partial
+# aggregate shrinks each split to its distinct groups before the only large
+# shuffle, which starts wide (initialPartitionNum) and is coalesced by AQE to
+# ~256 MB reducer partitions, so no reducer has to spill a whole day or project.
+# Skewed partitions above 5x the median (and 512 MB) are split. Rebalanced
+# writes aim at ~256 MB per output file.
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": str(256 << 20),
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.parquet.compression.codec": "zstd",
+    "spark.task.maxFailures": "8",
+}
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None, app: str = "usage_rollup",
-                extra: dict | None = None) -> SparkSession:
+                extra: dict | None = None, profile: str = "local") -> SparkSession:
+    """Session with the settings the jobs rely on; ``profile="cluster"`` adds ``CLUSTER_CONF``."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
     conf = dict(SESSION_CONF)
+    if profile == "cluster":
+        conf.update(CLUSTER_CONF)
     conf["spark.ui.enabled"] = "false"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -70,4 +93,5 @@ def local_path(p: str) -> str:
     return p[5:] if p.startswith("file:") else p
 
 
-__all__ = ["get_session", "checkpoint_root", "shared_root", "scratch_dir", "local_path", "SESSION_CONF"]
+__all__ = ["get_session", "checkpoint_root", "shared_root", "scratch_dir", "local_path", "SESSION_CONF",
+           "CLUSTER_CONF"]
