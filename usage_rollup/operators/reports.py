@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from usage_rollup.functions.columns import date_label, month_bucket, month_label, week_bucket
+from usage_rollup.functions.labels import period_label
 from usage_rollup.params import safe_period
 
 DATE = "download_date"
@@ -351,10 +352,15 @@ def kpi_cards(rollup: DataFrame, as_of=None, digits: int | None = 6) -> DataFram
 def report_bundle(rollup: DataFrame, days: int = 0, as_of=None) -> dict[str, DataFrame]:
     """All reports for one request; ``days`` is whitelisted to {0,7,30,90}.
 
-    Cache ``rollup`` before calling when the frames are evaluated one by one.
+    Covers every field of the original bundle: the KPI pairs, total and
+    freshness (``kpi_cards``, ``last_two_*``), the series, the breakdowns, the
+    adoption rows and the period echo. Cache ``rollup`` before calling when the
+    frames are evaluated one by one.
     """
     days = safe_period(days)
+    period = rollup.agg(F.lit(days).alias("period_days"), period_label(F.lit(days)).alias("period_label"))
     return {
+        "period": period,
         "weekly_series": weekly_series(rollup, as_of),
         "last_two_weeks": last_two_weeks(rollup, as_of),
         "monthly_recent": monthly_recent(rollup),
