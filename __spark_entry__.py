@@ -294,8 +294,7 @@ def _rollup_sql(log: str = "log", where: str = "") -> str:
          COUNT(*) AS daily_download_sum
   FROM (SELECT CAST("timestamp" AS DATE) AS download_date, system_name, system_release, version, project,
                country_code, cpu,
-               CASE WHEN python IS NULL THEN NULL
-                    ELSE concat(split_part(python, '.', 1), '.', split_part(python, '.', 2)) END AS python_version
+               split_part(python, '.', 1) || '.' || split_part(python, '.', 2) AS python_version
         FROM {log}) pre
   {where}
   GROUP BY ALL"""
@@ -308,22 +307,17 @@ def _with(body: str, orders: bool = True) -> str:
 
 def _weekly_sql(as_of: str) -> str:
     return f"""
-  SELECT strftime(date_trunc('week', download_date), '%Y-%m-%d') AS week_start_date,
-         CAST(SUM(daily_download_sum) AS BIGINT) AS weekly_downloads
-  FROM rollup
-  WHERE date_trunc('week', download_date) != (
-      SELECT DISTINCT date_trunc('week', download_date) AS w FROM rollup
-      WHERE date_trunc('week', download_date) >= date_trunc('week', DATE '{as_of}' - INTERVAL '4 weeks')
-      ORDER BY w DESC LIMIT 1)
-  GROUP BY date_trunc('week', download_date)"""
+  SELECT strftime(wk, '%Y-%m-%d') AS week_start_date, CAST(SUM(daily_download_sum) AS BIGINT) AS weekly_downloads
+  FROM (SELECT date_trunc('week', download_date) AS wk, daily_download_sum FROM rollup) r
+  WHERE wk <> (SELECT wk FROM (SELECT date_trunc('week', download_date) AS wk FROM rollup) x
+               WHERE wk >= date_trunc('week', DATE '{as_of}' - INTERVAL 28 DAY)
+               ORDER BY wk DESC LIMIT 1)
+  GROUP BY wk"""
 
 
 _MONTHLY = """
-  SELECT CONCAT(date_part('year', date_trunc('month', download_date)), '-',
-                LPAD(CAST(date_part('month', date_trunc('month', download_date)) AS VARCHAR), 2, '0')) AS year_month,
-         CAST(SUM(daily_download_sum) AS BIGINT) AS monthly_downloads
-  FROM rollup GROUP BY date_trunc('month', download_date)
-  ORDER BY date_trunc('month', download_date) DESC"""
+  SELECT strftime(download_date, '%Y-%m') AS year_month, CAST(SUM(daily_download_sum) AS BIGINT) AS monthly_downloads
+  FROM rollup GROUP BY year_month ORDER BY year_month DESC"""
 
 
 def _top_sql(dim: str, days: int = 0, alias: str | None = None) -> str:

@@ -62,14 +62,12 @@ def month_label(d) -> Column:
 def python_major_minor(v) -> Column:
     """Runtime ``major.minor`` from a full version string.
 
-    NULL stays NULL; missing parts become empty strings, so ``'3'`` gives
-    ``'3.'`` (the split part beyond the end is ``''``).
+    NULL stays NULL (``concat`` propagates it); missing parts become empty
+    strings, so ``'3'`` gives ``'3.'`` (a split part beyond the end is ``''``).
     """
     c = _c(v)
     dot = F.lit(".")
-    return F.when(c.isNull(), F.lit(None).cast("string")).otherwise(
-        F.concat(F.split_part(c, dot, F.lit(1)), dot, F.split_part(c, dot, F.lit(2)))
-    )
+    return F.concat(F.split_part(c, dot, F.lit(1)), dot, F.split_part(c, dot, F.lit(2)))
 
 
 def load_id(dims: list[str] | None = None) -> Column:
