@@ -9,6 +9,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Label tiers, suffixes, decimals and date patterns of the
+# original's display formatting.
+COUNT_TIERS = ((1_000_000_000, "B", 1), (1_000_000, "M", 1), (1_000, "K", 1))
+KPI_TIERS = ((1_000_000, "M", 2), (1_000, "K", 1))
+LONG_DATE = "MMM d, yyyy"
+SHORT_DATE = "MMM d, yy"
+ALL_TIME = "all time"
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -25,25 +33,21 @@ def _grouped(x: Column) -> Column:
     return F.format_number(x.cast("bigint"), 0)
 
 
+def _tiered(x: Column, tiers) -> Column:
+    out = _grouped(x)
+    for floor, suffix, digits in reversed(tiers):  # build inside-out so the largest tier is tested first
+        out = F.when(x >= floor, F.concat(_fixed(x / floor, digits), F.lit(suffix))).otherwise(out)
+    return out
+
+
 def compact_count(n) -> Column:
     """1.2B / 3.4M / 5.6K (one decimal); below 1000 the grouped integer."""
-    x = _c(n)
-    return (
-        F.when(x >= 1_000_000_000, F.concat(_fixed(x / 1_000_000_000, 1), F.lit("B")))
-        .when(x >= 1_000_000, F.concat(_fixed(x / 1_000_000, 1), F.lit("M")))
-        .when(x >= 1_000, F.concat(_fixed(x / 1_000, 1), F.lit("K")))
-        .otherwise(_grouped(x))
-    )
+    return _tiered(_c(n), COUNT_TIERS)
 
 
 def compact_kpi(n) -> Column:
     """KPI style: 1.23M (two decimals), 4.5K (one decimal), no B tier."""
-    x = _c(n)
-    return (
-        F.when(x >= 1_000_000, F.concat(_fixed(x / 1_000_000, 2), F.lit("M")))
-        .when(x >= 1_000, F.concat(_fixed(x / 1_000, 1), F.lit("K")))
-        .otherwise(_grouped(x))
-    )
+    return _tiered(_c(n), KPI_TIERS)
 
 
 def signed_percent(p) -> Column:
@@ -54,18 +58,18 @@ def signed_percent(p) -> Column:
 
 def long_date(d) -> Column:
     """``Nov 30, 2026``."""
-    return F.date_format(F.to_date(_c(d)), "MMM d, yyyy")
+    return F.date_format(F.to_date(_c(d)), LONG_DATE)
 
 
 def short_date(d) -> Column:
     """``Nov 30, 26``."""
-    return F.date_format(F.to_date(_c(d)), "MMM d, yy")
+    return F.date_format(F.to_date(_c(d)), SHORT_DATE)
 
 
 def period_label(days) -> Column:
     """``all time`` for 0, else ``last N days``."""
     x = _c(days)
-    return F.when(x == 0, F.lit("all time")).otherwise(
+    return F.when(x == 0, F.lit(ALL_TIME)).otherwise(
         F.concat(F.lit("last "), x.cast("string"), F.lit(" days"))
     )
 

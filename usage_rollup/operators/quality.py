@@ -14,6 +14,11 @@ from pyspark.sql import functions as F
 from usage_rollup.params import MAX_NULL_PCT
 
 
+# Gate messages (kept matchable with the original's wording).
+MSG_NO_ROWS = "No rows loaded"
+MSG_NULLS = "{pct:.1f}% of {column} values are null (threshold: {limit:g}%)"
+
+
 class DataQualityError(Exception):
     """Raised when staged rows fail the quality gate."""
 
@@ -68,13 +73,12 @@ def validate_stats(stats, ts_label: str = "timestamp", key_label: str = "project
     else:
         total, nts, nk, min_ts, max_ts = stats
     if not total:
-        raise DataQualityError("No rows loaded")
-    null_ts = (total - nts) / total * 100
-    null_key = (total - nk) / total * 100
-    if null_ts > max_null_pct:
-        raise DataQualityError(f"{null_ts:.1f}% of {ts_label} values are null (threshold: {max_null_pct:g}%)")
-    if null_key > max_null_pct:
-        raise DataQualityError(f"{null_key:.1f}% of {key_label} values are null (threshold: {max_null_pct:g}%)")
+        raise DataQualityError(MSG_NO_ROWS)
+    null_ts = (total - nts) * 100 / total
+    null_key = (total - nk) * 100 / total
+    for pct, column in ((null_ts, ts_label), (null_key, key_label)):
+        if pct > max_null_pct:
+            raise DataQualityError(MSG_NULLS.format(pct=pct, column=column, limit=max_null_pct))
     return {"total_rows": total, "min_ts": min_ts, "max_ts": max_ts,
             "null_ts_pct": null_ts, "null_key_pct": null_key}
 

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# The nested layout (field names and order) of the raw
+# download log, as the public download table defines it.
 _NAME_VERSION = T.StructType(
     [T.StructField("name", T.StringType()), T.StructField("version", T.StringType())]
 )
