@@ -103,8 +103,13 @@ def main() -> None:
     timed("report_bundle", bundle)
 
     total = round(sum(times.values()), 3)
+    sf_name = os.path.basename(sf_dir).replace("sf", "")
+    try:
+        sf = float(sf_name)
+    except ValueError:
+        sf = sf_name
     print(json.dumps({"metric": "pipeline_wall_seconds", "value": total, "unit": "sec", "queries": times,
-                      "sf": os.path.basename(sf_dir).replace("sf", ""), "cpus": cpus,
+                      "sf": sf, "cpus": cpus,
                       "spark": spark.version, "rows": rows}))
     spark.stop()
 
