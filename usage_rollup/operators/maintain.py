@@ -18,7 +18,8 @@ that receive no rows untouched. So:
    touched partitions are replaced and all others are never read or written;
 4. remove touched partitions that ended up empty, then the pending folder.
 
-A failure before step 3 leaves the target untouched. A failure during 3-4
+One writer per target at a time (as with the original loader); the pending
+folder is per target. A failure before step 3 leaves the target untouched. A failure during 3-4
 leaves a complete snapshot behind; the next maintenance call on that target
 first swaps it in again (``finish_pending``), which is idempotent, so no
 interrupted run leaves a gap. Every intermediate lives in

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from usage_rollup.functions.columns import bound_like, half_open
+from usage_rollup.functions.columns import half_open
 from usage_rollup.params import JobParams
 from usage_rollup.schema import LOG_COLUMNS, log_schema
 
