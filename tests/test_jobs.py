@@ -63,3 +63,10 @@ def test_collect_reports_concurrently(spark):
     assert set(got) == set(frames)
     assert got["total_downloads"][0][0] == rollup.agg(F.sum("daily_download_sum")).first()[0]
     assert [tuple(r) for r in got["top_versions"]] == [tuple(r) for r in frames["top_versions"].collect()]
+
+
+def test_reports_for_one_project(spark):
+    rollup = daily_rollup(download_log(spark, SF))
+    frames = run_reports(spark, rollup, days=0, as_of="2024-01-31", project="gamma")
+    want = rollup.where(F.col("project") == "gamma").agg(F.sum("daily_download_sum")).first()[0]
+    assert frames["total_downloads"].first()[0] == want

@@ -52,6 +52,7 @@ def _parser() -> argparse.ArgumentParser:
     r.add_argument("--rollup", required=True, help="rollup path or table name")
     r.add_argument("--days", type=int, default=0)
     r.add_argument("--as-of", default=None)
+    r.add_argument("--project", default=None, help="report on one project of a shared rollup")
     return p
 
 
@@ -75,7 +76,7 @@ def main(argv=None) -> int:
     else:
         from usage_rollup.plans import collect_reports, run_reports
 
-        rows = collect_reports(run_reports(spark, args.rollup, args.days, args.as_of))
+        rows = collect_reports(run_reports(spark, args.rollup, args.days, args.as_of, project=args.project))
         print(json.dumps({k: [r.asDict() for r in v] for k, v in rows.items()}, default=str))
     return 0
 

@@ -6,6 +6,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from usage_rollup.operators import reports
 from usage_rollup.params import safe_period
@@ -15,10 +16,18 @@ from usage_rollup.sources.scan import load_rollup
 REPORT_COLUMNS = ["download_date", "version", "python_version", "country_code", "daily_download_sum"]
 
 
-def run_reports(spark: SparkSession, rollup, days: int = 0, as_of=None, cache: bool = True) -> dict[str, DataFrame]:
-    """``rollup`` is a DataFrame, Parquet path or table name; ``days`` is whitelisted."""
+def run_reports(spark: SparkSession, rollup, days: int = 0, as_of=None, cache: bool = True,
+                project: str | None = None) -> dict[str, DataFrame]:
+    """``rollup`` is a DataFrame, Parquet path or table name; ``days`` is whitelisted.
+
+    ``project`` restricts every report to one project's rows (a filter pushed
+    into the rollup scan), so only that slice is cached on a shared rollup.
+    """
     df = load_rollup(spark, rollup) if isinstance(rollup, str) else rollup
-    df = df.select(*REPORT_COLUMNS)
+    if project is not None:
+        df = df.where(F.col("project") == F.lit(project))
+    keep = [c for c in df.columns if c == "download_month"]  # partition column, when stored
+    df = df.select(*REPORT_COLUMNS, *keep)
     if cache:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
     return reports.report_bundle(df, safe_period(days), as_of)
