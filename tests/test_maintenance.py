@@ -197,3 +197,9 @@ def test_day_grain_rollup_upsert(spark, scratch):
     assert got == {dt.date(2023, 1, 1): 2, dt.date(2023, 1, 2): 5, dt.date(2023, 2, 3): 1}
     with pytest.raises(ValueError):
         maintain.write_rollup(spark, daily_rollup(mock_log(spark, first)), t, "full", grain="week")
+
+
+def test_range_dates_follow_utc_instants():
+    assert maintain._range_dates("2023-04-02 01:00:00+02", "2023-04-03") == ["2023-04-01", "2023-04-02"]
+    assert maintain._range_dates("2023-01-01", "2023-01-03") == ["2023-01-01", "2023-01-02"]
+    assert maintain._range_dates("2023-01-01", "2023-01-03 10:30:00") == ["2023-01-01", "2023-01-02", "2023-01-03"]

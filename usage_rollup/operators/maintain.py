@@ -162,11 +162,19 @@ def _date(v) -> _dt.date:
     return _dt.date.fromisoformat(s[:10])
 
 
+def _instant(v) -> _dt.datetime:
+    """A bound as a naive UTC datetime (the session zone is UTC); offsets are applied."""
+    t = _dt.datetime.fromisoformat(str(v).strip().replace("Z", "+00:00"))
+    if t.tzinfo is not None:
+        t = t.astimezone(_dt.timezone.utc).replace(tzinfo=None)
+    return t
+
+
 def _range_dates(start, end) -> list[str]:
     """Partition dates a half-open timestamp range touches."""
-    s, e = _date(start), _date(end)
-    end_s = str(end)
-    midnight = len(end_s) <= 10 or _dt.datetime.fromisoformat(end_s.replace("Z", "")).time() == _dt.time(0)
+    s_t, e_t = _instant(start), _instant(end)
+    s, e = s_t.date(), e_t.date()
+    midnight = e_t.time() == _dt.time(0)
     last = e - _dt.timedelta(days=1) if midnight else e
     out, d = [], s
     while d <= last:
