@@ -199,7 +199,10 @@ def test_day_grain_rollup_upsert(spark, scratch):
         maintain.write_rollup(spark, daily_rollup(mock_log(spark, first)), t, "full", grain="week")
 
 
-def test_range_dates_follow_utc_instants():
-    assert maintain._range_dates("2023-04-02 01:00:00+02", "2023-04-03") == ["2023-04-01", "2023-04-02"]
-    assert maintain._range_dates("2023-01-01", "2023-01-03") == ["2023-01-01", "2023-01-02"]
-    assert maintain._range_dates("2023-01-01", "2023-01-03 10:30:00") == ["2023-01-01", "2023-01-02", "2023-01-03"]
+def test_range_dates_follow_the_session_zone():
+    from usage_rollup.functions.dates import range_dates
+
+    assert range_dates("2023-04-02 01:00:00+02", "2023-04-03") == ["2023-04-01", "2023-04-02"]
+    assert range_dates("2023-04-02 01:00:00+02", "2023-04-03", "Europe/Berlin") == ["2023-04-02"]
+    assert range_dates("2023-01-01", "2023-01-03") == ["2023-01-01", "2023-01-02"]
+    assert range_dates("2023-01-01", "2023-01-03 10:30:00") == ["2023-01-01", "2023-01-02", "2023-01-03"]

@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from usage_rollup.functions.columns import bound_like
+from usage_rollup.functions.dates import range_dates, session_zone
 from usage_rollup.operators.quality import quality_exprs, validate_stats
 from usage_rollup.params import DEFAULT_CHUNK, DEFAULT_EXPORT_ROWS, MAX_NULL_PCT
 from usage_rollup.session import scratch_dir, shared_root
@@ -162,25 +163,9 @@ def _date(v) -> _dt.date:
     return _dt.date.fromisoformat(s[:10])
 
 
-def _instant(v) -> _dt.datetime:
-    """A bound as a naive UTC datetime (the session zone is UTC); offsets are applied."""
-    t = _dt.datetime.fromisoformat(str(v).strip().replace("Z", "+00:00"))
-    if t.tzinfo is not None:
-        t = t.astimezone(_dt.timezone.utc).replace(tzinfo=None)
-    return t
-
-
-def _range_dates(start, end) -> list[str]:
-    """Partition dates a half-open timestamp range touches."""
-    s_t, e_t = _instant(start), _instant(end)
-    s, e = s_t.date(), e_t.date()
-    midnight = e_t.time() == _dt.time(0)
-    last = e - _dt.timedelta(days=1) if midnight else e
-    out, d = [], s
-    while d <= last:
-        out.append(d.isoformat())
-        d += _dt.timedelta(days=1)
-    return out
+def _range_dates(spark: SparkSession, start, end) -> list[str]:
+    """Partition dates a half-open timestamp range touches (session zone)."""
+    return range_dates(start, end, session_zone(spark))
 
 
 def _pending_dir(spark: SparkSession, target: str) -> str:
@@ -299,7 +284,7 @@ def replace_range(
             return int(stats["total_rows"])
         # 2. new content of the touched partitions only (partition-pruned read)
         staged_df = spark.read.parquet(stage_path)
-        touched = sorted(set(_range_dates(start, end)) | set(staged_dates))
+        touched = sorted(set(_range_dates(spark, start, end)) | set(staged_dates))
         old = spark.read.parquet(target).where(F.col(partition_col).isin([_date(d) for d in touched]))
         survivors = delete_range_scoped(old, staged_df, ts, start, end, scope)
         # 3 + 4. snapshot, swap touched partitions, drop emptied ones
@@ -319,7 +304,7 @@ def delete_range_table(spark: SparkSession, target: str, ts: str, start, end,
     if not target_exists(spark, target):
         return
     finish_pending(spark, target, partition_col)
-    touched = _range_dates(start, end)
+    touched = _range_dates(spark, start, end)
     old = spark.read.parquet(target).where(F.col(partition_col).isin([_date(d) for d in touched]))
     _publish(spark, delete_range(old, ts, start, end), target, partition_col, touched, None)
 

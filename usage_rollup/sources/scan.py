@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from usage_rollup.functions.columns import half_open
+from usage_rollup.functions.dates import partition_bounds, session_zone
 from usage_rollup.params import JobParams
 from usage_rollup.schema import LOG_COLUMNS, log_schema
 
@@ -58,8 +59,9 @@ def scan_log(
     if date_partition and date_partition in src.columns:
         # a date-partitioned source: bound the partition column as well, so
         # directories outside the range are never listed or opened
-        src = src.where((F.col(date_partition) >= F.to_date(F.lit(params.start)))
-                        & (F.col(date_partition) <= F.to_date(F.lit(params.end))))
+        first, last = partition_bounds(params.start, params.end, session_zone(spark))
+        src = src.where((F.col(date_partition) >= F.to_date(F.lit(first)))
+                        & (F.col(date_partition) <= F.to_date(F.lit(last))))
     return src.where(log_predicate(params, _ts_type(src, params.ts_col))).select(*cols)
 
 
