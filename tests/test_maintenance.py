@@ -226,3 +226,27 @@ def test_replace_is_idempotent_with_zoned_timestamps_in_another_session_zone(spa
         assert after == before
     finally:
         spark.conf.set("spark.sql.session.timeZone", prev)
+
+
+def test_catalog_table_targets(spark):
+    maintain.ensure_database(spark, "usage_maint_test")
+    raw, rollup = "usage_maint_test.raw_log", "usage_maint_test.daily_stats"
+    for t in (raw, rollup):
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+    maintain.replace_range(spark, mock_log(spark, ROWS), raw, "timestamp", "2023-01-01", "2023-01-05")
+    assert spark.table(raw).count() == len(ROWS)
+    maintain.replace_range(spark, mock_log(spark, [log_row("2023-01-02 09:00:00", project="a")]), raw,
+                           "timestamp", "2023-01-02", "2023-01-04")
+    got = sorted((str(r.timestamp), r.project) for r in flat_log(spark.table(raw)).collect())
+    assert got == [("2023-01-01 10:00:00", "a"), ("2023-01-02 09:00:00", "a"), ("2023-01-04 10:00:00", "b")]
+    parts = [r[0] for r in spark.sql(f"SHOW PARTITIONS {raw}").collect()]
+    assert parts == ["log_date=2023-01-01", "log_date=2023-01-02", "log_date=2023-01-04"]
+
+    first = [log_row("2023-01-01 10:00:00")] * 2
+    second = [log_row("2023-01-01 10:00:00")] * 3 + [log_row("2023-02-01 10:00:00")]
+    maintain.write_rollup(spark, daily_rollup(mock_log(spark, first)), rollup, "incremental")
+    maintain.write_rollup(spark, daily_rollup(mock_log(spark, second)), rollup, "incremental")
+    got = {r.download_date: r.daily_download_sum for r in spark.table(rollup).collect()}
+    assert got == {dt.date(2023, 1, 1): 3, dt.date(2023, 2, 1): 1}
+    maintain.write_rollup(spark, daily_rollup(mock_log(spark, first)), rollup, "full")
+    assert {r.daily_download_sum for r in spark.table(rollup).collect()} == {2}

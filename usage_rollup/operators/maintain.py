@@ -1,8 +1,9 @@
 """Table maintenance: range replace, keyed upsert, append, export.
 
 Tables are Parquet directories partitioned by a date column (``log_date`` for
-the raw log, ``download_month`` for the rollup); catalog names work through
-``spark.table`` / ``saveAsTable`` where noted.
+the raw log, ``download_month`` for the rollup), given as a path or as a
+catalog table name; for a table the files under its location are maintained
+the same way and its partition list is synced afterwards.
 
 Publish protocol (range replace and keyed upsert). Spark cannot overwrite a
 path it is reading, and dynamic partition overwrite alone leaves partitions
@@ -88,11 +89,38 @@ def ensure_database(spark: SparkSession, name: str) -> None:
 
 def target_exists(spark: SparkSession, target: str) -> bool:
     """Existence probe: catalog table name or storage path."""
-    if "/" in target or ":" in target:
+    if _is_path(target):
         return storage.has_data(spark, target)
     return spark.catalog.tableExists(target)
 
 
+def _is_path(target: str) -> bool:
+    return "/" in target or ":" in target
+
+
+def _location(spark: SparkSession, target: str) -> str | None:
+    """Storage folder of a target: the path itself, or a catalog table's location (None if missing)."""
+    if _is_path(target):
+        return target
+    if not spark.catalog.tableExists(target):
+        return None
+    for r in spark.sql(f"DESCRIBE TABLE EXTENDED {target}").collect():
+        if r.col_name == "Location":
+            return r.data_type
+    raise ValueError(f"{target} has no storage location")
+
+
+def _sync_catalog(spark: SparkSession, target: str) -> None:
+    """After files changed under a catalog table: sync its partition list and cached metadata."""
+    if not _is_path(target):
+        spark.sql(f"MSCK REPAIR TABLE {target} SYNC PARTITIONS")
+        spark.sql(f"REFRESH TABLE {target}")
+
+
+def _read_target(spark: SparkSession, target: str) -> DataFrame:
+    return spark.read.parquet(_location(spark, target))
+
+
 def ensure_target(spark: SparkSession, df: DataFrame, target: str, partition_by: list[str] | None = None) -> bool:
     """Create an empty table with ``df``'s schema if missing; True if created."""
     if target_exists(spark, target):
@@ -200,7 +228,10 @@ def finish_pending(spark: SparkSession, target: str, partition_col: str, max_rec
     that died while swapping left a full snapshot behind; swapping it in again
     is idempotent. Returns True if there was one.
     """
-    pend = _pending_dir(spark, target)
+    loc = _location(spark, target)
+    if loc is None:
+        return False
+    pend = _pending_dir(spark, loc)
     if not (storage.exists(spark, f"{pend}/new/_SUCCESS") and storage.exists(spark, f"{pend}/manifest.json")):
         if storage.exists(spark, pend):
             storage.delete_path(spark, pend)  # an unfinished snapshot: the target was never touched
@@ -208,8 +239,9 @@ def finish_pending(spark: SparkSession, target: str, partition_col: str, max_rec
     manifest = json.loads(storage.read_text(spark, f"{pend}/manifest.json"))
     touched = manifest["touched"]
     schema = T.StructType.fromJson(manifest["schema"])
-    _swap_in(spark, f"{pend}/new", target, partition_col, touched, max_records, schema)
+    _swap_in(spark, f"{pend}/new", loc, partition_col, touched, max_records, schema)
     storage.delete_path(spark, pend)
+    _sync_catalog(spark, target)
     return True
 
 
@@ -219,7 +251,7 @@ def _publish(spark: SparkSession, new: DataFrame, target: str, partition_col: st
 
     ``touched`` holds partition values (a few per run: the loaded range).
     """
-    pend = _pending_dir(spark, target)
+    pend = _pending_dir(spark, _location(spark, target))
     clustered(new, partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(f"{pend}/new")
     # manifest last: a snapshot counts as complete only once both exist
     manifest = {"touched": list(touched), "schema": new.schema.jsonValue()}
@@ -233,10 +265,17 @@ def _first_load(spark: SparkSession, stage_path: str, target: str, partition_col
 
     On the same file system the staged folder is moved into place (one
     metadata operation, and the target appears whole); otherwise it is copied.
+    A catalog target is created as a partitioned table.
     """
+    staged = spark.read.parquet(stage_path)
+    if not _is_path(target):
+        w = clustered(staged, partition_col).write.mode("append").format("parquet").partitionBy(partition_col)
+        if max_records:
+            w = w.option("maxRecordsPerFile", int(max_records))
+        w.saveAsTable(target)
+        return
     if not storage.exists(spark, target) and storage.rename(spark, stage_path, target):
         return
-    staged = spark.read.parquet(stage_path)
     w = clustered(staged, partition_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if max_records:
         w = w.option("maxRecordsPerFile", int(max_records))
@@ -285,7 +324,7 @@ def replace_range(
         # 2. new content of the touched partitions only (partition-pruned read)
         staged_df = spark.read.parquet(stage_path)
         touched = sorted(set(_range_dates(spark, start, end)) | set(staged_dates))
-        old = spark.read.parquet(target).where(F.col(partition_col).isin([_date(d) for d in touched]))
+        old = _read_target(spark, target).where(F.col(partition_col).isin([_date(d) for d in touched]))
         survivors = delete_range_scoped(old, staged_df, ts, start, end, scope)
         # 3 + 4. snapshot, swap touched partitions, drop emptied ones
         _publish(spark, survivors.unionByName(staged_df), target, partition_col, touched, max_records)
@@ -305,7 +344,7 @@ def delete_range_table(spark: SparkSession, target: str, ts: str, start, end,
         return
     finish_pending(spark, target, partition_col)
     touched = _range_dates(spark, start, end)
-    old = spark.read.parquet(target).where(F.col(partition_col).isin([_date(d) for d in touched]))
+    old = _read_target(spark, target).where(F.col(partition_col).isin([_date(d) for d in touched]))
     _publish(spark, delete_range(old, ts, start, end), target, partition_col, touched, None)
 
 
@@ -346,7 +385,7 @@ def upsert_by_key(spark: SparkSession, target: str, batch: DataFrame, key: str =
             _first_load(spark, stage_path, target, partition_col, None)
             return n
         staged = spark.read.parquet(stage_path)
-        old = spark.read.parquet(target).where(F.col(partition_col).isin([_date(d) for d in touched]))
+        old = _read_target(spark, target).where(F.col(partition_col).isin([_date(d) for d in touched]))
         _publish(spark, upsert_frame(old, staged, key, partition_col), target, partition_col, touched, None)
         return n
     finally:
@@ -390,8 +429,11 @@ def write_rollup(spark: SparkSession, rollup: DataFrame, target: str, mode: str
         raise ValueError("mode must be 'full' or 'incremental'")
     obs = Observation("rollup")
     rollup = with_rollup_partition(rollup, part)
-    (clustered(rollup.observe(obs, F.count(F.lit(1)).alias("n")), part).write.mode("overwrite")
-     .partitionBy(part).parquet(target))
+    w = clustered(rollup.observe(obs, F.count(F.lit(1)).alias("n")), part).write.mode("overwrite").partitionBy(part)
+    if _is_path(target):
+        w.parquet(target)
+    else:
+        w.format("parquet").saveAsTable(target)
     return int(_observed(obs, lambda: {"n": 0})["n"])
 
 
