@@ -250,3 +250,12 @@ def test_catalog_table_targets(spark):
     assert got == {dt.date(2023, 1, 1): 3, dt.date(2023, 2, 1): 1}
     maintain.write_rollup(spark, daily_rollup(mock_log(spark, first)), rollup, "full")
     assert {r.daily_download_sum for r in spark.table(rollup).collect()} == {2}
+
+
+def test_replace_without_clustering_the_staged_rows(spark, scratch):
+    t = scratch("rr-nc")
+    maintain.replace_range(spark, mock_log(spark, ROWS), t, "timestamp", "2023-01-01", "2023-01-05",
+                           cluster_staged=False)
+    maintain.replace_range(spark, mock_log(spark, [log_row("2023-01-02 12:00:00", project="a")]), t,
+                           "timestamp", "2023-01-02", "2023-01-03", cluster_staged=False)
+    assert [p for _, p in _rows(spark, t)] == ["a", "a", "a", "b"]
