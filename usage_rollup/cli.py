@@ -37,6 +37,8 @@ def _parser() -> argparse.ArgumentParser:
     i.add_argument("--timestamp-column", default="timestamp")
     i.add_argument("--scope", default=None, help="restrict the range delete to this column's staged values")
     i.add_argument("--chunk-size", type=int, default=100_000)
+    i.add_argument("--no-cluster", action="store_true",
+                   help="skip rebalancing staged rows (backfills from a time-ordered source)")
 
     t = sub.add_parser("transform", help="daily rollup -> full or keyed incremental write (+ export)")
     t.add_argument("--root", help="raw log path (external source)")
@@ -64,7 +66,7 @@ def main(argv=None) -> int:
 
         params = JobParams(project=args.project, start=args.start, end=args.end, ts_col=args.timestamp_column)
         n = run_ingest(spark, args.source, args.target, params, fmt=args.format, scope=args.scope,
-                       max_records=args.chunk_size)
+                       max_records=args.chunk_size, cluster_staged=not args.no_cluster)
         print(json.dumps({"rows_loaded": n}))
     elif args.cmd == "transform":
         from usage_rollup.plans import run_transform

@@ -29,6 +29,7 @@ def run_ingest(
     columns=LOG_COLUMNS,
     scope: str | None = None,
     max_records: int = DEFAULT_CHUNK,
+    cluster_staged: bool = True,
 ) -> int:
     """Load ``params.project`` rows of ``[start, end)`` from ``source`` into ``target``.
 
@@ -39,7 +40,7 @@ def run_ingest(
     t0 = time.time()
     staged: DataFrame = scan_log(spark, source, params, columns, fmt)
     n = replace_range(spark, staged, target, params.ts_col, params.start, params.end,
-                      scope=scope, max_records=max_records)
+                      scope=scope, max_records=max_records, cluster_staged=cluster_staged)
     elapsed = time.time() - t0
     if n == 0:
         log.warning("no rows matched %s in [%s, %s)", params.project, params.start, params.end)
