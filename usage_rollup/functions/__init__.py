@@ -18,3 +18,4 @@ from usage_rollup.functions.labels import (  # noqa: F401
     period_label,
     with_labels,
 )
+from usage_rollup.functions.dates import partition_bounds, range_dates  # noqa: F401
