@@ -16,8 +16,19 @@ from usage_rollup.sources.scan import load_rollup
 REPORT_COLUMNS = ["download_date", "version", "python_version", "country_code", "daily_download_sum"]
 
 
+class ReportBundle(dict):
+    """The bundle's frames by name; ``release()`` drops the cached rollup slice."""
+
+    cached: DataFrame | None = None
+
+    def release(self) -> None:
+        if self.cached is not None:
+            self.cached.unpersist()
+            self.cached = None
+
+
 def run_reports(spark: SparkSession, rollup, days: int = 0, as_of=None, cache: bool = True,
-                project: str | None = None) -> dict[str, DataFrame]:
+                project: str | None = None) -> ReportBundle:
     """``rollup`` is a DataFrame, Parquet path or table name; ``days`` is whitelisted.
 
     ``project`` restricts every report to one project's rows (a filter pushed
@@ -30,10 +41,12 @@ def run_reports(spark: SparkSession, rollup, days: int = 0, as_of=None, cache: b
     df = df.select(*REPORT_COLUMNS, *keep)
     if cache:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    return reports.report_bundle(df, safe_period(days), as_of)
+    bundle = ReportBundle(reports.report_bundle(df, safe_period(days), as_of))
+    bundle.cached = df if cache else None
+    return bundle
 
 
-def collect_reports(frames: dict[str, DataFrame], workers: int = 8) -> dict[str, list[Row]]:
+def collect_reports(frames: dict[str, DataFrame], workers: int = 8, release: bool = True) -> dict[str, list[Row]]:
     """Evaluate the bundle's frames concurrently (one Spark job group per report).
 
     The reports are independent and each result is small (top-N, series over
@@ -42,4 +55,7 @@ def collect_reports(frames: dict[str, DataFrame], workers: int = 8) -> dict[str,
     """
     with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
         futures = {name: pool.submit(df.collect) for name, df in frames.items()}
-        return {name: f.result() for name, f in futures.items()}
+        out = {name: f.result() for name, f in futures.items()}
+    if release and isinstance(frames, ReportBundle):
+        frames.release()
+    return out
