@@ -157,3 +157,25 @@ def storage_exists(spark, path):
     from usage_rollup.sources import storage
 
     return storage.has_data(spark, path)
+
+
+@SETTINGS
+@given(rows=rows_st, days=st.sampled_from([0, 7, 30]),
+       as_of=st.dates(min_value=dt.date(2024, 1, 1), max_value=dt.date(2024, 3, 15)))
+def test_monthly_and_top_n_match_brute_force(spark, rows, days, as_of):
+    r = daily_rollup(_log(spark, rows))
+    months = Counter()
+    for row in rows:
+        months[row[0].strftime("%Y-%m")] += 1
+    ordered = sorted(months.items(), reverse=True)
+    assert [tuple(x) for x in R.monthly_recent(r).collect()] == ordered[:6]
+    assert [tuple(x) for x in R.last_two_months(r).collect()] == ordered[1:3]
+
+    lower = as_of - dt.timedelta(days=days)
+    by_version = Counter()
+    for row in rows:
+        if days == 0 or row[0].date() >= lower:
+            by_version[row[3]] += 1
+    want = sorted(by_version.items(), key=lambda kv: (-kv[1], kv[0] is None, kv[0] or ""))[:10]
+    got = [tuple(x) for x in R.top_versions(r, days, as_of.isoformat()).collect()]
+    assert got == want
