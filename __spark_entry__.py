@@ -198,6 +198,7 @@ SURVEY_IDS = {
     "sparkline": "O7", "series_slice": "F9", "report_labels": "labels", "daily_labels": "labels",
     "kpi_labels": "labels T5", "sql_over_rollup": "S8 S7", "report_bundle": "B1 U1 F8",
     "replace_range": "W6 W4 W3 W2 S4 Q5 U1", "replace_range_scoped": "W6 (scope)", "delete_range": "W4",
+    "delete_range_frame": "W4 (frame)", "quality_report_staged": "S4 A2 A11 Q4",
     "upsert_by_key": "W8 J1", "append_chunks": "W5", "export_partitioned": "W9 S5", "export_pruned": "S5 (pruning)",
     "ingest_transform_jobs": "S6 W7 (jobs)", "incremental_stream_rollup": "W8 (streaming)",
 }
@@ -250,6 +251,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "replace_range": lambda s, sf: _replace(s, sf),
         "replace_range_scoped": lambda s, sf: _replace(s, sf, scope="project"),
         "delete_range": _delete,
+        "delete_range_frame": lambda s, sf: flat_log(maintain.delete_range(
+            _log(s, sf), "timestamp", "2024-01-10 06:00:00", "2024-01-14")),
+        "quality_report_staged": lambda s, sf: quality.quality_report(scan_log(s, _log(s, sf), SCAN)),
         "upsert_by_key": lambda s, sf: _text_dates(_upsert(s, sf)),
         "append_chunks": lambda s, sf: _text_dates(_append(s, sf)),
         "export_partitioned": lambda s, sf: _text_dates(_export(s, sf)),
@@ -502,6 +506,13 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT {_FLAT} FROM log WHERE NOT (\"timestamp\" >= TIMESTAMP '2024-01-10 06:00:00' "
             "AND \"timestamp\" < TIMESTAMP '2024-01-14')"),
         "upsert_by_key": _upsert_sql(),
+        "delete_range_frame": _with(
+            f"SELECT {_FLAT} FROM log WHERE NOT (\"timestamp\" >= TIMESTAMP '2024-01-10 06:00:00' "
+            "AND \"timestamp\" < TIMESTAMP '2024-01-14')"),
+        "quality_report_staged": _with(_quality_sql("project").replace(
+            "FROM log) s",
+            "FROM log WHERE project = 'alpha' AND \"timestamp\" >= TIMESTAMP '2024-01-10' "
+            "AND \"timestamp\" < TIMESTAMP '2024-01-20 12:00:00') s")),
         "append_chunks": _with(f"SELECT {rollup_cols} FROM rollup"),
         "export_partitioned": _with(
             f"SELECT {rollup_cols}, year(download_date) AS year, month(download_date) AS month FROM rollup"),
