@@ -197,6 +197,7 @@ SURVEY_IDS = {
     "adoption_share": "T4", "adoption_share_long": "T4 (long form)", "kpi_cards": "T1 T2 T5",
     "sparkline": "O7", "series_slice": "F9", "report_labels": "labels", "daily_labels": "labels",
     "kpi_labels": "labels T5", "sql_over_rollup": "S8 S7", "report_bundle": "B1 U1 F8",
+    "report_bundle_bad_period": "B1 F8 (whitelist)", "series_slice_missing_bound": "F9 (missing label)",
     "replace_range": "W6 W4 W3 W2 S4 Q5 U1", "replace_range_scoped": "W6 (scope)", "delete_range": "W4",
     "delete_range_frame": "W4 (frame)", "quality_report_staged": "S4 A2 A11 Q4",
     "upsert_by_key": "W8 J1", "append_chunks": "W5", "export_partitioned": "W9 S5", "export_pruned": "S5 (pruning)",
@@ -247,6 +248,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "kpi_labels": _kpi_labels,
         "sql_over_rollup": lambda s, sf: sql_over_rollup(s, _rollup(s, sf), USER_SQL),
         "report_bundle": lambda s, sf: R.bundle_long(R.report_bundle(_rollup(s, sf), 30, AS_OF)),
+        # 5 is not an allowed period, so the bundle falls back to all time
+        "report_bundle_bad_period": lambda s, sf: R.bundle_long(R.report_bundle(_rollup(s, sf), 5, AS_OF)),
+        "series_slice_missing_bound": lambda s, sf: R.series_slice(
+            R.weekly_series(_rollup(s, sf), AS_OF), "week_start_date", SLICE[0], "2099-01-05"),
         # maintenance
         "replace_range": lambda s, sf: _replace(s, sf),
         "replace_range_scoped": lambda s, sf: _replace(s, sf, scope="project"),
@@ -410,7 +415,7 @@ def _pct_label(c: str) -> str:
     return (f"CASE WHEN {c} > 0 THEN '+' ELSE '' END || printf('%.1f', round(CAST({c} AS DECIMAL(38, 6)), 1)) || '%'")
 
 
-def _bundle_sql() -> str:
+def _bundle_sql(days: int = 30) -> str:
     parts = [
         ("weekly_series", "week_start_date", "weekly_downloads", f"({_weekly_sql(AS_OF)})"),
         ("last_two_weeks", "week_start_date", "weekly_downloads",
@@ -421,11 +426,11 @@ def _bundle_sql() -> str:
          "(SELECT CAST(COALESCE(SUM(daily_download_sum), 0) AS BIGINT) AS total_downloads FROM rollup)"),
         ("refresh_date", "max_date", "CAST(NULL AS BIGINT)",
          "(SELECT COALESCE(CAST(MAX(download_date) AS VARCHAR), '') AS max_date FROM rollup)"),
-        ("top_versions", "version", "total_downloads", f"({_top_sql('version', 30)})"),
-        ("top_runtimes", "python_version", "total_downloads", f"({_top_sql('python_version', 30)})"),
-        ("top_countries", "country_code", "total_downloads", f"({_top_sql('country_code', 30)})"),
+        ("top_versions", "version", "total_downloads", f"({_top_sql('version', days)})"),
+        ("top_runtimes", "python_version", "total_downloads", f"({_top_sql('python_version', days)})"),
+        ("top_countries", "country_code", "total_downloads", f"({_top_sql('country_code', days)})"),
         ("version_adoption", "concat_ws('|', download_date, version)", "downloads", f"({_ADOPTION})"),
-        ("daily_series", "download_date", "daily_downloads", f"({_daily_sql(30)})"),
+        ("daily_series", "download_date", "daily_downloads", f"({_daily_sql(days)})"),
     ]
     sel = [
         f"SELECT '{name}' AS report, CAST({label} AS VARCHAR) AS label, CAST({n} AS BIGINT) AS n FROM {src} t{i}"
@@ -494,7 +499,9 @@ def oracle_sql() -> dict[str, str]:
             f"{_kpi_label('total_downloads')} AS total_label, "
             f"strftime(CAST(refresh_date AS DATE), '%b %-d, %Y') AS refresh_label FROM kpi"),
         "sql_over_rollup": _with(f"SELECT * FROM (WITH pypi_daily_stats AS (SELECT * FROM rollup) {USER_SQL}) q"),
-        "report_bundle": _bundle_sql(),
+        "report_bundle": _bundle_sql(30),
+        "report_bundle_bad_period": _bundle_sql(0),
+        "series_slice_missing_bound": _with(_weekly_sql(AS_OF)),
         "replace_range": ev_only(
             f"SELECT {_FLAT} FROM log WHERE \"timestamp\" < TIMESTAMP '2024-01-20' AND NOT ({in_range})\n"
             f"UNION ALL SELECT {_FLAT} FROM log WHERE project = 'alpha' AND {in_range}"),
