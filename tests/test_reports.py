@@ -149,3 +149,11 @@ def test_share_long_matches_wide(spark):
     ad = R.version_adoption(rollup(spark, rows))
     long = {(r.download_date, r.version): r.share_pct for r in R.adoption_share_long(ad).collect()}
     assert long == {("2024-01-01", "1.2.0"): 25.0, ("2024-01-01", "1.3.0"): 75.0, ("2024-01-02", "1.3.0"): 100.0}
+
+
+def test_label_rounding_is_decimal_half_up(spark):
+    # D9: 1150 -> 1.15K rounds half-up on the decimal value ("1.2K"); binary-float
+    # formatting would give "1.1K" here
+    df = spark.createDataFrame([(1150,), (1_005_000,)], "n bigint")
+    got = [tuple(r) for r in df.select(compact_count("n"), compact_kpi("n")).collect()]
+    assert got == [("1.2K", "1.2K"), ("1.0M", "1.01M")]
