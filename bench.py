@@ -87,6 +87,7 @@ def main() -> None:
         "last_two_months": lambda: R.last_two_months(rollup),
         "top_versions_30": lambda: R.top_versions(rollup, 30, AS_OF),
         "top_countries": lambda: R.top_countries(rollup, 0, AS_OF),
+        "top_breakdowns_30": lambda: R.top_breakdowns(rollup, 30, AS_OF),
         "version_adoption": lambda: R.version_adoption(rollup),
         "adoption_share": lambda: R.adoption_share(
             R.adoption_pivot(R.version_adoption(rollup), ["1.2.0", "1.3.0", "1.4.0"])),
