@@ -193,6 +193,38 @@ class Pieces:
         return self.sp.decode([int(i) for i in ids])
 
 
+class UnitTable:
+    """Results of the units seen by a task, by unit hash; emptied when it holds ``limit`` units."""
+
+    def __init__(self, pieces: Pieces, limit: int = 1_000_000):
+        self.pieces, self.limit = pieces, limit
+        self._empty()
+
+    def _empty(self):
+        self.keys, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.best, self.gap = np.zeros(0), np.zeros(0)
+        self.size, self.at, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
+
+    def find(self, keys, buf, starts, ends) -> np.ndarray:
+        """Slots of the units (distinct sorted hashes and spans), new ones segmented first."""
+        if len(self.keys) > self.limit:
+            self._empty()
+        place = np.searchsorted(self.keys, keys)
+        known = np.zeros(len(keys), bool)
+        inside = place < len(self.keys)
+        known[inside] = self.keys[place[inside]] == keys[inside]
+        new = np.flatnonzero(~known)
+        if len(new):
+            best, gap, ids, first = self.pieces.viterbi(buf, starts[new], ends[new])
+            slots = len(self.best) + np.arange(len(new))
+            self.at = np.concatenate([self.at, first[:-1] + len(self.ids)])
+            self.size, self.ids = np.concatenate([self.size, np.diff(first)]), np.concatenate([self.ids, ids.astype("<u4")])
+            self.best, self.gap = np.concatenate([self.best, best]), np.concatenate([self.gap, gap])
+            self.keys, self.slot = np.insert(self.keys, place[new], keys[new]), np.insert(self.slot, place[new], slots)
+            place = np.searchsorted(self.keys, keys)
+        return self.slot[place]
+
+
 def unit_spans(buf: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """First byte of every unit: texts' starts and spaces after another character."""
     first = np.zeros(len(buf), bool)
@@ -223,12 +255,12 @@ def segment(docs: DataFrame, n: int = N_BEST, id_col: str = "doc_id", text_col:
 
     def run(batches):
         pieces = Pieces(path)
-        cache: dict[bytes, list] = {}
+        table, cache = UnitTable(pieces), {}
         for batch in batches:
             data, off = _texts(batch, "text")
             rows = []
             for lo, hi in ta.chunks(off, CHUNK):
-                rows += _segment_chunk(pieces, cache, data, off, lo, hi, n, keep_variants)
+                rows += _segment_chunk(table, cache, data, off, lo, hi, n, keep_variants)
                 if len(cache) > 200_000:
                     cache.clear()
             yield pa.RecordBatch.from_arrays(
@@ -240,7 +272,7 @@ def segment(docs: DataFrame, n: int = N_BEST, id_col: str = "doc_id", text_col:
     return narrow.mapInArrow(run, SCHEMA)
 
 
-def _segment_chunk(pieces, cache, data, off, lo, hi, n, keep_variants):
+def _segment_chunk(table, cache, data, off, lo, hi, n, keep_variants):
     buf, bounds = data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo]
     if not len(buf):
         return [(0, [0.0], b"", [])] * (hi - lo)
@@ -249,30 +281,28 @@ def _segment_chunk(pieces, cache, data, off, lo, hi, n, keep_variants):
     up, down = ta._pow(len(buf) + 1)
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(ta.WORDS[1][buf] * up[:len(buf)])])
     h = ta.mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
-    _, where, which = np.unique(h, return_index=True, return_inverse=True)
-    us, ue = starts[where], ends[where]
-    best, gap, ids, id_first = pieces.viterbi(buf, us, ue)
-    ids = ids.astype("<u4")
-    size = np.diff(id_first)
+    keys, where, which = np.unique(h, return_index=True, return_inverse=True)
+    which = table.find(keys, buf, starts[where], ends[where])[which]
     first = np.searchsorted(starts, bounds)
     rows = []
     for i in range(hi - lo):
-        units = which[first[i]:first[i + 1]]
+        span = slice(first[i], first[i + 1])
+        units = which[span]
         if not len(units):
             rows.append((0, [0.0], b"", []))
             continue
-        score = float(best[units].sum())
-        reps = size[units]
-        at = np.repeat(id_first[units] - np.concatenate([[0], np.cumsum(reps)[:-1]]), reps) + np.arange(reps.sum())
-        whole = ids[at]
-        gaps = gap[units]
+        score = float(table.best[units].sum())
+        reps = table.size[units]
+        at = np.repeat(table.at[units] - np.concatenate([[0], np.cumsum(reps)[:-1]]), reps) + np.arange(reps.sum())
+        whole = table.ids[at]
+        gaps = table.gap[units]
         k = min(n - 1, len(units))
         near = np.argpartition(gaps, k - 1)[:k] if 0 < k < len(units) else np.arange(len(units)) if k else np.zeros(0, np.int64)
         if 0 < k < len(units):  # ties at the border: first units first
             limit = gaps[near].max()
             below = np.flatnonzero(gaps < limit)
             near = np.sort(np.concatenate([below, np.flatnonzero(gaps == limit)[:k - len(below)]]))
-        found = _combine(pieces, cache, buf, us, ue, units, near[np.isfinite(gaps[near])], n)
+        found = _combine(table.pieces, cache, buf, starts[span], ends[span], near[np.isfinite(gaps[near])], n)
         scores, variants = [score], []
         cuts = np.concatenate([[0], np.cumsum(reps)])
         for loss, changes in found:
@@ -287,11 +317,11 @@ def _segment_chunk(pieces, cache, data, off, lo, hi, n, keep_variants):
     return rows
 
 
-def _combine(pieces, cache, buf, us, ue, units, near, n):
+def _combine(pieces, cache, buf, starts, ends, near, n):
     """(loss, [(unit place, ids)]) of the n - 1 next best combinations of the units' own alternatives."""
     options = []
     for j in near.tolist():
-        raw = buf[us[units[j]]:ue[units[j]]].tobytes()
+        raw = buf[starts[j]:ends[j]].tobytes()
         key = raw if len(raw) < 64 else None
         alts = cache.get(key) if key else None
         if alts is None:
