@@ -205,7 +205,24 @@ SURVEY_IDS = {
 }
 
 
+def _llm():
+    """The training-data queries' module, or None where the subpackage is absent."""
+    try:
+        from usage_rollup.llm import registry
+    except ImportError:
+        return None
+    return registry
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return _rollup_queries() | (_llm().queries() if _llm() else {})
+
+
+def oracle_sql() -> dict[str, str]:
+    return _rollup_oracle() | (_llm().oracle_sql() if _llm() else {})
+
+
+def _rollup_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     R = reports
     return {
         # transform
@@ -439,7 +456,7 @@ def _bundle_sql(days: int = 30) -> str:
     return _with("\nUNION ALL\n".join(sel))
 
 
-def oracle_sql() -> dict[str, str]:
+def _rollup_oracle() -> dict[str, str]:
     ev_only = lambda body: _with(body, orders=False)
     rollup_cols = _ROLLUP_TEXT
     in_range = "\"timestamp\" >= TIMESTAMP '2024-01-15' AND \"timestamp\" < TIMESTAMP '2024-01-25'"
