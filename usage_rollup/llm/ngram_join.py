@@ -16,9 +16,13 @@ prefix that stays connected after any ``e`` losses must meet the partner's:
   set near a band's lower bound is indexed in the band below as well.
 
 Candidates share a signature; equal sets are collapsed first. A signature group
-does not emit its pairs: members are checked against a few pivots, linked ones
-merge into components, and then only pairs *across* components remain, which
-are all verified. Verification is exact on the full sets.
+does not emit its pairs. Its first member is its pivot, and the sets that share a
+signature with a pivot form the pivot's family. Members that link with the pivot
+are one component; the others meet all members in blocks of bounded size, where
+products of 0/1 matrices give the overlaps of all pairs at once and one edge a
+linked member leaves the block. Members without a likely partner by their
+signature lists are left out before full sets are sent. Verification is exact on
+the full sets.
 
 Shingles and sets are represented by 64-bit hashes (sets by the sum of mixed
 shingle hashes).
@@ -40,6 +44,8 @@ MIN_FREQUENT = 64
 MAX_FREQUENT = 1 << 18
 #: Bits of the broadcast filter for sets to verify; a fuller filter passes more sets.
 FILTER_BITS = 1 << 23
+#: Sets per side of a block of comparisons.
+BUCKET = 256
 _FLUSH = 4_000_000
 _KEY = np.uint64(0xD6E8FEB86659FD93)
 
@@ -226,15 +232,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            xs, ys = b.column("x"), b.column("y")
             keep = []
-            for x, y in zip(xs, ys):
+            for x, y in zip(b.column("x"), b.column("y")):
                 x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                if 100 * min(len(x), len(y)) >= percent * max(len(x), len(y)):
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    keep.append(100 * both >= percent * (len(x) + len(y) - both))
-                else:
-                    keep.append(False)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     full = (pairs.join(sets.select(F.col("key").alias("a"), F.col("tokens").alias("x")), "a")
@@ -243,7 +245,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _likely(pairs: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
-    """Pairs that pass the size filter and share as many signatures as a link needs."""
+    """Pairs (a, b) that pass the size filter and share as many signatures as a link needs."""
     x = lists.select(F.col("key").alias("a"), F.col("sigs").alias("sa"), F.col("n").alias("na"), F.col("need").alias("ka"))
     y = lists.select(F.col("key").alias("b"), F.col("sigs").alias("sb"), F.col("n").alias("nb"), F.col("need").alias("kb"))
     need = (F.when((F.col("ka") > 0) & (F.col("kb") > 0), F.least("ka", "kb"))
@@ -253,8 +255,153 @@ def _likely(pairs: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
             .where(F.size(F.array_intersect("sa", "sb")) >= need).select("a", "b"))
 
 
+# --- families, compared in blocks ------------------------------------------------------
+
+
+def _blocks(family: DataFrame) -> DataFrame:
+    """(p, key, block, side) of the blocks in which members of family ``p`` meet.
+
+    Open members fall into buckets of about BUCKET, and so do the ones known to
+    link with p (``linked``); every pair of buckets that has open members is a
+    block. Linked members never meet each other: they are in one component.
+    """
+    sizes = family.groupBy("p").agg(F.count(F.when(~F.col("linked"), 1)).alias("u"), F.count(F.when(F.col("linked"), 1)).alias("l"))
+    count = lambda c: F.ceil(F.col(c) / BUCKET).cast("int")
+    rows = family.join(sizes.select("p", count("u").alias("nu"), count("l").alias("nl")).where("nu > 0 and nu + nl > 0"), "p")
+    own = F.when(F.col("linked"), F.col("nu") + F.pmod(F.xxhash64("key"), F.greatest("nl", F.lit(1)))).otherwise(
+        F.pmod(F.xxhash64("key"), F.greatest("nu", F.lit(1)))).cast("int")
+    upto = F.when(F.col("linked"), F.col("nu")).otherwise(F.col("nu") + F.col("nl"))
+    met = rows.withColumn("own", own).withColumn("t", F.explode(F.sequence(F.lit(0), upto - 1)))
+    return met.select("p", "key", F.xxhash64("p", F.least("own", "t"), F.greatest("own", "t")).alias("block"),
+                      F.when(F.col("own") == F.col("t"), 2).otherwise((F.col("own") > F.col("t")).cast("int")).alias("side"))
+
+
+def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Intersection sizes of all left with all right sets, by products of 0/1 matrices over token slices."""
+    out = np.zeros((len(left), len(right)), np.float32)
+    if len(left) * len(right) <= 4:
+        for i, x in enumerate(left):
+            for j, y in enumerate(right):
+                out[i, j] = len(np.intersect1d(x, y, assume_unique=True))
+        return out
+    sets = [*left, *right]
+    tokens, at = np.unique(np.concatenate(sets), return_inverse=True)
+    shared = np.bincount(at, minlength=len(tokens)) > 1
+    col = np.cumsum(shared) - 1
+    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    keep = shared[at]
+    row, col = row[keep], col[at[keep]]
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+    width = 1 << 13
+    for lo in range(0, int(shared.sum()), width):
+        i, j = np.searchsorted(col, [lo, lo + width])
+        m = np.zeros((len(sets), width), np.float32)
+        m[row[i:j], col[i:j] - lo] = 1
+        out += m[:len(left)] @ m[len(left):].T
+    return out
+
+
+def _by_block(batches):
+    """Yields the rows of one block at a time from batches sorted by block."""
+    held: list = []
+    for b in batches:
+        for row in zip(*(b.column(c) for c in ("block", "side", "p", "key", "n", "need", "data"))):
+            block = row[0].as_py()
+            if held and held[0] != block:
+                yield held[1]
+                held = []
+            if not held:
+                held = [block, []]
+            held[1].append((row[1].as_py(), row[2].as_py(), row[3].as_py(), row[4].as_py(), row[5].as_py(),
+                            np.frombuffer(row[6].as_buffer(), np.uint64)))
+    if held:
+        yield held[1]
+
+
+def _compare(rows, percent, exact):
+    """(left rows, right rows, matrix of the pairs that pass) of one block."""
+    left = [r for r in rows if r[0] != 1]
+    right = [r for r in rows if r[0] != 0]
+    if not left or not right:
+        return left, right, np.zeros((len(left), len(right)), bool)
+    both = _overlaps([r[5] for r in left], [r[5] for r in right])
+    n, m = np.array([r[3] for r in left])[:, None], np.array([r[3] for r in right])[None, :]
+    if exact:
+        good = 100 * both >= percent * (n + m - both)
+    else:
+        k, q = np.array([r[4] for r in left])[:, None], np.array([r[4] for r in right])[None, :]
+        need = np.where((k > 0) & (q > 0), np.minimum(k, q), np.maximum(np.maximum(k, q), 1))
+        good = (both >= need) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
+    same = np.array([r[2] for r in left])[:, None] == np.array([r[2] for r in right])[None, :]
+    return left, right, good & ~same
+
+
+def _met(blocks: DataFrame, data: DataFrame, run, schema: str) -> DataFrame:
+    rows = blocks.join(data, "key").select("block", "side", "p", "key", "n", "need", "data")
+    return rows.repartition("block").sortWithinPartitions("block").mapInArrow(run, schema)
+
+
+def _promising(blocks: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
+    """(p, key) of the members that have a likely partner in a block, by their signature lists."""
+
+    def pack(batches):
+        for b in batches:
+            data = [np.asarray(v.values, np.int64).tobytes() for v in b.column("sigs")]
+            yield pa.RecordBatch.from_arrays([b.column("key"), b.column("n"), b.column("need"), pa.array(data, pa.binary())],
+                                             names=["key", "n", "need", "data"])
+
+    def run(batches):
+        ps, keys = [], []
+        for rows in _by_block(batches):
+            left, right, good = _compare(rows, percent, exact=False)
+            hit = {r[2] for r, g in zip(left, good.any(axis=1)) if g} | {r[2] for r, g in zip(right, good.any(axis=0)) if g}
+            ps += [rows[0][1]] * len(hit)
+            keys += hit
+            if len(keys) > 100_000:
+                yield pa.RecordBatch.from_arrays([pa.array(ps, pa.int64()), pa.array(keys, pa.int64())], names=["p", "key"])
+                ps, keys = [], []
+        if keys:
+            yield pa.RecordBatch.from_arrays([pa.array(ps, pa.int64()), pa.array(keys, pa.int64())], names=["p", "key"])
+
+    packed = lists.mapInArrow(pack, "key long, n int, need int, data binary")
+    return _met(blocks, packed, run, "p long, key long").distinct()
+
+
+def _linked(blocks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Edges (a, b) that connect what links in a block: each member with the smallest key it reaches there."""
+
+    def run(batches):
+        a, b = [], []
+        for rows in _by_block(batches):
+            left, right, good = _compare(rows, percent, exact=True)
+            root: dict[int, int] = {}
+
+            def find(x):
+                while root.get(x, x) != x:
+                    root[x] = root.get(root[x], root[x])
+                    x = root[x]
+                return x
+
+            for i, j in zip(*np.nonzero(good)):
+                x, y = find(left[i][2]), find(right[j][2])
+                root[max(x, y)] = min(x, y)
+            for x in {r[2] for r in rows}:
+                if find(x) != x:
+                    a.append(x)
+                    b.append(find(x))
+            if len(a) > 100_000:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                a, b = [], []
+        if a:
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    data = sets.select("key", F.col("tokens").alias("data"), (F.octet_length("tokens") / 8).cast("int").alias("n"), F.lit(0).alias("need"))
+    return _met(blocks, data, run, "a long, b long")
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
-                       percent: int = 80, max_pivot_rounds: int = 6) -> DataFrame:
+                       percent: int = 80) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id.
 
     component_id is the smallest doc_id reachable by links, itself included;
@@ -280,46 +427,20 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     shared = stored(sigs.join(groups, "sig").distinct(), "jaccard-signatures")
     lists = stored(shared.groupBy("key").agg(F.sort_array(F.collect_list("sig")).alias("sigs"), F.max("n").alias("n"),
                                              F.max("need").alias("need")), "jaccard-lists")
-    links, done, comp, sets = None, None, None, None
-    for turn in range(max_pivot_rounds + 1):
-        member = shared.select("sig", "key")
-        if comp is None:
-            member = member.withColumn("comp", F.col("key"))
-        else:
-            member = (member.join(comp.withColumnRenamed("node", "key"), "key", "left")
-                      .select("sig", "key", F.coalesce("component", "key").alias("comp")))
-            by_comp = member.groupBy("sig", "comp").agg(F.count("*").alias("m"))
-            totals = by_comp.groupBy("sig").agg(F.sum("m").alias("all"), F.max(F.struct("m", "comp")).alias("top"),
-                                                F.sum(F.col("m") * F.col("m")).alias("sq"))
-            open_ = stored(totals.where("all > top.m").select("sig", "all", "sq", F.col("top.comp").alias("top")), "jaccard-open")
-            left = open_.agg(F.count("*"), F.sum((F.col("all") * F.col("all") - F.col("sq")) / 2), F.sum("all")).first()
-            if not left[0]:
-                break
-            member = member.join(open_, "sig")
-        if comp is not None and (left[1] <= 8 * left[2] or turn == max_pivot_rounds):
-            minor = member.where("comp <> top").select("sig", F.col("key").alias("a"), F.col("comp").alias("ca"))
-            other = member.select("sig", F.col("key").alias("b"), F.col("comp").alias("cb"), "top")
-            pairs = minor.join(other, "sig").where("ca <> cb and (cb = top or a < b)")
-            last = True
-        else:
-            pivots = member.groupBy("sig").agg(F.expr(f"min_by(key, xxhash64(key, {turn}))").alias("b"),
-                                               F.expr(f"min_by(comp, xxhash64(key, {turn}))").alias("cb"))
-            pairs = member.select("sig", F.col("key").alias("a"), F.col("comp").alias("ca")).join(pivots, "sig").where("ca <> cb")
-            last = False
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        tried = stored(pairs, "jaccard-pairs")
-        likely = stored(_likely(tried, lists, percent), "jaccard-likely")
-        wanted = spark.sparkContext.broadcast(_bit_filter(likely.selectExpr("explode(array(a, b)) as key")))
-        run, schema = _full_sets("text", size, wanted)
-        sets = narrow.select("text").mapInArrow(run, schema).dropDuplicates(["key"])
-        found = stored(_verified(likely, sets, percent), "jaccard-links")
-        links = found if links is None else stored(links.union(found), "jaccard-links")
-        done = tried if done is None else done.union(tried)
-        comp = connected_components(links)
-        if last:
-            break
+    # a family: all sets that share a signature with its pivot, which leads the signature's group
+    pivots = shared.groupBy("sig").agg(F.expr("min_by(key, xxhash64(key))").alias("p"))
+    family = stored(shared.select("sig", "key").join(pivots, "sig").select("p", "key").distinct(), "jaccard-families")
+    to_pivot = stored(_likely(family.where("p <> key").select(F.col("key").alias("a"), F.col("p").alias("b")), lists, percent), "jaccard-likely")
+    found = _promising(_blocks(family.withColumn("linked", F.lit(False))), lists, percent)
+    family = stored(found, "jaccard-families")
+    wanted = spark.sparkContext.broadcast(_bit_filter(family.select("key").union(to_pivot.selectExpr("explode(array(a, b))"))))
+    run, schema = _full_sets("text", size, wanted)
+    sets = stored(narrow.select("text").mapInArrow(run, schema).dropDuplicates(["key"]), "jaccard-sets")
+    first = stored(_verified(to_pivot, sets, percent), "jaccard-pivots")
+    hits = first.select(F.col("b").alias("p"), F.col("a").alias("key"), F.lit(True).alias("hit"))
+    family = family.join(hits, ["p", "key"], "left").select(
+        "p", "key", (F.coalesce("hit", F.lit(False)) | (F.col("key") == F.col("p"))).alias("linked"))
+    comp = connected_components(stored(first.union(_linked(_blocks(family), sets, percent)), "jaccard-links"))
 
     named = entities.join(comp.withColumnRenamed("node", "key"), "key", "left").select(
         "doc_id", "key", "n", F.coalesce("component", "key").alias("component"))
