@@ -24,9 +24,10 @@ from pyspark.sql import functions as F
 from . import textarrays as ta
 from .common import documents
 
-MAX_LABELLED = 20_000
-MAX_TERMS = 4096
-CHI2 = 15.0
+MAX_LABELLED = 10_000
+MAX_TERMS = 128
+#: A term needs this chi-square, and this share of the labelled rows as chi-square (a strength that does not grow with them).
+CHI2, PHI2 = 15.0, 0.003
 BLOCK = 128
 #: Besides a word, its first so many bytes are terms (they join inflected forms).
 PREFIXES = (3, 6)
@@ -83,21 +84,37 @@ class ToxicityModel:
         if not len(q) or not self.top.shape[1]:
             return none
         bound = q @ self.top[terms]
-        best_d, best_s = none
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or len(best_s) >= self.k and bound[b] < best_s[-1] * (1 - 1e-12):
-                break
+        order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > 0]
+        best = none
+        for b in order[:4]:  # the most promising blocks set the bar
+            if len(best[1]) >= self.k and bound[b] < best[1][-1] * (1 - 1e-12):
+                return best
             score = np.zeros(BLOCK)
             for t, w in zip(terms, q):
                 lo, hi = self.cut[t, b], self.cut[t, b + 1]
                 score[self.doc[lo:hi] - b * BLOCK] += w * self.weight[lo:hi]
-            hit = np.flatnonzero(score > 0)
-            d = hit + b * BLOCK
-            keep = d != skip
-            best_d, best_s = np.concatenate([best_d, d[keep]]), np.concatenate([best_s, score[hit][keep]])
-            order = np.lexsort((best_d, -best_s))[:self.k]
-            best_d, best_s = best_d[order], best_s[order]
-        return best_d, best_s
+            best = self._best(best, score, b * BLOCK, skip)
+        bar = best[1][-1] * (1 - 1e-12) if len(best[1]) >= self.k else 0.0
+        rest = order[4:][bound[order[4:]] >= bar]
+        if len(rest):  # all blocks that can still improve on it, at once
+            score = np.zeros(self.top.shape[1] * BLOCK)
+            for t, w in zip(terms, q):
+                lo, hi = self.first[t], self.first[t + 1]
+                score[self.doc[lo:hi]] += w * self.weight[lo:hi]
+            able = np.zeros(self.top.shape[1], bool)
+            able[rest] = True
+            score.reshape(-1, BLOCK)[~able] = 0
+            score[score < bar] = 0
+            best = self._best(best, score, 0, skip)
+        return best
+
+    def _best(self, best, score, base, skip):
+        hit = np.flatnonzero(score > 0)
+        d = hit + base
+        d, s = np.concatenate([best[0], d[d != skip]]), np.concatenate([best[1], score[hit][d != skip]])
+        order = np.lexsort((d, -s))[:self.k]
+        return d[order], s[order]
 
     def vote(self, numbers: np.ndarray, cosines: np.ndarray) -> float:
         """Similarity-weighted share of toxic neighbours, as log-odds smoothed towards the base rate."""
@@ -148,7 +165,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, ma
     chi2 = (a - expected) ** 2 * n / F.greatest(expected * (n - t) / max(n, 1) * (1 - m / max(n, 1)), F.lit(1e-9))
     rows = (sample.mapInArrow(hashes, "term long, toxic long").groupBy("term")
             .agg(F.sum("toxic").alias("a"), F.count("*").alias("m")).where("m >= 5").withColumn("chi2", chi2 / n if n else F.lit(0.0))
-            .where(F.col("chi2") >= CHI2).orderBy(F.desc("chi2"), "term").limit(max_terms).collect())
+            .where(F.col("chi2") >= max(CHI2, PHI2 * n)).orderBy(F.desc("chi2"), "term").limit(max_terms).collect())
     model = ToxicityModel(np.sort(np.array([r.term for r in rows], np.int64).view(np.uint64)), k)
     shared = spark.sparkContext.broadcast(model.vocabulary)
 
@@ -192,10 +209,14 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text"
     def scored(texts):  # type: ignore[no-untyped-def]
         import pandas as pd
 
-        model, out, near = shared.value, [], []
+        model, out, near, known = shared.value, [], [], {}
         batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.large_string(), from_pandas=True)], names=["text"])
         for _, h in ta.text_rows(batch, "text", ta.BARE_WORDS, prefixes=PREFIXES):
-            d, s = model.neighbours(*_terms(h, model.vocabulary))
+            terms, counts = _terms(h, model.vocabulary)
+            key = terms.tobytes() + counts.tobytes()
+            if key not in known:
+                known[key] = model.neighbours(terms, counts)
+            d, s = known[key]
             out.append(model.score(d, s))
             near.append([{"example": int(x), "label": int(model.labels[x]), "cosine": float(c)} for x, c in zip(d, s)])
         return pd.DataFrame({"score": pd.Series(out, dtype=float), "neighbours": pd.Series(near, dtype=object)})
