@@ -30,19 +30,27 @@ MIN_OPEN = 12
 def template_keys(line: Column, depth: int = DEPTH, min_tokens: int = MIN_TOKENS, min_open: int = MIN_OPEN) -> Column:
     """Array of template hashes of a line; empty for lines of fewer than ``min_tokens`` tokens."""
     masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*", "<*>")).otherwise(line)
-    tokens = F.split(F.regexp_replace(masked, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", ""), r"[\x20\x09-\x0D]+")
-    return F.transform(F.array(tokens), lambda t: _keys(t, depth, min_tokens, min_open))[0]
+    tokens = F.split(F.btrim(masked, F.lit(" \t\n\x0b\x0c\r")), r"[\x20\x09-\x0D]+")
+    return _let(tokens, lambda t: F.when(F.size(t) < min_tokens, F.array().cast("array<bigint>")).otherwise(_keys(t, depth, min_open)))
 
 
-def _keys(t: Column, depth: int, min_tokens: int, min_open: int) -> Column:
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _keys(t: Column, depth: int, min_open: int) -> Column:
     n = F.size(t)
-    leaf = F.xxhash64(n, F.slice(t, 1, depth))
     step = F.greatest(F.ceil((n - depth) / SEGMENTS).cast("int"), F.lit(1))
-    runs = [F.xxhash64(F.slice(t, depth + 1 + i * step, step)) for i in range(SEGMENTS)]
-    full = F.xxhash64(leaf, F.lit(-1), *runs)
-    opened = [F.xxhash64(leaf, F.lit(i), *(r for j, r in enumerate(runs) if j != i)) for i in range(SEGMENTS)]
-    return (F.when(n < min_tokens, F.array().cast("array<bigint>"))
-            .when(n < min_open, F.array(full)).otherwise(F.array(full, *opened)))
+    # the leaf's hash, then one for each run of the remaining tokens
+    hashes = F.array(F.xxhash64(n, F.slice(t, 1, depth)), *[F.xxhash64(F.slice(t, depth + 1 + i * step, step)) for i in range(SEGMENTS)])
+
+    def keys(h):
+        full = F.xxhash64(F.lit(-1), *[h[i] for i in range(SEGMENTS + 1)])
+        opened = [F.xxhash64(F.lit(i), h[0], *[h[j + 1] for j in range(SEGMENTS) if j != i]) for i in range(SEGMENTS)]
+        return F.when(n < min_open, F.array(full)).otherwise(F.array(full, *opened))
+
+    return _let(hashes, keys)
 
 
 def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH,
