@@ -39,7 +39,6 @@ from usage_rollup.sources.scan import read_partitioned, scan_log, sql_over_rollu
 # Fixed parameters of the driver queries.
 AS_OF = "2024-01-31"
 STALE_AS_OF = "2024-06-01"
-PIVOT_VERSIONS = ["1.2.0", "1.3.0", "1.4.0"]
 SLICE = ("1996-03-04", "1995-06-05")
 SCAN = JobParams(project="alpha", start="2024-01-10", end="2024-01-20 12:00:00")
 USER_SQL = (
@@ -252,9 +251,9 @@ def _rollup_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "top_breakdowns_30": lambda s, sf: R.top_breakdowns(_rollup(s, sf), 30, AS_OF),
         "version_adoption": lambda s, sf: R.version_adoption(_rollup(s, sf)),
         "adoption_versions": lambda s, sf: R.adoption_versions(R.version_adoption(_rollup(s, sf))),
-        "adoption_pivot": lambda s, sf: R.adoption_pivot(R.version_adoption(_rollup(s, sf)), PIVOT_VERSIONS),
+        "adoption_pivot": lambda s, sf: R.adoption_pivot(R.version_adoption(_rollup(s, sf))),
         "adoption_share": lambda s, sf: R.adoption_share(
-            R.adoption_pivot(R.version_adoption(_rollup(s, sf)), PIVOT_VERSIONS)),
+            R.adoption_pivot(R.version_adoption(_rollup(s, sf)))),
         "adoption_share_long": lambda s, sf: R.adoption_share_long(R.version_adoption(_rollup(s, sf))),
         # KPI shaping
         "kpi_cards": lambda s, sf: R.kpi_cards(_rollup(s, sf), AS_OF),
@@ -292,7 +291,7 @@ _EVENTS_LOG = """
     CASE WHEN event_type IN ('click', 'view') THEN 'alpha' ELSE 'beta' END AS project,
     CASE WHEN user_id % 3 = 1 THEN 'US' WHEN user_id % 3 = 2 THEN 'DE' END AS country_code,
     CASE WHEN k % 23 = 0 THEN NULL
-         ELSE '1.' || CAST(k % 5 AS VARCHAR) || '.0' || CASE WHEN event_id % 10 = 0 THEN '.dev1' ELSE '' END
+         ELSE '1.' || CAST(k % 5 AS VARCHAR) || '.' || CAST(event_id % 3 AS VARCHAR) || CASE WHEN event_id % 10 = 0 THEN '.dev1' ELSE '' END
     END AS version,
     CASE WHEN k % 11 = 0 THEN NULL WHEN k % 13 = 0 THEN '3'
          ELSE '3.' || CAST(8 + k % 2 AS VARCHAR) || '.' || CAST(event_id % 4 AS VARCHAR) END AS python,
@@ -369,22 +368,13 @@ def _daily_sql(days: int = 0) -> str:
   FROM rollup {where} GROUP BY download_date"""
 
 
-_PIVOT = "SELECT download_date, " + ", ".join(
-    f"CAST(SUM(CASE WHEN version = '{v}' THEN downloads END) AS BIGINT) AS v{v.replace('.', '_')}"
-    for v in PIVOT_VERSIONS
-) + " FROM adoption GROUP BY download_date"
-
-_PCOLS = [f"v{v.replace('.', '_')}" for v in PIVOT_VERSIONS]
-_SHARE = (
-    "SELECT download_date, "
-    + ", ".join(
-        f"round(CASE WHEN tot > 0 THEN CAST(coalesce({c}, 0) AS DOUBLE) / tot * 100.0 ELSE 0.0 END, 6) AS {c}"
-        for c in _PCOLS
-    )
-    + " FROM (SELECT *, "
-    + " + ".join(f"CAST(coalesce({c}, 0) AS DOUBLE)" for c in _PCOLS)
-    + " AS tot FROM piv) p"
-)
+# One column per version found in the data.
+_PIVOT = ("PIVOT (SELECT download_date, 'v' || replace(version, '.', '_') AS v, downloads FROM adoption) "
+          "ON v USING CAST(sum(downloads) AS BIGINT) GROUP BY download_date")
+_SHARE = ("PIVOT (SELECT download_date, 'v' || replace(version, '.', '_') AS v, round(CASE WHEN tot > 0 "
+          "THEN CAST(downloads AS DOUBLE) / tot * 100.0 ELSE 0.0 END, 6) AS pct "
+          "FROM (SELECT *, sum(downloads) OVER (PARTITION BY download_date) AS tot FROM adoption) t) "
+          "ON v USING coalesce(max(pct), 0.0) GROUP BY download_date")
 
 
 def _pair_sql(frame: str, label: str, value: str, prefix: str) -> str:
@@ -489,8 +479,8 @@ def _rollup_oracle() -> dict[str, str]:
         "top_breakdowns_30": _with(_breakdowns_sql(30)),
         "version_adoption": _with(_ADOPTION),
         "adoption_versions": _with(f"SELECT DISTINCT version FROM ({_ADOPTION}) a"),
-        "adoption_pivot": _with(f"SELECT * FROM (WITH adoption AS ({_ADOPTION}) {_PIVOT}) q"),
-        "adoption_share": _with(f"SELECT * FROM (WITH adoption AS ({_ADOPTION}), piv AS ({_PIVOT}) {_SHARE}) q"),
+        "adoption_pivot": _with(f", adoption AS ({_ADOPTION}) {_PIVOT}"),
+        "adoption_share": _with(f", adoption AS ({_ADOPTION}) {_SHARE}"),
         "adoption_share_long": _with(
             f"SELECT download_date, version, round(CASE WHEN tot > 0 THEN CAST(downloads AS DOUBLE) / tot * 100.0 "
             f"ELSE 0.0 END, 6) AS share_pct FROM (SELECT *, SUM(downloads) OVER (PARTITION BY download_date) AS tot "

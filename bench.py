@@ -90,7 +90,7 @@ def main() -> None:
         "top_breakdowns_30": lambda: R.top_breakdowns(rollup, 30, AS_OF),
         "version_adoption": lambda: R.version_adoption(rollup),
         "adoption_share": lambda: R.adoption_share(
-            R.adoption_pivot(R.version_adoption(rollup), ["1.2.0", "1.3.0", "1.4.0"])),
+            R.adoption_pivot(R.version_adoption(rollup))),
         "daily_series": lambda: R.daily_series(rollup, 0, AS_OF),
         "kpi_cards": lambda: R.kpi_cards(rollup, AS_OF),
     }

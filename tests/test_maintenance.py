@@ -259,3 +259,41 @@ def test_replace_without_clustering_the_staged_rows(spark, scratch):
     maintain.replace_range(spark, mock_log(spark, [log_row("2023-01-02 12:00:00", project="a")]), t,
                            "timestamp", "2023-01-02", "2023-01-03", cluster_staged=False)
     assert [p for _, p in _rows(spark, t)] == ["a", "a", "a", "b"]
+
+
+def test_truncated_manifest_counts_as_incomplete(spark, scratch):
+    from usage_rollup.operators import maintain
+    from usage_rollup.sources import storage
+
+    target = scratch("cut")
+    spark.range(3).write.parquet(target)
+    pend = maintain._pending_dir(spark, target)
+    spark.range(1).write.parquet(f"{pend}/new")
+    storage.write_text(spark, f"{pend}/manifest.json", '{"touched": [')
+    assert maintain.finish_pending(spark, target, "id") is False
+    assert not storage.exists(spark, pend)
+
+
+def test_pending_folder_does_not_depend_on_the_spelling(spark):
+    from usage_rollup.operators.maintain import _pending_dir
+
+    assert len({_pending_dir(spark, p) for p in ("/tmp/x-table", "file:/tmp/x-table", "file:///tmp/x-table/")}) == 1
+
+
+def test_full_refresh_discards_a_pending_snapshot(spark, scratch):
+    from usage_rollup.operators import maintain
+    from usage_rollup.operators.rollup import daily_rollup
+    from usage_rollup.sources import storage
+    from usage_rollup.sources.driverdata import download_log
+
+    rollup = daily_rollup(download_log(spark, "/root/testdata/sf0.001", False))
+    target = scratch("refresh")
+    maintain.write_rollup(spark, rollup, target)
+    pend = maintain._pending_dir(spark, target)
+    old = maintain.with_rollup_partition(rollup.limit(1), "download_month")
+    old.write.partitionBy("download_month").parquet(f"{pend}/new")
+    storage.write_text(spark, f"{pend}/manifest.json",
+                       '{"partition_col": "download_month", "touched": ["2024-01-01"], "schema": ' + old.schema.json() + "}")
+    n = maintain.write_rollup(spark, rollup, target)
+    maintain.write_rollup(spark, rollup.limit(0), target, mode="incremental")
+    assert spark.read.parquet(target).count() == n

@@ -198,7 +198,7 @@ def _range_dates(spark: SparkSession, start, end) -> list[str]:
 
 def _pending_dir(spark: SparkSession, target: str) -> str:
     """Fixed per-target folder (under the shared checkpoint dir) of an unpublished change."""
-    h = hashlib.sha1(target.rstrip("/").encode()).hexdigest()[:20]
+    h = hashlib.sha1(storage.qualified(spark, target).encode()).hexdigest()[:20]
     # under the configured root, not the per-application subfolder: a restarted
     # driver must find what the previous one left
     return f"{shared_root(spark)}/usage_rollup/pending-{h}"
@@ -220,7 +220,7 @@ def _swap_in(spark: SparkSession, new_path: str, target: str, partition_col: str
             storage.delete_partition(spark, target, partition_col, value)
 
 
-def finish_pending(spark: SparkSession, target: str, partition_col: str, max_records: int | None = None) -> bool:
+def finish_pending(spark: SparkSession, target: str, partition_col: str | None = None, max_records: int | None = None) -> bool:
     """Complete a publish that an earlier run computed but did not finish.
 
     The new content (``_SUCCESS``) and then the manifest (touched partitions,
@@ -236,7 +236,12 @@ def finish_pending(spark: SparkSession, target: str, partition_col: str, max_rec
         if storage.exists(spark, pend):
             storage.delete_path(spark, pend)  # an unfinished snapshot: the target was never touched
         return False
-    manifest = json.loads(storage.read_text(spark, f"{pend}/manifest.json"))
+    try:
+        manifest = json.loads(storage.read_text(spark, f"{pend}/manifest.json"))
+    except ValueError:  # cut off: the swap never began
+        storage.delete_path(spark, pend)
+        return False
+    partition_col = partition_col or manifest["partition_col"]
     touched = manifest["touched"]
     schema = T.StructType.fromJson(manifest["schema"])
     _swap_in(spark, f"{pend}/new", loc, partition_col, touched, max_records, schema)
@@ -245,6 +250,13 @@ def finish_pending(spark: SparkSession, target: str, partition_col: str, max_rec
     return True
 
 
+def discard_pending(spark: SparkSession, target: str) -> None:
+    """Remove an unpublished change of ``target``."""
+    loc = _location(spark, target)
+    if loc is not None:
+        storage.delete_path(spark, _pending_dir(spark, loc))
+
+
 def _publish(spark: SparkSession, new: DataFrame, target: str, partition_col: str, touched: list[str],
              max_records: int | None) -> None:
     """Snapshot the touched partitions' new content, then swap it into the target.
@@ -254,7 +266,7 @@ def _publish(spark: SparkSession, new: DataFrame, target: str, partition_col: st
     pend = _pending_dir(spark, _location(spark, target))
     clustered(new, partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(f"{pend}/new")
     # manifest last: a snapshot counts as complete only once both exist
-    manifest = {"touched": list(touched), "schema": new.schema.jsonValue()}
+    manifest = {"partition_col": partition_col, "touched": list(touched), "schema": new.schema.jsonValue()}
     storage.write_text(spark, f"{pend}/manifest.json", json.dumps(manifest))
     finish_pending(spark, target, partition_col, max_records)
 
@@ -412,6 +424,7 @@ def append(df: DataFrame, target: str, max_records: int = DEFAULT_CHUNK,
     Parallel write tasks replace the chunk loop; the row count is observed
     during the write (no second pass).
     """
+    finish_pending(df.sparkSession, target)  # else a later publish would swap older rows over these
     obs = Observation("append")
     src = df.observe(obs, F.count(F.lit(1)).alias("n"))
     if partition_by:
@@ -437,6 +450,7 @@ def write_rollup(spark: SparkSession, rollup: DataFrame, target: str, mode: str
         return upsert_by_key(spark, target, rollup, partition_col=part)
     if mode != "full":
         raise ValueError("mode must be 'full' or 'incremental'")
+    discard_pending(spark, target)  # all of the target is replaced; an older snapshot must not come back
     obs = Observation("rollup")
     rollup = with_rollup_partition(rollup, part)
     w = clustered(rollup.observe(obs, F.count(F.lit(1)).alias("n")), part).write.mode("overwrite").partitionBy(part)

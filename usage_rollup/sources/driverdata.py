@@ -53,7 +53,7 @@ def events_as_log(events: DataFrame) -> DataFrame:
     project = F.when(F.col("event_type").isin("click", "view"), F.lit("alpha")).otherwise(F.lit("beta"))
     country = F.when(uid % 3 == 1, F.lit("US")).when(uid % 3 == 2, F.lit("DE")).otherwise(_null())
     version = F.when(k % 23 == 0, _null()).otherwise(
-        F.concat(F.lit("1."), (k % 5).cast("string"), F.lit(".0"),
+        F.concat(F.lit("1."), (k % 5).cast("string"), F.lit("."), (eid % 3).cast("string"),
                  F.when(eid % 10 == 0, F.lit(".dev1")).otherwise(F.lit("")))
     )
     python = (

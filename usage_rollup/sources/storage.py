@@ -70,13 +70,27 @@ def delete_path(spark: SparkSession, path: str) -> bool:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small UTF-8 file (a manifest) without a Spark job; overwrites."""
+    """Write a small UTF-8 file (a manifest) without a Spark job; overwrites.
+
+    The file appears under its name only when complete (written aside, then renamed).
+    """
     fs, p = _fs_and_path(spark, path)
-    out = fs.create(p, True)
+    aside = p.suffix(".tmp")
+    out = fs.create(aside, True)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
+    if fs.exists(p):
+        fs.delete(p, False)
+    if not fs.rename(aside, p):
+        raise OSError(f"could not rename {aside} to {p}")
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """One spelling per path: scheme and authority filled in, no trailing slash."""
+    fs, p = _fs_and_path(spark, path)
+    return fs.makeQualified(p).toString().rstrip("/")
 
 
 def read_text(spark: SparkSession, path: str) -> str:
