@@ -79,31 +79,62 @@ def _ts_lt(df, bound):
     return F.col("timestamp") < bound_like(bound, df.schema["timestamp"].dataType)
 
 
-def _replace(spark, sf, scope=None):
-    log = _log(spark, sf, with_orders=False)
+# The log spans years of thin days: one folder a month.
+_BY_MONTH = {"partition_col": "log_month", "grain": "month"}
+
+
+def _seed(spark, sf):
+    """A table holding the whole log."""
     target = scratch_dir(spark, "q-raw")
-    maintain.replace_range(spark, log.where(_ts_lt(log, "2024-01-20")), target, "timestamp",
-                           "2024-01-01", "2024-01-20")
-    staged = scan_log(spark, log, JobParams(project="alpha", start="2024-01-15", end="2024-01-25"))
-    maintain.replace_range(spark, staged, target, "timestamp", "2024-01-15", "2024-01-25", scope=scope)
+    maintain.replace_range(spark, _log(spark, sf), target, "timestamp", "1992-01-01", "2024-02-01", **_BY_MONTH)
+    return target
+
+
+def _replace(spark, sf, scope=None):
+    target = _seed(spark, sf)
+    staged = scan_log(spark, _log(spark, sf), JobParams(project="alpha", start="2024-01-15", end="2024-01-25"))
+    maintain.replace_range(spark, staged, target, "timestamp", "2024-01-15", "2024-01-25", scope=scope, **_BY_MONTH)
+    return flat_log(spark.read.parquet(target))
+
+
+def _replace_emptied(spark, sf):
+    """Days 10 to 13 are replaced by rows of day 11 alone: the other three lose theirs."""
+    target, log = _seed(spark, sf), _log(spark, sf)
+    staged = log.where(maintain.range_condition(log, "timestamp", "2024-01-11", "2024-01-12"))
+    maintain.replace_range(spark, staged, target, "timestamp", "2024-01-10", "2024-01-14", **_BY_MONTH)
+    return flat_log(spark.read.parquet(target))
+
+
+def _replace_null_ts(spark, sf):
+    """Two loads of a range whose rows of one minute an hour have no timestamp."""
+    target, log = scratch_dir(spark, "q-raw"), _log(spark, sf)
+    staged = log.withColumn("timestamp", F.when(
+        (F.minute("timestamp") != 7) | (F.col("timestamp") < F.lit("2024-01-01").cast("timestamp")), F.col("timestamp")))
+    for _ in range(2):
+        maintain.replace_range(spark, staged, target, "timestamp", "1992-01-01", "2024-02-01", **_BY_MONTH)
     return flat_log(spark.read.parquet(target))
 
 
 def _delete(spark, sf):
-    log = _log(spark, sf, with_orders=False)
-    target = scratch_dir(spark, "q-raw")
-    maintain.replace_range(spark, log, target, "timestamp", "2024-01-01", "2024-02-01")
-    maintain.delete_range_table(spark, target, "timestamp", "2024-01-10 06:00:00", "2024-01-14")
+    target = _seed(spark, sf)
+    maintain.delete_range_table(spark, target, "timestamp", "2024-01-10 06:00:00", "2024-01-14", **_BY_MONTH)
+    return flat_log(spark.read.parquet(target))
+
+
+def _delete_all(spark, sf):
+    """Every row is deleted; then the range is loaded again."""
+    target, log = _seed(spark, sf), _log(spark, sf)
+    maintain.delete_range_table(spark, target, "timestamp", "1992-01-01", "2024-02-01", **_BY_MONTH)
+    maintain.replace_range(spark, log, target, "timestamp", "1992-01-01", "2024-02-01", **_BY_MONTH)
     return flat_log(spark.read.parquet(target))
 
 
 def _upsert(spark, sf):
-    log = _log(spark, sf, with_orders=False)
+    log = _log(spark, sf)
     target = scratch_dir(spark, "q-rollup")
-    early = daily_rollup(log.where(_ts_lt(log, "2024-01-20 12:00:00")), "2024-01-01", "2024-01-21")
+    early = daily_rollup(log.where(_ts_lt(log, "2024-01-20 12:00:00")))
     maintain.write_rollup(spark, early, target, mode="incremental")
-    batch = daily_rollup(log, "2024-01-19", "2024-01-25")
-    maintain.write_rollup(spark, batch, target, mode="incremental")
+    maintain.write_rollup(spark, daily_rollup(log, "2024-01-19"), target, mode="incremental")
     return spark.read.parquet(target).select(*ROLLUP_COLUMNS)
 
 
@@ -198,6 +229,8 @@ SURVEY_IDS = {
     "kpi_labels": "labels T5", "sql_over_rollup": "S8 S7", "report_bundle": "B1 U1 F8",
     "report_bundle_bad_period": "B1 F8 (whitelist)", "series_slice_missing_bound": "F9 (missing label)",
     "replace_range": "W6 W4 W3 W2 S4 Q5 U1", "replace_range_scoped": "W6 (scope)", "delete_range": "W4",
+    "replace_range_emptied_date": "W6 (emptied dates)", "replace_range_null_ts": "W6 Q2 (NULL timestamps)",
+    "delete_all_then_reload": "W4 W6 (emptied table)",
     "delete_range_frame": "W4 (frame)", "quality_report_staged": "S4 A2 A11 Q4",
     "upsert_by_key": "W8 J1", "append_chunks": "W5", "export_partitioned": "W9 S5", "export_pruned": "S5 (pruning)",
     "ingest_transform_jobs": "S6 W7 (jobs)", "incremental_stream_rollup": "W8 (streaming)",
@@ -271,7 +304,10 @@ def _rollup_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # maintenance
         "replace_range": lambda s, sf: _replace(s, sf),
         "replace_range_scoped": lambda s, sf: _replace(s, sf, scope="project"),
+        "replace_range_emptied_date": _replace_emptied,
+        "replace_range_null_ts": _replace_null_ts,
         "delete_range": _delete,
+        "delete_all_then_reload": _delete_all,
         "delete_range_frame": lambda s, sf: flat_log(maintain.delete_range(
             _log(s, sf), "timestamp", "2024-01-10 06:00:00", "2024-01-14")),
         "quality_report_staged": lambda s, sf: quality.quality_report(scan_log(s, _log(s, sf), SCAN)),
@@ -449,6 +485,7 @@ def _bundle_sql(days: int = 30) -> str:
 def _rollup_oracle() -> dict[str, str]:
     ev_only = lambda body: _with(body, orders=False)
     rollup_cols = _ROLLUP_TEXT
+    no_ts = "\"timestamp\" >= TIMESTAMP '2024-01-01' AND minute(\"timestamp\") = 7"
     in_range = "\"timestamp\" >= TIMESTAMP '2024-01-15' AND \"timestamp\" < TIMESTAMP '2024-01-25'"
     return {
         "daily_rollup": _with(f"SELECT {rollup_cols} FROM rollup"),
@@ -509,16 +546,22 @@ def _rollup_oracle() -> dict[str, str]:
         "report_bundle": _bundle_sql(30),
         "report_bundle_bad_period": _bundle_sql(0),
         "series_slice_missing_bound": _with(_weekly_sql(AS_OF)),
-        "replace_range": ev_only(
-            f"SELECT {_FLAT} FROM log WHERE \"timestamp\" < TIMESTAMP '2024-01-20' AND NOT ({in_range})\n"
+        "replace_range": _with(
+            f"SELECT {_FLAT} FROM log WHERE NOT ({in_range})\n"
             f"UNION ALL SELECT {_FLAT} FROM log WHERE project = 'alpha' AND {in_range}"),
-        "replace_range_scoped": ev_only(
-            f"SELECT {_FLAT} FROM log WHERE \"timestamp\" < TIMESTAMP '2024-01-20' "
-            f"AND NOT ({in_range} AND project = 'alpha')\n"
+        "replace_range_scoped": _with(
+            f"SELECT {_FLAT} FROM log WHERE NOT ({in_range} AND project = 'alpha')\n"
             f"UNION ALL SELECT {_FLAT} FROM log WHERE project = 'alpha' AND {in_range}"),
-        "delete_range": ev_only(
+        "replace_range_emptied_date": _with(
+            f"SELECT {_FLAT} FROM log WHERE CAST(\"timestamp\" AS DATE) NOT IN "
+            "(DATE '2024-01-10', DATE '2024-01-12', DATE '2024-01-13')"),
+        "replace_range_null_ts": _with(
+            f"SELECT {_FLAT} FROM log WHERE NOT ({no_ts})\n" + "\n".join(
+                f"UNION ALL SELECT CAST(NULL AS TIMESTAMP) AS {_FLAT} FROM log WHERE {no_ts}" for _ in range(2))),
+        "delete_range": _with(
             f"SELECT {_FLAT} FROM log WHERE NOT (\"timestamp\" >= TIMESTAMP '2024-01-10 06:00:00' "
             "AND \"timestamp\" < TIMESTAMP '2024-01-14')"),
+        "delete_all_then_reload": _with(f"SELECT {_FLAT} FROM log"),
         "upsert_by_key": _upsert_sql(),
         "delete_range_frame": _with(
             f"SELECT {_FLAT} FROM log WHERE NOT (\"timestamp\" >= TIMESTAMP '2024-01-10 06:00:00' "
@@ -575,11 +618,9 @@ _ROLLUP_TEXT = ", ".join(
 
 
 def _upsert_sql() -> str:
-    log = _EVENTS_LOG
-    early = _rollup_sql(
-        "(SELECT * FROM log WHERE \"timestamp\" < TIMESTAMP '2024-01-20 12:00:00') l",
-        "WHERE download_date >= DATE '2024-01-01' AND download_date < DATE '2024-01-21'")
-    batch = _rollup_sql("log", "WHERE download_date >= DATE '2024-01-19' AND download_date < DATE '2024-01-25'")
+    log = _EVENTS_LOG + "\n  UNION ALL" + _ORDERS_LOG
+    early = _rollup_sql("(SELECT * FROM log WHERE \"timestamp\" < TIMESTAMP '2024-01-20 12:00:00') l")
+    batch = _rollup_sql("log", "WHERE download_date >= DATE '2024-01-19'")
     cols = _ROLLUP_TEXT
     return (f"WITH log AS ({log}\n),\nearly AS ({early}),\nbatch AS ({batch})\n"
             f"SELECT {cols} FROM early e WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE b.load_id = e.load_id)\n"

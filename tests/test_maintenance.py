@@ -297,3 +297,95 @@ def test_full_refresh_discards_a_pending_snapshot(spark, scratch):
     n = maintain.write_rollup(spark, rollup, target)
     maintain.write_rollup(spark, rollup.limit(0), target, mode="incremental")
     assert spark.read.parquet(target).count() == n
+
+
+def _nulled(rows):
+    return [(None, *r[1:]) for r in rows]
+
+
+def test_null_timestamps_load_twice_and_stored_ones_stay(spark, scratch):
+    t = scratch("rr-null")
+    rows = [log_row(f"2023-01-0{1 + i % 4} 10:00:00", project="a") for i in range(30)] + _nulled(ROWS[:1])
+    for _ in range(2):
+        _load(spark, t, rows, "2023-01-01", "2023-01-05")
+    back = spark.read.parquet(t)
+    assert back.where("timestamp IS NULL").count() == 2 and back.where("timestamp IS NOT NULL").count() == 30
+    _load(spark, t, ROWS, "2023-01-01", "2023-01-05")
+    assert spark.read.parquet(t).where("timestamp IS NULL").count() == 2
+
+
+def test_upsert_with_null_dates_twice_equals_once(spark, scratch):
+    t = scratch("up-null")
+    batch = daily_rollup(mock_log(spark, ROWS + _nulled(ROWS[:2])))
+    for _ in range(2):
+        assert maintain.upsert_by_key(spark, t, batch) == batch.count()
+    assert _rollup_rows(spark.read.parquet(t).collect()) == _rollup_rows(batch.collect())
+
+
+def test_only_null_dates_then_dates(spark, scratch):
+    t = scratch("up-only-null")
+    maintain.upsert_by_key(spark, t, daily_rollup(mock_log(spark, _nulled(ROWS[:1]))))
+    maintain.upsert_by_key(spark, t, daily_rollup(mock_log(spark, ROWS)))
+    assert spark.read.parquet(t).count() == 1 + daily_rollup(mock_log(spark, ROWS)).count()
+
+
+def test_emptied_target_and_created_target_can_be_loaded(spark, scratch):
+    t, created = scratch("rr-empty"), scratch("rr-created")
+    _load(spark, t, ROWS, "2023-01-01", "2023-01-05")
+    maintain.delete_range_table(spark, t, "timestamp", "2023-01-01", "2023-01-05")
+    assert not maintain.target_exists(spark, t)
+    maintain.delete_range_table(spark, t, "timestamp", "2023-01-01", "2023-01-05")
+    frame = mock_log(spark, ROWS).withColumn("log_date", F.to_date("timestamp"))
+    assert maintain.ensure_target(spark, frame, created, ["log_date"]) is True
+    assert maintain.ensure_target(spark, frame, created, ["log_date"]) is False
+    for path in (t, created):
+        _load(spark, path, ROWS, "2023-01-01", "2023-01-05")
+        _load(spark, path, ROWS, "2023-01-01", "2023-01-05")
+        assert len(_rows(spark, path)) == len(ROWS)
+
+
+def test_replace_needs_both_bounds(spark, scratch):
+    with pytest.raises(ValueError):
+        maintain.replace_range(spark, mock_log(spark, ROWS), scratch("rr-bounds"), "timestamp")
+
+
+def test_month_grain_replace_and_delete(spark, scratch):
+    t = scratch("rr-month")
+    kw = {"partition_col": "log_month", "grain": "month"}
+    rows = ROWS + [log_row("2023-02-03 10:00:00", project="a")]
+    maintain.replace_range(spark, mock_log(spark, rows), t, "timestamp", "2023-01-01", "2023-03-01", **kw)
+    maintain.replace_range(spark, mock_log(spark, ROWS[:1]), t, "timestamp", "2023-01-01", "2023-01-04", **kw)
+    assert [ts for ts, _ in _rows(spark, t)] == ["2023-01-01 10:00:00", "2023-01-04 10:00:00", "2023-02-03 10:00:00"]
+    maintain.delete_range_table(spark, t, "timestamp", "2023-01-31", "2023-02-04", **kw)
+    assert storage.list_partitions(spark, t, "log_month") == ["2023-01-01"]
+
+
+def test_full_refresh_that_dies_in_the_swap_is_completed(spark, scratch, monkeypatch):
+    t = scratch("refresh-crash")
+    old, new = daily_rollup(mock_log(spark, ROWS)), daily_rollup(mock_log(spark, [log_row("2023-02-01 10:00:00")]))
+    maintain.write_rollup(spark, old, t)
+
+    def lost(spark_, new_path, target, partition_col, touched, *rest):
+        storage.delete_partition(spark_, target, partition_col, touched[0])
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(maintain, "_swap_in", lost)
+        with pytest.raises(RuntimeError):
+            maintain.write_rollup(spark, new, t)
+    maintain.upsert_by_key(spark, t, new.limit(0))  # any later call finishes the refresh first
+    assert _rollup_rows(spark.read.parquet(t).collect()) == _rollup_rows(new.collect())
+
+
+def test_append_after_a_dead_upsert_loses_nothing(spark, scratch, monkeypatch):
+    t = scratch("append-crash")
+    first, batch = (daily_rollup(mock_log(spark, r)) for r in (ROWS[:2], ROWS[2:]))
+    maintain.write_rollup(spark, first, t)
+    with monkeypatch.context() as m:
+        m.setattr(maintain, "_swap_in", lambda *a: (_ for _ in ()).throw(RuntimeError("driver lost")))
+        with pytest.raises(RuntimeError):
+            maintain.upsert_by_key(spark, t, batch)
+    extra = maintain.with_rollup_partition(daily_rollup(mock_log(spark, [log_row("2023-01-09 10:00:00")])))
+    assert maintain.append(extra, t, partition_by=["download_month"]) == 1
+    maintain.upsert_by_key(spark, t, batch)
+    assert spark.read.parquet(t).count() == first.count() + batch.count() + 1

@@ -36,7 +36,7 @@ def _parser() -> argparse.ArgumentParser:
     i.add_argument("--end", default=DEFAULT_END)
     i.add_argument("--timestamp-column", default="timestamp")
     i.add_argument("--scope", default=None, help="restrict the range delete to this column's staged values")
-    i.add_argument("--chunk-size", type=int, default=100_000)
+    i.add_argument("--chunk-size", type=int, default=0)
     i.add_argument("--no-cluster", action="store_true",
                    help="skip rebalancing staged rows (backfills from a time-ordered source)")
 

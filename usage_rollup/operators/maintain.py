@@ -9,16 +9,21 @@ Publish protocol (range replace and keyed upsert). Spark cannot overwrite a
 path it is reading, and dynamic partition overwrite alone leaves partitions
 that receive no rows untouched. So:
 
-1. stage the incoming rows once into the shared checkpoint folder (with the
-   quality statistics observed in the same pass);
+1. stage the incoming rows once into the shared checkpoint folder and take the
+   row count and the quality statistics from what was staged;
 2. compute the new content of the *touched* partitions only (survivors of
    the old partitions plus staged rows) and write it, with the list of
    touched partitions, as a complete snapshot into a fixed per-target
    "pending" folder; this cuts the lineage to the target;
-3. copy that content into the target with dynamic partition overwrite, so only
-   touched partitions are replaced and all others are never read or written;
+3. copy that content, already laid out, into the target with dynamic partition
+   overwrite and no further shuffle, so only touched partitions are replaced
+   and all others are never read or written;
 4. remove touched partitions that ended up empty, then the pending folder.
 
+A full refresh of an existing table takes the same way with every partition
+touched. Rows with a NULL date live in the NULL partition: a range replace keeps
+the stored ones (as SQL DELETE does), an upsert replaces them by key.
+
 One writer per target at a time (as with the original loader); the pending
 folder is per target. A failure before step 3 leaves the target untouched. A failure during 3-4
 leaves a complete snapshot behind; the next maintenance call on that target
@@ -41,7 +46,7 @@ from pyspark.sql import types as T
 from usage_rollup.functions.columns import bound_like
 from usage_rollup.functions.dates import range_dates, session_zone
 from usage_rollup.operators.quality import quality_exprs, validate_stats
-from usage_rollup.params import DEFAULT_CHUNK, DEFAULT_EXPORT_ROWS, MAX_NULL_PCT
+from usage_rollup.params import DEFAULT_EXPORT_ROWS, MAX_NULL_PCT, NO_LIMIT
 from usage_rollup.session import scratch_dir, shared_root
 from usage_rollup.sources import storage
 
@@ -88,7 +93,7 @@ def ensure_database(spark: SparkSession, name: str) -> None:
 
 
 def target_exists(spark: SparkSession, target: str) -> bool:
-    """Existence probe: catalog table name or storage path."""
+    """Existence probe: a catalog table, or a path that holds data files."""
     if _is_path(target):
         return storage.has_data(spark, target)
     return spark.catalog.tableExists(target)
@@ -117,13 +122,24 @@ def _sync_catalog(spark: SparkSession, target: str) -> None:
         spark.sql(f"REFRESH TABLE {target}")
 
 
-def _read_target(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.parquet(_location(spark, target))
+def _read_touched(spark: SparkSession, target: str, partition_col: str, touched: list[str],
+                  schema: T.StructType) -> DataFrame:
+    """The touched partitions of ``target``; ``schema`` stands in for a table without data files."""
+    loc = _location(spark, target)
+    if not storage.has_data(spark, loc):
+        return spark.createDataFrame([], schema)
+    # a table whose only partition is the NULL one has no inferable partition type
+    stored = spark.read.parquet(loc).withColumn(partition_col, F.col(partition_col).cast(schema[partition_col].dataType))
+    dates = [_date(v) for v in touched if v != storage.NULL_PARTITION]
+    cond = F.col(partition_col).isin(dates)
+    if storage.NULL_PARTITION in touched:
+        cond = cond | F.col(partition_col).isNull()
+    return stored.where(cond)
 
 
 def ensure_target(spark: SparkSession, df: DataFrame, target: str, partition_by: list[str] | None = None) -> bool:
     """Create an empty table with ``df``'s schema if missing; True if created."""
-    if target_exists(spark, target):
+    if target_exists(spark, target) or (_is_path(target) and storage.exists(spark, f"{target.rstrip('/')}/_SUCCESS")):
         return False
     w = df.limit(0).write.mode("ignore")
     if partition_by:
@@ -172,28 +188,23 @@ def delete_range_scoped(target: DataFrame, staged: DataFrame, ts: str, start, en
     return outside.unionByName(inside)
 
 
-def _observed(obs: Observation, fallback) -> dict:
-    """Metrics observed during a write; ``fallback()`` if none were reported.
-
-    An empty input can leave no task to report the observed metrics (AQE may
-    plan zero partitions); the fallback then computes them from what was
-    written, which is empty and cheap to read.
-    """
-    try:
-        got = obs.get
-    except Exception:  # noqa: BLE001 - metrics missing for an empty write
-        got = None
-    return got if got else fallback()
-
-
 def _date(v) -> _dt.date:
     s = str(v)
     return _dt.date.fromisoformat(s[:10])
 
 
-def _range_dates(spark: SparkSession, start, end) -> list[str]:
-    """Partition dates a half-open timestamp range touches (session zone)."""
-    return range_dates(start, end, session_zone(spark))
+def _range_dates(spark: SparkSession, start, end, grain: str = "day") -> list[str]:
+    """Partition dates (days, or first days of months) a half-open timestamp range touches (session zone)."""
+    days = range_dates(start, end, session_zone(spark))
+    return days if grain == "day" else sorted({f"{d[:7]}-01" for d in days})
+
+
+def log_partition(ts: str, grain: str = "day") -> Column:
+    """The raw table's partition value: the day of ``ts``, or the first day of its month."""
+    if grain not in ROLLUP_GRAINS:
+        raise ValueError(f"grain must be one of {sorted(ROLLUP_GRAINS)}")
+    day = F.to_date(F.col(ts))
+    return day if grain == "day" else F.trunc(day, "month")
 
 
 def _pending_dir(spark: SparkSession, target: str) -> str:
@@ -206,9 +217,13 @@ def _pending_dir(spark: SparkSession, target: str) -> str:
 
 def _swap_in(spark: SparkSession, new_path: str, target: str, partition_col: str, touched: list[str],
              max_records: int | None, schema) -> None:
-    """Dynamic-overwrite the touched partitions from ``new_path``; drop emptied ones."""
+    """Dynamic-overwrite the touched partitions from ``new_path``; drop emptied ones.
+
+    The snapshot's files are already one or a few per partition, so they are
+    copied without another shuffle.
+    """
     # the schema is passed on because a fully emptied range writes no files
-    new = clustered(spark.read.schema(schema).parquet(new_path), partition_col)
+    new = spark.read.schema(schema).parquet(new_path)
     w = (new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(partition_col))
     if max_records:
@@ -258,13 +273,17 @@ def discard_pending(spark: SparkSession, target: str) -> None:
 
 
 def _publish(spark: SparkSession, new: DataFrame, target: str, partition_col: str, touched: list[str],
-             max_records: int | None) -> None:
+             max_records: int | None, staged_path: str | None = None) -> None:
     """Snapshot the touched partitions' new content, then swap it into the target.
 
-    ``touched`` holds partition values (a few per run: the loaded range).
+    ``touched`` holds partition values (a few per run: the loaded range). When
+    the new content already lies in ``staged_path``, that folder becomes the
+    snapshot (one rename).
     """
     pend = _pending_dir(spark, _location(spark, target))
-    clustered(new, partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(f"{pend}/new")
+    if not (staged_path and storage.rename(spark, staged_path, f"{pend}/new")):
+        (clustered(new, partition_col).write.mode("overwrite").option("maxRecordsPerFile", int(max_records or 0))
+         .partitionBy(partition_col).parquet(f"{pend}/new"))
     # manifest last: a snapshot counts as complete only once both exist
     manifest = {"partition_col": partition_col, "touched": list(touched), "schema": new.schema.jsonValue()}
     storage.write_text(spark, f"{pend}/manifest.json", json.dumps(manifest))
@@ -272,14 +291,14 @@ def _publish(spark: SparkSession, new: DataFrame, target: str, partition_col: st
 
 
 def _first_load(spark: SparkSession, stage_path: str, target: str, partition_col: str,
-                max_records: int | None) -> None:
+                max_records: int | None, schema: T.StructType) -> None:
     """Create the target from the staged rows (already laid out as the target is).
 
     On the same file system the staged folder is moved into place (one
     metadata operation, and the target appears whole); otherwise it is copied.
     A catalog target is created as a partitioned table.
     """
-    staged = spark.read.parquet(stage_path)
+    staged = spark.read.schema(schema).parquet(stage_path)
     if not _is_path(target):
         w = clustered(staged, partition_col).write.mode("append").format("parquet").partitionBy(partition_col)
         if max_records:
@@ -303,10 +322,11 @@ def replace_range(
     end=None,
     scope: str | None = None,
     partition_col: str = LOG_PARTITION,
-    max_records: int = DEFAULT_CHUNK,
+    max_records: int = NO_LIMIT,
     key: str = "project",
     max_null_pct: float = MAX_NULL_PCT,
     cluster_staged: bool = True,
+    grain: str = "day",
 ) -> int:
     """Idempotently replace ``[start, end)`` of a date-partitioned Parquet table.
 
@@ -321,32 +341,40 @@ def replace_range(
     day-sized loads and for unordered sources). For a long backfill from a
     source already laid out by time, ``False`` writes each input split's dates
     directly and skips that shuffle.
+
+    ``grain="month"`` partitions by the first day of the month, for logs so thin
+    that day folders would hold tiny files; keep it (and ``partition_col``) fixed
+    per table.
+
+    Staged rows with a NULL timestamp (within the gate's limit) are added to the
+    NULL partition; stored ones are in no range and stay.
     """
+    if start is None or end is None:
+        raise ValueError("replace_range needs both start and end")
     finish_pending(spark, target, partition_col, max_records)
-    staged = staged.withColumn(partition_col, F.to_date(F.col(ts)))
-    # 1. stage once; the quality statistics ride along on the same pass
-    obs = Observation("quality")
+    staged = staged.withColumn(partition_col, log_partition(ts, grain))
+    # 1. stage once; count and statistics come from the staged files, so a task
+    # that ran twice cannot count its rows twice
+    schema = staged.schema
     stage_path = scratch_dir(spark, "staged")
-    observed = staged.observe(obs, *quality_exprs(ts, key))
-    if cluster_staged:
-        observed = clustered(observed, partition_col)
-    (observed.write.mode("overwrite")
+    src = clustered(staged, partition_col) if cluster_staged else staged
+    (src.write.mode("overwrite")
      .option("maxRecordsPerFile", int(max_records or 0)).partitionBy(partition_col).parquet(stage_path))
     staged_dates = storage.list_partitions(spark, stage_path, partition_col)
     try:
         if not staged_dates:
             return 0
-        stats = _observed(obs, lambda: spark.read.parquet(stage_path).agg(*quality_exprs(ts, key)).first().asDict())
+        staged_df = spark.read.schema(schema).parquet(stage_path)
+        stats = staged_df.agg(*quality_exprs(ts, key)).first().asDict()
         if not stats.get("total_rows"):
             return 0
         validate_stats(stats, "timestamp", key, max_null_pct)
         if not target_exists(spark, target):
-            _first_load(spark, stage_path, target, partition_col, max_records)
+            _first_load(spark, stage_path, target, partition_col, max_records, schema)
             return int(stats["total_rows"])
         # 2. new content of the touched partitions only (partition-pruned read)
-        staged_df = spark.read.parquet(stage_path)
-        touched = sorted(set(_range_dates(spark, start, end)) | set(staged_dates))
-        old = _read_target(spark, target).where(F.col(partition_col).isin([_date(d) for d in touched]))
+        touched = sorted(set(_range_dates(spark, start, end, grain)) | set(staged_dates))
+        old = _read_touched(spark, target, partition_col, touched, schema)
         survivors = delete_range_scoped(old, staged_df, ts, start, end, scope)
         # 3 + 4. snapshot, swap touched partitions, drop emptied ones
         _publish(spark, survivors.unionByName(staged_df), target, partition_col, touched, max_records)
@@ -356,7 +384,7 @@ def replace_range(
 
 
 def delete_range_table(spark: SparkSession, target: str, ts: str, start, end,
-                       partition_col: str = LOG_PARTITION) -> None:
+                       partition_col: str = LOG_PARTITION, grain: str = "day") -> None:
     """Delete ``[start, end)`` from a date-partitioned table (all scopes).
 
     Skipped when the target does not exist. Only partitions of the range are
@@ -365,8 +393,11 @@ def delete_range_table(spark: SparkSession, target: str, ts: str, start, end,
     if not target_exists(spark, target):
         return
     finish_pending(spark, target, partition_col)
-    touched = _range_dates(spark, start, end)
-    old = _read_target(spark, target).where(F.col(partition_col).isin([_date(d) for d in touched]))
+    if not storage.has_data(spark, _location(spark, target)):
+        return
+    touched = _range_dates(spark, start, end, grain)
+    old = _read_touched(spark, target, partition_col, touched,
+                        T.StructType([T.StructField(partition_col, T.DateType())]))
     _publish(spark, delete_range(old, ts, start, end), target, partition_col, touched, None)
 
 
@@ -381,8 +412,11 @@ def upsert_frame(target: DataFrame, batch: DataFrame, key: str = "load_id",
     When the key determines ``partition_col`` (the rollup key starts with the
     date, which fixes the month), the anti-join also matches on it.
     """
-    keys = [partition_col, key] if partition_col else [key]
-    return target.join(batch.select(*keys).distinct(), keys, "left_anti").unionByName(batch)
+    keys = batch.select(F.col(key).alias("_k"), *([F.col(partition_col).alias("_p")] if partition_col else [])).distinct()
+    same = F.col(key) == F.col("_k")
+    if partition_col:
+        same = same & F.col(partition_col).eqNullSafe(F.col("_p"))  # a NULL date is a partition, too
+    return target.join(keys, same, "left_anti").unionByName(batch)
 
 
 def upsert_by_key(spark: SparkSession, target: str, batch: DataFrame, key: str = "load_id",
@@ -394,20 +428,19 @@ def upsert_by_key(spark: SparkSession, target: str, batch: DataFrame, key: str =
     """
     finish_pending(spark, target, partition_col)
     batch = with_rollup_partition(batch, partition_col)
-    obs = Observation("batch")
+    schema = batch.schema
     stage_path = scratch_dir(spark, "batch")
-    (clustered(batch.observe(obs, F.count(F.lit(1)).alias("n")), partition_col).write.mode("overwrite")
-     .partitionBy(partition_col).parquet(stage_path))
+    clustered(batch, partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(stage_path)
     touched = storage.list_partitions(spark, stage_path, partition_col)
     try:
         if not touched:
             return 0
-        n = int(_observed(obs, lambda: {"n": spark.read.parquet(stage_path).count()})["n"])
+        staged = spark.read.schema(schema).parquet(stage_path)
+        n = staged.count()
         if not target_exists(spark, target):
-            _first_load(spark, stage_path, target, partition_col, None)
+            _first_load(spark, stage_path, target, partition_col, None, schema)
             return n
-        staged = spark.read.parquet(stage_path)
-        old = _read_target(spark, target).where(F.col(partition_col).isin([_date(d) for d in touched]))
+        old = _read_touched(spark, target, partition_col, touched, schema)
         _publish(spark, upsert_frame(old, staged, key, partition_col), target, partition_col, touched, None)
         return n
     finally:
@@ -417,18 +450,17 @@ def upsert_by_key(spark: SparkSession, target: str, batch: DataFrame, key: str =
 # --- plain writes (W5, W7, W9) ------------------------------------------------------
 
 
-def append(df: DataFrame, target: str, max_records: int = DEFAULT_CHUNK,
+def append(df: DataFrame, target: str, max_records: int = NO_LIMIT,
            partition_by: list[str] | None = None) -> int:
-    """Append rows, at most ``max_records`` per file; returns rows written.
+    """Append rows, at most ``max_records`` per file (0: no limit); returns rows written.
 
-    Parallel write tasks replace the chunk loop; the row count is observed
-    during the write (no second pass).
+    Parallel write tasks replace the chunk loop; the row count is observed in
+    the writing tasks, above any shuffle, where each task counts once.
     """
     finish_pending(df.sparkSession, target)  # else a later publish would swap older rows over these
     obs = Observation("append")
-    src = df.observe(obs, F.count(F.lit(1)).alias("n"))
-    if partition_by:
-        src = clustered(src, *partition_by)
+    src = clustered(df, *partition_by) if partition_by else df
+    src = src.observe(obs, F.count(F.lit(1)).alias("n"))
     w = src.write.mode("append").option("maxRecordsPerFile", int(max_records))
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -436,7 +468,16 @@ def append(df: DataFrame, target: str, max_records: int = DEFAULT_CHUNK,
         w.parquet(target)
     else:
         w.format("parquet").saveAsTable(target)
-    return int(_observed(obs, lambda: {"n": 0})["n"])
+    return _observed_rows(obs, df)
+
+
+def _observed_rows(obs: Observation, df: DataFrame) -> int:
+    """The observed row count; counted anew where an empty write left no task to report it."""
+    try:
+        n = obs.get.get("n")
+    except Exception:  # noqa: BLE001 - no metrics were reported
+        n = None
+    return df.count() if n is None else int(n)
 
 
 def write_rollup(spark: SparkSession, rollup: DataFrame, target: str, mode: str = "full",
@@ -451,14 +492,29 @@ def write_rollup(spark: SparkSession, rollup: DataFrame, target: str, mode: str
     if mode != "full":
         raise ValueError("mode must be 'full' or 'incremental'")
     discard_pending(spark, target)  # all of the target is replaced; an older snapshot must not come back
-    obs = Observation("rollup")
     rollup = with_rollup_partition(rollup, part)
-    w = clustered(rollup.observe(obs, F.count(F.lit(1)).alias("n")), part).write.mode("overwrite").partitionBy(part)
+    loc = _location(spark, target)
+    old = storage.list_partitions(spark, loc, part) if loc else []
+    if old and (_is_path(target) or set(spark.table(target).columns) == set(rollup.columns)):
+        # an existing table: snapshot first, then swap every partition, so a crash loses nothing
+        stage_path = scratch_dir(spark, "refresh")
+        try:
+            clustered(rollup, part).write.mode("overwrite").partitionBy(part).parquet(stage_path)
+            staged = spark.read.schema(rollup.schema).parquet(stage_path)
+            n = staged.count()
+            touched = sorted(set(old) | set(storage.list_partitions(spark, stage_path, part)))
+            _publish(spark, staged, target, part, touched, None, staged_path=stage_path)
+        finally:
+            storage.delete_path(spark, stage_path)
+        return n
+    obs = Observation("rollup")
+    src = clustered(rollup, part).observe(obs, F.count(F.lit(1)).alias("n"))
+    w = src.write.mode("overwrite").partitionBy(part)
     if _is_path(target):
         w.parquet(target)
     else:
         w.format("parquet").saveAsTable(target)
-    return int(_observed(obs, lambda: {"n": 0})["n"])
+    return _observed_rows(obs, rollup)
 
 
 def with_year_month(df: DataFrame, date_col: str = ROLLUP_DATE) -> DataFrame:

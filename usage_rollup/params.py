@@ -15,7 +15,8 @@ DEFAULT_END = "2023-11-30"
 DEFAULT_DATABASE = "download_stats"
 DEFAULT_TABLE = "pypi_file_downloads"
 DEFAULT_TS_COL = "timestamp"
-DEFAULT_CHUNK = 100_000
+# Rows per written file: 0 leaves file sizes to Spark.
+NO_LIMIT = 0
 DEFAULT_EXPORT_ROWS = 1_000_000
 MAX_NULL_PCT = 5.0
 

@@ -13,7 +13,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 
 from usage_rollup.operators.maintain import replace_range
-from usage_rollup.params import DEFAULT_CHUNK, JobParams
+from usage_rollup.params import NO_LIMIT, JobParams
 from usage_rollup.schema import LOG_COLUMNS
 from usage_rollup.sources.scan import scan_log
 
@@ -28,7 +28,7 @@ def run_ingest(
     fmt: str = "parquet",
     columns=LOG_COLUMNS,
     scope: str | None = None,
-    max_records: int = DEFAULT_CHUNK,
+    max_records: int = NO_LIMIT,
     cluster_staged: bool = True,
 ) -> int:
     """Load ``params.project`` rows of ``[start, end)`` from ``source`` into ``target``.

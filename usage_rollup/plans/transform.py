@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from usage_rollup.operators.maintain import LOG_PARTITION, export_partitioned, write_rollup
 from usage_rollup.operators.rollup import daily_rollup
 from usage_rollup.params import DEFAULT_EXPORT_ROWS
-from usage_rollup.sources.scan import resolve_source
+from usage_rollup.schema import ROLLUP_COLUMNS
+from usage_rollup.sources.scan import load_rollup, resolve_source
 
 
 def prune_log_dates(src, start=None, end=None, partition_col: str = LOG_PARTITION):
@@ -48,5 +49,6 @@ def run_transform(
     src = prune_log_dates(resolve_source(spark, data_source, database, root), start, end)
     n = write_rollup(spark, daily_rollup(src, start, end), target, mode, grain)
     if export_path and mode == "full":
-        export_partitioned(spark.read.parquet(target), "download_date", export_path, export_rows)
+        rollup = load_rollup(spark, target).select(*ROLLUP_COLUMNS)  # a path or a catalog table
+        export_partitioned(rollup, "download_date", export_path, export_rows)
     return n

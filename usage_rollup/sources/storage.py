@@ -9,6 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+#: Directory value under which Spark stores rows whose partition value is NULL.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
 
 def _fs_and_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -23,12 +26,15 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def has_data(spark: SparkSession, path: str) -> bool:
-    """A directory that exists and holds a committed dataset (``_SUCCESS`` or files)."""
+    """A folder that holds a data file, at any depth (stops at the first one found)."""
     fs, p = _fs_and_path(spark, path)
     if not fs.exists(p):
         return False
-    return any(not s.getPath().getName().startswith((".", "_")) or s.getPath().getName() == "_SUCCESS"
-               for s in fs.listStatus(p))
+    it = fs.listFiles(p, True)
+    while it.hasNext():
+        if not it.next().getPath().getName().startswith((".", "_")):
+            return True
+    return False
 
 
 def list_partitions(spark: SparkSession, path: str, column: str) -> list[str]:

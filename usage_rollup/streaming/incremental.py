@@ -2,8 +2,8 @@
 
 The keyed incremental model (rows replaced by ``load_id``) driven by newly
 landed raw-log files: each micro-batch only tells *which dates* changed; the
-rollup of those dates is recomputed from the whole source (partition-pruned
-through a semi-join on the raw table's date partitions) and upserted by key.
+rollup of those dates is recomputed from the source, whose scan is pruned to
+them by a list of partition values, and upserted by key.
 
 Why recompute instead of adding micro-batch counts: the upsert replaces keys,
 so a replayed micro-batch (after a failure) yields the same table; adding
@@ -18,30 +18,33 @@ from pyspark.sql import functions as F
 
 from usage_rollup.operators.maintain import LOG_PARTITION, rollup_partition_column, upsert_by_key
 from usage_rollup.operators.rollup import daily_rollup
-from usage_rollup.session import scratch_dir
+
+# Files per micro-batch, so that a first run does not take the full history at once.
+MAX_FILES = 10_000
 
 
 def upsert_affected_dates(spark: SparkSession, batch: DataFrame, source_path: str, target: str,
                           ts: str = "timestamp", grain: str = "month") -> int:
     """Recompute the rollup for the dates present in ``batch`` and upsert it."""
-    dates = batch.select(F.to_date(F.col(ts)).alias("_d")).where(F.col("_d").isNotNull()).distinct()
     full = spark.read.option("basePath", source_path).parquet(source_path)
-    if LOG_PARTITION in full.columns:
-        # semi-join on the partition column: dynamic partition pruning reads only those dates
-        affected = full.join(dates, F.col(LOG_PARTITION) == F.col("_d"), "left_semi")
-    else:
-        affected = full.join(dates, F.to_date(F.col(ts)) == F.col("_d"), "left_semi")
+    day = F.col(LOG_PARTITION) if LOG_PARTITION in full.columns else F.to_date(F.col(ts))
+    # calendar days: bounded metadata, stated as literals so the source scan is pruned to them
+    dates = [r[0] for r in batch.select(day.alias("d")).where("d IS NOT NULL").distinct().collect()]
+    if not dates:
+        return 0
+    affected = full.where(day.isin(dates))
     return upsert_by_key(spark, target, daily_rollup(affected, ts=ts), partition_col=rollup_partition_column(grain))
 
 
-def start_incremental_rollup(spark: SparkSession, source_path: str, target: str, checkpoint: str | None = None,
-                             ts: str = "timestamp", available_now: bool = True, max_files_per_trigger: int | None = None,
+def start_incremental_rollup(spark: SparkSession, source_path: str, target: str, checkpoint: str,
+                             ts: str = "timestamp", available_now: bool = True, max_files_per_trigger: int | None = MAX_FILES,
                              schema=None, grain: str = "month"):
     """Start the streaming query; returns the ``StreamingQuery``.
 
     ``available_now`` processes what has landed and stops (scheduled runs);
     otherwise it keeps running with the default trigger. Pass ``schema`` to
-    skip inferring it from the source's files.
+    skip inferring it from the source's files. ``checkpoint`` must be the same
+    folder at every start, or all files are processed anew.
     """
     schema = schema or spark.read.option("basePath", source_path).parquet(source_path).schema
     reader = spark.readStream.schema(schema).option("basePath", source_path)
@@ -53,6 +56,6 @@ def start_incremental_rollup(spark: SparkSession, source_path: str, target: str,
         upsert_affected_dates(batch.sparkSession, batch, source_path, target, ts, grain)
 
     w = (stream.writeStream.foreachBatch(apply)
-         .option("checkpointLocation", checkpoint or scratch_dir(spark, "stream-ckpt")))
+         .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w
     return w.start()
