@@ -30,3 +30,25 @@ def test_incremental_stream_matches_batch_rollup(spark, scratch):
     q.awaitTermination(300)
     got = spark.read.parquet(target).select(*ROLLUP_COLUMNS)
     assertDataFrameEqual(got, daily_rollup(log).select(*ROLLUP_COLUMNS))
+
+
+def test_micro_batch_scan_of_the_source_is_pruned_to_its_dates(spark, scratch, monkeypatch):
+    from usage_rollup.streaming import incremental
+
+    src, target, ckpt = scratch("prune-src"), scratch("prune-rollup"), scratch("prune-ckpt")
+    log = download_log(spark, SF, with_orders=False)
+    plans = []
+
+    def upsert(spark_, target_, rollup, **kw):
+        plans.append(rollup._jdf.queryExecution().executedPlan().toString())
+        return 0
+
+    monkeypatch.setattr(incremental, "upsert_by_key", upsert)
+    _land(log, src, F.to_date("timestamp") < F.lit("2024-01-20"))
+    start_incremental_rollup(spark, src, target, ckpt).awaitTermination(300)
+    _land(log, src, F.to_date("timestamp") == F.lit("2024-01-20"))
+    start_incremental_rollup(spark, src, target, ckpt).awaitTermination(300)
+    filters = [line for line in plans[-1].replace("PartitionFilters", "\nPartitionFilters").splitlines()
+               if line.startswith("PartitionFilters")]
+    assert filters and all("2024-01-20" in f or "19742" in f for f in filters), filters
+    assert not any("2024-01-10" in f for f in filters)
