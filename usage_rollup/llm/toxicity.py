@@ -42,10 +42,12 @@ def _terms(h: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
-    """(text, toxic) of at most ``max_labelled`` labelled rows, smallest hash first, one row per doc_id."""
+    """(text, toxic) of at most ``max_labelled`` labelled rows, smallest hash first, one row (smallest text) per doc_id."""
     picked = (labels.where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled))
-    return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("text", "toxic")
+    found = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    # partial minimum first: a doc_id that many rows share leaves one row a task
+    return found.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).select("text", "toxic")
 
 
 class ToxicityModel:
