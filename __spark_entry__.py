@@ -14,6 +14,7 @@ fresh directory under ``spark.checkpoint.dir`` and return the re-read table.
 
 from __future__ import annotations
 
+import datetime
 import os
 import sys
 from collections.abc import Callable
@@ -34,11 +35,12 @@ from usage_rollup.params import JobParams
 from usage_rollup.schema import ROLLUP_COLUMNS
 from usage_rollup.session import scratch_dir
 from usage_rollup.sources.driverdata import download_log, flat_log
-from usage_rollup.sources.scan import read_partitioned, scan_log, sql_over_rollup
+from usage_rollup.sources.scan import load_rollup, mock_log, read_partitioned, scan_log, sql_over_rollup
 
 # Fixed parameters of the driver queries.
 AS_OF = "2024-01-31"
 STALE_AS_OF = "2024-06-01"
+PAST = "1997-09-30"
 SLICE = ("1996-03-04", "1995-06-05")
 SCAN = JobParams(project="alpha", start="2024-01-10", end="2024-01-20 12:00:00")
 USER_SQL = (
@@ -115,6 +117,53 @@ def _replace_null_ts(spark, sf):
     return flat_log(spark.read.parquet(target))
 
 
+def _replace_rejected(spark, sf):
+    """A load with a tenth of its timestamps missing fails the gate; the table stays as it was."""
+    target, log = _seed(spark, sf), _log(spark, sf)
+    staged = log.withColumn("timestamp", F.when(F.minute("timestamp") % 4 != 3, F.col("timestamp"))).where("project <> 'gamma'")
+    try:
+        maintain.replace_range(spark, staged, target, "timestamp", "2024-01-01", "2024-02-01", **_BY_MONTH)
+    except quality.DataQualityError:
+        return flat_log(spark.read.parquet(target))
+    raise AssertionError("the gate let a rejected load pass")
+
+
+def _ingest_created(spark, sf):
+    """The ingest job reads the log's files by path into a target that was created empty."""
+    from usage_rollup.plans import run_ingest
+
+    source, target, log = scratch_dir(spark, "q-source"), scratch_dir(spark, "q-raw"), _log(spark, sf)
+    by_month = log.withColumn("log_month", maintain.log_partition("timestamp", "month"))
+    maintain.clustered(by_month, "log_month").write.partitionBy("log_month").parquet(source)
+    maintain.ensure_target(spark, by_month, target, ["log_month"])
+    run_ingest(spark, source, target, JobParams(project="gamma", start="1992-01-01", end="2024-02-01"),
+               options={"mergeSchema": "false"}, schema=by_month.schema, **_BY_MONTH)
+    return flat_log(spark.read.parquet(target))
+
+
+def _scan_json(spark, sf):
+    """The log as JSON lines, scanned by path with the log's schema."""
+    path, log = scratch_dir(spark, "q-json"), _log(spark, sf)
+    micros = dict.fromkeys(("timestampFormat", "timestampNTZFormat"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    log.write.options(**micros).json(path)
+    return flat_log(scan_log(spark, path, SCAN, fmt="json", options=micros, schema=log.schema))
+
+
+def _published(spark, sf):
+    """A written rollup read back by path, then ad-hoc SQL over it."""
+    target = scratch_dir(spark, "q-rollup")
+    maintain.write_rollup(spark, _rollup(spark, sf), target)
+    return sql_over_rollup(spark, load_rollup(spark, target), USER_SQL, view="pypi_daily_stats")
+
+
+def _inline_rows(spark, sf):
+    """Inline rows with NULL structs next to the log."""
+    log = _log(spark, sf)
+    day = datetime.datetime(2024, 1, 9, 8)
+    rows = [(day, "FR", None, "delta", None, None, None, None)] * 2
+    return daily_rollup(log.unionByName(mock_log(spark, rows, log.schema["timestamp"].dataType)))
+
+
 def _delete(spark, sf):
     target = _seed(spark, sf)
     maintain.delete_range_table(spark, target, "timestamp", "2024-01-10 06:00:00", "2024-01-14", **_BY_MONTH)
@@ -221,14 +270,17 @@ SURVEY_IDS = {
     "weekly_series": "R1 F5 F6 J2 A3 A10 O1", "weekly_series_stale": "R1 F6 (empty)", "last_two_weeks": "R2 O3",
     "monthly_recent": "R3 A4 O4", "last_two_months": "R4 O5", "daily_series": "R11 A9",
     "daily_series_30": "R11 F4", "total_downloads": "R5 A5", "refresh_date": "R6 A6",
-    "top_versions_all": "R7 A7 O2 P4", "top_versions_7": "R7 F4", "top_versions_30": "R7 F4",
+    "top_versions_all": "R7 A7 O2", "top_versions_7": "R7 F4", "top_versions_30": "R7 F4",
     "top_versions_90": "R7 F4", "top_runtime": "R8", "top_countries": "R9", "top_breakdowns_30": "R7-R9 B1",
     "version_adoption": "R10 A8 F7", "adoption_versions": "A12", "adoption_pivot": "T3 A13",
     "adoption_share": "T4", "adoption_share_long": "T4 (long form)", "kpi_cards": "T1 T2 T5",
     "sparkline": "O7", "series_slice": "F9", "report_labels": "labels", "daily_labels": "labels",
-    "kpi_labels": "labels T5", "sql_over_rollup": "S8 S7", "report_bundle": "B1 U1 F8",
+    "kpi_labels": "labels T5", "sql_over_rollup": "S8", "published_rollup_sql": "S7 S8 W7",
+    "top_versions_alias": "R7 P4", "inline_rows_rollup": "S9 A1", "scan_log_from_path": "S1 (path, JSON)",
+    "ingest_into_created_target": "W2 W3 S1 (path, options)", "replace_range_rejected": "Q5 Q1 W6 (gate fails)",
+    "top_versions_90_past": "R7 F4 (90 days)", "report_bundle": "B1 U1 F8",
     "report_bundle_bad_period": "B1 F8 (whitelist)", "series_slice_missing_bound": "F9 (missing label)",
-    "replace_range": "W6 W4 W3 W2 S4 Q5 U1", "replace_range_scoped": "W6 (scope)", "delete_range": "W4",
+    "replace_range": "W6 W4 W3 S4 U1", "replace_range_scoped": "W6 (scope)", "delete_range": "W4",
     "replace_range_emptied_date": "W6 (emptied dates)", "replace_range_null_ts": "W6 Q2 (NULL timestamps)",
     "delete_all_then_reload": "W4 W6 (emptied table)",
     "delete_range_frame": "W4 (frame)", "quality_report_staged": "S4 A2 A11 Q4",
@@ -279,6 +331,9 @@ def _rollup_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "top_versions_7": lambda s, sf: R.top_versions(_rollup(s, sf), 7, AS_OF),
         "top_versions_30": lambda s, sf: R.top_versions(_rollup(s, sf), 30, AS_OF),
         "top_versions_90": lambda s, sf: R.top_versions(_rollup(s, sf), 90, AS_OF),
+        # the orders end in the years before, so 90 days differ from 30 there
+        "top_versions_90_past": lambda s, sf: R.top_versions(_rollup(s, sf).where(F.col("download_date") <= F.to_date(F.lit(PAST))), 90, PAST),
+        "top_versions_alias": lambda s, sf: R.top_versions(_rollup(s, sf), 0, AS_OF, alias="release"),
         "top_runtime": lambda s, sf: R.top_runtimes(_rollup(s, sf), 0, AS_OF),
         "top_countries": lambda s, sf: R.top_countries(_rollup(s, sf), 0, AS_OF),
         "top_breakdowns_30": lambda s, sf: R.top_breakdowns(_rollup(s, sf), 30, AS_OF),
@@ -295,6 +350,10 @@ def _rollup_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "report_labels": _monthly_labels,
         "daily_labels": _daily_labels,
         "kpi_labels": _kpi_labels,
+        "published_rollup_sql": _published,
+        "inline_rows_rollup": lambda s, sf: _text_dates(_inline_rows(s, sf)),
+        "scan_log_from_path": _scan_json,
+        "ingest_into_created_target": _ingest_created,
         "sql_over_rollup": lambda s, sf: sql_over_rollup(s, _rollup(s, sf), USER_SQL),
         "report_bundle": lambda s, sf: R.bundle_long(R.report_bundle(_rollup(s, sf), 30, AS_OF)),
         # 5 is not an allowed period, so the bundle falls back to all time
@@ -306,6 +365,7 @@ def _rollup_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "replace_range_scoped": lambda s, sf: _replace(s, sf, scope="project"),
         "replace_range_emptied_date": _replace_emptied,
         "replace_range_null_ts": _replace_null_ts,
+        "replace_range_rejected": _replace_rejected,
         "delete_range": _delete,
         "delete_all_then_reload": _delete_all,
         "delete_range_frame": lambda s, sf: flat_log(maintain.delete_range(
@@ -381,8 +441,8 @@ _MONTHLY = """
   FROM rollup GROUP BY year_month ORDER BY year_month DESC"""
 
 
-def _top_sql(dim: str, days: int = 0, alias: str | None = None) -> str:
-    where = f"WHERE download_date >= DATE '{AS_OF}' - INTERVAL '{days} days'" if days else ""
+def _top_sql(dim: str, days: int = 0, alias: str | None = None, as_of: str = AS_OF, until: str = "") -> str:
+    where = f"WHERE download_date >= DATE '{as_of}' - INTERVAL '{days} days'{until}" if days else ""
     return f"""
   SELECT {dim} AS {alias or dim}, CAST(SUM(daily_download_sum) AS BIGINT) AS total_downloads
   FROM rollup {where} GROUP BY {dim}
@@ -511,6 +571,8 @@ def _rollup_oracle() -> dict[str, str]:
         "top_versions_7": _with(_top_sql("version", 7)),
         "top_versions_30": _with(_top_sql("version", 30)),
         "top_versions_90": _with(_top_sql("version", 90)),
+        "top_versions_90_past": _with(_top_sql("version", 90, as_of=PAST, until=f" AND download_date <= DATE '{PAST}'")),
+        "top_versions_alias": _with(_top_sql("version", alias="release")),
         "top_runtime": _with(_top_sql("python_version")),
         "top_countries": _with(_top_sql("country_code")),
         "top_breakdowns_30": _with(_breakdowns_sql(30)),
@@ -543,6 +605,14 @@ def _rollup_oracle() -> dict[str, str]:
             f"{_kpi_label('total_downloads')} AS total_label, "
             f"strftime(CAST(refresh_date AS DATE), '%b %-d, %Y') AS refresh_label FROM kpi"),
         "sql_over_rollup": _with(f"SELECT * FROM (WITH pypi_daily_stats AS (SELECT * FROM rollup) {USER_SQL}) q"),
+        "published_rollup_sql": _with(f"SELECT * FROM (WITH pypi_daily_stats AS (SELECT * FROM rollup) {USER_SQL}) q"),
+        "inline_rows_rollup": _with(f"SELECT {rollup_cols} FROM rollup").replace("\n),\nrollup", "".join(
+            "\n  UNION ALL SELECT TIMESTAMP '2024-01-09 08:00:00', 'delta', 'FR', NULL, NULL, NULL, NULL, NULL" for _ in range(2))
+            + "\n),\nrollup", 1),
+        "scan_log_from_path": _with(
+            f"SELECT {_FLAT} FROM log WHERE project = 'alpha' AND \"timestamp\" >= TIMESTAMP '2024-01-10' "
+            "AND \"timestamp\" < TIMESTAMP '2024-01-20 12:00:00'"),
+        "ingest_into_created_target": _with(f"SELECT {_FLAT} FROM log WHERE project = 'gamma'"),
         "report_bundle": _bundle_sql(30),
         "report_bundle_bad_period": _bundle_sql(0),
         "series_slice_missing_bound": _with(_weekly_sql(AS_OF)),
@@ -558,6 +628,7 @@ def _rollup_oracle() -> dict[str, str]:
         "replace_range_null_ts": _with(
             f"SELECT {_FLAT} FROM log WHERE NOT ({no_ts})\n" + "\n".join(
                 f"UNION ALL SELECT CAST(NULL AS TIMESTAMP) AS {_FLAT} FROM log WHERE {no_ts}" for _ in range(2))),
+        "replace_range_rejected": _with(f"SELECT {_FLAT} FROM log"),
         "delete_range": _with(
             f"SELECT {_FLAT} FROM log WHERE NOT (\"timestamp\" >= TIMESTAMP '2024-01-10 06:00:00' "
             "AND \"timestamp\" < TIMESTAMP '2024-01-14')"),

@@ -16,6 +16,10 @@ from usage_rollup.params import JobParams
 from usage_rollup.schema import LOG_COLUMNS, log_schema
 
 
+# Formats whose files carry no schema.
+SCHEMALESS = ("json", "csv", "xml")
+
+
 def log_predicate(params: JobParams, ts_type=None) -> Column:
     """Project equality AND half-open ``[start, end)`` on the timestamp column."""
     ts_type = ts_type or "timestamp"
@@ -36,21 +40,26 @@ def scan_log(
     fmt: str = "parquet",
     options: dict | None = None,
     date_partition: str | None = "log_date",
+    schema=None,
 ) -> DataFrame:
     """Filtered + projected scan of a raw download log.
 
-    ``path_or_df`` is a path (read with ``fmt``) or an existing DataFrame
-    (e.g. a catalog table). Bounds are cast to the column's own timestamp
+    ``path_or_df`` is an existing DataFrame, a catalog table's name
+    (``fmt="table"``), or whatever the reader ``fmt`` loads (a path, a
+    connector's table name) with ``options``. ``schema`` is passed on when
+    given; only formats without a schema of their own get the log's. Bounds are cast to the column's own timestamp
     type so the range reaches the Parquet reader as pushed filters. When the
     source has a ``date_partition`` column (``to_date`` of the timestamp), the
     range is also stated on it for partition pruning.
     """
     if isinstance(path_or_df, DataFrame):
         src = path_or_df
+    elif fmt == "table":
+        src = spark.table(path_or_df)
     else:
         reader = spark.read.format(fmt).options(**(options or {}))
-        if fmt not in ("parquet", "orc", "delta"):
-            reader = reader.schema(log_schema())
+        if schema is not None or fmt in SCHEMALESS:
+            reader = reader.schema(schema or log_schema())
         src = reader.load(path_or_df)
     cols = list(columns)
     if params.ts_col not in cols and params.ts_col in src.columns:
