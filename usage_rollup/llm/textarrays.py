@@ -2,7 +2,7 @@
 
 One pass of numpy over the UTF-8 bytes of a batch finds the words (maximal
 runs of non-separator bytes) of every text and a 64-bit hash for each. Texts
-are taken in chunks of a few MB, so memory stays bounded whatever the size of
+are taken in chunks of about half a MB, so memory stays bounded whatever the size of
 an Arrow batch; a text is never cut, a longer one forms a chunk of its own.
 """
 
@@ -16,7 +16,7 @@ import pyarrow as pa
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INV = pow(_BASE, -1, 1 << 64)
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 
 _powers = (np.ones(1, np.uint64), np.ones(1, np.uint64))
 
