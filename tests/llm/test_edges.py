@@ -231,6 +231,31 @@ def test_neighbours_of_the_index_are_exact():
         assert np.allclose(got, np.sort(dense @ q)[::-1][:7])
 
 
+def test_toxicity_keeps_every_term_over_the_test(docs, spark):
+    # 160 toxic and 160 clean words of 16 rows each: more than the former 128 terms
+    rows = [(i, f"{'bad' if i % 2 else 'fine'}{chr(97 + i % 320 // 26)}{chr(97 + i % 320 % 26)}") for i in range(5120)]
+    frame = docs(rows)
+    model = toxicity.fit(frame.select("doc_id", "text"), spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int"))
+    assert len(model.vocabulary) >= 320
+    assert all((r.score >= 0.5) == (r.doc_id % 2 == 1) and r.neighbours for r in toxicity.score_toxicity(docs(rows[:320]), model).collect())
+
+
+def test_neighbours_with_rare_and_frequent_terms():
+    rng = np.random.default_rng(8)
+    model = toxicity.ToxicityModel(np.arange(1, 401, dtype=np.uint64), k=7)
+    model.idf = rng.random(400) + 0.5
+    examples = [(np.unique(np.concatenate([rng.choice(20, 8), rng.choice(400, 8)])), None) for _ in range(700)]
+    examples = [(t, rng.integers(1, 4, len(t))) for t, _ in examples] + [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    model.index(examples, rng.integers(0, 2, 701))
+    plain = np.zeros((701, 400))
+    for i, (t, c) in enumerate(examples):
+        plain[i, t] = model.weights(t, c)
+    for i, (d, s) in enumerate(model.search(examples, range(701))):
+        want = plain @ plain[i]
+        want[i] = 0
+        assert np.allclose(s, np.sort(want)[::-1][:7][:len(s)]) and np.allclose(want[d], s) and len(s) == min(7, (want > 0).sum())
+
+
 def test_warc(spark, scratch):
     rows = [(1, "http://a b/", "same", 1), (2, None, "same", 1), (3, "u", None, 1), (None, "u", "same", 1), (4, "u", "ü" * 70000, 1), (2, None, "same", 1)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, bundle int")

@@ -1,15 +1,15 @@
 """Operator 8: toxicity by the nearest labelled examples under TF-IDF cosine.
 
-Terms are lower-cased words without punctuation and their prefixes. Those whose presence differs
+Terms are lower-cased words without punctuation and their prefixes. All those whose presence differs
 between toxic and clean labelled rows (chi-square) form the vocabulary; inverse
 document frequencies come from all documents. The labelled examples are held in
-a block-max inverted index: examples are cut into blocks, a term keeps its
-largest weight per block, and a query visits blocks by falling upper bound until
-no block can improve its k-th neighbour, so the neighbours are exact. Votes are
+an inverted index: terms that many examples hold are dense rows, multiplied with
+many queries at once, the others are lists of postings. These scores name the
+candidates, whose cosines are then taken anew, so the neighbours are exact. Votes are
 weighted by similarity and calibrated by a logistic fit on leave-one-out votes.
 
 The fit uses at most ``max_labelled`` labelled rows (smallest hash of doc_id
-first); document frequencies and scores cover every text.
+first), which bounds the vocabulary too; document frequencies and scores cover every text.
 """
 
 from __future__ import annotations
@@ -24,11 +24,13 @@ from pyspark.sql import functions as F
 from . import textarrays as ta
 from .common import documents
 
-MAX_LABELLED = 10_000
-MAX_TERMS = 128
-#: A term needs this chi-square, and this share of the labelled rows as chi-square (a strength that does not grow with them).
-CHI2, PHI2 = 15.0, 0.003
-BLOCK = 128
+MAX_LABELLED = 20_000
+#: Chi-square that a term needs, whatever the number of labelled rows.
+CHI2 = 15.0
+#: Terms of this share of the examples are dense rows of the index; so many queries are multiplied at once.
+DENSE, BATCH = 0.05, 128
+#: Bound of the rounding error of the 32-bit scores that name the candidates.
+ROUNDING = 1e-4
 #: Besides a word, its first so many bytes are terms (they join inflected forms).
 PREFIXES = (3, 6)
 
@@ -51,7 +53,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_
 
 
 class ToxicityModel:
-    """Vocabulary, idf, block-max index and calibration; size bounded by the sample."""
+    """Vocabulary, idf, inverted index and calibration; size bounded by the sample."""
 
     def __init__(self, vocabulary: np.ndarray, k: int = 25):
         self.vocabulary, self.k = vocabulary, k
@@ -63,58 +65,66 @@ class ToxicityModel:
         return w / np.linalg.norm(w) if len(w) else w
 
     def index(self, examples: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> None:
-        """Block-max inverted index of (terms, counts) examples."""
+        """Inverted index of (terms, counts) examples."""
         self.labels = labels
-        blocks = -(-len(examples) // BLOCK)
-        term = np.concatenate([t for t, _ in examples]) if examples else np.zeros(0, np.int64)
-        doc = np.repeat(np.arange(len(examples)), [len(t) for t, _ in examples])
-        weight = np.concatenate([self.weights(t, c) for t, c in examples]) if examples else np.zeros(0)
-        order = np.lexsort((doc, term))
-        self.doc, self.weight = doc[order], weight[order]
-        self.first = np.searchsorted(term[order], np.arange(len(self.vocabulary) + 1))
-        #: [term, block]: first posting and largest weight of the term in the block
-        cell = term[order] * (blocks + 1) + self.doc // BLOCK
-        self.cut = np.searchsorted(cell, (np.arange(len(self.vocabulary))[:, None] * (blocks + 1)
-                                          + np.arange(blocks + 1)[None, :]))
-        self.top = np.zeros((len(self.vocabulary), blocks), np.float64)
-        np.maximum.at(self.top, (term[order], self.doc // BLOCK), self.weight)
+        self.term = np.concatenate([t for t, _ in examples]) if examples else np.zeros(0, np.int64)
+        self.value = np.concatenate([self.weights(t, c) for t, c in examples]) if examples else np.zeros(0)
+        #: first entry of each example
+        self.start = np.concatenate([[0], np.cumsum([len(t) for t, _ in examples])]).astype(np.int64)
+        doc = np.repeat(np.arange(len(examples)), np.diff(self.start))
+        order = np.lexsort((doc, self.term))
+        self.doc, self.weight = doc[order], self.value[order].astype(np.float32)
+        self.first = np.searchsorted(self.term[order], np.arange(len(self.vocabulary) + 1))
+        often = np.diff(self.first) > DENSE * len(examples)
+        #: number of each term's dense row, -1 without
+        self.row = np.where(often, np.cumsum(often) - 1, -1)
+        self._dense = None
+
+    def __getstate__(self):
+        return {**self.__dict__, "_dense": None}  # unfolded again where it is used
+
+    def dense(self) -> np.ndarray:
+        if self._dense is None:
+            self._dense = np.zeros((int(self.row.max(initial=-1)) + 1, len(self.labels)), np.float32)
+            for t in np.flatnonzero(self.row >= 0):
+                lo, hi = self.first[t], self.first[t + 1]
+                self._dense[self.row[t], self.doc[lo:hi]] = self.weight[lo:hi]
+        return self._dense
 
     def neighbours(self, terms: np.ndarray, counts: np.ndarray, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of largest cosine over 0 (exact; ties to the smaller number): (numbers, cosines)."""
-        q = self.weights(terms, counts)
-        none = np.zeros(0, np.int64), np.zeros(0)
-        if not len(q) or not self.top.shape[1]:
-            return none
-        bound = q @ self.top[terms]
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        best = none
-        for b in order[:4]:  # the most promising blocks set the bar
-            if len(best[1]) >= self.k and bound[b] < best[1][-1] * (1 - 1e-12):
-                return best
-            score = np.zeros(BLOCK)
-            for t, w in zip(terms, q):
-                lo, hi = self.cut[t, b], self.cut[t, b + 1]
-                score[self.doc[lo:hi] - b * BLOCK] += w * self.weight[lo:hi]
-            best = self._best(best, score, b * BLOCK, skip)
-        bar = best[1][-1] * (1 - 1e-12) if len(best[1]) >= self.k else 0.0
-        rest = order[4:][bound[order[4:]] >= bar]
-        if len(rest):  # all blocks that can still improve on it, at once
-            score = np.zeros(self.top.shape[1] * BLOCK)
-            for t, w in zip(terms, q):
-                lo, hi = self.first[t], self.first[t + 1]
-                score[self.doc[lo:hi]] += w * self.weight[lo:hi]
-            able = np.zeros(self.top.shape[1], bool)
-            able[rest] = True
-            score.reshape(-1, BLOCK)[~able] = 0
-            score[score < bar] = 0
-            best = self._best(best, score, 0, skip)
-        return best
-
-    def _best(self, best, score, base, skip):
-        hit = np.flatnonzero(score > 0)
-        d = hit + base
-        d, s = np.concatenate([best[0], d[d != skip]]), np.concatenate([best[1], score[hit][d != skip]])
+        return next(self.search([(terms, counts)], [skip]))
+
+    def search(self, queries: list[tuple[np.ndarray, np.ndarray]], skips=None):
+        """Yields the ``neighbours`` of each query; ``skips`` are examples to leave out."""
+        dense = self.dense()
+        full = np.zeros(len(self.vocabulary))
+        for lo in range(0, len(queries), BATCH):
+            part = [(t, self.weights(t, c)) for t, c in queries[lo:lo + BATCH]]
+            q = np.zeros((len(part), len(dense)), np.float32)
+            for i, (t, w) in enumerate(part):
+                often = self.row[t] >= 0
+                q[i, self.row[t[often]]] = w[often]
+            scores = q @ dense
+            for i, (t, w) in enumerate(part):
+                score = scores[i]
+                for x in np.flatnonzero(self.row[t] < 0):
+                    a, b = self.first[t[x]], self.first[t[x] + 1]
+                    score[self.doc[a:b]] += np.float32(w[x]) * self.weight[a:b]
+                if skips is not None and skips[lo + i] >= 0:
+                    score[skips[lo + i]] = 0
+                full[t] = w
+                yield self._best(score, full)
+                full[t] = 0
+
+    def _best(self, score: np.ndarray, full: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        bar = np.partition(score, -self.k)[-self.k] - 2 * ROUNDING if len(score) > self.k else 0
+        d = np.flatnonzero(score >= bar) if bar > 0 else np.flatnonzero(score > 0)
+        if not len(d):
+            return np.zeros(0, np.int64), np.zeros(0)
+        n = np.diff(self.start)[d]
+        at = np.repeat(self.start[d] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        s = np.add.reduceat(full[self.term[at]] * self.value[at], np.cumsum(n) - n)
         order = np.lexsort((d, -s))[:self.k]
         return d[order], s[order]
 
@@ -127,7 +137,7 @@ class ToxicityModel:
     def calibrate(self, examples: list[tuple[np.ndarray, np.ndarray]]) -> None:
         """Logistic fit of labels on leave-one-out votes (Newton steps, ridge for separable votes)."""
         self.rate = (float((self.labels == 1).sum()) + 1) / (len(self.labels) + 2)
-        x = np.array([self.vote(*self.neighbours(t, c, skip=i)) for i, (t, c) in enumerate(examples)])
+        x = np.array([self.vote(d, s) for d, s in self.search(examples, range(len(examples)))])
         y = (self.labels == 1).astype(float)
         z = np.column_stack([x, np.ones(len(x))]) if len(x) else np.zeros((0, 2))
         beta, ridge = np.array([1.0, 0.0]), 1e-2
@@ -146,8 +156,7 @@ class ToxicityModel:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.a * self.vote(numbers, cosines) + self.b))))
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_terms: int = MAX_TERMS,
-        k: int = 25) -> ToxicityModel:
+def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, k: int = 25) -> ToxicityModel:
     """Model of ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic)."""
     spark = docs.sparkSession
     sample = labelled_sample(docs, labels, max_labelled)
@@ -167,8 +176,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, ma
     chi2 = (a - expected) ** 2 * n / F.greatest(expected * (n - t) / max(n, 1) * (1 - m / max(n, 1)), F.lit(1e-9))
     rows = (sample.mapInArrow(hashes, "term long, toxic long").groupBy("term")
             .agg(F.sum("toxic").alias("a"), F.count("*").alias("m")).where("m >= 5").withColumn("chi2", chi2 / n if n else F.lit(0.0))
-            .where(F.col("chi2") >= max(CHI2, PHI2 * n)).orderBy(F.desc("chi2"), "term").limit(max_terms).collect())
-    model = ToxicityModel(np.sort(np.array([r.term for r in rows], np.int64).view(np.uint64)), k)
+            .where(F.col("chi2") >= CHI2).select("term").toArrow())
+    model = ToxicityModel(np.sort(rows["term"].to_numpy().astype(np.int64).view(np.uint64)), k)
     shared = spark.sparkContext.broadcast(model.vocabulary)
 
     def frequencies(batches):
@@ -192,9 +201,11 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, ma
                                               pa.array([c.tolist() for _, c in found], pa.list_(pa.int64())),
                                               b.column("toxic").cast(pa.int64())], names=["terms", "counts", "toxic"])
 
-    rows = sorted(tuple(r) for r in sample.mapInArrow(vectors, "terms array<long>, counts array<long>, toxic long").collect())
-    examples = [(np.array(x, np.int64), np.array(c, np.int64)) for x, c, _ in rows]
-    model.index(examples, np.array([y for _, _, y in rows], np.int64))
+    rows = sample.mapInArrow(vectors, "terms array<long>, counts array<long>, toxic long").toArrow()
+    found = sorted(zip((x.values.to_numpy() for x in rows["terms"]), (x.values.to_numpy() for x in rows["counts"]), rows["toxic"].to_pylist()),
+                   key=lambda r: (r[0].tobytes(), r[1].tobytes(), r[2]))
+    examples = [(x, c) for x, c, _ in found]
+    model.index(examples, np.array([y for _, _, y in found], np.int64))
     model.calibrate(examples)
     return model
 
@@ -211,16 +222,15 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text"
     def scored(texts):  # type: ignore[no-untyped-def]
         import pandas as pd
 
-        model, out, near, known = shared.value, [], [], {}
+        model, keys, distinct = shared.value, [], {}
         batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.large_string(), from_pandas=True)], names=["text"])
         for _, h in ta.text_rows(batch, "text", ta.BARE_WORDS, prefixes=PREFIXES):
             terms, counts = _terms(h, model.vocabulary)
-            key = terms.tobytes() + counts.tobytes()
-            if key not in known:
-                known[key] = model.neighbours(terms, counts)
-            d, s = known[key]
-            out.append(model.score(d, s))
-            near.append([{"example": int(x), "label": int(model.labels[x]), "cosine": float(c)} for x, c in zip(d, s)])
+            keys.append(terms.tobytes() + counts.tobytes())
+            distinct.setdefault(keys[-1], (terms, counts))
+        known = dict(zip(distinct, ((model.score(d, s), [{"example": int(x), "label": int(model.labels[x]), "cosine": float(c)} for x, c in zip(d, s)])
+                                    for d, s in model.search(list(distinct.values())))))
+        out, near = [known[key][0] for key in keys], [known[key][1] for key in keys]
         return pd.DataFrame({"score": pd.Series(out, dtype=float), "neighbours": pd.Series(near, dtype=object)})
 
     return (docs.withColumn("_toxicity", scored(F.col(text_col).cast("string")))
