@@ -110,6 +110,18 @@ def test_quality(docs):
     assert quality.quality_rules(docs([])).count() == 0
 
 
+def test_quality_band_rejects_scrambled_texts(docs):
+    rng = np.random.default_rng(11)
+    words = ["".join(rng.choice(list("etaoinshr"), rng.integers(3, 8))) for _ in range(60)]
+    plain = [" ".join(rng.choice(words, 60)) for _ in range(300)]
+    # some letters replaced: most are rejected by a width of 2 and kept by the former 4
+    odd = ["".join(rng.choice(list("etaoinshr")) if c != " " and rng.random() < 0.03 else c for c in t) for t in plain[:20]]
+    out = quality.quality_rules(docs([*enumerate(plain), *((1000 + i, t) for i, t in enumerate(odd))])).collect()
+    assert not any(r.base_failed for r in out)
+    assert sum(r.kept for r in out if r.doc_id < 1000) >= 295
+    assert sum(not r.kept for r in out if r.doc_id >= 1000) >= 15
+
+
 def test_kneser_ney_sums_to_one():
     rng = np.random.default_rng(5)
     keys = np.unique(rng.integers(0, 64 ** 4, 5000))
