@@ -228,6 +228,32 @@ def _stream(spark, sf):
     return spark.read.parquet(target).select(*ROLLUP_COLUMNS)
 
 
+def _jobs_all(spark, sf):
+    """Ingest the three projects of the whole log into a raw table, then the transform job over all of it."""
+    from usage_rollup.plans import run_ingest, run_transform
+
+    log = _log(spark, sf)
+    raw, rollup = scratch_dir(spark, "q-raw"), scratch_dir(spark, "q-rollup")
+    for project in ("alpha", "beta", "gamma"):
+        run_ingest(spark, log, raw, JobParams(project=project, start="1992-01-01", end="2024-02-01"), scope="project", **_BY_MONTH)
+    run_transform(spark, rollup, data_source="external_source", root=raw)
+    return spark.read.parquet(rollup).select(*ROLLUP_COLUMNS)
+
+
+def _stream_all(spark, sf):
+    """The whole log lands in two drops, one folder a month; the second holds later rows of a month already rolled up."""
+    from usage_rollup.streaming import start_incremental_rollup
+
+    log = _log(spark, sf).withColumn("log_month", F.trunc("timestamp", "month"))
+    src, target = scratch_dir(spark, "q-landing"), scratch_dir(spark, "q-rollup")
+    ckpt = scratch_dir(spark, "q-stream-ckpt")
+    cut = _ts_lt(log, "1998-03-15 12:00:00")
+    for drop in (log.where(cut), log.where(~cut)):
+        drop.repartition("log_month").write.mode("append").partitionBy("log_month").parquet(src)
+        start_incremental_rollup(spark, src, target, ckpt).awaitTermination()
+    return spark.read.parquet(target).select(*ROLLUP_COLUMNS)
+
+
 # --- report queries ------------------------------------------------------------
 
 
@@ -286,6 +312,7 @@ SURVEY_IDS = {
     "delete_range_frame": "W4 (frame)", "quality_report_staged": "S4 A2 A11 Q4",
     "upsert_by_key": "W8 J1", "append_chunks": "W5", "export_partitioned": "W9 S5", "export_pruned": "S5 (pruning)",
     "ingest_transform_jobs": "S6 W7 (jobs)", "incremental_stream_rollup": "W8 (streaming)",
+    "ingest_transform_jobs_all": "S6 W7 (jobs, whole log)", "incremental_stream_rollup_all": "W8 (streaming, whole log)",
 }
 
 
@@ -377,6 +404,8 @@ def _rollup_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "export_pruned": lambda s, sf: _text_dates(_export(s, sf, "1998-03-15", "1999-02-10")),
         "ingest_transform_jobs": lambda s, sf: _text_dates(_jobs(s, sf)),
         "incremental_stream_rollup": lambda s, sf: _text_dates(_stream(s, sf)),
+        "ingest_transform_jobs_all": lambda s, sf: _text_dates(_jobs_all(s, sf)),
+        "incremental_stream_rollup_all": lambda s, sf: _text_dates(_stream_all(s, sf)),
     }
 
 
@@ -651,6 +680,8 @@ def _rollup_oracle() -> dict[str, str]:
         "ingest_transform_jobs": ev_only(
             f"SELECT {rollup_cols} FROM rollup "
             "WHERE download_date >= DATE '2024-01-05' AND download_date < DATE '2024-01-25'"),
+        "ingest_transform_jobs_all": _with(f"SELECT {rollup_cols} FROM rollup"),
+        "incremental_stream_rollup_all": _with(f"SELECT {rollup_cols} FROM rollup"),
     }
 
 

@@ -46,5 +46,13 @@ def test_sample_queries_match_oracle(spark):
         assert a == b, name
 
 
+def test_stream_and_jobs_take_the_whole_log(spark):
+    """Orders (1995-2001) and events: every row of the log is in the rollup."""
+    want = E.download_log(spark, SF, True).count()
+    for name in ("incremental_stream_rollup_all", "ingest_transform_jobs_all"):
+        out = E.queries()[name](spark, SF).selectExpr("sum(daily_download_sum) as n", "min(download_date) as first").first()
+        assert out.n == want and out.first < "1996", name
+
+
 def test_every_query_names_its_operators():
     assert set(E.SURVEY_IDS) == set(E._rollup_queries())
