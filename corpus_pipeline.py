@@ -20,8 +20,9 @@ def toxicity_stage(spark, docs, sf_dir):
 
 
 def line_dedup_stage(spark, docs, sf_dir):
-    """Cuts lines that an earlier document holds; documents stay, without them."""
-    return _recount(line_dedup.drop_recurring_lines(docs.select(*COLUMNS)))
+    """Cuts lines that an earlier document holds, and drops documents of which nothing but white space is left then."""
+    cut = line_dedup.drop_recurring_lines(docs.select(*COLUMNS))
+    return _recount(cut.where(F.expr(r"n_dropped = 0 or rlike(text, '[^\\x20\\x09-\\x0D]')")))
 
 
 def near_duplicate_stage(spark, docs, sf_dir):

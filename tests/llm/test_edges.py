@@ -311,3 +311,59 @@ def test_pipeline_stages_take_an_empty_table(spark, stage):
     empty = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(0)
     out = dict(corpus_pipeline.STAGES)[stage](spark, empty, "/root/testdata/sf0.001")
     assert out.count() == 0
+
+
+def _brute_lines(rows):
+    """Line dedup of (doc_id, text) by comparing every line with all earlier documents' lines."""
+    def parts(line):
+        t = ["<*>" if any(c.isdigit() for c in w) else w for w in line.split()]
+        step = max(1, -(-(len(t) - 3) // 4))
+        return len(t), t[:3], [t[3 + i * step:3 + (i + 1) * step] for i in range(4)]
+
+    def meets(a, b):
+        (n, lead, runs), (m, lead2, runs2) = parts(a), parts(b)
+        return n == m >= 5 and lead == lead2 and sum(x != y for x, y in zip(runs, runs2)) <= (1 if n >= 12 else 0)
+
+    out = []
+    for i, (d, text) in enumerate(rows):
+        kept = [x for x in text.split("\n") if not any(meets(x, y) for _, other in rows[:i] for y in other.split("\n"))]
+        if "".join(kept).strip() or not text.strip():
+            out.append((d, "\n".join(kept)))
+    return out
+
+
+def _brute_near(rows):
+    """The smallest doc_id of each group linked by a Jaccard similarity of 0.8 over 5-word shingles."""
+    sets = {d: {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} for d, t in rows if (w := t.lower().split())}
+    group = {d: d for d in sets}
+    for _ in sets:
+        for a in sets:
+            for b in sets:
+                if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    group[a] = group[b] = min(group[a], group[b])
+    return [(d, t) for d, t in rows if group.get(d, d) == d]
+
+
+def test_pipeline_against_brute_force(spark, docs, scratch):
+    import corpus_pipeline
+
+    rng = np.random.default_rng(12)
+    words = ["".join(rng.choice(list("etaoinshr"), 6)) for _ in range(500)]
+    plain = [[" ".join(rng.choice(words, 15)) for _ in range(4)] for _ in range(12)]
+    edited = lambda x: " ".join(x.split()[:7] + ["changed"] + x.split()[8:])
+    # a copy of lines broken anew has no line in common, so only the near-duplicate stage sees it
+    rewrapped = " ".join(plain[4])
+    texts = ["\n".join(p) for p in plain] + [
+        "\n".join(plain[0]), "\n".join(map(edited, plain[1])), "\n".join([*plain[2], ""]), "\n".join([*plain[3], "short end"]),
+        rewrapped, " \n", "", "\n".join([plain[5][0], " ".join(rng.choice(words, 15))])]
+    rows = list(enumerate(texts))
+    folder = scratch("pipeline-brute")
+    docs(rows).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    want = _brute_near(_brute_lines(rows))
+    kept = docs(rows)
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        kept = stage(spark, kept, folder)
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted(want)
+    assert [d for d, _ in want] == [*range(12), 15, 17, 18, 19]
+    assert {r.doc_id for r in corpus_pipeline.run(spark, folder).collect()} == {d for d, _ in want}
