@@ -78,6 +78,15 @@ def test_secrets(docs):
     assert secrets.find_secrets(docs([]), secrets.fit(docs([]))).count() == 0
 
 
+def test_background_counts_all_candidates(docs):
+    rng = np.random.default_rng(9)
+    values = sorted({"".join(rng.choice(list("etaoinshrdlu0123456789"), 24)) for _ in range(6000)})
+    frame = docs([(i, " ".join(values[i::50])) for i in range(50)])
+    found = {m.group() for v in values if not secrets.base_spans(v) for m in secrets.CANDIDATE.finditer(v)}
+    got, want = secrets.fit(frame).background, secrets.Background(sorted(found))
+    assert len(found) > 5000 and got.pairs == want.pairs and got.one == want.one
+
+
 def test_learned_format():
     rng = np.random.default_rng(3)
     hexes = ["".join(rng.choice(list("0123456789abcdef"), 32)) for _ in range(100)]

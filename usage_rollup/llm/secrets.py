@@ -9,9 +9,9 @@ covers is then scored by its log-likelihood under the best automaton against a
 character-bigram background of unlabelled candidates; those above the threshold
 are added as ``learned`` spans.
 
-The fit uses bounded samples (``max_labelled`` values a kind and
-``max_background`` candidates, smallest hash first); scanning and scoring cover
-every text. Offsets are code points, ends exclusive.
+The fit uses at most ``max_labelled`` values a kind (smallest hash first) and the
+bigrams of all candidates; scanning and scoring cover every text. Offsets are
+code points, ends exclusive.
 """
 
 from __future__ import annotations
@@ -176,24 +176,26 @@ class Automaton:
 class Background:
     """Character bigrams with add-half smoothing over the 68 candidate characters."""
 
-    def __init__(self, values: list[str]):
-        self.pairs: dict[str, int] = {}
-        self.one: dict[str, int] = {}
+    def __init__(self, values: list[str], pairs: dict[str, int] | None = None):
+        """Counts of ``pairs``, besides those of ``values``; a value's first character pairs with ``^``."""
+        self.pairs: dict[str, int] = dict(pairs or {})
         for v in values:
             for a, b in zip("^" + v, v):
                 self.pairs[a + b] = self.pairs.get(a + b, 0) + 1
-                self.one[a] = self.one.get(a, 0) + 1
+        self.one: dict[str, int] = {}
+        for pair, n in self.pairs.items():
+            self.one[pair[0]] = self.one.get(pair[0], 0) + n
 
     def bits(self, text: str) -> float:
         return sum(math.log2((self.pairs.get(a + b, 0) + 0.5) / (self.one.get(a, 0) + 34)) for a, b in zip("^" + text, text))
 
 
 class SecretModel:
-    """Automata per kind, background and threshold; holds bounded samples only."""
+    """Automata per kind, background and threshold; holds bounded samples and the counts of pairs of characters only."""
 
-    def __init__(self, values: dict[str, list[str]], min_bits: float = 0.5):
+    def __init__(self, values: dict[str, list[str]], min_bits: float = 0.5, pairs: dict[str, int] | None = None):
         self.automata = {k: Automaton(values[k]) for k in KINDS if len(values.get(k, [])) >= 20}
-        self.background = Background(values.get("other", []))
+        self.background = Background(values.get("other", []), pairs)
         self.min_bits = min_bits
 
     def score(self, text: str) -> float:
@@ -203,19 +205,20 @@ class SecretModel:
         return (max(a.bits(text) for a in self.automata.values()) - self.background.bits(text)) / max(1, len(text))
 
 
-def fit(docs: DataFrame, max_labelled: int = 2000, max_background: int = 5000) -> SecretModel:
-    """Model of at most ``max_labelled`` distinct values a kind and ``max_background`` other candidates.
+def fit(docs: DataFrame, max_labelled: int = 2000) -> SecretModel:
+    """Model of at most ``max_labelled`` distinct values a kind and the bigrams of all distinct other candidates.
 
     The smallest hashes are taken, so the sample does not depend on partitions.
     """
-    values = _samples(docs).distinct()
+    values = stored(_samples(docs).distinct(), "secret-values")
     rank = F.row_number().over(Window.partitionBy("kind").orderBy(F.xxhash64("value"), "value"))
-    rows = values.withColumn("r", rank).where(F.col("r") <= F.when(F.col("kind") == "other", max_background)
-                                              .otherwise(max_labelled)).where(F.col("r") <= max(max_labelled, max_background))
+    rows = values.where("kind <> 'other'").withColumn("r", rank).where(F.col("r") <= max_labelled)
     held: dict[str, list[str]] = {}
     for r in sorted(rows.select("kind", "value").collect()):
         held.setdefault(r.kind, []).append(r.value)
-    return SecretModel(held)
+    pair = F.explode(F.expr("transform(sequence(1, length(value)), i -> substring(concat('^', value), i, 2))"))
+    pairs = values.where("kind = 'other'").select(pair.alias("pair")).groupBy("pair").count()  # at most 69 x 68 rows
+    return SecretModel(held, pairs={r["pair"]: r["count"] for r in pairs.collect()})
 
 
 SPANS = "array<struct<kind:string,start:long,end:long>>"
