@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, line_dedup, neighbours, ngram_join, packing, quality, secrets, segmentation, toxicity, warc
+from . import centroids, chat, importance, line_dedup, minhash, neighbours, ngram_join, packing, quality, secrets, segmentation, toxicity, warc
 
 
 def _pipeline(spark, sf_dir):
@@ -23,9 +23,19 @@ def queries():
         "op8_toxicity": toxicity.op8_query,
         "op9_warc": warc.op9_query,
         "op10_ngram_join": ngram_join.op10_query,
+        "op11_minhash": minhash.op11_query,
+        "op12_centroids": centroids.op12_query,
+        "op13_importance": importance.op13_query,
         "pipeline": _pipeline,
     }
 
 
 def oracle_sql():
-    return {"op1_line_dedup": line_dedup.OP1_SQL, "op4_chat": chat.OP4_SQL, "op10_ngram_join": ngram_join.OP10_SQL}
+    return {
+        "op1_line_dedup": line_dedup.OP1_SQL,
+        "op4_chat": chat.OP4_SQL,
+        "op10_ngram_join": ngram_join.OP10_SQL,
+        "op11_minhash": minhash.OP11_SQL,
+        "op12_centroids": centroids.OP12_SQL,
+        "op13_importance": importance.OP13_SQL,
+    }
