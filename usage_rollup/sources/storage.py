@@ -7,6 +7,9 @@ Hadoop-compatible store (HDFS, object stores, local files in tests).
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 #: Directory value under which Spark stores rows whose partition value is NULL.
@@ -119,3 +122,53 @@ def rename(spark: SparkSession, src: str, dst: str) -> bool:
     if parent is not None and not fs.exists(parent):
         fs.mkdirs(parent)
     return bool(fs.rename(ps, pd))
+
+
+def list_names(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """(name, modification time in ms) of what lies directly in a folder, hidden entries included."""
+    fs, p = _fs_and_path(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted((s.getPath().getName(), int(s.getModificationTime())) for s in fs.listStatus(p))
+
+
+def list_data_files(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the data files directly in a folder."""
+    return [name for name, _ in list_names(spark, folder) if not name.startswith(("_", "."))]
+
+
+def _move(spark: SparkSession, src: str, dst: str, overwrite: bool) -> None:
+    """``FileContext.rename``: atomic where the file system's rename is."""
+    sc = spark.sparkContext
+    hadoop = sc._jvm.org.apache.hadoop.fs
+    a, b = hadoop.Path(src), hadoop.Path(dst)
+    fs = b.getFileSystem(sc._jsc.hadoopConfiguration())
+    rename = getattr(hadoop, "Options$Rename")
+    how = sc._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE if overwrite else rename.NONE
+    hadoop.FileContext.getFileContext(fs.getUri(), sc._jsc.hadoopConfiguration()).rename(fs.makeQualified(a), fs.makeQualified(b), how)
+
+
+def put_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file that must not exist yet; False if another writer was first.
+
+    It is written aside and renamed without overwriting, so it is never seen cut
+    off. Needs a store whose rename fails on an existing target (HDFS does so atomically).
+    """
+    aside = f"{path}.{uuid.uuid4().hex}.tmp"
+    write_text(spark, aside, text)
+    try:
+        _move(spark, aside, path, overwrite=False)
+        return True
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in e.java_exception.getClass().getName():
+            delete_path(spark, aside)
+            return False
+        raise
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a small file in one step: readers see the old or the new content."""
+    aside = f"{path}.{uuid.uuid4().hex}.tmp"
+    write_text(spark, aside, text)
+    _move(spark, aside, path, overwrite=True)
