@@ -15,8 +15,11 @@ fresh directory under ``spark.checkpoint.dir`` and return the re-read table.
 from __future__ import annotations
 
 import datetime
+import importlib
+import importlib.util
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 # importable however this file is loaded (by path or as a module)
@@ -29,12 +32,13 @@ from pyspark.sql import functions as F
 
 from usage_rollup.functions.columns import bound_like
 from usage_rollup.functions.labels import compact_count, compact_kpi, short_date, long_date, signed_percent
-from usage_rollup.operators import maintain, quality, reports
+from usage_rollup.operators import bucketed, bundle, lattice, maintain, quality, reports, versions
 from usage_rollup.operators.rollup import daily_rollup
-from usage_rollup.params import JobParams
+from usage_rollup.params import MAX_NULL_PCT, JobParams
 from usage_rollup.schema import ROLLUP_COLUMNS
 from usage_rollup.session import scratch_dir
 from usage_rollup.sources.driverdata import download_log, flat_log
+from usage_rollup.sources.log_folder import read_log_folder
 from usage_rollup.sources.scan import load_rollup, mock_log, read_partitioned, scan_log, sql_over_rollup
 
 # Fixed parameters of the driver queries.
@@ -42,6 +46,7 @@ AS_OF = "2024-01-31"
 STALE_AS_OF = "2024-06-01"
 PAST = "1997-09-30"
 SLICE = ("1996-03-04", "1995-06-05")
+JOB_RANGE = ("1996-03-10", "2024-01-25")
 SCAN = JobParams(project="alpha", start="2024-01-10", end="2024-01-20 12:00:00")
 USER_SQL = (
     "SELECT project, COUNT(*) AS n_groups, CAST(SUM(daily_download_sum) AS BIGINT) AS downloads "
@@ -203,29 +208,173 @@ def _export(spark, sf, start=None, end=None):
 
 
 def _jobs(spark, sf):
-    """Ingest two projects into a raw table, then the transform job over it."""
+    """Three projects of the whole log into a versioned raw table, then the transform job over a range of it, twice."""
     from usage_rollup.plans import run_ingest, run_transform
 
-    log = _log(spark, sf, with_orders=False)
-    raw, rollup = scratch_dir(spark, "q-raw"), scratch_dir(spark, "q-rollup")
-    for project in ("alpha", "beta"):
-        run_ingest(spark, log, raw, JobParams(project=project, start="2024-01-01", end="2024-02-01"), scope="project")
-    run_transform(spark, rollup, "2024-01-05", "2024-01-25", data_source="external_source", root=raw)
-    return spark.read.parquet(rollup).select(*ROLLUP_COLUMNS)
+    log = _log(spark, sf)
+    raw = versions.log_table(spark, scratch_dir(spark, "q-raw"), "log_month")
+    rollup = versions.rollup_table(spark, scratch_dir(spark, "q-rollup"))
+    for project in ("alpha", "beta", "gamma"):
+        run_ingest(spark, log, raw, JobParams(project=project, start="1992-01-01", end="2024-02-01"), scope="project", grain="month")
+    for start, end in (JOB_RANGE[0], "2024-01-15"), ("2024-01-10", JOB_RANGE[1]):
+        run_transform(spark, rollup, start, end, root=raw, mode="incremental")
+    return load_rollup(spark, rollup).select(*ROLLUP_COLUMNS)
 
 
 def _stream(spark, sf):
-    """Raw files land in two drops; the streaming job keeps the rollup current."""
+    """The whole log lands in three drops, one folder a month, the last with late rows of every year; the rollup is versioned."""
     from usage_rollup.streaming import start_incremental_rollup
 
-    log = _log(spark, sf, with_orders=False).withColumn("log_date", F.to_date("timestamp"))
-    src, target = scratch_dir(spark, "q-landing"), scratch_dir(spark, "q-rollup")
-    ckpt = scratch_dir(spark, "q-stream-ckpt")
-    cut = _ts_lt(log, "2024-01-15 12:00:00")
-    for drop in (log.where(cut), log.where(~cut)):
-        drop.write.mode("append").partitionBy("log_date").parquet(src)
+    log = _log(spark, sf).withColumn("log_month", F.trunc("timestamp", "month"))
+    src, ckpt = scratch_dir(spark, "q-landing"), scratch_dir(spark, "q-stream-ckpt")
+    target = versions.rollup_table(spark, scratch_dir(spark, "q-rollup"))
+    late, cut = F.dayofmonth("timestamp") == 17, _ts_lt(log, "1998-03-15 12:00:00")
+    for drop in (log.where(cut & ~late), log.where(~cut & ~late), log.where(late)):
+        drop.repartition("log_month").write.mode("append").partitionBy("log_month").parquet(src)
         start_incremental_rollup(spark, src, target, ckpt).awaitTermination()
-    return spark.read.parquet(target).select(*ROLLUP_COLUMNS)
+    return target.read().select(*ROLLUP_COLUMNS)
+
+
+def _stream_additive(spark, sf):
+    """The whole log lands in two drops; each micro-batch adds its own counts, a replayed one nothing; then compacted."""
+    from usage_rollup.streaming import additive
+
+    log = _log(spark, sf).withColumn("log_month", F.trunc("timestamp", "month"))
+    src, ckpt = scratch_dir(spark, "q-landing"), scratch_dir(spark, "q-stream-ckpt")
+    table = versions.rollup_table(spark, scratch_dir(spark, "q-partials"))
+    late = F.dayofmonth("timestamp") == 17
+    for drop in (log.where(~late), log.where(late)):
+        drop.repartition("log_month").write.mode("append").partitionBy("log_month").parquet(src)
+        additive.start_additive_rollup(spark, src, table, ckpt, "landing").awaitTermination()
+    if additive.add_batch(table, log, 0, "landing"):
+        raise AssertionError("a batch was added twice")
+    additive.compact(table)
+    return additive.read_rollup(table)
+
+
+# --- versioned tables ----------------------------------------------------------------
+
+
+def _versioned(spark, sf):
+    """Version 1 holds the early log, version 2 a keyed re-run of its end."""
+    log = _log(spark, sf)
+    table = versions.rollup_table(spark, scratch_dir(spark, "q-versions"))
+    versions.write_rollup(table, daily_rollup(log.where(_ts_lt(log, "2024-01-20 12:00:00"))))
+    versions.write_rollup(table, daily_rollup(log, "2024-01-19"), "incremental")
+    return table
+
+
+def _versioned_restored(spark, sf):
+    """After an upsert and a delete of a range the first version is restored."""
+    table = _versioned(spark, sf)
+    versions.delete_range(table, "download_date", "1996-01-01", "1998-01-01", grain="month")
+    table.restore(1)
+    return table.read().select(*ROLLUP_COLUMNS)
+
+
+def _versioned_history(spark, sf):
+    """Rows and downloads of each version: refresh, upsert, delete of a range, restore."""
+    table = _versioned(spark, sf)
+    versions.delete_range(table, "download_date", "1996-01-01", "1998-01-01", grain="month")
+    table.restore(1)
+    parts = [table.read(v).agg(F.lit(v).alias("version"), F.count(F.lit(1)).alias("n_rows"),
+                               F.sum("daily_download_sum").cast("bigint").alias("downloads")) for v in table.versions()]
+    for p in parts[1:]:
+        parts[0] = parts[0].unionByName(p)
+    return parts[0]
+
+
+def _versioned_replace(spark, sf):
+    """A range replace of a versioned raw log that deletes all projects' rows in the range."""
+    log, table = _log(spark, sf), versions.log_table(spark, scratch_dir(spark, "q-raw"), "log_month")
+    versions.replace_range(table, log, "timestamp", "1992-01-01", "2024-02-01", grain="month")
+    staged = scan_log(spark, table.read(), JobParams(project="alpha", start="2024-01-15", end="2024-01-25"))
+    versions.replace_range(table, staged, "timestamp", "2024-01-15", "2024-01-25", grain="month")
+    return flat_log(table.read())
+
+
+def _lattice_reports(spark, sf):
+    """The bundle from pre-aggregated levels, built before an upsert and updated after it."""
+    log = _log(spark, sf)
+    table = versions.rollup_table(spark, scratch_dir(spark, "q-versions"))
+    levels = lattice.Lattice(spark, scratch_dir(spark, "q-lattice"), table)
+    versions.write_rollup(table, daily_rollup(log.where(_ts_lt(log, "2024-01-20 12:00:00"))))
+    levels.update()
+    versions.write_rollup(table, daily_rollup(log, "2024-01-19"), "incremental")
+    levels.update()
+    return reports.bundle_long(lattice.lattice_bundle(levels, 30, AS_OF))
+
+
+def _upsert_bucketed(spark, sf):
+    """A keyed upsert into a bucketed catalog table."""
+    log, name = _log(spark, sf), "usage_rollup_bucketed_" + uuid.uuid4().hex[:12]
+    bucketed.create_bucketed(spark, daily_rollup(log.where(_ts_lt(log, "2024-01-20 12:00:00"))), name, 8)
+    bucketed.upsert_bucketed(spark, name, daily_rollup(log, "2024-01-19"))
+    return spark.table(name).select(*ROLLUP_COLUMNS)
+
+
+def _exact_chunks(spark, sf):
+    """Rows per file of the rollup appended in chunks of exactly 500."""
+    target = scratch_dir(spark, "q-append")
+    maintain.append_exact(_rollup(spark, sf), target, 500)
+    per_file = spark.read.parquet(target).groupBy(F.input_file_name()).agg(F.count(F.lit(1)).alias("n_rows"))
+    return per_file.groupBy("n_rows").agg(F.count(F.lit(1)).alias("n_files"))
+
+
+def _log_folder(spark, sf):
+    """The log in folders of project and month, scanned through the library's own data source."""
+    path, log = scratch_dir(spark, "q-landing"), _log(spark, sf)
+    rows = log.withColumn("log_month", maintain.log_partition("timestamp", "month"))
+    # one folder level a project; the column itself stays in the files
+    for project in ("alpha", "beta", "gamma"):
+        rows.where(F.col("project") == project).repartition("log_month").write.partitionBy("log_month").parquet(f"{path}/project={project}")
+    ntz = log.schema["timestamp"].dataType.typeName() == "timestamp_ntz"
+    return flat_log(scan_log(spark, read_log_folder(spark, path, timestamp_ntz=str(ntz).lower()), SCAN))
+
+
+def _gate_outcomes(spark, sf):
+    """What the gate says about each project's rows, and about a project without any."""
+    log, out = _log(spark, sf), []
+    for project in ("alpha", "beta", "gamma", "nobody"):
+        rows = log.where(F.col("project") == project)
+        stats = rows.agg(*quality.quality_exprs("timestamp", "country_code")).withColumn("project", F.lit(project)).first().asDict()
+        try:
+            quality.validate_stats(stats, "timestamp", "country_code", MAX_NULL_PCT)
+            outcome = "passed"
+        except quality.DataQualityError as e:
+            outcome = str(e)
+        out.append((project, int(stats["total_rows"]), outcome))
+    return spark.createDataFrame(out, "project string, total_rows bigint, outcome string")
+
+
+def _custom_timestamp(spark, sf):
+    """The ingest and transform steps on a log whose timestamp column has another name."""
+    from usage_rollup.plans import run_ingest
+
+    log = _log(spark, sf).withColumnRenamed("timestamp", "seen_at")
+    target = scratch_dir(spark, "q-raw")
+    params = JobParams(project="gamma", start="1996-05-01", end="1999-07-01", ts_col="seen_at")
+    run_ingest(spark, log, target, params, columns=["project", "country_code", "file", "details"], **_BY_MONTH)
+    return daily_rollup(spark.read.parquet(target), "1997-01-01", ts="seen_at")
+
+
+def _daily_today(spark, sf):
+    """The last 30 days before today of a rollup whose newest date is today, by age in days."""
+    r = _rollup(spark, sf)
+    shifted = r.withColumn("download_date", F.date_add("download_date", F.datediff(F.current_date(), F.to_date(F.lit(AS_OF)))))
+    age = F.datediff(F.current_date(), F.to_date("download_date")).alias("days_ago")
+    return reports.daily_series(shifted, 30).select(age, "daily_downloads")
+
+
+def _unpivoted(wide, value):
+    """(download_date, version_column, value): every cell of a wide frame."""
+    return wide.unpivot("download_date", [c for c in wide.columns if c != "download_date"], "version_column", value)
+
+
+def _map_text(df, column):
+    """A map column as ``key=value`` pairs in key order."""
+    return df.select("download_date", F.array_join(F.transform(F.array_sort(F.map_entries(column)), lambda e: F.concat(
+        e["key"], F.lit("="), e["value"].cast("string") if column == "downloads" else F.format_number(e["value"], 4))), ",").alias(column))
 
 
 def _jobs_all(spark, sf):
@@ -258,7 +407,7 @@ def _stream_all(spark, sf):
 
 
 def _kpi_labels(spark, sf):
-    k = reports.kpi_cards(_rollup(spark, sf), AS_OF)
+    k = reports.kpi_cards(_rollup(spark, sf), AS_OF, digits=6)
     return k.select(
         "last_week_start",
         compact_kpi("last_week_downloads").alias("last_week_label"),
@@ -303,7 +452,7 @@ SURVEY_IDS = {
     "sparkline": "O7", "series_slice": "F9", "report_labels": "labels", "daily_labels": "labels",
     "kpi_labels": "labels T5", "sql_over_rollup": "S8", "published_rollup_sql": "S7 S8 W7",
     "top_versions_alias": "R7 P4", "inline_rows_rollup": "S9 A1", "scan_log_from_path": "S1 (path, JSON)",
-    "ingest_into_created_target": "W2 W3 S1 (path, options)", "replace_range_rejected": "Q5 Q1 W6 (gate fails)",
+    "ingest_into_created_target": "W2 W3 S1 (path, options)", "replace_range_rejected": "Q5 Q2 W6 (gate fails)",
     "top_versions_90_past": "R7 F4 (90 days)", "report_bundle": "B1 U1 F8",
     "report_bundle_bad_period": "B1 F8 (whitelist)", "series_slice_missing_bound": "F9 (missing label)",
     "replace_range": "W6 W4 W3 S4 U1", "replace_range_scoped": "W6 (scope)", "delete_range": "W4",
@@ -311,18 +460,22 @@ SURVEY_IDS = {
     "delete_all_then_reload": "W4 W6 (emptied table)",
     "delete_range_frame": "W4 (frame)", "quality_report_staged": "S4 A2 A11 Q4",
     "upsert_by_key": "W8 J1", "append_chunks": "W5", "export_partitioned": "W9 S5", "export_pruned": "S5 (pruning)",
-    "ingest_transform_jobs": "S6 W7 (jobs)", "incremental_stream_rollup": "W8 (streaming)",
+    "ingest_transform_jobs": "S6 W6 W8 (jobs, versioned tables)", "incremental_stream_rollup": "W8 (streaming, versioned target)",
+    "incremental_stream_additive": "W8 U1 (streaming, batch ledger)", "versioned_upsert": "W8 W7 J1 (file-level)",
+    "versioned_previous": "W7 S7 (older version)", "versioned_restored": "W7 W4 (restore)", "versioned_history": "W7 W8 W4",
+    "versioned_replace_range": "W6 Q5", "lattice_bundle": "R1-R11 B1 (pre-aggregated levels)", "report_bundle_shared": "B1 (one scan)",
+    "adoption_map": "T3 A13", "adoption_share_map": "T4", "append_exact_chunks": "W5", "scan_log_folder": "S1 S3 (own pushdown)",
+    "upsert_bucketed": "W8 J1 (bucketed)", "quality_gate_outcomes": "Q1 Q3 Q5", "custom_timestamp": "W6 A1 (timestamp column)",
+    "daily_series_today": "R11 F4 (current_date)",
     "ingest_transform_jobs_all": "S6 W7 (jobs, whole log)", "incremental_stream_rollup_all": "W8 (streaming, whole log)",
 }
 
 
 def _llm():
-    """The training-data queries' module, or None where the subpackage is absent."""
-    try:
-        from usage_rollup.llm import registry
-    except ImportError:
+    """The training-data queries' module, or None where the subpackage is absent (a broken one is an error)."""
+    if importlib.util.find_spec("usage_rollup.llm") is None or importlib.util.find_spec("usage_rollup.llm.registry") is None:
         return None
-    return registry
+    return importlib.import_module("usage_rollup.llm.registry")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -341,8 +494,8 @@ def _rollup_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "daily_rollup_range": lambda s, sf: _text_dates(daily_rollup(_log(s, sf), "2024-01-05", "2024-01-25")),
         # ingest: scan + quality
         "scan_filtered_log": lambda s, sf: flat_log(scan_log(s, _log(s, sf), SCAN)),
-        "quality_report": lambda s, sf: quality.quality_report(_log(s, sf), "timestamp", "project"),
-        "quality_report_country": lambda s, sf: quality.quality_report(_log(s, sf), "timestamp", "country_code"),
+        "quality_report": lambda s, sf: quality.quality_report(_log(s, sf), "timestamp", "project", digits=6),
+        "quality_report_country": lambda s, sf: quality.quality_report(_log(s, sf), "timestamp", "country_code", digits=6),
         # series
         "weekly_series": lambda s, sf: R.weekly_series(_rollup(s, sf), AS_OF),
         "weekly_series_stale": lambda s, sf: R.weekly_series(_rollup(s, sf), STALE_AS_OF),
@@ -366,12 +519,14 @@ def _rollup_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "top_breakdowns_30": lambda s, sf: R.top_breakdowns(_rollup(s, sf), 30, AS_OF),
         "version_adoption": lambda s, sf: R.version_adoption(_rollup(s, sf)),
         "adoption_versions": lambda s, sf: R.adoption_versions(R.version_adoption(_rollup(s, sf))),
-        "adoption_pivot": lambda s, sf: R.adoption_pivot(R.version_adoption(_rollup(s, sf))),
-        "adoption_share": lambda s, sf: R.adoption_share(
-            R.adoption_pivot(R.version_adoption(_rollup(s, sf)))),
-        "adoption_share_long": lambda s, sf: R.adoption_share_long(R.version_adoption(_rollup(s, sf))),
+        "adoption_pivot": lambda s, sf: _unpivoted(R.adoption_pivot(R.version_adoption(_rollup(s, sf))), "downloads"),
+        "adoption_share": lambda s, sf: _unpivoted(R.adoption_share(
+            R.adoption_pivot(R.version_adoption(_rollup(s, sf))), digits=6), "share_pct"),
+        "adoption_share_long": lambda s, sf: R.adoption_share_long(R.version_adoption(_rollup(s, sf)), digits=6),
+        "adoption_map": lambda s, sf: _map_text(R.adoption_map(R.version_adoption(_rollup(s, sf))), "downloads"),
+        "adoption_share_map": lambda s, sf: _map_text(R.adoption_share_map(R.adoption_map(R.version_adoption(_rollup(s, sf)))), "share_pct"),
         # KPI shaping
-        "kpi_cards": lambda s, sf: R.kpi_cards(_rollup(s, sf), AS_OF),
+        "kpi_cards": lambda s, sf: R.kpi_cards(_rollup(s, sf), AS_OF, digits=6),
         "sparkline": lambda s, sf: R.sparkline(_rollup(s, sf), AS_OF),
         "series_slice": lambda s, sf: R.series_slice(R.weekly_series(_rollup(s, sf), AS_OF), "week_start_date", *SLICE),
         "report_labels": _monthly_labels,
@@ -397,7 +552,7 @@ def _rollup_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "delete_all_then_reload": _delete_all,
         "delete_range_frame": lambda s, sf: flat_log(maintain.delete_range(
             _log(s, sf), "timestamp", "2024-01-10 06:00:00", "2024-01-14")),
-        "quality_report_staged": lambda s, sf: quality.quality_report(scan_log(s, _log(s, sf), SCAN)),
+        "quality_report_staged": lambda s, sf: quality.quality_report(scan_log(s, _log(s, sf), SCAN), digits=6),
         "upsert_by_key": lambda s, sf: _text_dates(_upsert(s, sf)),
         "append_chunks": lambda s, sf: _text_dates(_append(s, sf)),
         "export_partitioned": lambda s, sf: _text_dates(_export(s, sf)),
@@ -406,6 +561,21 @@ def _rollup_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "incremental_stream_rollup": lambda s, sf: _text_dates(_stream(s, sf)),
         "ingest_transform_jobs_all": lambda s, sf: _text_dates(_jobs_all(s, sf)),
         "incremental_stream_rollup_all": lambda s, sf: _text_dates(_stream_all(s, sf)),
+        "incremental_stream_additive": lambda s, sf: _text_dates(_stream_additive(s, sf)),
+        # versions, levels, layouts
+        "versioned_upsert": lambda s, sf: _text_dates(_versioned(s, sf).read().select(*ROLLUP_COLUMNS)),
+        "versioned_previous": lambda s, sf: _text_dates(_versioned(s, sf).read(1).select(*ROLLUP_COLUMNS)),
+        "versioned_restored": lambda s, sf: _text_dates(_versioned_restored(s, sf)),
+        "versioned_history": _versioned_history,
+        "versioned_replace_range": _versioned_replace,
+        "lattice_bundle": _lattice_reports,
+        "report_bundle_shared": lambda s, sf: R.bundle_long(bundle.SharedBundle(_rollup(s, sf), 30, AS_OF)),
+        "append_exact_chunks": _exact_chunks,
+        "scan_log_folder": _log_folder,
+        "upsert_bucketed": lambda s, sf: _text_dates(_upsert_bucketed(s, sf)),
+        "quality_gate_outcomes": _gate_outcomes,
+        "custom_timestamp": lambda s, sf: _text_dates(_custom_timestamp(s, sf)),
+        "daily_series_today": _daily_today,
     }
 
 
@@ -493,13 +663,13 @@ def _daily_sql(days: int = 0) -> str:
   FROM rollup {where} GROUP BY download_date"""
 
 
-# One column per version found in the data.
-_PIVOT = ("PIVOT (SELECT download_date, 'v' || replace(version, '.', '_') AS v, downloads FROM adoption) "
-          "ON v USING CAST(sum(downloads) AS BIGINT) GROUP BY download_date")
-_SHARE = ("PIVOT (SELECT download_date, 'v' || replace(version, '.', '_') AS v, round(CASE WHEN tot > 0 "
-          "THEN CAST(downloads AS DOUBLE) / tot * 100.0 ELSE 0.0 END, 6) AS pct "
-          "FROM (SELECT *, sum(downloads) OVER (PARTITION BY download_date) AS tot FROM adoption) t) "
-          "ON v USING coalesce(max(pct), 0.0) GROUP BY download_date")
+# Every cell of the wide forms: all dates by all versions.
+_CELLS = """
+SELECT d.download_date, 'v' || replace(v.version, '.', '_') AS version_column, {value}
+FROM (SELECT download_date, CAST(sum(downloads) AS BIGINT) AS tot FROM adoption GROUP BY download_date) d
+CROSS JOIN (SELECT DISTINCT version FROM adoption) v
+LEFT JOIN adoption a ON a.download_date = d.download_date AND a.version = v.version"""
+_SHARE = "round(CASE WHEN tot > 0 THEN CAST(coalesce(a.downloads, 0) AS DOUBLE) / tot * 100.0 ELSE 0.0 END, 6) AS share_pct"
 
 
 def _pair_sql(frame: str, label: str, value: str, prefix: str) -> str:
@@ -520,6 +690,8 @@ tot AS (SELECT CAST(COALESCE(SUM(daily_download_sum), 0) AS BIGINT) AS total_dow
                COALESCE(CAST(MAX(download_date) AS VARCHAR), '') AS refresh_date FROM rollup),
 kpi AS (
   SELECT w_last_label AS last_week_start, w_last AS last_week_downloads, w_prev AS previous_week_downloads,
+         CASE WHEN w_prev <> 0 THEN CAST(w_last - w_prev AS DOUBLE) * 100.0 / CAST(w_prev AS DOUBLE) END AS week_change,
+         CASE WHEN m_prev <> 0 THEN CAST(m_last - m_prev AS DOUBLE) * 100.0 / CAST(m_prev AS DOUBLE) END AS month_change,
          round(CASE WHEN w_prev IS NULL OR w_prev = 0 THEN NULL
                     ELSE CAST(w_last - w_prev AS DOUBLE) * 100.0 / CAST(w_prev AS DOUBLE) END, 6) AS week_change_pct,
          m_last_label AS last_month, m_last AS last_month_downloads, m_prev AS previous_month_downloads,
@@ -547,8 +719,17 @@ def _pct_label(c: str) -> str:
     return (f"CASE WHEN {c} > 0 THEN '+' ELSE '' END || printf('%.1f', round(CAST({c} AS DECIMAL(38, 6)), 1)) || '%'")
 
 
-def _bundle_sql(days: int = 30) -> str:
+def _bundle_sql(days: int = 30, with_: str | None = None) -> str:
+    """The thirteen reports as (report, label, n); ``with_`` opens with other definitions of log and rollup."""
+    cards = [("last_week_downloads", "last_week_start", "last_week_downloads"), ("previous_week_downloads", None, "previous_week_downloads"),
+             ("week_change_pct", None, "round(week_change * 1000000)"),
+             ("last_month_downloads", "last_month", "last_month_downloads"),
+             ("previous_month_downloads", None, "previous_month_downloads"), ("month_change_pct", None, "round(month_change * 1000000)"),
+             ("total_downloads", "refresh_date", "total_downloads")]
+    kpi = " UNION ALL ".join(f"SELECT concat_ws('|', '{c}'{f', {of}' if of else ''}) AS label, CAST({n} AS BIGINT) AS n FROM kpi" for c, of, n in cards)
     parts = [
+        ("period", "label", "n", f"(SELECT {'CAST(NULL AS VARCHAR)' if days is None else repr('all time' if days == 0 else f'last {days} days')} AS label, {days} AS n)"),
+        ("kpi_cards", "label", "n", f"({kpi})"),
         ("weekly_series", "week_start_date", "weekly_downloads", f"({_weekly_sql(AS_OF)})"),
         ("last_two_weeks", "week_start_date", "weekly_downloads",
          f"(SELECT * FROM ({_weekly_sql(AS_OF)}) w ORDER BY week_start_date DESC LIMIT 2)"),
@@ -568,11 +749,11 @@ def _bundle_sql(days: int = 30) -> str:
         f"SELECT '{name}' AS report, CAST({label} AS VARCHAR) AS label, CAST({n} AS BIGINT) AS n FROM {src} t{i}"
         for i, (name, label, n, src) in enumerate(parts)
     ]
-    return _with("\nUNION ALL\n".join(sel))
+    with_ = with_ or _with("")
+    return f"{with_.rstrip()},{_KPI}\n" + "\nUNION ALL\n".join(sel)
 
 
 def _rollup_oracle() -> dict[str, str]:
-    ev_only = lambda body: _with(body, orders=False)
     rollup_cols = _ROLLUP_TEXT
     no_ts = "\"timestamp\" >= TIMESTAMP '2024-01-01' AND minute(\"timestamp\") = 7"
     in_range = "\"timestamp\" >= TIMESTAMP '2024-01-15' AND \"timestamp\" < TIMESTAMP '2024-01-25'"
@@ -607,13 +788,19 @@ def _rollup_oracle() -> dict[str, str]:
         "top_breakdowns_30": _with(_breakdowns_sql(30)),
         "version_adoption": _with(_ADOPTION),
         "adoption_versions": _with(f"SELECT DISTINCT version FROM ({_ADOPTION}) a"),
-        "adoption_pivot": _with(f", adoption AS ({_ADOPTION}) {_PIVOT}"),
-        "adoption_share": _with(f", adoption AS ({_ADOPTION}) {_SHARE}"),
+        "adoption_pivot": _with(f", adoption AS ({_ADOPTION}) {_CELLS.format(value='a.downloads')}"),
+        "adoption_share": _with(f", adoption AS ({_ADOPTION}) {_CELLS.format(value=_SHARE)}"),
+        "adoption_map": _with(
+            f"SELECT download_date, string_agg(version || '=' || downloads, ',' ORDER BY version) AS downloads "
+            f"FROM ({_ADOPTION}) a GROUP BY download_date"),
+        "adoption_share_map": _with(
+            f"SELECT download_date, string_agg(version || '=' || printf('%.4f', 100.0 * downloads / tot), ',' ORDER BY version) AS share_pct "
+            f"FROM (SELECT *, SUM(downloads) OVER (PARTITION BY download_date) AS tot FROM ({_ADOPTION}) a) b GROUP BY download_date"),
         "adoption_share_long": _with(
             f"SELECT download_date, version, round(CASE WHEN tot > 0 THEN CAST(downloads AS DOUBLE) / tot * 100.0 "
             f"ELSE 0.0 END, 6) AS share_pct FROM (SELECT *, SUM(downloads) OVER (PARTITION BY download_date) AS tot "
             f"FROM ({_ADOPTION}) a) b"),
-        "kpi_cards": _with_kpi("SELECT * FROM kpi"),
+        "kpi_cards": _with_kpi("SELECT * EXCLUDE (week_change, month_change) FROM kpi"),
         "sparkline": _with(
             f"SELECT * FROM (SELECT * FROM ({_weekly_sql(AS_OF)}) w ORDER BY week_start_date DESC LIMIT 12) l "
             f"WHERE (SELECT count(*) FROM (SELECT * FROM ({_weekly_sql(AS_OF)}) w2 "
@@ -676,10 +863,43 @@ def _rollup_oracle() -> dict[str, str]:
         "export_pruned": _with(
             f"SELECT {rollup_cols}, year(download_date) AS year, month(download_date) AS month FROM rollup "
             "WHERE download_date >= DATE '1998-03-15' AND download_date < DATE '1999-02-10'"),
-        "incremental_stream_rollup": ev_only(f"SELECT {rollup_cols} FROM rollup"),
-        "ingest_transform_jobs": ev_only(
+        "incremental_stream_rollup": _with(f"SELECT {rollup_cols} FROM rollup"),
+        "incremental_stream_additive": _with(f"SELECT {rollup_cols} FROM rollup"),
+        "ingest_transform_jobs": _with(
             f"SELECT {rollup_cols} FROM rollup "
-            "WHERE download_date >= DATE '2024-01-05' AND download_date < DATE '2024-01-25'"),
+            f"WHERE download_date >= DATE '{JOB_RANGE[0]}' AND download_date < DATE '{JOB_RANGE[1]}'"),
+        "versioned_upsert": _upsert_sql(),
+        "versioned_previous": _versions_sql(f"SELECT {rollup_cols} FROM early"),
+        "versioned_restored": _versions_sql(f"SELECT {rollup_cols} FROM early"),
+        "versioned_history": _versions_sql(
+            "SELECT version, count(*) AS n_rows, CAST(sum(daily_download_sum) AS BIGINT) AS downloads FROM ("
+            "SELECT 1 AS version, * FROM early UNION ALL SELECT 4, * FROM early UNION ALL SELECT 2, * FROM upserted "
+            "UNION ALL SELECT 3, * FROM upserted WHERE NOT (download_date >= DATE '1996-01-01' AND download_date < DATE '1998-01-01')) x "
+            "GROUP BY version"),
+        "versioned_replace_range": _with(
+            f"SELECT {_FLAT} FROM log WHERE NOT ({in_range})\n"
+            f"UNION ALL SELECT {_FLAT} FROM log WHERE project = 'alpha' AND {in_range}"),
+        "lattice_bundle": _bundle_sql(30, _upserted_rollup()),
+        "report_bundle_shared": _bundle_sql(30),
+        "append_exact_chunks": _with(
+            "SELECT n_rows, n_files FROM (SELECT 500 AS n_rows, count(*) // 500 AS n_files FROM rollup "
+            "UNION ALL SELECT count(*) % 500, 1 FROM rollup) x WHERE n_rows > 0 AND n_files > 0"),
+        "scan_log_folder": _with(
+            f"SELECT {_FLAT} FROM log WHERE project = 'alpha' AND \"timestamp\" >= TIMESTAMP '2024-01-10' "
+            "AND \"timestamp\" < TIMESTAMP '2024-01-20 12:00:00'"),
+        "upsert_bucketed": _upsert_sql(),
+        "quality_gate_outcomes": _with(
+            "SELECT p.project, count(l.project) AS total_rows, CASE WHEN count(l.project) = 0 THEN 'No rows loaded' "
+            "WHEN 100.0 * (count(l.project) - count(l.country_code)) / count(l.project) > 5 THEN "
+            "printf('%.1f', 100.0 * (count(l.project) - count(l.country_code)) / count(l.project)) || "
+            "'% of country_code values are null (threshold: 5%)' ELSE 'passed' END AS outcome "
+            "FROM (VALUES ('alpha'), ('beta'), ('gamma'), ('nobody')) p(project) LEFT JOIN log l ON l.project = p.project GROUP BY p.project"),
+        "custom_timestamp": _with(
+            f"SELECT {rollup_cols} FROM rollup WHERE project = 'gamma' AND download_date >= DATE '1997-01-01' "
+            "AND download_date < DATE '1999-07-01'"),
+        "daily_series_today": _with(
+            f"SELECT CAST(DATE '{AS_OF}' - download_date AS INTEGER) AS days_ago, CAST(SUM(daily_download_sum) AS BIGINT) AS daily_downloads "
+            f"FROM rollup WHERE download_date >= DATE '{AS_OF}' - INTERVAL '30 days' GROUP BY download_date"),
         "ingest_transform_jobs_all": _with(f"SELECT {rollup_cols} FROM rollup"),
         "incremental_stream_rollup_all": _with(f"SELECT {rollup_cols} FROM rollup"),
     }
@@ -719,6 +939,18 @@ _ROLLUP_TEXT = ", ".join(
     "CAST(download_date AS VARCHAR) AS download_date" if c == "download_date" else c for c in ROLLUP_COLUMNS)
 
 
+def _versions_sql(body: str) -> str:
+    """``early``: version 1 of the versioned queries; ``upserted``: version 2."""
+    with_ = _upsert_sql().split("\nSELECT")[0]
+    return (f"{with_},\nupserted AS (SELECT * FROM early e WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE b.load_id = e.load_id)\n"
+            f"UNION ALL SELECT * FROM batch)\n{body}")
+
+
+def _upserted_rollup() -> str:
+    """A WITH clause whose rollup is that after the upsert."""
+    return _versions_sql("").rstrip() + ",\nrollup AS (SELECT * FROM upserted)"
+
+
 def _upsert_sql() -> str:
     log = _EVENTS_LOG + "\n  UNION ALL" + _ORDERS_LOG
     early = _rollup_sql("(SELECT * FROM log WHERE \"timestamp\" < TIMESTAMP '2024-01-20 12:00:00') l")

@@ -9,8 +9,8 @@ from usage_rollup.sources.scan import log_predicate
 def test_defaults_and_overrides():
     p = JobParams(project="pkg")
     assert (p.start, p.end, p.ts_col) == (DEFAULT_START, DEFAULT_END, "timestamp")
-    q = p.with_(start="2024-06-01", end="2024-07-01", ts_col="created_at")
-    assert (q.start, q.ts_col, q.project) == ("2024-06-01", "created_at", "pkg")
+    q = p.with_(start="2021-11-03", end="2021-11-17", ts_col="seen_at")
+    assert (q.start, q.ts_col, q.project) == ("2021-11-03", "seen_at", "pkg")
     with pytest.raises(ValueError):
         JobParams(project="")
 
@@ -25,22 +25,22 @@ def test_period_whitelist():
 
 
 def test_predicate_text(spark):
-    p = JobParams(project="pkg", start="2023-01-01", end="2023-02-01")
+    p = JobParams(project="wheelhouse", start="2019-08-05", end="2019-08-12 06:30:00")
     s = str(log_predicate(p))
-    assert "project" in s and "2023-01-01" in s and "2023-02-01" in s
+    assert "wheelhouse" in s and "2019-08-05" in s and "2019-08-12 06:30:00" in s
 
 
 def test_custom_timestamp_column_pushed(spark, scratch):
     path = scratch("custom-ts")
-    spark.sql("SELECT TIMESTAMP_NTZ'2024-06-10 00:00:00' AS created_at, 'pkg' AS project, 'US' AS country_code") \
+    spark.sql("SELECT TIMESTAMP_NTZ'2021-11-09 05:00:00' AS seen_at, 'pkg' AS project, 'US' AS country_code") \
         .write.parquet(path)
     from usage_rollup.sources.scan import scan_log
 
-    p = JobParams(project="pkg", start="2024-06-01", end="2024-07-01", ts_col="created_at")
+    p = JobParams(project="pkg", start="2021-11-03", end="2021-11-17", ts_col="seen_at")
     df = scan_log(spark, path, p, columns=["project", "country_code"])
-    assert df.count() == 1 and df.columns[0] == "created_at"
+    assert df.count() == 1 and df.columns[0] == "seen_at"
     pf = " ".join(pushed_filters(df))
-    assert "created_at" in pf and "project" in pf
+    assert "seen_at" in pf and "project" in pf
 
 
 def test_scan_json_source_with_explicit_schema(spark, scratch):
@@ -48,10 +48,25 @@ def test_scan_json_source_with_explicit_schema(spark, scratch):
     from usage_rollup.sources.scan import mock_log, scan_log
 
     path = scratch("json-src")
-    rows = [log_row("2023-01-10 10:00:00", project="pkg", version="1.0"),
-            log_row("2023-01-10 11:00:00", project="other"),
-            log_row("2023-02-10 10:00:00", project="pkg")]
+    rows = [log_row("2019-08-06 10:00:00", project="pkg", version="1.0"),
+            log_row("2019-08-06 11:00:00", project="other"),
+            log_row("2019-09-30 10:00:00", project="pkg")]
     mock_log(spark, rows).write.json(path)
-    df = scan_log(spark, path, JobParams(project="pkg", start="2023-01-01", end="2023-02-01"), fmt="json")
+    df = scan_log(spark, path, JobParams(project="pkg", start="2019-08-05", end="2019-08-12"), fmt="json")
     got = df.collect()
     assert len(got) == 1 and got[0].file.version == "1.0" and df.columns == LOG_COLUMNS
+
+
+def test_billing_project_reaches_connectors_only(spark, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameReader
+    from usage_rollup.sources import scan
+
+    seen = {}
+    monkeypatch.setattr(DataFrameReader, "load", lambda self, path=None: scan.mock_log(spark, []))
+    monkeypatch.setattr(DataFrameReader, "options", lambda self, **kw: seen.update(kw) or self)
+    p = JobParams(project="pkg", billing_project="payer")
+    scan.scan_log(spark, "some.table", p, fmt="warehouse_connector")
+    assert seen == {"parentProject": "payer"}
+    seen.clear()
+    scan.scan_log(spark, "/x", p, fmt="parquet")
+    assert seen == {}

@@ -38,8 +38,9 @@ from __future__ import annotations
 import datetime as _dt
 import hashlib
 import json
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -471,6 +472,49 @@ def append(df: DataFrame, target: str, max_records: int = NO_LIMIT,
     return _observed_rows(obs, df)
 
 
+def append_exact(df: DataFrame, target: str, chunk: int, partition_by: list[str] | None = None) -> int:
+    """Append rows as files of exactly ``chunk`` rows, the last one with the rest; returns rows written.
+
+    ``append`` bounds the rows of a file, but every task ends with a file that is
+    not full. Here the rows are numbered first: they are staged with their place in
+    their partition, the partitions' counts give every partition the number of
+    its first row, and the shuffle deals out whole chunks. So 1,000 rows in chunks of
+    100 give 10 files however many tasks write. With ``partition_by`` the chunks are
+    cut within each partition value instead (each value ends with its own rest).
+    """
+    if chunk < 1:
+        raise ValueError("chunk must be positive")
+    spark = df.sparkSession
+    finish_pending(spark, target)
+    by = list(partition_by or [])
+    stage_path = scratch_dir(spark, "chunks")
+    try:
+        numbered = df.select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_at"))
+        numbered.write.parquet(stage_path)
+        staged = spark.read.schema(numbered.schema).parquet(stage_path)
+        # one row a write task (and partition value): a small window
+        sizes = staged.groupBy(*by, "_part").agg(F.count(F.lit(1)).alias("_n"))
+        before = F.sum("_n").over(Window.partitionBy(*by).orderBy("_part")) - F.col("_n")
+        names = {c: f"_of_{i}" for i, c in enumerate([*by, "_part"])}
+        offsets = sizes.select(*[F.col(c).alias(n) for c, n in names.items()], before.alias("_before"))
+        inside = (F.row_number().over(Window.partitionBy(*by, "_part").orderBy("_at")) - 1 if by
+                  else F.col("_at").bitwiseAND((1 << 33) - 1))  # the id counts up within its partition
+        same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()])
+        placed = (staged.join(offsets, same).withColumn("_row", F.col("_before") + inside)
+                  .withColumn("_chunk", F.floor(F.col("_row") / chunk)))
+        out = placed.repartition(*by, "_chunk").sortWithinPartitions(*by, "_chunk", "_row").select(*df.columns)
+        w = out.write.mode("append").option("maxRecordsPerFile", int(chunk))
+        if by:
+            w = w.partitionBy(*by)
+        if _is_path(target):
+            w.parquet(target)
+        else:
+            w.format("parquet").saveAsTable(target)
+        return staged.count()
+    finally:
+        storage.delete_path(spark, stage_path)
+
+
 def _observed_rows(obs: Observation, df: DataFrame) -> int:
     """The observed row count; counted anew where an empty write left no task to report it."""
     try:
@@ -491,10 +535,15 @@ def write_rollup(spark: SparkSession, rollup: DataFrame, target: str, mode: str
         return upsert_by_key(spark, target, rollup, partition_col=part)
     if mode != "full":
         raise ValueError("mode must be 'full' or 'incremental'")
-    discard_pending(spark, target)  # all of the target is replaced; an older snapshot must not come back
+    # an interrupted publish is completed first: its snapshot may be the only whole copy until the new one exists
+    finish_pending(spark, target)
     rollup = with_rollup_partition(rollup, part)
     loc = _location(spark, target)
     old = storage.list_partitions(spark, loc, part) if loc else []
+    if old and _is_path(target):
+        stored = set(spark.read.parquet(loc).columns)
+        if stored != set(rollup.columns):
+            raise ValueError(f"columns differ from those of {target}: {sorted(stored ^ set(rollup.columns))}")
     if old and (_is_path(target) or set(spark.table(target).columns) == set(rollup.columns)):
         # an existing table: snapshot first, then swap every partition, so a crash loses nothing
         stage_path = scratch_dir(spark, "refresh")
@@ -521,8 +570,12 @@ def with_year_month(df: DataFrame, date_col: str = ROLLUP_DATE) -> DataFrame:
     return df.withColumns({"year": F.year(date_col), "month": F.month(date_col)})
 
 
-def export_partitioned(df: DataFrame, date_col: str, path: str, max_records: int = DEFAULT_EXPORT_ROWS) -> None:
-    """Export as zstd Parquet partitioned by ``year``/``month``.
+def export_partitioned(df: DataFrame, date_col: str, path: str, max_records: int = NO_LIMIT,
+                       row_group_rows: int = DEFAULT_EXPORT_ROWS) -> None:
+    """Export as zstd Parquet partitioned by ``year``/``month``, ``row_group_rows`` rows a row group at most.
+
+    The Parquet writer closes a row group at its row limit or at its byte size,
+    whichever comes first. ``max_records`` bounds the rows of a file (0: no limit).
 
     Rows are rebalanced on (year, month): each month is written by one task
     unless it dominates, in which case AQE splits it over several tasks (no
@@ -535,5 +588,6 @@ def export_partitioned(df: DataFrame, date_col: str, path: str, max_records: int
      .option("partitionOverwriteMode", "dynamic")
      .option("compression", "zstd")
      .option("maxRecordsPerFile", int(max_records))
+     .option("parquet.block.row.count.limit", int(row_group_rows))
      .partitionBy("year", "month")
      .parquet(path))

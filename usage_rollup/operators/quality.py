@@ -43,7 +43,7 @@ def _null_pct(total: Column, non_null: Column) -> Column:
 
 
 def quality_report(df: DataFrame, ts: str = "timestamp", key: str = "project",
-                   max_null_pct: float = MAX_NULL_PCT, digits: int | None = 6) -> DataFrame:
+                   max_null_pct: float = MAX_NULL_PCT, digits: int | None = None) -> DataFrame:
     """One summary row: the statistics, null rates and whether the gate passes."""
     s = quality_stats(df, ts, key)
     t, nts, nk = F.col("total_rows"), F.col("non_null_timestamps"), F.col("non_null_keys")

@@ -23,6 +23,7 @@ from pyspark.sql.window import Window
 from usage_rollup.functions.columns import date_label, month_bucket, month_label, week_bucket
 from usage_rollup.functions.labels import period_label
 from usage_rollup.params import safe_period
+from usage_rollup.session import scratch_dir
 
 DATE = "download_date"
 MONTH = "download_month"  # partition column of a stored rollup, when present
@@ -239,56 +240,97 @@ def version_column(v: str) -> str:
     return "v" + "".join(ch if ch.isalnum() else "_" for ch in v)
 
 
+def adoption_map(adoption: DataFrame) -> DataFrame:
+    """One row per date with a map version -> downloads, keys ascending: (download_date, downloads).
+
+    The pivot without a width: no list of versions is needed beforehand, no column
+    limit applies, and a date's row holds only the versions it has. Rows that name
+    a version of a date twice are summed. One shuffle, on the date.
+    """
+    once = (adoption.repartition("download_date").groupBy("download_date", "version")
+            .agg(F.sum("downloads").cast("bigint").alias("downloads")).where(F.col("version").isNotNull()))
+    pairs = F.sort_array(F.collect_list(F.struct("version", "downloads")))
+    return once.groupBy("download_date").agg(F.map_from_entries(pairs).alias("downloads"))
+
+
+def adoption_share_map(pivot: DataFrame) -> DataFrame:
+    """``adoption_map`` with shares of the date's total in percent (a zero total gives 0)."""
+    total = F.aggregate(F.map_values("downloads"), F.lit(0).cast("bigint"), lambda a, x: a + F.coalesce(x, F.lit(0)))
+    share = lambda _, v: F.when(F.col("_total") > 0, F.coalesce(v, F.lit(0)) / F.col("_total") * 100.0).otherwise(0.0)
+    return pivot.withColumn("_total", total.cast("double")).select(
+        "download_date", F.transform_values("downloads", share).alias("share_pct"))
+
+
+def listed_versions(adoption: DataFrame) -> tuple[DataFrame, list[str]]:
+    """The adoption rows, written once to the shared scratch folder, and their versions.
+
+    What a wide form needs to know its columns; the rollup behind the rows is read
+    once instead of once for the list and once for the pivot.
+    """
+    spark = adoption.sparkSession
+    path = scratch_dir(spark, "adoption")
+    adoption.write.parquet(path)
+    rows = spark.read.schema(adoption.schema).parquet(path)
+    return rows, [r["version"] for r in adoption_versions(rows).collect() if r["version"] is not None]
+
+
 def adoption_pivot(adoption: DataFrame, versions=None) -> DataFrame:
-    """One row per date, one column per version; gaps stay NULL.
+    """One row per date, one column per version; gaps stay NULL, repeated rows are summed.
 
-    Pass ``versions`` to keep this a single aggregate with a fixed width; without
-    it Spark's pivot lists the distinct versions first (bounded by
-    ``spark.sql.pivotMaxValues``).
+    Without ``versions`` they are listed first (``listed_versions``). The width is
+    not limited by ``spark.sql.pivotMaxValues``; very wide results are better taken as
+    ``adoption_map`` or in ``adoption_pivot_blocks``.
     """
-    g = adoption.groupBy("download_date")
-    piv = (g.pivot("version", list(versions)) if versions is not None else g.pivot("version")).agg(
-        F.sum("downloads").cast("bigint")
-    )
+    if versions is None:
+        adoption, versions = listed_versions(adoption)
+    piv = adoption.groupBy("download_date").pivot("version", list(versions)).agg(F.sum("downloads").cast("bigint"))
     cols = [c for c in piv.columns if c != "download_date"]
     return piv.select(
         "download_date", *[F.col(f"`{c}`").alias(version_column(c)) for c in cols]
     ).orderBy(F.col("download_date").asc_nulls_last())
 
 
-def adoption_share(pivot: DataFrame, digits: int = 6) -> DataFrame:
-    """Share of the date's total per version column: value/total*100.
+def adoption_pivot_blocks(adoption: DataFrame, width: int = 500, versions=None) -> list[DataFrame]:
+    """The wide pivot as frames of at most ``width`` version columns, every date in each."""
+    if versions is None:
+        adoption, versions = listed_versions(adoption)
+    return [adoption_pivot(adoption, versions[i:i + width]) for i in range(0, len(versions), width)]
+
+
+def adoption_share(pivot: DataFrame, digits: int | None = None) -> DataFrame:
+    """Share of the date's total per version column: value/total*100, rounded if ``digits`` is given.
 
     Missing -> 0; a zero total -> 0; the total is over the pivoted versions.
     Pure projection over the pivot (no extra shuffle).
     """
     vcols = [c for c in pivot.columns if c != "download_date"]
-    total = reduce(lambda a, b: a + b, [F.coalesce(F.col(c), F.lit(0)).cast("double") for c in vcols])
-    shares = [
-        F.round(
-            F.when(total > 0, F.coalesce(F.col(c), F.lit(0)).cast("double") / total * 100.0).otherwise(F.lit(0.0)),
-            digits,
-        ).alias(c)
-        for c in vcols
-    ]
-    return pivot.select("download_date", *shares)
+    if not vcols:
+        return pivot
+    total = reduce(lambda a, b: a + b, [F.coalesce(F.col(c), F.lit(0)) for c in vcols]).cast("double")
+    out = pivot.withColumn("_total", total)  # taken once, not once a column
+    share = lambda c: F.when(F.col("_total") > 0, F.coalesce(F.col(c), F.lit(0)) / F.col("_total") * 100.0).otherwise(0.0)
+    return out.select("download_date", *[_rounded(share(c), digits).alias(c) for c in vcols])
+
 
+def _rounded(c: Column, digits: int | None) -> Column:
+    return c if digits is None else F.round(c, digits)
 
-def adoption_share_long(adoption: DataFrame, digits: int = 6) -> DataFrame:
+
+def adoption_share_long(adoption: DataFrame, digits: int | None = None) -> DataFrame:
     """Long-form share: downloads / per-date total * 100 (window per date)."""
     w = Window.partitionBy("download_date")
     tot = F.sum("downloads").over(w)
     return adoption.select(
         "download_date",
         "version",
-        F.round(F.when(tot > 0, F.col("downloads") / tot * 100.0).otherwise(F.lit(0.0)), digits).alias("share_pct"),
+        _rounded(F.when(tot > 0, F.col("downloads") / tot * 100.0).otherwise(F.lit(0.0)), digits).alias("share_pct"),
     )
 
 
 # --- KPI shaping -----------------------------------------------------------
 
 
-def change_pct(pair: DataFrame, label: str, value: str, digits: int | None = 6) -> DataFrame:
+def change_pct(pair: DataFrame, label: str, value: str, digits: int | None = None) -> DataFrame:
     """Last vs previous over a <=2-row frame -> (last, previous, change_pct).
 
     ``change_pct = (last - previous) / previous * 100``; NULL unless both rows
@@ -298,8 +340,7 @@ def change_pct(pair: DataFrame, label: str, value: str, digits: int | None = 6)
     cur = F.max_by(value, label)
     prev = F.when(k == 2, F.min_by(value, label))
     pct = F.when(k == 2, F.try_divide((cur - prev) * 100.0, prev.cast("double")))
-    if digits is not None:
-        pct = F.round(pct, digits)
+    pct = _rounded(pct, digits)
     return pair.agg(
         F.max(label).alias("last_label"),
         cur.alias("last_value"),
@@ -316,18 +357,23 @@ def sparkline(rollup: DataFrame, as_of=None, points: int = 12, min_points: int =
     return last.where(n >= F.lit(min_points)).orderBy(F.col("week_start_date").asc_nulls_last())
 
 
-def kpi_cards(rollup: DataFrame, as_of=None, digits: int | None = 6) -> DataFrame:
+def kpi_cards(rollup: DataFrame, as_of=None, digits: int | None = None) -> DataFrame:
     """One KPI row: last/previous week and month with change, total, freshness.
 
     Anchored on the single-row total/freshness aggregate; week and month pairs
     enter as two scalar subqueries over their <=2-row frames (no joins).
     """
-    wk = change_pct(last_two_weeks(rollup, as_of), "week_start_date", "weekly_downloads", digits)
-    mo = change_pct(last_two_months(rollup), "year_month", "monthly_downloads", digits)
     anchor = rollup.agg(
         F.coalesce(F.sum(N), F.lit(0)).cast("bigint").alias("total_downloads"),
         F.coalesce(date_label(F.max(DATE)), F.lit("")).alias("refresh_date"),
     )
+    return kpi_row(last_two_weeks(rollup, as_of), last_two_months(rollup), anchor, digits)
+
+
+def kpi_row(weeks: DataFrame, months: DataFrame, anchor: DataFrame, digits: int | None = None) -> DataFrame:
+    """The KPI row from the newest two weeks, the two months before the newest, and the totals' row."""
+    wk = change_pct(weeks, "week_start_date", "weekly_downloads", digits)
+    mo = change_pct(months, "year_month", "monthly_downloads", digits)
     # one scalar subquery per pair, returning the whole pair as a struct; the
     # fields are read in a second projection so each subquery runs once
     w = wk.select(F.struct(*wk.columns)).scalar()
@@ -349,6 +395,11 @@ def kpi_cards(rollup: DataFrame, as_of=None, digits: int | None = 6) -> DataFram
 # --- bundle ------------------------------------------------------------------
 
 
+def period_echo(spark, days: int) -> DataFrame:
+    """One row: the period of a request and its label (reads no table)."""
+    return spark.range(1).select(F.lit(int(days)).alias("period_days"), period_label(F.lit(int(days))).alias("period_label"))
+
+
 def report_bundle(rollup: DataFrame, days: int = 0, as_of=None) -> dict[str, DataFrame]:
     """All reports for one request; ``days`` is whitelisted to {0,7,30,90}.
 
@@ -358,9 +409,8 @@ def report_bundle(rollup: DataFrame, days: int = 0, as_of=None) -> dict[str, Dat
     frames are evaluated one by one.
     """
     days = safe_period(days)
-    period = rollup.agg(F.lit(days).alias("period_days"), period_label(F.lit(days)).alias("period_label"))
     return {
-        "period": period,
+        "period": period_echo(rollup.sparkSession, days),
         "weekly_series": weekly_series(rollup, as_of),
         "last_two_weeks": last_two_weeks(rollup, as_of),
         "monthly_recent": monthly_recent(rollup),
@@ -377,11 +427,21 @@ def report_bundle(rollup: DataFrame, days: int = 0, as_of=None) -> dict[str, Dat
 
 
 def bundle_long(bundle: dict[str, DataFrame]) -> DataFrame:
-    """Tag and union the bundle's list reports into (report, label, n)."""
+    """Tag and union all reports of the bundle into (report, label, n)."""
     def tag(name, label: Column, n: Column):
         return bundle[name].select(F.lit(name).alias("report"), label.alias("label"), n.cast("bigint").alias("n"))
 
+    kpi = bundle["kpi_cards"]
+    # changes in millionths of a percent, so that every value is a whole number
+    facts = [F.struct(F.concat_ws("|", F.lit(c), *([F.col(of)] if of else [])).alias("label"), v.cast("bigint").alias("n"))
+             for c, of, v in [(c, of, F.round(F.col(c) * (1e6 if c.endswith("pct") else 1))) for c, of in (
+                 ("last_week_downloads", "last_week_start"), ("previous_week_downloads", None), ("week_change_pct", None),
+                 ("last_month_downloads", "last_month"), ("previous_month_downloads", None), ("month_change_pct", None),
+                 ("total_downloads", "refresh_date"))]]
+    cards = kpi.select(F.inline(F.array(*facts))).select(F.lit("kpi_cards").alias("report"), "label", "n")
     parts = [
+        tag("period", F.col("period_label"), F.col("period_days")),
+        cards,
         tag("weekly_series", F.col("week_start_date"), F.col("weekly_downloads")),
         tag("last_two_weeks", F.col("week_start_date"), F.col("weekly_downloads")),
         tag("monthly_recent", F.col("year_month"), F.col("monthly_downloads")),

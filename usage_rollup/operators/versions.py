@@ -63,16 +63,18 @@ class Manifest:
     operation: str = ""
     schema: T.StructType | None = None
     parts: dict[str, list[tuple[str, list[str] | None]]] = field(default_factory=dict)
+    #: small facts that are published together with the data (a stream's last batch, a source's version)
+    facts: dict = field(default_factory=dict)
 
     def to_json(self) -> str:
         return json.dumps({"version": self.version, "operation": self.operation, "schema": self.schema.jsonValue(),
-                           "parts": self.parts})
+                           "parts": self.parts, "facts": self.facts})
 
     @staticmethod
     def from_json(text: str) -> "Manifest":
         d = json.loads(text)
         parts = {v: [(g, files) for g, files in entries] for v, entries in d["parts"].items()}
-        return Manifest(d["version"], d["operation"], T.StructType.fromJson(d["schema"]), parts)
+        return Manifest(d["version"], d["operation"], T.StructType.fromJson(d["schema"]), parts, d["facts"])
 
 
 class VersionedTable:
@@ -190,11 +192,14 @@ class Change:
         w.parquet(path)
         return {v: [(gen, None)] for v in storage.list_partitions(t.spark, path, t.partition_col)}
 
-    def commit(self, parts: dict, schema: T.StructType) -> int:
-        """Publish; raises ``ConcurrentWriteError`` if another writer published since ``begin``."""
+    def commit(self, parts: dict, schema: T.StructType, facts: dict | None = None) -> int:
+        """Publish; raises ``ConcurrentWriteError`` if another writer published since ``begin``.
+
+        ``facts`` are added to those of the version before.
+        """
         t, n = self.table, self.base.version + 1
         m = Manifest(n, self.operation, T.StructType([f for f in schema.fields if f.name != "gen"]),
-                     {v: e for v, e in sorted(parts.items()) if e})
+                     {v: e for v, e in sorted(parts.items()) if e}, {**self.base.facts, **(facts or {})})
         if not storage.put_if_absent(t.spark, t._manifest_path(n), m.to_json()):
             self.abort()
             raise ConcurrentWriteError(f"version {n} of {t.root} was published by another writer")
@@ -293,6 +298,23 @@ def refresh(table: VersionedTable, df: DataFrame, max_records: int = NO_LIMIT, s
         return n
 
 
+def replace_partitions(table: VersionedTable, df: DataFrame, values: list[str] | None = None, facts: dict | None = None,
+                       operation: str = "replace partitions") -> int:
+    """Replace the named partitions (None: all) by ``df``'s rows; one without rows goes. Returns the version."""
+    with _Undo(table.begin(operation)) as change:
+        base = change.base
+        if values is not None:
+            _columns_fit(base, df.schema)
+        rest = {} if values is None else {v: e for v, e in base.parts.items() if v not in set(values)}
+        return change.commit(_joined(rest, change.write(df)), df.schema, facts)
+
+
+def changed_partitions(table: VersionedTable, since: int, until: int | None = None) -> list[str]:
+    """Partition values whose content may differ between two versions (0: before the first)."""
+    old, new = table.manifest(since).parts, table.manifest(until).parts
+    return sorted(v for v in {*old, *new} if old.get(v) != new.get(v))
+
+
 def upsert(table: VersionedTable, batch: DataFrame, key: str = "load_id", within: str | None = None,
            max_records: int = NO_LIMIT) -> int:
     """Replace rows by key; returns the batch's rows. Only files that hold a matched key are rewritten.

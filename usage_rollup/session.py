@@ -6,8 +6,12 @@ cluster names); only when that is unset (local tests) do we set one.
 
 from __future__ import annotations
 
+import io
+import os
+import re
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -81,7 +85,41 @@ def shared_root(spark: SparkSession) -> str:
     subfolder Spark creates under it), so state written there outlives the
     application that wrote it; falls back to ``checkpoint_root``."""
     conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    return conf_dir.rstrip("/") if conf_dir else checkpoint_root(spark).rstrip("/")
+    if conf_dir:
+        return conf_dir.rstrip("/")
+    # set by setCheckpointDir: that adds a folder named by a UUID for each application
+    root = checkpoint_root(spark).rstrip("/")
+    head, _, last = root.rpartition("/")
+    return head if re.fullmatch(r"[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}", last) else root
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Functions that run in workers refer to it by name. Nothing is sent where the
+    workers already find it on their ``PYTHONPATH``.
+    """
+    package = os.path.dirname(os.path.abspath(__file__))
+    if os.path.dirname(package) in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        return
+    sc = spark.sparkContext
+    if getattr(sc, "_usage_rollup_shipped", False):
+        return
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    path = sc._jvm.org.apache.hadoop.fs.Path(f"{scratch_dir(spark, 'package')}/usage_rollup.zip")
+    out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path, True)
+    try:
+        out.write(bytearray(packed.getvalue()))
+    finally:
+        out.close()
+    sc.addPyFile(path.toString())
+    sc._usage_rollup_shipped = True
 
 
 def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
@@ -95,5 +133,5 @@ def local_path(p: str) -> str:
     return p[5:] if p.startswith("file:") else p
 
 
-__all__ = ["get_session", "checkpoint_root", "shared_root", "scratch_dir", "local_path", "SESSION_CONF",
+__all__ = ["get_session", "ship_package", "checkpoint_root", "shared_root", "scratch_dir", "local_path", "SESSION_CONF",
            "CLUSTER_CONF"]

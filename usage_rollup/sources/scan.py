@@ -18,6 +18,7 @@ from usage_rollup.schema import LOG_COLUMNS, log_schema
 
 # Formats whose files carry no schema.
 SCHEMALESS = ("json", "csv", "xml")
+FILE_FORMATS = ("parquet", "orc", "avro", "text", *SCHEMALESS)
 
 
 def log_predicate(params: JobParams, ts_type=None) -> Column:
@@ -28,6 +29,34 @@ def log_predicate(params: JobParams, ts_type=None) -> Column:
     )
 
 
+#: Partition columns of a raw log by convention, with the span of their values.
+LOG_PARTITIONS = {"log_date": "day", "log_month": "month"}
+
+
+def log_partition_of(df: DataFrame, column: str | None = None, grain: str | None = None) -> tuple[str, str] | None:
+    """(partition column, grain) of a raw log: the one named, or the conventional one it has."""
+    names = [column] if column else list(LOG_PARTITIONS)
+    for name in names:
+        if name in df.columns:
+            return name, grain or LOG_PARTITIONS.get(name, "day")
+    return None
+
+
+def within_partitions(df: DataFrame, first: Column | None, last: Column | None, column: str | None = None,
+                      grain: str | None = None) -> DataFrame:
+    """State the days ``first`` to ``last`` (inclusive, each optional) on the partition column, if ``df`` has one.
+
+    A month's partition is its first day, so the lower bound is cut to that.
+    """
+    found = log_partition_of(df, column, grain)
+    if found is None:
+        return df
+    name, grain = found
+    if first is not None:
+        df = df.where(F.col(name) >= (F.trunc(first, "month") if grain == "month" else first))
+    return df if last is None else df.where(F.col(name) <= last)
+
+
 def _ts_type(df: DataFrame, ts_col: str):
     return df.schema[ts_col].dataType
 
@@ -39,8 +68,9 @@ def scan_log(
     columns=LOG_COLUMNS,
     fmt: str = "parquet",
     options: dict | None = None,
-    date_partition: str | None = "log_date",
+    date_partition: str | None = None,
     schema=None,
+    grain: str | None = None,
 ) -> DataFrame:
     """Filtered + projected scan of a raw download log.
 
@@ -49,15 +79,19 @@ def scan_log(
     connector's table name) with ``options``. ``schema`` is passed on when
     given; only formats without a schema of their own get the log's. Bounds are cast to the column's own timestamp
     type so the range reaches the Parquet reader as pushed filters. When the
-    source has a ``date_partition`` column (``to_date`` of the timestamp), the
-    range is also stated on it for partition pruning.
+    source has a partition column of days or months (``date_partition`` and ``grain``,
+    by default ``log_date`` or ``log_month``), the range is also stated on it for partition
+    pruning. ``params.billing_project`` is passed to connectors as ``parentProject``.
     """
     if isinstance(path_or_df, DataFrame):
         src = path_or_df
     elif fmt == "table":
         src = spark.table(path_or_df)
     else:
-        reader = spark.read.format(fmt).options(**(options or {}))
+        options = dict(options or {})
+        if params.billing_project and fmt not in FILE_FORMATS:
+            options.setdefault("parentProject", params.billing_project)
+        reader = spark.read.format(fmt).options(**options)
         if schema is not None or fmt in SCHEMALESS:
             reader = reader.schema(schema or log_schema())
         src = reader.load(path_or_df)
@@ -65,12 +99,9 @@ def scan_log(
     if params.ts_col not in cols and params.ts_col in src.columns:
         # a custom timestamp column is carried along so the range can apply
         cols = [params.ts_col] + cols
-    if date_partition and date_partition in src.columns:
-        # a date-partitioned source: bound the partition column as well, so
-        # directories outside the range are never listed or opened
-        first, last = partition_bounds(params.start, params.end, session_zone(spark))
-        src = src.where((F.col(date_partition) >= F.to_date(F.lit(first)))
-                        & (F.col(date_partition) <= F.to_date(F.lit(last))))
+    # directories outside the range are never listed or opened
+    first, last = (F.to_date(F.lit(d)) for d in partition_bounds(params.start, params.end, session_zone(spark)))
+    src = within_partitions(src, first, last, date_partition, grain)
     return src.where(log_predicate(params, _ts_type(src, params.ts_col))).select(*cols)
 
 
@@ -113,8 +144,10 @@ def resolve_source(
     return spark.table(name)
 
 
-def load_rollup(spark: SparkSession, path_or_table: str) -> DataFrame:
-    """The published rollup: a Parquet path or a catalog table name."""
+def load_rollup(spark: SparkSession, path_or_table) -> DataFrame:
+    """The published rollup: a Parquet path, a catalog table name, or a versioned table's newest version."""
+    if hasattr(path_or_table, "read"):
+        return path_or_table.read()
     if "/" in path_or_table or ":" in path_or_table:
         return spark.read.parquet(path_or_table)
     return spark.table(path_or_table)

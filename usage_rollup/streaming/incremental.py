@@ -16,29 +16,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from usage_rollup.operators.maintain import LOG_PARTITION, rollup_partition_column, upsert_by_key
+from usage_rollup.operators import versions
+from usage_rollup.operators.maintain import rollup_partition_column, upsert_by_key
 from usage_rollup.operators.rollup import daily_rollup
+from usage_rollup.sources.scan import log_partition_of
 
 # Files per micro-batch, so that a first run does not take the full history at once.
 MAX_FILES = 10_000
 
 
-def upsert_affected_dates(spark: SparkSession, batch: DataFrame, source_path: str, target: str,
-                          ts: str = "timestamp", grain: str = "month") -> int:
-    """Recompute the rollup for the dates present in ``batch`` and upsert it."""
+def upsert_affected_dates(spark: SparkSession, batch: DataFrame, source_path: str, target,
+                          ts: str = "timestamp", grain: str = "month", log_partition: str | None = None,
+                          log_grain: str | None = None) -> int:
+    """Recompute the rollup for the dates present in ``batch`` and upsert it.
+
+    On a source of month folders the dates' months are stated on the partition
+    column, and the dates on the rows.
+    """
     full = spark.read.option("basePath", source_path).parquet(source_path)
-    day = F.col(LOG_PARTITION) if LOG_PARTITION in full.columns else F.to_date(F.col(ts))
+    found = log_partition_of(full, log_partition, log_grain)
+    day = F.col(found[0]) if found and found[1] == "day" else F.to_date(F.col(ts))
     # calendar days: bounded metadata, stated as literals so the source scan is pruned to them
     dates = [r[0] for r in batch.select(day.alias("d")).where("d IS NOT NULL").distinct().collect()]
     if not dates:
         return 0
     affected = full.where(day.isin(dates))
+    if found and found[1] == "month":
+        affected = affected.where(F.col(found[0]).isin(sorted({d.replace(day=1) for d in dates})))
+    if isinstance(target, versions.VersionedTable):
+        return versions.write_rollup(target, daily_rollup(affected, ts=ts), "incremental", grain)
     return upsert_by_key(spark, target, daily_rollup(affected, ts=ts), partition_col=rollup_partition_column(grain))
 
 
-def start_incremental_rollup(spark: SparkSession, source_path: str, target: str, checkpoint: str,
+def start_incremental_rollup(spark: SparkSession, source_path: str, target, checkpoint: str,
                              ts: str = "timestamp", available_now: bool = True, max_files_per_trigger: int | None = MAX_FILES,
-                             schema=None, grain: str = "month"):
+                             schema=None, grain: str = "month", log_partition: str | None = None,
+                             log_grain: str | None = None):
     """Start the streaming query; returns the ``StreamingQuery``.
 
     ``available_now`` processes what has landed and stops (scheduled runs);
@@ -53,7 +66,7 @@ def start_incremental_rollup(spark: SparkSession, source_path: str, target: str,
     stream = reader.parquet(source_path)
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        upsert_affected_dates(batch.sparkSession, batch, source_path, target, ts, grain)
+        upsert_affected_dates(batch.sparkSession, batch, source_path, target, ts, grain, log_partition, log_grain)
 
     w = (stream.writeStream.foreachBatch(apply)
          .option("checkpointLocation", checkpoint))
