@@ -57,7 +57,7 @@ def test_one_scan_and_one_shuffle(spark, scratch, rollup):
     assert count_nodes(plan, "Scan parquet") <= 2
     b = bundle.SharedBundle(spark.read.parquet(path), 30, AS_OF)
     for name, frame in b.items():
-        assert path not in " ".join(frame.inputFiles()), name
+        assert path.split("/")[-1] not in " ".join(frame.inputFiles()), name
 
 
 def test_write_reports_collects_only_short_frames(spark, scratch, rollup):
@@ -85,7 +85,8 @@ def test_lattice_equals_the_rollup_and_reads_the_small_tables(spark, scratch, ro
         assert rows(got[name]) == rows(want[name]), name
         if name != "period":
             read = " ".join(got[name].inputFiles())
-            assert table.root not in read and levels.tables["plain"].root.rsplit("/", 1)[0] in read, name
+            folder = lambda path: path.split("/")[-1]
+            assert folder(table.root) not in read and folder(levels.tables["plain"].root[:-len("/plain")]) in read, name
     assert "country_code" in levels.choose(["country_code"]).columns
     assert levels.choose(["cpu"]).count() == table.read().count()  # no level has it: the rollup
     one = lattice.lattice_bundle(levels, 0, AS_OF, project="gamma")["total_downloads"].first()[0]
@@ -110,10 +111,10 @@ def test_map_pivot(spark):
             ("2024-01-02", None, 4)]
     adoption = spark.createDataFrame(data, "download_date string, version string, downloads bigint")
     pivot = R.adoption_map(adoption)
+    assert count_nodes(pivot, "Exchange") == 1
     assert {r.download_date: r.downloads for r in pivot.collect()} == {"2024-01-01": {"1.2.0": 1, "1.3.0": 3}, "2024-01-02": {"1.3.0": 0}}
     share = {r.download_date: r.share_pct for r in R.adoption_share_map(pivot).collect()}
     assert share == {"2024-01-01": {"1.2.0": 25.0, "1.3.0": 75.0}, "2024-01-02": {"1.3.0": 0.0}}
-    assert count_nodes(pivot, "Exchange") == 1
 
 
 def test_wide_pivot_is_not_bound_by_the_pivot_limit(spark):

@@ -25,6 +25,7 @@ from usage_rollup.sources import storage
 KEY = "load_id"
 #: Spark drops a bucketed scan that it thinks nothing needs; the write does.
 AUTO_BUCKETS = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def create_bucketed(spark: SparkSession, rollup: DataFrame, table: str, buckets: int, key: str = KEY,
@@ -56,7 +57,7 @@ def upsert_bucketed(spark: SparkSession, table: str, batch: DataFrame, key: str
     """Replace rows by key in a bucketed table; returns the batch's rows. The key determines the month."""
     buckets = bucket_count(spark, table)
     path, pending = scratch_dir(spark, "bucketed-batch"), f"{table}_pending_{uuid.uuid4().hex[:8]}"
-    before = spark.conf.get(AUTO_BUCKETS)
+    before = {name: spark.conf.get(name) for name in (AUTO_BUCKETS, OVERWRITE_MODE)}
     try:
         batch = with_rollup_partition(batch, partition_col)
         batch.write.parquet(path)
@@ -65,15 +66,17 @@ def upsert_bucketed(spark: SparkSession, table: str, batch: DataFrame, key: str
         if not touched:
             return 0
         spark.conf.set(AUTO_BUCKETS, "false")
+        spark.conf.set(OVERWRITE_MODE, "dynamic")  # insertInto takes it from the session alone
         month = F.col(partition_col)
         cond = month.isin([m for m in touched if m is not None])
         old = spark.table(table).where(cond | month.isNull() if None in touched else cond)
         rows = upserted(old, staged, buckets, key)
         rows.write.partitionBy(partition_col).bucketBy(buckets, key).sortBy(key).format("parquet").saveAsTable(pending)
         # one task a bucket again, so one file a month and bucket
-        spark.table(pending).select(*old.columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+        spark.table(pending).select(*old.columns).write.mode("overwrite").insertInto(table)
         return staged.count()
     finally:
-        spark.conf.set(AUTO_BUCKETS, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
         spark.sql(f"DROP TABLE IF EXISTS {pending}")
         storage.delete_path(spark, path)

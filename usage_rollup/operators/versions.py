@@ -206,8 +206,16 @@ class Change:
         storage.replace_text(t.spark, f"{t.root}/_current", str(n))
         return n
 
+    def published(self) -> bool:
+        """Whether a manifest names this change's data, however its writer ended."""
+        path = self.table._manifest_path(self.base.version + 1)
+        return storage.exists(self.table.spark, path) and any(
+            g in self.gens for e in Manifest.from_json(storage.read_text(self.table.spark, path)).parts.values() for g, _ in e)
+
     def abort(self) -> None:
-        """Remove what was written."""
+        """Remove what was written, unless it was published."""
+        if self.published():
+            return
         for gen in self.gens:
             storage.delete_path(self.table.spark, f"{self.table.root}/data/gen={gen}")
 
