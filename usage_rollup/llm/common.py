@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_dir
+from ..session import scratch_dir, ship_package
+from ..sources import storage
+
+#: Tables written by ``stored`` in this process, oldest first.
+_written: list[str] = []
 
 
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
@@ -16,10 +25,47 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared checkpoint folder and read back (cuts lineage)."""
     spark = df.sparkSession
     path = scratch_dir(spark, name)
+    _written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written() -> int:
+    """How many stored tables there are, for ``remove_since``."""
+    return len(_written)
+
+
+def remove_since(spark: SparkSession, mark: int, keep: DataFrame) -> None:
+    """Remove the tables stored since ``mark`` that ``keep`` does not read."""
+    used = " ".join(keep.inputFiles())
+    for path in _written[mark:]:
+        if path.rsplit("/", 1)[-1] not in used:
+            storage.delete_path(spark, path)
+            _written.remove(path)
+
+
+def lean(run):
+    """A task function whose worker gives its memory back to the system when the task ends."""
+
+    @functools.wraps(run)
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return wrapped
+
+
+def give_back() -> None:
+    """Return free memory of this process to the system (workers are reused by later stages)."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # not glibc
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     """(node, component) of every node in ``edges(a, b)``; component is the smallest node reached.
 

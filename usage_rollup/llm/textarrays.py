@@ -32,7 +32,10 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def _pow(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, ``n`` at least; kept unless a single long text asks for more."""
     global _powers
+    if n > 4 * CHUNK_BYTES:
+        return tuple(np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, b, np.uint64)])) for b in (_BASE, _INV))
     if len(_powers[0]) < n:
         _powers = tuple(np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, b, np.uint64)]))
                         for b in (_BASE, _INV))
@@ -59,10 +62,15 @@ BARE_WORDS = byte_tables(SPACES + bytes(b for b in range(33, 127) if not chr(b).
 def text_buffers(column) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a text column; NULL counts as empty."""
     a = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    a = a.cast(pa.large_string()).fill_null("")
+    if not (pa.types.is_string(a.type) or pa.types.is_large_string(a.type)):
+        a = a.cast(pa.large_string())
+    if a.null_count:
+        a = a.fill_null("")
     if len(a) == 0:
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
-    off = np.frombuffer(a.buffers()[1], np.int64)[a.offset:a.offset + len(a) + 1]
+    # the batch's own buffers, not a copy
+    kind = np.int64 if pa.types.is_large_string(a.type) else np.int32
+    off = np.frombuffer(a.buffers()[1], kind)[a.offset:a.offset + len(a) + 1].astype(np.int64)
     data = np.frombuffer(a.buffers()[2] or b"", np.uint8)
     return data, off
 
