@@ -6,17 +6,18 @@ rows of a band are candidates. With 48 bands of 6 rows a pair of similarity 0.8
 shares no band with probability 5e-7.
 
 Candidates do not become all pairs of their band. A band's smallest set is its
-pivot, and all others are compared with it: first by signatures, one byte a
-minimum, in batches of 32. After n minima with m agreements and a uniform prior,
+pivot, and the others are its family. A member is compared with the pivot it shares
+most bands with, and then only with pivots outside its component. A comparison is made by
+signatures first, one byte a minimum, in batches of 32. After n minima with m agreements and a uniform prior,
 the agreement rate has the posterior Beta(m + 1, n - m + 1); once the
 probability that it reaches the rate of the wanted similarity falls below
 ``miss``, the pair is dropped and its remaining batches are not looked at. Pairs
 that survive all batches are verified on the full sets.
 
-Members that link with their pivot are one component. Members that do not are
-compared with all other members of the pivot's family, in blocks of bounded
-size, by the same two steps; so a link between two members is never lost because
-a third one was the pivot.
+Members that end up outside their pivot's component are compared with all other
+members of its family, in blocks of bounded size, by the same two steps; so a
+link between two members is never lost because a third one was the pivot. Pairs
+inside one component are never compared: they can't change the result.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textarrays as ta
-from .common import connected_components, documents, stored
+from .common import connected_components, documents, lean, stored
 from .ngram_join import _blocks, _by_block, _linked, _met, _verified
 
 BATCH = 32
@@ -211,13 +212,13 @@ def _promising(blocks: DataFrame, sigs: DataFrame, steps, percent: int) -> DataF
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 2, percent: int = 80,
-                    bands: int = 48, rows: int = 6, miss: float = 1e-6, seed: int = 11) -> DataFrame:
+                    bands: int = 48, rows: int = 6, miss: float = 1e-9, seed: int = 11) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
     component_id is the smallest doc_id reachable by links of similarity ``percent``
     / 100 or more, itself included; kept tells whether that is the document's own. Links
     are exact on the full sets; a linked pair is missed with probability (1 - s^rows)^bands
-    by the bands, and about ``miss`` per signature batch. A document without words (or NULL
+    by the bands, and a few times ``miss`` per signature batch at the very threshold. A document without words (or NULL
     text) has an empty set and is its own component. Repeated rows stay repeated. A NULL
     doc_id takes part, never names a component unless no member has an id, and has a NULL
     ``kept``. An empty table gives no rows. Other columns are ignored.
@@ -226,28 +227,44 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         raise ValueError("bands * rows must be a multiple of 8")
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     run, schema = _entities("text", size, lambda: Signer(bands, rows, seed))
-    entities = stored(narrow.mapInArrow(run, schema), "minhash-sets")
+    entities = stored(narrow.mapInArrow(lean(run), schema), "minhash-sets")
     steps = least_agreements(bands * rows, percent, miss)
 
     named = entities.where("sig is not null").select("key", F.explode("bands").alias("band"))
     pivots = named.groupBy("band").agg(F.min("key").alias("p"), F.max("key").alias("last")).where("p < last").select("band", "p")
-    family = stored(named.join(pivots, "band").where("key <> p").select("p", "key").distinct(), "minhash-families")
+    family = stored(named.join(pivots, "band").where("key <> p").groupBy("p", "key").agg(F.count("*").alias("votes")), "minhash-families")
     wanted = family.select(F.explode(F.array("p", "key")).alias("key")).distinct()
     sigs = stored(entities.where("sig is not null").select("key", "n", "sig").join(wanted, "key", "left_semi")
                   .dropDuplicates(["key"]), "minhash-signatures")
-    to_pivot = stored(_likely(family.select(F.col("key").alias("a"), F.col("p").alias("b")), sigs, steps, percent), "minhash-likely")
+    sets = stored(_sets_of(narrow, entities, wanted, size), "minhash-full")
 
-    # first by signatures: the members of a family that met its pivot there, and those that may link with others
-    met = to_pivot.select(F.col("b").alias("p"), F.col("a").alias("key"), F.lit(True).alias("linked"))
-    rest = _promising(_blocks(family.withColumn("linked", F.lit(False))), sigs, steps, percent)
-    rest = stored(rest.join(met, ["p", "key"], "left").select("p", "key", F.coalesce("linked", F.lit(False)).alias("linked")), "minhash-rest")
-    full = to_pivot.select(F.explode(F.array("a", "b")).alias("key")).union(rest.select("key")).distinct()
-    sets = stored(_sets_of(narrow, entities, full, size), "minhash-full")
-    first = stored(_verified(to_pivot, sets, percent), "minhash-pivots")
-    hits = first.select(F.col("b").alias("p"), F.col("a").alias("key"), F.lit(True).alias("hit"))
-    open_ = rest.join(hits, ["p", "key"], "left").select("p", "key", F.coalesce("hit", F.lit(False)).alias("linked"))
-    links = stored(first.union(_linked(_blocks(open_), sets, percent)), "minhash-links")
-    return _named(entities, connected_components(links))
+    def verified(pairs):
+        return _verified(_likely(pairs.select(F.col("key").alias("a"), F.col("p").alias("b")), sigs, steps, percent), sets, percent)
+
+    # a member meets the pivot it shares most bands with, then the pivots that are in other components then
+    near = family.groupBy("key").agg(F.max_by("p", F.struct("votes", "p")).alias("p")).select("p", "key")
+    near = stored(near, "minhash-pairs")
+    links = stored(verified(near), "minhash-links")
+    comp = connected_components(links)
+    placed = stored(_with_components(family, comp), "minhash-placed")
+    more = stored(verified(placed.where("of_p <> of_key").select("p", "key").join(near, ["p", "key"], "left_anti")), "minhash-links")
+
+    # members that did not link meet the other members; those in their pivot's component don't meet each other
+    hits = more.select(F.col("b").alias("p"), F.col("a").alias("key"), F.lit(True).alias("hit"))
+    inside = placed.join(hits, ["p", "key"], "left").select(
+        "p", "key", (F.coalesce("hit", F.lit(False)) | (F.col("of_p") == F.col("of_key"))).alias("linked"))
+    inside = stored(inside, "minhash-placed")
+    likely = _promising(_blocks(inside), sigs, steps, percent).join(inside, ["p", "key"])
+    rest = _linked(_blocks(likely.select("p", "key", "linked")), sets, percent)
+    return _named(entities, connected_components(stored(links.union(more).union(rest), "minhash-links")))
+
+
+def _with_components(pairs: DataFrame, comp: DataFrame) -> DataFrame:
+    """Pairs (p, key) with their components; a set without links is its own."""
+    of_p = comp.select(F.col("node").alias("p"), F.col("component").alias("cp"))
+    of_key = comp.select(F.col("node").alias("key"), F.col("component").alias("ck"))
+    return pairs.join(of_p, "p", "left").join(of_key, "key", "left").select(
+        "p", "key", F.coalesce("cp", "p").alias("of_p"), F.coalesce("ck", "key").alias("of_key"))
 
 
 def _sets_of(narrow: DataFrame, entities: DataFrame, keys: DataFrame, size: int) -> DataFrame:
@@ -256,7 +273,7 @@ def _sets_of(narrow: DataFrame, entities: DataFrame, keys: DataFrame, size: int)
     run, schema = _full_sets("text", size)
     texts = narrow.where("doc_id is not null").join(holder.select("doc_id").distinct(), "doc_id", "left_semi").union(
         narrow.where("doc_id is null"))  # these have no other name
-    return texts.select("text").mapInArrow(run, schema).join(keys, "key", "left_semi").dropDuplicates(["key"])
+    return texts.select("text").mapInArrow(lean(run), schema).join(keys, "key", "left_semi").dropDuplicates(["key"])
 
 
 def _named(entities: DataFrame, comp: DataFrame) -> DataFrame:
