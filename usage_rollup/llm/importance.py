@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textarrays as ta
-from .common import documents, stored
+from .common import documents, lean, stored
 
 _SEPARATORS = bytes([*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
 _WORDS = ta.byte_tables(_SEPARATORS, lower=True)
@@ -144,7 +144,7 @@ def bucket_totals(texts: DataFrame, buckets: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["bucket", "n"])
 
     out = np.zeros(buckets, np.int64)
-    for r in texts.mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
+    for r in texts.mapInArrow(lean(run), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
         out[r["bucket"]] = r["n"]
     return out
 
@@ -172,7 +172,7 @@ def weights(docs: DataFrame, gain: np.ndarray) -> DataFrame:
                     [b.column("doc_id").slice(lo, hi - lo), pa.array(words), pa.array(features),
                      pa.array(total // np.maximum(features, 1))], names=["doc_id", "n_words", "n_features", "weight"])
 
-    return docs.mapInArrow(run, "doc_id long, n_words long, n_features long, weight long")
+    return docs.mapInArrow(lean(run), "doc_id long, n_words long, n_features long, weight long")
 
 
 def resample(docs: DataFrame, target: DataFrame, percent: int = 25, min_words: int = 20, buckets: int = 10000,

@@ -79,15 +79,24 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     without recurring lines, NULL and empty ones are unchanged; a text that loses
     all lines becomes empty. Repeated rows lose the same lines each.
     """
+    taken = {c.lower() for c in docs.columns}
+    doc, hash_, gone_ = (free_name(n, taken) for n in ("_doc", "_hash", "_gone"))
     gone = (recurring_lines(docs, id_col, text_col, depth, min_tokens, min_open).groupBy("doc_id", "text_hash")
-            .agg(F.collect_list("line").alias("_gone")).withColumnsRenamed({"doc_id": "_doc", "text_hash": "_hash"}))
+            .agg(F.collect_list("line").alias(gone_)).withColumnsRenamed({"doc_id": doc, "text_hash": hash_}))
     text = F.col(text_col).cast("string")
-    both = docs.drop("n_dropped").join(gone, (F.col(id_col).cast("long") == F.col("_doc")) & (F.xxhash64(text) == F.col("_hash")), "left")
+    both = docs.drop("n_dropped").join(gone, (F.col(id_col).cast("long") == F.col(doc)) & (F.xxhash64(text) == F.col(hash_)), "left")
     lines = F.split(text, "\n")
-    kept = F.transform(F.array(F.struct(lines.alias("l"), F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone")).alias("k"))),
+    kept = F.transform(F.array(F.struct(lines.alias("l"), F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone_)).alias("k"))),
                        lambda s: F.array_join(F.transform(s["k"], lambda i: F.get(s["l"], i)), "\n"))[0]
-    return (both.withColumn(text_col, F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(kept))
-            .withColumn("n_dropped", F.coalesce(F.size("_gone"), F.lit(0)).cast("long")).drop("_gone", "_doc", "_hash"))
+    return (both.withColumn(text_col, F.when(F.col(gone_).isNull(), F.col(text_col)).otherwise(kept))
+            .withColumn("n_dropped", F.coalesce(F.size(gone_), F.lit(0)).cast("long")).drop(gone_, doc, hash_))
+
+
+def free_name(name: str, taken: set[str]) -> str:
+    """``name`` with as many underscores in front as make it none of ``taken`` (lower case)."""
+    while name in taken:
+        name = f"_{name}"
+    return name
 
 
 def op1_query(spark, sf_dir):
