@@ -1,6 +1,11 @@
 """Nulls, empty and long texts, ties and repeated rows, empty tables, extra columns: every operator."""
 
+import base64
+import hashlib
+import re
+
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from usage_rollup.llm import chat, line_dedup, neighbours, ngram_join, packing, quality, secrets, segmentation, toxicity, warc
@@ -25,6 +30,19 @@ def test_line_dedup_open_field(docs):
     assert {r.doc_id for r in out.where("n_dropped > 0").collect()} == {2, 4}
 
 
+def test_line_dedup_keeps_columns_of_any_name(spark):
+    rows = [(1, "one two three four five six", 7, "h", [1], 3), (2, "one two three four five six\nlast", 8, "i", [2], 4)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, _doc long, _hash string, _GONE array<int>, n_dropped int")
+    out = {r.doc_id: r for r in line_dedup.drop_recurring_lines(frame).collect()}
+    assert (out[2].text, out[2].n_dropped, out[2]._doc, out[2]._hash, out[2]["_GONE"]) == ("last", 1, 8, "i", [2])
+
+
+def test_keep_one_with_other_column_names(spark):
+    rows = [(2, "a b c d e f", 1), (1, "a b c d e f", 2), (3, None, 3), (None, "a b c d e f", 4)]
+    out = ngram_join.keep_one(spark.createDataFrame(rows, "id long, body string, doc_id int"), "id", "body")
+    assert sorted((r.id or 0) for r in out.collect()) == [0, 1, 3]
+
+
 def test_ngram_join(docs):
     base = [f"w{i}" for i in range(60)]
     near = base[:30] + ["new"] + base[31:]
@@ -119,6 +137,31 @@ def test_quality(docs):
     assert quality.quality_rules(docs([])).count() == 0
 
 
+def test_quality_counts_no_brackets(docs):
+    """The characters [#*$%&|<>] of the contract are a class: its brackets are none of them."""
+    out = {r.doc_id: r.n_symbols for r in quality.quality_rules(docs([(1, "a [b] c"), (2, "#*$%&|<> x"), (3, "[[#]]")])).collect()}
+    assert out == {1: 0, 2: 8, 3: 1}
+
+
+def _brute_rules(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    windows = [tuple(words[i:i + 8]) for i in range(len(words) - 7)]
+    hit = {j for i, w in enumerate(windows) if windows.count(w) > 1 for j in range(i, i + 8)}
+    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(hit))
+
+
+def test_quality_counts_against_brute_force(docs):
+    rng = np.random.default_rng(21)
+    token = lambda: "".join(rng.choice(list("ab[]#<é|\u4e2d"), rng.integers(1, 4)))
+    texts = [None, "", " \t"]
+    for _ in range(60):
+        part = [token() for _ in range(int(rng.integers(1, 12)))]
+        texts.append("".join(w + str(rng.choice([" ", "\n", "\t ", "\r\n"])) for w in part * int(rng.integers(1, 4)) + [token() for _ in range(5)]))
+    out = {r.doc_id: (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in quality.quality_rules(docs(list(enumerate(texts)))).collect()}
+    assert out == {i: _brute_rules(t) for i, t in enumerate(texts)}
+
+
 def test_quality_band_rejects_scrambled_texts(docs):
     rng = np.random.default_rng(11)
     words = ["".join(rng.choice(list("etaoinshr"), rng.integers(3, 8))) for _ in range(60)]
@@ -174,6 +217,34 @@ def test_n_best_against_brute_force():
         assert np.allclose([s for s, _ in pieces.n_best(word.encode(), 5)], want)
 
 
+def test_segments_of_whole_texts_against_brute_force(docs):
+    """Scores of the three best of all segmentations of a text, and what its ids decode to."""
+    pieces = segmentation.Pieces()
+    score = {}
+    for i in range(pieces.sp.get_piece_size()):
+        if pieces.length[i]:
+            score.setdefault(pieces.sp.id_to_piece(i).replace("\u2581", " "), float(pieces.score[i]))
+
+    def every(text):
+        if not text:
+            return [0.0]
+        out = []
+        for n in range(1, len(text) + 1):
+            head = text[:n]
+            if head in score or n == 1:
+                cost = score.get(head, pieces.unknown)
+                out += [cost + rest for rest in every(text[n:])]
+        return out
+
+    texts = ["the cat", "a b", "on  on", "caf\u00e9 x", "\u4e2d\u6587 ab", "x", "end\nof", "\U0001f600a"]
+    got = {r.doc_id: r for r in segmentation.segment(docs(list(enumerate(texts)))).collect()}
+    for i, text in enumerate(texts):
+        want = sorted(every(" " + text), reverse=True)[:3]
+        assert np.allclose(got[i].scores, want), text
+        assert got[i].decoded == text
+        assert len(got[i].variants) == len(want) - 1 and all(pieces.decode(np.frombuffer(v, "<u4")) == text for v in got[i].variants)
+
+
 def test_packing(docs):
     out = packing.pack_documents(docs(ROWS)).collect()
     assert len({(r.doc_id, r.piece) for r in out}) >= len(set(ROWS)) - 1
@@ -236,6 +307,37 @@ def test_toxicity(docs, spark):
     assert toxicity.score_toxicity(docs([(1, "x")]), none).first().score == 0.0
 
 
+def test_toxicity_scores_against_brute_force(spark, docs):
+    """The column of the query: cosines with all examples, the 25 nearest, their vote, the calibration."""
+    rng = np.random.default_rng(31)
+    clean, bad = [f"clean{i}" for i in range(40)], [f"awful{i}" for i in range(15)]
+    rows = [(i, " ".join(rng.choice(clean, 12)) + (" " + " ".join(rng.choice(bad, 4)) if i % 4 == 0 else "")) for i in range(240)]
+    frame = docs([*rows, (900, None), (901, "")])
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)], "doc_id long, toxic int")
+    model = toxicity.fit(frame.select("doc_id", "text"), labels)
+    out = {r.doc_id: r.score for r in toxicity.score_toxicity(frame, model).collect()}
+    dense = np.zeros((len(model.labels), len(model.vocabulary)))
+    for i in range(len(dense)):
+        at = slice(model.start[i], model.start[i + 1])
+        dense[i, model.term[at]] = model.value[at]
+    for d, text in [*rows, (900, ""), (901, "")]:
+        h = [w for t in re.findall("[a-z0-9]+", text) for w in (t,)]
+        batch = pa.RecordBatch.from_arrays([pa.array([text])], names=["text"])
+        _, hashes = next(iter(toxicity.ta.text_rows(batch, "text", toxicity.ta.BARE_WORDS, prefixes=toxicity.PREFIXES))) if h else (0, np.zeros(0, np.uint64))
+        t, c = toxicity._terms(hashes, model.vocabulary)
+        q = np.zeros(len(model.vocabulary))
+        q[t] = model.weights(t, c)
+        cos = dense @ q
+        near = np.lexsort((np.arange(len(cos)), -cos))[:25]
+        near = near[cos[near] > 0]
+        w = cos[near] ** 2
+        yes = w[model.labels[near] == 1].sum()
+        vote = np.log((yes + 0.5 * model.rate) / (w.sum() - yes + 0.5 * (1 - model.rate)))
+        assert abs(out[d] - 1 / (1 + np.exp(-(model.a * vote + model.b)))) < 1e-6, d
+    held = [out[i] >= 0.5 for i in range(200, 240)]
+    assert sum(a == (i % 4 == 0) for i, a in zip(range(200, 240), held)) >= 38
+
+
 def test_neighbours_of_the_index_are_exact():
     rng = np.random.default_rng(4)
     model = toxicity.ToxicityModel(np.arange(1, 51, dtype=np.uint64), k=7)
@@ -285,6 +387,10 @@ def test_warc(spark, scratch):
     got = sorted((r.page_id or 0, r.record_type, r.refers_to, r.payload_bytes) for r in warc.read_archives(index, folder).collect())
     assert got == [(0, "revisit", 2, 4), (1, "revisit", 2, 4), (2, "response", None, 4), (2, "response", None, 4), (3, "response", None, 0),
                    (4, "response", None, 140000)]
+    # the digests of every record as read back
+    payload = {1: b"same", 2: b"same", 3: b"", 4: ("\u00fc" * 70000).encode(), None: b"same"}
+    digest = lambda b: base64.b32encode(hashlib.sha1(b).digest()).decode()
+    assert all(r.payload_digest == digest(payload[r.page_id]) for r in warc.read_archives(index, folder).collect())
     r = index.where("page_id = 4").first()
     head, block = warc.read_record(folder, r.bundle, r.frame_offset, r.record_offset)
     assert head["WARC-Record-ID"] == "<urn:x-page:4>" and block.endswith("ü".encode())
