@@ -1,61 +1,34 @@
-"""Report job: the whole report bundle for one request over a cached rollup."""
+"""Report job: the whole report bundle for one request, from one scan of the rollup."""
 
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Row, SparkSession
-from pyspark.sql import functions as F
 
-from usage_rollup.operators import reports
-from usage_rollup.params import safe_period
+from usage_rollup.operators.bundle import SharedBundle
 from usage_rollup.sources.scan import load_rollup
 
-# Columns any report reads; caching only these keeps the cached copy narrow.
-REPORT_COLUMNS = ["download_date", "version", "python_version", "country_code", "daily_download_sum"]
 
-
-class ReportBundle(dict):
-    """The bundle's frames by name; ``release()`` drops the cached rollup slice."""
-
-    cached: DataFrame | None = None
-
-    def release(self) -> None:
-        if self.cached is not None:
-            self.cached.unpersist()
-            self.cached = None
-
-
-def run_reports(spark: SparkSession, rollup, days: int = 0, as_of=None, cache: bool = True,
-                project: str | None = None) -> ReportBundle:
-    """``rollup`` is a DataFrame, Parquet path or table name; ``days`` is whitelisted.
+def run_reports(spark: SparkSession, rollup, days: int = 0, as_of=None, project: str | None = None) -> SharedBundle:
+    """``rollup`` is a DataFrame, Parquet path, table name or versioned table; ``days`` is whitelisted.
 
     ``project`` restricts every report to one project's rows (a filter pushed
-    into the rollup scan), so only that slice is cached on a shared rollup.
+    into the rollup scan). The frames read a small stored aggregate, which
+    ``release()`` removes.
     """
-    df = load_rollup(spark, rollup) if isinstance(rollup, str) else rollup
-    if project is not None:
-        df = df.where(F.col("project") == F.lit(project))
-    keep = [c for c in df.columns if c == "download_month"]  # partition column, when stored
-    df = df.select(*REPORT_COLUMNS, *keep)
-    if cache:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    bundle = ReportBundle(reports.report_bundle(df, safe_period(days), as_of))
-    bundle.cached = df if cache else None
-    return bundle
+    return SharedBundle(rollup if isinstance(rollup, DataFrame) else load_rollup(spark, rollup), days, as_of, project)
 
 
 def collect_reports(frames: dict[str, DataFrame], workers: int = 8, release: bool = True) -> dict[str, list[Row]]:
-    """Evaluate the bundle's frames concurrently (one Spark job group per report).
+    """Evaluate the bundle's frames concurrently and bring all of them to the driver.
 
-    The reports are independent and each result is small (top-N, series over
-    the loaded history), so their jobs are submitted from a thread pool and
-    share the cluster instead of running one after another.
+    For callers that want every row (a dashboard's cache of one project). The series and the
+    adoption rows grow with the history; ``bundle.write_reports`` leaves those to the executors.
     """
     with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
         futures = {name: pool.submit(df.collect) for name, df in frames.items()}
         out = {name: f.result() for name, f in futures.items()}
-    if release and isinstance(frames, ReportBundle):
+    if release and isinstance(frames, SharedBundle):
         frames.release()
     return out
