@@ -108,7 +108,7 @@ def main(argv=None) -> int:
             rows = write_reports(frames, args.output_path)
             frames.release()
         else:
-            rows = {k: [r.asDict() for r in v] for k, v in collect_reports(frames).items()}
+            rows = {k: [r.asDict() for r in v] for k, v in collect_reports(frames, release=True).items()}
         print(json.dumps(rows, default=str))
     return 0
 

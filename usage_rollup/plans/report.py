@@ -20,11 +20,12 @@ def run_reports(spark: SparkSession, rollup, days: int = 0, as_of=None, project:
     return SharedBundle(rollup if isinstance(rollup, DataFrame) else load_rollup(spark, rollup), days, as_of, project)
 
 
-def collect_reports(frames: dict[str, DataFrame], workers: int = 8, release: bool = True) -> dict[str, list[Row]]:
+def collect_reports(frames: dict[str, DataFrame], workers: int = 8, release: bool = False) -> dict[str, list[Row]]:
     """Evaluate the bundle's frames concurrently and bring all of them to the driver.
 
     For callers that want every row (a dashboard's cache of one project). The series and the
     adoption rows grow with the history; ``bundle.write_reports`` leaves those to the executors.
+    ``release`` removes the aggregate that the frames read.
     """
     with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
         futures = {name: pool.submit(df.collect) for name, df in frames.items()}
