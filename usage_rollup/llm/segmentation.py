@@ -10,7 +10,10 @@ texts at once, and A-star only visits the units that a text's N best can change:
 those N - 1 with the smallest gap between their two best segmentations.
 
 Scores are sums of the vocabulary's own piece scores. A character without a piece
-of its own is an edge with a penalty and encodes to byte pieces.
+of its own is an edge with a penalty and encodes to byte pieces. In a BPE vocabulary
+the scores are the ranks of its merges, so the best segmentation is the one of
+largest sum of ranks: it is exact for these scores, but not the one that applying the merges
+in turn gives. A unigram vocabulary's scores are log-probabilities, and there it is.
 """
 
 from __future__ import annotations
@@ -24,10 +27,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textarrays as ta
-from .common import documents
+from .common import documents, lean
 
 N_BEST = 3
-CHUNK = 1 << 22
+#: Rows handed on at once.
+ROWS = 1000
+#: Bytes of text segmented at once (its lattice edges take some 200 times as much).
+CHUNK = 1 << 19
 _UNKNOWN_PENALTY = 10.0
 
 
@@ -190,13 +196,13 @@ class Pieces:
 
     def decode(self, ids) -> str:
         """Text of the ids: byte pieces joined, the first space (the encoder's) cut off."""
-        return self.sp.decode([int(i) for i in ids])
+        return self.sp.decode(ids.tolist() if isinstance(ids, np.ndarray) else [int(i) for i in ids])
 
 
 class UnitTable:
     """Results of the units seen by a task, by unit hash; emptied when it holds ``limit`` units."""
 
-    def __init__(self, pieces: Pieces, limit: int = 1_000_000):
+    def __init__(self, pieces: Pieces, limit: int = 300_000):
         self.pieces, self.limit = pieces, limit
         self._empty()
 
@@ -239,13 +245,13 @@ def _texts(batch, column):
     return np.frombuffer(b"".join(rows), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int64)
 
 
-SCHEMA = "doc_id long, n_units long, scores array<double>, ids binary, variants array<binary>"
+SCHEMA = "doc_id long, n_units long, scores array<double>, ids binary, variants array<binary>, decoded string"
 
 
 def segment(docs: DataFrame, n: int = N_BEST, id_col: str = "doc_id", text_col: str = "text", path: str | None = None,
             keep_variants: bool = True) -> DataFrame:
     """Per row: doc_id, n_units, scores of the n best segmentations (falling), ids of the best and of the others
-    (little-endian unsigned 32-bit).
+    (little-endian unsigned 32-bit), and the text decoded from the best ids.
 
     A text has as many scores as it has segmentations, up to n. NULL and empty
     texts have one, of no pieces, with score 0. Rows with a NULL or repeated id are kept as they
@@ -256,20 +262,23 @@ def segment(docs: DataFrame, n: int = N_BEST, id_col: str = "doc_id", text_col:
     def run(batches):
         pieces = Pieces(path)
         table, cache = UnitTable(pieces), {}
-        for batch in batches:
-            data, off = _texts(batch, "text")
-            rows = []
-            for lo, hi in ta.chunks(off, CHUNK):
-                rows += _segment_chunk(table, cache, data, off, lo, hi, n, keep_variants)
-                if len(cache) > 200_000:
-                    cache.clear()
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.float64())),
-                 pa.array([r[2] for r in rows], pa.binary()), pa.array([r[3] for r in rows], pa.list_(pa.binary()))],
-                names=["doc_id", "n_units", "scores", "ids", "variants"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(at, ROWS)
+                data, off = _texts(batch, "text")
+                rows = []
+                for lo, hi in ta.chunks(off, CHUNK):
+                    rows += _segment_chunk(table, cache, data, off, lo, hi, n, keep_variants)
+                    if len(cache) > 100_000:
+                        cache.clear()
+                decoded = pa.array([pieces.decode(np.frombuffer(r[2], "<u4")) for r in rows], pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.float64())),
+                     pa.array([r[2] for r in rows], pa.binary()), pa.array([r[3] for r in rows], pa.list_(pa.binary())), decoded],
+                    names=["doc_id", "n_units", "scores", "ids", "variants", "decoded"])
 
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return narrow.mapInArrow(run, SCHEMA)
+    return narrow.mapInArrow(lean(run), SCHEMA)
 
 
 def _segment_chunk(table, cache, data, off, lo, hi, n, keep_variants):
@@ -344,7 +353,9 @@ def _combine(pieces, cache, buf, starts, ends, near, n):
 
 
 def op6_query(spark, sf_dir):
-    done = segment(documents(spark, sf_dir))
+    docs = documents(spark, sf_dir)
+    done = segment(docs)
     crc = lambda c: F.crc32(c)
     return done.select("doc_id", "n_units", (F.octet_length("ids") / 4).cast("long").alias("n_pieces"), "scores",
-                       crc(F.col("ids")).alias("ids_crc32"), F.transform("variants", crc).alias("variants_crc32"))
+                       crc(F.col("ids")).alias("ids_crc32"), F.transform("variants", crc).alias("variants_crc32"),
+                       F.length("decoded").cast("long").alias("decoded_chars"), F.md5("decoded").alias("decoded_md5"))
