@@ -5,10 +5,16 @@ matrix, so squared projected distances are the true ones times a chi-square
 variable of m degrees. A kd-tree of the projections, fitted on a bounded sample,
 cuts all vectors into cells; each cell cuts its own rows into small leaves. A
 query verifies neighbours by rising projected distance, leaf by leaf, until the
-test holds: the next leaf is farther than ``d_k * sqrt(chi2(confidence))``, so a
-closer vector would lie beyond it with probability 1 - confidence at most. The
-home cell gives the first bound on d_k; then the query goes to just the cells
-within its radius. Verified cosines are exact, in double precision.
+test holds: what is left lies farther in projection than ``d_k * sqrt(chi2(confidence))``,
+so a closer vector would lie there with probability 1 - confidence at most. Within a leaf
+only the rows inside that radius are verified. The home cell gives the first bound on
+d_k; then the query goes to just the cells within its radius. All queries that come to
+a leaf in the same step are taken as one matrix product. Scores of the results are
+computed anew from the original vectors, in double precision.
+
+Cells that hold more rows than planned, and vectors of lengths too rare for a tree of
+their own, are cut into parts by hash; a query visits all parts. Cells that
+many queries visit are handed out to several tasks.
 """
 
 from __future__ import annotations
@@ -25,8 +31,11 @@ from .common import documents, stored
 
 SAMPLE = 1 << 16  # projected vectors the cells are fitted on
 CELL_ROWS = 4096
-MAX_CELLS = 1 << 14
-LEAF = 64
+#: The tree is no finer than its sample can tell; larger cells are cut into parts by hash.
+MAX_CELLS = 1 << 12
+#: Queries that one part of a cell takes at once.
+CELL_QUERIES = 16_384
+LEAF = 128
 
 
 def chi2_quantile(m: int, p: float) -> float:
@@ -83,9 +92,18 @@ class Cells:
             node = 2 * node + 1 + (x[np.arange(len(x)), self.axis[node]] > self.cut[node])
         return node - (1 << self.depth) + 1
 
-    def within(self, q: np.ndarray, radius2: float) -> np.ndarray:
-        gap = np.maximum(np.maximum(self.low - q, q - self.high), 0)
-        return np.flatnonzero((gap ** 2).sum(axis=1) <= radius2)
+    def within(self, q: np.ndarray, radius2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(query, cell) of the cells that the queries' balls reach."""
+        return np.nonzero(_box_distances(self.low, self.high, q) <= radius2[:, None])
+
+
+def _box_distances(low: np.ndarray, high: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Squared distance of each query to each box, one dimension at a time."""
+    out = np.zeros((len(q), len(low)))
+    for j in range(q.shape[1]):
+        gap = np.maximum(np.maximum(low[:, j] - q[:, j:j + 1], q[:, j:j + 1] - high[:, j]), 0)
+        out += gap * gap
+    return out
 
 
 def _leaves(p: np.ndarray) -> list[np.ndarray]:
@@ -102,46 +120,55 @@ def _leaves(p: np.ndarray) -> list[np.ndarray]:
 
 
 def search_cell(x, ids, queries, bounds, project, factor, k):
-    """Of each query the k best rows of a cell: list of (query number, ids, scores).
+    """Of each query the k best rows of a cell: (list of (query number, ids, scores, bound), rows verified).
 
     ``x`` and ``queries`` are original vectors; ``bounds`` the squared distances
     to the k-th neighbour known so far; ``factor`` the chi-square quantile.
     """
     nx, nq = np.linalg.norm(x, axis=1), np.linalg.norm(queries, axis=1)
-    p = (x / nx[:, None]) @ project
-    pq = (queries / nq[:, None]) @ project
+    ux, uq = x / nx[:, None], queries / nq[:, None]
+    p, pq = ux @ project, uq @ project
     leaves = _leaves(p)
     low = np.array([p[i].min(axis=0) for i in leaves])
     high = np.array([p[i].max(axis=0) for i in leaves])
-    weight = np.array([len(v) for v in ids])
+    near = _box_distances(low, high, pq)
+    order = np.argsort(near, axis=1, kind="stable")
+    keep = min(k + 3, len(x))  # some more than k, for ties are settled by the scores computed anew
+    best_s, best_i = np.full((len(queries), keep), -np.inf), np.full((len(queries), keep), -1)
+    d_k, verified = bounds.astype(np.float64).copy(), 0
+    live = np.arange(len(queries))
+    for step in range(len(leaves)):
+        # the chi-square test: nothing in the leaves left can be close enough
+        live = live[near[live, order[live, step]] <= d_k[live] * factor]
+        if not len(live):
+            break
+        at = order[live, step]
+        by = np.argsort(at, kind="stable")
+        cuts = np.flatnonzero(np.concatenate([[True], at[by][1:] != at[by][:-1], [True]]))
+        for lo, hi in zip(cuts[:-1], cuts[1:]):
+            q, rows = live[by[lo:hi]], leaves[at[by[lo]]]
+            gap = (pq[q] ** 2).sum(axis=1)[:, None] + (p[rows] ** 2).sum(axis=1) - 2 * (pq[q] @ p[rows].T)
+            inside = gap <= (d_k[q] * factor)[:, None] + 1e-9
+            verified += int(inside.sum())
+            score = np.where(inside, uq[q] @ ux[rows].T, -np.inf)
+            some = np.concatenate([best_s[q], score], axis=1)
+            number = np.concatenate([best_i[q], np.broadcast_to(rows, score.shape)], axis=1)
+            top = np.argpartition(-some, keep - 1, axis=1)[:, :keep]
+            best_s[q], best_i[q] = np.take_along_axis(some, top, 1), np.take_along_axis(number, top, 1)
+            if keep >= k:
+                kth = -np.partition(-best_s[q], k - 1, axis=1)[:, k - 1]
+                d_k[q] = np.minimum(d_k[q], np.where(kth > -np.inf, np.maximum(2 - 2 * kth, 0) * (1 + 1e-9) + 1e-12, np.inf))
     out = []
     for n, q in enumerate(queries):
-        near = (np.maximum(np.maximum(low - pq[n], pq[n] - high), 0) ** 2).sum(axis=1)
-        d_k, best_i, best_s = bounds[n], np.zeros(0, np.int64), np.zeros(0)
-        for leaf in np.argsort(near, kind="stable"):
-            if near[leaf] > d_k * factor:  # the chi-square test holds
-                break
-            i = leaves[leaf]
-            i = i[((p[i] - pq[n]) ** 2).sum(axis=1) <= d_k * factor]
-            if not len(i):
-                continue
-            s = (x[i] * q).sum(axis=1) / (nx[i] * nq[n])
-            best_i, best_s = np.concatenate([best_i, i]), np.concatenate([best_s, s])
-            order = np.argsort(-best_s, kind="stable")
-            # a distinct vector counts for each of its ids; ties with the k-th stay in
-            enough = np.searchsorted(np.cumsum(weight[best_i[order]]), k)
-            if enough < len(order):
-                last = best_s[order[enough]]
-                order = order[best_s[order] >= last]
-                d_k = min(d_k, max(2 - 2 * last, 0) * (1 + 1e-9) + 1e-12)
-            best_i, best_s = best_i[order], best_s[order]
-        pairs = sorted(((-s, v) for i, s in zip(best_i, best_s) for v in ids[i]))[:k]
-        out.append((n, [v for _, v in pairs], [-s for s, _ in pairs], d_k))
-    return out
+        i = best_i[n][best_s[n] > -np.inf]
+        s = (x[i] * q).sum(axis=1) / (nx[i] * nq[n])
+        pairs = sorted((-a, v) for r, a in zip(i, s) for v in ids[r])[:k]
+        out.append((n, [v for _, v in pairs], [-a for a, _ in pairs], d_k[n]))
+    return out, verified
 
 
 def nearest(vectors: DataFrame, query_ids: DataFrame, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding",
-            m: int = 8, confidence: float = 0.98, seed: int = 7) -> DataFrame:
+            m: int = 16, confidence: float = 0.95, seed: int = 7) -> DataFrame:
     """query_id, rank, vec_id, score: of each query its k nearest by cosine, own id excluded.
 
     ``query_ids`` (one column of ids) names the queries among the rows. Vectors
@@ -173,11 +200,11 @@ def nearest(vectors: DataFrame, query_ids: DataFrame, k: int = 5, id_col: str =
                 .agg(F.sort_array(F.collect_list("vec_id")).alias("ids")))
     distinct = stored(distinct.withColumn("key", F.element_at("ids", 1)), "ann-distinct")
     cells = {}
-    for r in distinct.groupBy("dim").count().orderBy(F.desc("count"), "dim").limit(64).collect():
-        depth = max(0, math.ceil(math.log2(max(1, min(MAX_CELLS, r["count"] / CELL_ROWS)))))
-        sample = (distinct.where(F.col("dim") == r["dim"]).orderBy(F.xxhash64("key"), "key").limit(SAMPLE).select("x").collect())
+    sizes = distinct.groupBy("dim").count().where(F.col("count") > CELL_ROWS).orderBy(F.desc("count"), "dim").limit(16).collect()
+    for r in sizes:  # the trees are broadcast: 16 lengths at most have one
+        depth = math.ceil(math.log2(min(MAX_CELLS, r["count"] / CELL_ROWS)))
+        sample = distinct.where(F.col("dim") == r["dim"]).orderBy(F.xxhash64("key"), "key").limit(SAMPLE).select("x").collect()
         cells[r["dim"]] = Cells(_units([s.x for s in sample]) @ _projection(r["dim"], m, seed), depth)
-    # vectors of rarer lengths share one cell a length
     shared = spark.sparkContext.broadcast(cells)
     factor = chi2_quantile(m, confidence)
 
@@ -193,6 +220,7 @@ def nearest(vectors: DataFrame, query_ids: DataFrame, k: int = 5, id_col: str =
 
     base = distinct.schema.simpleString()[7:-1].replace("key:", "key ").replace("dim:", "dim ").replace("x:", "x ").replace("ids:", "ids ")
     index = stored(distinct.mapInArrow(home, base + ", cell long"), "ann-index")
+    parts = stored(index.groupBy("dim", "cell").agg(F.ceil(F.count("*") / (2 * CELL_ROWS)).cast("int").alias("parts")), "ann-parts")
     asked = fine.join(query_ids.toDF("vec_id").distinct(), "vec_id").distinct()
     owner = asked.join(distinct.select("dim", "x", "key"), ["dim", "x"])
     owner = stored(owner.select(F.col("vec_id").alias("query_id"), "key"), "ann-owners")
@@ -205,27 +233,46 @@ def nearest(vectors: DataFrame, query_ids: DataFrame, k: int = 5, id_col: str =
             x = np.frombuffer(b"".join(left["x"]), np.float64).reshape(len(left), dim)
             q = np.frombuffer(b"".join(right["x"]), np.float64).reshape(len(right), dim)
             bounds = right["bound"].to_numpy() if "bound" in right else np.full(len(right), 4.0)
-            keys = right["key"].to_numpy()
-            for n, ids, scores, d_k in search_cell(x, list(left["ids"]), q, bounds, _projection(dim, m, seed), factor, k + 1):
-                out.append((keys[n], [int(v) for v in ids], scores, d_k))
+            keys, ids = right["key"].to_numpy(), list(left["ids"])
+            for at in range(0, len(q), 512):
+                found, _ = search_cell(x, ids, q[at:at + 512], bounds[at:at + 512], _projection(dim, m, seed), factor, k + 1)
+                out += [(keys[at + n], [int(v) for v in of], scores, d_k) for n, of, scores, d_k in found]
         return pd.DataFrame(out, columns=["key", "ids", "scores", "bound"])
 
+    def met(asking: DataFrame) -> DataFrame:
+        """Every part of a cell with the queries that visit it, several groups of them where they are many."""
+        groups = asking.groupBy("dim", "cell").agg(F.ceil(F.count("*") / CELL_QUERIES).cast("int").alias("groups"))
+        plan = parts.join(groups, ["dim", "cell"])
+        rows = (index.join(plan, ["dim", "cell"]).withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
+                .withColumn("group", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).drop("parts", "groups"))
+        who = (asking.join(plan, ["dim", "cell"]).withColumn("group", F.pmod(F.xxhash64("key"), F.col("groups")).cast("int"))
+               .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts", "groups"))
+        by = ["dim", "cell", "part", "group"]
+        return rows.groupBy(*by).cogroup(who.groupBy(*by)).applyInPandas(search, schema)
+
     schema = "key long, ids array<long>, scores array<double>, bound double"
-    by = lambda df: df.groupBy("dim", "cell")
-    first = stored(by(index).cogroup(by(queries)).applyInPandas(search, schema), "ann-first")
+    first = stored(met(queries), "ann-first")
 
     def spread(batches):
         for b in batches:
-            rows = [(d, int(c), key, x, bound) for d, cell, key, x, bound in zip(*(b.column(n).to_pylist() for n in ("dim", "cell", "key", "x", "bound")))
-                    if d in shared.value
-                    for c in shared.value[d].within((_units([x]) @ _projection(d, m, seed))[0], bound * factor) if c != cell]
-            cols = list(zip(*rows)) or [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.float64()])],
-                                             names=["dim", "cell", "key", "x", "bound"])
-
-    wider = (queries.join(first.select("key", "bound"), "key").select("dim", "cell", "key", "x", "bound")
-             .mapInArrow(spread, "dim int, cell long, key long, x binary, bound double"))
-    second = by(index).cogroup(by(wider)).applyInPandas(search, schema)
+            dims, home_, keys, blobs, bounds = (b.column(n).to_pylist() for n in ("dim", "cell", "key", "x", "bound"))
+            for d in set(dims) & set(shared.value):
+                rows = np.array([i for i, x in enumerate(dims) if x == d])
+                q = _units([blobs[i] for i in rows]) @ _projection(d, m, seed)
+                for at in range(0, len(rows), 256):
+                    some = rows[at:at + 256]
+                    who, cell = shared.value[d].within(q[at:at + 256], np.array([bounds[i] for i in some]) * factor)
+                    on = cell != np.array([home_[i] for i in some])[who]
+                    of = some[who[on]]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(of), d, np.int32)), pa.array(cell[on].astype(np.int64)), pa.array([keys[i] for i in of], pa.int64()),
+                         pa.array([blobs[i] for i in of], pa.binary()), pa.array([bounds[i] for i in of], pa.float64())],
+                        names=["dim", "cell", "key", "x", "bound"])
+
+    bound = first.groupBy("key").agg(F.min("bound").alias("bound"))
+    wider = stored(queries.join(bound, "key").select("dim", "cell", "key", "x", "bound")
+                   .mapInArrow(spread, "dim int, cell long, key long, x binary, bound double"), "ann-visits")
+    second = met(wider)
     found = first.union(second).select("key", F.explode(F.arrays_zip("ids", "scores")).alias("f")).select(
         "key", F.col("f.ids").alias("vec_id"), F.col("f.scores").alias("score"))
     best = Window.partitionBy("key").orderBy(F.desc("score"), "vec_id")
