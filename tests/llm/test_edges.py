@@ -363,6 +363,24 @@ def test_toxicity_keeps_every_term_over_the_test(docs, spark):
     assert all((r.score >= 0.5) == (r.doc_id % 2 == 1) and r.neighbours for r in toxicity.score_toxicity(docs(rows[:320]), model).collect())
 
 
+def test_blocks_below_the_kth_score_are_skipped():
+    """Examples of separate topics lie in blocks of their own: a query visits few of them, and loses nothing."""
+    rng = np.random.default_rng(18)
+    model = toxicity.ToxicityModel(np.arange(1, 2001, dtype=np.uint64), k=5)
+    examples = sorted(((np.sort(rng.choice(np.arange(20 * g, 20 * g + 20), 8, replace=False)), np.ones(8, np.int64))
+                       for g in range(100) for _ in range(30)), key=lambda e: e[0].tobytes())
+    model.index(examples, rng.integers(0, 2, 3000))
+    plain = np.zeros((3000, 2000))
+    for i, (t, c) in enumerate(examples):
+        plain[i, t] = model.weights(t, c)
+    for i in range(0, 3000, 50):
+        d, s = model.neighbours(*examples[i])
+        cos = plain @ plain[i]
+        want = np.lexsort((np.arange(3000), -np.round(cos, 12)))[:5]
+        assert np.allclose(s, cos[want]) and d[0] == want[0]
+    assert 0 < model.visited < 0.1 * model.asked
+
+
 def test_neighbours_with_rare_and_frequent_terms():
     rng = np.random.default_rng(8)
     model = toxicity.ToxicityModel(np.arange(1, 401, dtype=np.uint64), k=7)
@@ -373,7 +391,7 @@ def test_neighbours_with_rare_and_frequent_terms():
     plain = np.zeros((701, 400))
     for i, (t, c) in enumerate(examples):
         plain[i, t] = model.weights(t, c)
-    for i, (d, s) in enumerate(model.search(examples, range(701))):
+    for i, (d, s) in enumerate(model.neighbours(t, c, i) for i, (t, c) in enumerate(examples)):
         want = plain @ plain[i]
         want[i] = 0
         assert np.allclose(s, np.sort(want)[::-1][:7][:len(s)]) and np.allclose(want[d], s) and len(s) == min(7, (want > 0).sum())

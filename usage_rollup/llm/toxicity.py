@@ -2,10 +2,12 @@
 
 Terms are lower-cased words without punctuation and their prefixes. All those whose presence differs
 between toxic and clean labelled rows (chi-square) form the vocabulary; inverse
-document frequencies come from all documents. The labelled examples are held in
-an inverted index: terms that many examples hold are dense rows, multiplied with
-many queries at once, the others are lists of postings. These scores name the
-candidates, whose cosines are then taken anew, so the neighbours are exact. Votes are
+document frequencies come from all documents. The labelled examples lie in blocks of 16 in
+order of their terms, so that neighbours in the order share terms, and a block-max
+inverted index lists for every term the blocks that hold it with its largest weight there. The
+lists of a query's terms add up to an upper bound of the cosine in each block; blocks are visited
+by falling bound, and those whose bound is below the k-th score found are skipped. The best of
+the visited blocks are scored anew in double precision, so the neighbours are exact. Votes are
 weighted by similarity and calibrated by a logistic fit on leave-one-out votes.
 
 The fit uses at most ``max_labelled`` labelled rows (smallest hash of doc_id
@@ -22,14 +24,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textarrays as ta
-from .common import documents
+from .common import documents, lean, stored
 
 MAX_LABELLED = 20_000
 #: Chi-square that a term needs, whatever the number of labelled rows.
 CHI2 = 15.0
-#: Terms of this share of the examples are dense rows of the index; so many queries are multiplied at once.
-DENSE, BATCH = 0.05, 128
-#: Bound of the rounding error of the 32-bit scores that name the candidates.
+#: Examples a block of the index.
+BLOCK = 16
+#: How many of the blocks left are visited in each step; the last one repeats.
+STEPS = (8, 24, 64, 128, 256)
+#: Terms of more than this share of the examples are held as columns besides.
+DENSE = 0.05
+#: Bound of the rounding error of 32-bit bounds and scores.
 ROUNDING = 1e-4
 #: Besides a word, its first so many bytes are terms (they join inflected forms).
 PREFIXES = (3, 6)
@@ -65,66 +71,106 @@ class ToxicityModel:
         return w / np.linalg.norm(w) if len(w) else w
 
     def index(self, examples: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> None:
-        """Inverted index of (terms, counts) examples."""
+        """Block-max index of (terms, counts) examples; those without terms are in no block."""
         self.labels = labels
         self.term = np.concatenate([t for t, _ in examples]) if examples else np.zeros(0, np.int64)
         self.value = np.concatenate([self.weights(t, c) for t, c in examples]) if examples else np.zeros(0)
         #: first entry of each example
         self.start = np.concatenate([[0], np.cumsum([len(t) for t, _ in examples])]).astype(np.int64)
-        doc = np.repeat(np.arange(len(examples)), np.diff(self.start))
-        order = np.lexsort((doc, self.term))
-        self.doc, self.weight = doc[order], self.value[order].astype(np.float32)
-        self.first = np.searchsorted(self.term[order], np.arange(len(self.vocabulary) + 1))
-        often = np.diff(self.first) > DENSE * len(examples)
-        #: number of each term's dense row, -1 without
-        self.row = np.where(often, np.cumsum(often) - 1, -1)
-        self._dense = None
+        sizes = np.diff(self.start)
+        #: numbers of the examples in the order of the blocks, and where their entries begin
+        self.filled = np.flatnonzero(sizes)
+        self.entry = np.append(self.start[self.filled], self.start[-1])
+        self.blocks = -(-len(self.filled) // BLOCK)
+        place = np.repeat(np.arange(len(self.filled)), sizes[self.filled])
+        # inverted lists of (place, weight), by term; of each block the largest weight
+        order = np.lexsort((place, self.term))
+        self.list_place, self.list_weight = place[order], self.value[order].astype(np.float32)
+        self.list_first = np.searchsorted(self.term[order], np.arange(len(self.vocabulary) + 1))
+        cell = self.term[order] * max(self.blocks, 1) + self.list_place // BLOCK
+        first = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else np.zeros(0, np.int64)
+        self.max_cell = cell[first]
+        self.max_weight = np.maximum.reduceat(self.list_weight, first) if len(first) else np.zeros(0, np.float32)
+        often = np.diff(self.list_first) > DENSE * len(self.filled)
+        #: column of each frequent term, -1 without
+        self.column = np.where(often, np.cumsum(often) - 1, -1)
+        self._unfolded = None
+        self.visited = self.asked = 0
 
     def __getstate__(self):
-        return {**self.__dict__, "_dense": None}  # unfolded again where it is used
-
-    def dense(self) -> np.ndarray:
-        if self._dense is None:
-            self._dense = np.zeros((int(self.row.max(initial=-1)) + 1, len(self.labels)), np.float32)
-            for t in np.flatnonzero(self.row >= 0):
-                lo, hi = self.first[t], self.first[t + 1]
-                self._dense[self.row[t], self.doc[lo:hi]] = self.weight[lo:hi]
-        return self._dense
+        return {**self.__dict__, "_unfolded": None}  # unfolded again where it is used
+
+    def unfolded(self) -> tuple[np.ndarray, np.ndarray]:
+        """Largest weights as a matrix (term, block), and weights of frequent terms as (block, example, column)."""
+        if self._unfolded is None:
+            top = np.zeros((len(self.vocabulary), self.blocks), np.float32)
+            top.reshape(-1)[self.max_cell] = self.max_weight
+            wide = np.zeros((self.blocks * BLOCK, int(self.column.max(initial=-1)) + 1), np.float32)
+            for t in np.flatnonzero(self.column >= 0):
+                at = slice(self.list_first[t], self.list_first[t + 1])
+                wide[self.list_place[at], self.column[t]] = self.list_weight[at]
+            self._unfolded = top, wide.reshape(self.blocks, BLOCK, -1)
+        return self._unfolded
 
     def neighbours(self, terms: np.ndarray, counts: np.ndarray, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of largest cosine over 0 (exact; ties to the smaller number): (numbers, cosines)."""
-        return next(self.search([(terms, counts)], [skip]))
+        return self._without(terms, self.weights(terms, counts), skip)
 
-    def search(self, queries: list[tuple[np.ndarray, np.ndarray]], skips=None):
-        """Yields the ``neighbours`` of each query; ``skips`` are examples to leave out."""
-        dense = self.dense()
-        full = np.zeros(len(self.vocabulary))
-        for lo in range(0, len(queries), BATCH):
-            part = [(t, self.weights(t, c)) for t, c in queries[lo:lo + BATCH]]
-            q = np.zeros((len(part), len(dense)), np.float32)
-            for i, (t, w) in enumerate(part):
-                often = self.row[t] >= 0
-                q[i, self.row[t[often]]] = w[often]
-            scores = q @ dense
-            for i, (t, w) in enumerate(part):
-                score = scores[i]
-                for x in np.flatnonzero(self.row[t] < 0):
-                    a, b = self.first[t[x]], self.first[t[x] + 1]
-                    score[self.doc[a:b]] += np.float32(w[x]) * self.weight[a:b]
-                if skips is not None and skips[lo + i] >= 0:
-                    score[skips[lo + i]] = 0
-                full[t] = w
-                yield self._best(score, full)
-                full[t] = 0
-
-    def _best(self, score: np.ndarray, full: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        bar = np.partition(score, -self.k)[-self.k] - 2 * ROUNDING if len(score) > self.k else 0
-        d = np.flatnonzero(score >= bar) if bar > 0 else np.flatnonzero(score > 0)
-        if not len(d):
+    def _without(self, terms: np.ndarray, w: np.ndarray, skip: int) -> tuple[np.ndarray, np.ndarray]:
+        """Neighbours of a weight vector.
+
+        Blocks are visited by falling upper bound, some at a time; those whose bound lies below
+        the k-th cosine found so far are never visited. ``skip`` is an example to leave out.
+        """
+        if not len(terms) or not self.blocks:
+            return np.zeros(0, np.int64), np.zeros(0)
+        top, wide = self.unfolded()
+        light = w.astype(np.float32)
+        upper = light @ top[terms] + np.float32(ROUNDING)
+        rare = np.zeros(self.blocks * BLOCK, np.float32)
+        for t, x in zip(terms.tolist(), light):
+            if self.column[t] < 0:
+                at = slice(self.list_first[t], self.list_first[t + 1])
+                rare[self.list_place[at]] += x * self.list_weight[at]
+        rare = rare.reshape(self.blocks, BLOCK)
+        heavy = np.zeros(wide.shape[2], np.float32)
+        some = self.column[terms] >= 0
+        heavy[self.column[terms[some]]] = light[some]
+        left, bar = np.flatnonzero(upper > ROUNDING), np.float32(0)
+        places, scores = [], []
+        self.asked += self.blocks
+        for step in (*STEPS, *[STEPS[-1]] * self.blocks):
+            left = left[upper[left] >= bar]
+            if not len(left):
+                break
+            now, left = left, left[:0]
+            if len(now) > step:
+                by = np.argpartition(-upper[now], step - 1)
+                now, left = now[by[:step]], now[by[step:]]
+            self.visited += len(now)
+            scores.append(wide[now].reshape(-1, len(heavy)) @ heavy + rare[now].reshape(-1))
+            places.append((now[:, None] * BLOCK + np.arange(BLOCK)).reshape(-1))
+            if skip >= 0:
+                own = np.searchsorted(self.filled, skip)
+                scores[-1][places[-1] == own] = 0
+            best = np.concatenate(scores)
+            if len(best) > self.k:
+                bar = max(np.partition(best, -self.k)[-self.k] - np.float32(2 * ROUNDING), np.float32(0))
+        if not places:
             return np.zeros(0, np.int64), np.zeros(0)
-        n = np.diff(self.start)[d]
-        at = np.repeat(self.start[d] - np.cumsum(n) + n, n) + np.arange(n.sum())
-        s = np.add.reduceat(full[self.term[at]] * self.value[at], np.cumsum(n) - n)
+        places, best = np.concatenate(places), np.concatenate(scores)
+        return self._exact(places[(best >= bar) & (best > 0)], terms, w)
+
+    def _exact(self, places: np.ndarray, terms: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The k best of some examples by their cosines in double precision."""
+        if not len(places):
+            return places, np.zeros(0)
+        full = np.zeros(len(self.vocabulary))
+        full[terms] = w
+        first, n = self.entry[places], self.entry[places + 1] - self.entry[places]
+        ends = np.cumsum(n)
+        at = np.repeat(first - ends + n, n) + np.arange(ends[-1])
+        s, d = np.add.reduceat(full[self.term[at]] * self.value[at], ends - n), self.filled[places]
         order = np.lexsort((d, -s))[:self.k]
         return d[order], s[order]
 
@@ -134,10 +180,19 @@ class ToxicityModel:
         toxic = float((w * (self.labels[numbers] == 1)).sum())
         return math.log((toxic + 0.5 * self.rate) / (float(w.sum()) - toxic + 0.5 * (1 - self.rate)))
 
-    def calibrate(self, examples: list[tuple[np.ndarray, np.ndarray]]) -> None:
-        """Logistic fit of labels on leave-one-out votes (Newton steps, ridge for separable votes)."""
+    def set_rate(self) -> None:
+        """Smoothed share of toxic examples."""
         self.rate = (float((self.labels == 1).sum()) + 1) / (len(self.labels) + 2)
-        x = np.array([self.vote(d, s) for d, s in self.search(examples, range(len(examples)))])
+
+    def vote_without(self, number: int) -> float:
+        """The vote on an example by all others."""
+        at = slice(self.start[number], self.start[number + 1])
+        # its own stored weights stand for terms and counts
+        return self.vote(*self._without(self.term[at], self.value[at], number))
+
+    def calibrate(self, votes: np.ndarray) -> None:
+        """Logistic fit of labels on leave-one-out votes (Newton steps, ridge for separable votes)."""
+        x = np.asarray(votes, float)
         y = (self.labels == 1).astype(float)
         z = np.column_stack([x, np.ones(len(x))]) if len(x) else np.zeros((0, 2))
         beta, ridge = np.array([1.0, 0.0]), 1e-2
@@ -159,7 +214,7 @@ class ToxicityModel:
 def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, k: int = 25) -> ToxicityModel:
     """Model of ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic)."""
     spark = docs.sparkSession
-    sample = labelled_sample(docs, labels, max_labelled)
+    sample = stored(labelled_sample(docs, labels, max_labelled), "toxicity-sample")
 
     def hashes(batches):
         for b in batches:
@@ -174,8 +229,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, k:
     a, m = F.col("a").cast("double"), F.col("m").cast("double")
     expected = m * t / max(n, 1)
     chi2 = (a - expected) ** 2 * n / F.greatest(expected * (n - t) / max(n, 1) * (1 - m / max(n, 1)), F.lit(1e-9))
-    rows = (sample.mapInArrow(hashes, "term long, toxic long").groupBy("term")
-            .agg(F.sum("toxic").alias("a"), F.count("*").alias("m")).where("m >= 5").withColumn("chi2", chi2 / n if n else F.lit(0.0))
+    rows = (sample.mapInArrow(lean(hashes), "term long, toxic long").groupBy("term")
+            .agg(F.sum("toxic").alias("a"), F.count("*").alias("m")).withColumn("chi2", chi2 / n if n else F.lit(0.0))
             .where(F.col("chi2") >= CHI2).select("term").toArrow())
     model = ToxicityModel(np.sort(rows["term"].to_numpy().astype(np.int64).view(np.uint64)), k)
     shared = spark.sparkContext.broadcast(model.vocabulary)
@@ -190,7 +245,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, k:
                                          names=["term", "df"])
 
     df = np.zeros(len(model.vocabulary) + 1)
-    for r in docs.select("text").mapInArrow(frequencies, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).collect():
+    for r in docs.select("text").mapInArrow(lean(frequencies), "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).collect():
         df[r.term + 1] = r.df
     model.idf = np.log((df[0] + 1) / (df[1:] + 1)) + 1
 
@@ -204,12 +259,28 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, k:
     rows = sample.mapInArrow(vectors, "terms array<long>, counts array<long>, toxic long").toArrow()
     found = sorted(zip((x.values.to_numpy() for x in rows["terms"]), (x.values.to_numpy() for x in rows["counts"]), rows["toxic"].to_pylist()),
                    key=lambda r: (r[0].tobytes(), r[1].tobytes(), r[2]))
-    examples = [(x, c) for x, c, _ in found]
-    model.index(examples, np.array([y for _, _, y in found], np.int64))
-    model.calibrate(examples)
+    model.index([(x, c) for x, c, _ in found], np.array([y for _, _, y in found], np.int64))
+    model.set_rate()
+    model.calibrate(_votes(spark, model))
     return model
 
 
+def _votes(spark, model: ToxicityModel) -> np.ndarray:
+    """Leave-one-out votes on all examples, by number; taken in tasks, one number an example comes back."""
+    shared, out = spark.sparkContext.broadcast(model), np.zeros(len(model.labels))
+
+    def run(batches):
+        for b in batches:
+            numbers = b.column("id").to_pylist()
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([shared.value.vote_without(i) for i in numbers], pa.float64())],
+                                             names=["id", "vote"])
+
+    parts = max(1, min(spark.sparkContext.defaultParallelism, len(out) // 500))
+    rows = spark.range(len(out), numPartitions=parts).mapInArrow(run, "id long, vote double").toArrow()
+    out[rows["id"].to_numpy()] = rows["vote"].to_numpy()
+    return out
+
+
 def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text", score: str = "score") -> DataFrame:
     """``docs`` with the columns score (0 to 1) and neighbours (example numbers and cosines as evidence).
 
@@ -229,7 +300,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text"
             keys.append(terms.tobytes() + counts.tobytes())
             distinct.setdefault(keys[-1], (terms, counts))
         known = dict(zip(distinct, ((model.score(d, s), [{"example": int(x), "label": int(model.labels[x]), "cosine": float(c)} for x, c in zip(d, s)])
-                                    for d, s in model.search(list(distinct.values())))))
+                                    for d, s in (model.neighbours(t, c) for t, c in distinct.values()))))
         out, near = [known[key][0] for key in keys], [known[key][1] for key in keys]
         return pd.DataFrame({"score": pd.Series(out, dtype=float), "neighbours": pd.Series(near, dtype=object)})
 
