@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textarrays as ta
-from .common import connected_components, documents, stored
+from .common import connected_components, documents, lean, stored
 
 MIN_FREQUENT = 64
 #: Largest number of tokens held as frequent, hence broadcast (8 bytes each).
@@ -413,7 +413,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     run, schema = _entities("doc_id", "text", size)
-    first = stored(narrow.mapInArrow(run, schema), "jaccard-entities")
+    first = stored(narrow.mapInArrow(lean(run), schema), "jaccard-entities")
     entities = first.where("kind = 0").select("doc_id", "key", "n")
     frequent = (first.where("kind = 1").groupBy("key").agg(F.sum("n").alias("df")).where(F.col("df") >= MIN_FREQUENT)
                 .orderBy(F.desc("df"), "key").limit(MAX_FREQUENT).collect())
@@ -422,7 +422,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     order = order[np.lexsort((order, df))]
 
     run, schema = _signatures("text", size, percent, spark.sparkContext.broadcast(order))
-    sigs = narrow.select("text").mapInArrow(run, schema)
+    sigs = narrow.select("text").mapInArrow(lean(run), schema)
     groups = sigs.groupBy("sig").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo < hi").select("sig")
     shared = stored(sigs.join(groups, "sig").distinct(), "jaccard-signatures")
     lists = stored(shared.groupBy("key").agg(F.sort_array(F.collect_list("sig")).alias("sigs"), F.max("n").alias("n"),
@@ -435,7 +435,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     family = stored(found, "jaccard-families")
     wanted = spark.sparkContext.broadcast(_bit_filter(family.select("key").union(to_pivot.selectExpr("explode(array(a, b))"))))
     run, schema = _full_sets("text", size, wanted)
-    sets = stored(narrow.select("text").mapInArrow(run, schema).dropDuplicates(["key"]), "jaccard-sets")
+    sets = stored(narrow.select("text").mapInArrow(lean(run), schema).dropDuplicates(["key"]), "jaccard-sets")
     first = stored(_verified(to_pivot, sets, percent), "jaccard-pivots")
     hits = first.select(F.col("b").alias("p"), F.col("a").alias("key"), F.lit(True).alias("hit"))
     family = family.join(hits, ["p", "key"], "left").select(
@@ -449,16 +449,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without near duplicates: of each component the row of the smallest
-    doc_id stays, with all its columns. Documents without words all stay, and so
-    do rows without an id. Of repeated rows with that doc_id one stays."""
-    links = jaccard_components(docs, **options)
-    drop = links.where("n_shingles > 0 and component_id <> doc_id").select("doc_id").distinct()
-    kept = docs.join(drop, "doc_id", "left_anti")
-    words = F.expr(r"rlike(coalesce(text, ''), '[^\\x20\\x09-\\x0D]')")
-    once = kept.where(words & F.col("doc_id").isNotNull()).dropDuplicates(["doc_id", "text"])
-    return once.unionByName(kept.where(~words | F.col("doc_id").isNull()))
+    id stays, with all its columns. Documents without words all stay, and so
+    do rows without an id. Of repeated rows with that id one stays."""
+    links = jaccard_components(docs, id_col, text_col, **options)
+    drop = links.where("n_shingles > 0 and component_id <> doc_id").select(F.col("doc_id").alias("_dropped")).distinct()
+    key, text = docs[id_col].cast("long"), F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    kept = docs.join(drop, key == drop["_dropped"], "left_anti")
+    words = F.rlike(text, F.lit(r"[^\x20\x09-\x0D]"))
+    once = kept.where(words & F.col(id_col).isNotNull()).dropDuplicates([id_col, text_col])
+    return once.unionByName(kept.where(~words | F.col(id_col).isNull()))
 
 
 def op10_query(spark, sf_dir):

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import documents, stored
+from .common import documents, lean, stored
 
 CAPACITY = 2048
 #: Search effort: fillings tried beyond the first descent.
@@ -110,7 +110,7 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 yield _batch(rows, names)
 
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return narrow.mapInArrow(run, PIECES)
+    return narrow.mapInArrow(lean(run), PIECES)
 
 
 def _batch(rows, names):

@@ -211,8 +211,12 @@ def fit(docs: DataFrame, max_labelled: int = 2000) -> SecretModel:
     The smallest hashes are taken, so the sample does not depend on partitions.
     """
     values = stored(_samples(docs).distinct(), "secret-values")
-    rank = F.row_number().over(Window.partitionBy("kind").orderBy(F.xxhash64("value"), "value"))
-    rows = values.where("kind <> 'other'").withColumn("r", rank).where(F.col("r") <= max_labelled)
+    # the smallest hashes of each of 256 groups a kind first, so that no task sorts all values of a kind
+    order = [F.xxhash64("value"), F.col("value")]
+    some = F.row_number().over(Window.partitionBy("kind", F.pmod(F.crc32(F.col("value").cast("binary")), F.lit(256))).orderBy(*order))
+    rank = F.row_number().over(Window.partitionBy("kind").orderBy(*order))
+    rows = (values.where("kind <> 'other'").withColumn("r", some).where(F.col("r") <= max_labelled)
+            .withColumn("r", rank).where(F.col("r") <= max_labelled))
     held: dict[str, list[str]] = {}
     for r in sorted(rows.select("kind", "value").collect()):
         held.setdefault(r.kind, []).append(r.value)
