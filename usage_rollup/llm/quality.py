@@ -33,7 +33,7 @@ _SYMBOL[list(b"!?")] = 55
 _SYMBOL[128:192] = 57 + np.arange(64) % 7
 _SYMBOL[192:] = 255
 _MARKS = np.zeros(256, bool)
-_MARKS[list(b"[#*$%&|<>]")] = True
+_MARKS[list(b"#*$%&|<>")] = True
 _LINES = ta.byte_tables(b"\n", lower=False)
 #: Width of the bands in spreads of the quartiles, chosen on the labelled rows that are not held out (README).
 WIDTH = 2.0
