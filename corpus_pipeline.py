@@ -7,7 +7,7 @@ as Parquet to the shared checkpoint folder and read back as the next one's docs.
 from pyspark.sql import functions as F
 
 from usage_rollup.llm import line_dedup, ngram_join, packing, secrets, toxicity
-from usage_rollup.llm.common import documents, stored
+from usage_rollup.llm.common import documents, remove_since, stored, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -58,7 +58,8 @@ ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    docs = documents(spark, sf_dir)
+    docs, mark = documents(spark, sf_dir), written()
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        remove_since(spark, mark, docs)  # a stage's output is whole: nothing it was made from is read again
     return docs
