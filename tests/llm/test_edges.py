@@ -174,11 +174,77 @@ def test_quality_band_rejects_scrambled_texts(docs):
     assert sum(not r.kept for r in out if r.doc_id >= 1000) >= 15
 
 
-def test_kneser_ney_sums_to_one():
-    rng = np.random.default_rng(5)
-    keys = np.unique(rng.integers(0, 64 ** 4, 5000))
-    p = np.exp(quality.KneserNey(keys, rng.integers(1, 9, len(keys))).table().astype(float)).reshape(-1, 64).sum(axis=1)
-    assert np.allclose(p, 1, atol=1e-3)
+def _folded_text(t):
+    t = re.sub(r"[ \t\n\x0b\x0c\r]+", " ", re.sub("[0-9]", "0", t))
+    return re.sub(r"[^A-Za-z0 .!\x80-\U0010ffff]", "#", re.sub("[!?]", "!", re.sub("[.,;:]", ".", t)))
+
+
+def _brute_kneser_ney(texts, leave_out):
+    """Log-probability of every 4-gram of one language's texts, straight from the definition."""
+    grams = []
+    for t in texts:
+        body = _folded_text(t)
+        led = "   " + body
+        grams += [led[i:i + 4] for i in range(len(body))]
+    def lower(top):
+        counts = {4: top}
+        for k in (3, 2, 1):
+            counts[k] = {}
+            for g in counts[k + 1]:
+                counts[k][g[1:]] = counts[k].get(g[1:], 0) + 1
+        return counts
+
+    whole = lower({g: grams.count(g) for g in set(grams)})
+    discounts = {}
+    for k, c in whole.items():
+        m = [max(sum(v == i for v in c.values()), 1) for i in (1, 2, 3, 4)]
+        y = m[0] / (m[0] + 2 * m[1])
+        discounts[k] = [0.0] + [min(max(i - (i + 1) * y * m[i] / m[i - 1], 0), i - 0.01) for i in (1, 2, 3)]
+
+    def p(g, counts):
+        if not g:
+            return 1 / len(whole[1])
+        c = counts[len(g)]
+        cut = lambda v: discounts[len(g)][min(v, 3)]
+        near = {h: v for h, v in c.items() if h[:-1] == g[:-1]}
+        total = sum(near.values())
+        if not total:
+            return p(g[1:], counts)
+        own = (c[g] - cut(c[g])) / total if g in c else 0.0
+        return own + sum(map(cut, near.values())) / total * p(g[1:], counts)
+
+    def without(g):
+        return lower({h: v - (h == g) for h, v in whole[4].items() if v > (h == g)}) if leave_out else whole
+
+    return {g: np.log(max(p(g, without(g)), 1e-12)) for g in whole[4]}
+
+
+def test_kneser_ney_against_brute_force(docs):
+    rng = np.random.default_rng(14)
+    texts = {"en": ["the cat sat 12  on\tthe mat, is it? #1", "the dog", "a", ""], "zh": ["\u4e2d\u6587 \u4e2d\u6587\u5b57 x", "\U0001f600\u00e9 9"],
+             None: ["".join(rng.choice(list("abc "), 80))]}
+    rows = [(i, t, lang) for i, (lang, t) in enumerate((lang, t) for lang, ts in texts.items() for t in ts)]
+    narrow = docs([(i, t, lang) for i, t, lang in rows]).select("doc_id", "lang", quality.language_key().alias("l"), "text")
+    fold = lambda ch: ch if ord(ch) < 1 << 16 else chr(0xD800 + ord(ch) % 2048)
+    for leave_out in (False, True):
+        got = {}
+        for r in quality.kneser_ney(quality.gram_counts(narrow), leave_out).collect():
+            key = r.gram & (1 << 64) - 1
+            got.setdefault(r.l, {})["".join(chr(key >> s & 0xFFFF) for s in (48, 32, 16, 0))] = r.logp
+        for lang, ts in texts.items():
+            want = _brute_kneser_ney(["".join(map(fold, t)) for t in ts], leave_out)
+            mine = got["" if lang is None else f"={lang}"]
+            assert set(mine) == set(want) and all(abs(mine[g] - want[g]) < 1e-5 for g in want), (lang, leave_out)
+    # the mean over a text, by one part and by many
+    out = [{r.doc_id: r.log_ppl for r in quality.quality_rules(docs(rows), part_rows=n).collect()} for n in (quality.PART_ROWS, 7)]
+    for i, t, lang in rows:
+        if t:
+            model = _brute_kneser_ney(["".join(map(fold, x)) for x in texts[lang]], False)
+            body = "   " + _folded_text("".join(map(fold, t)))
+            want = -np.mean([model[body[j:j + 4]] for j in range(len(body) - 3)])
+            assert abs(out[0][i] - want) < 1e-5 and abs(out[1][i] - want) < 1e-5
+        else:
+            assert out[0][i] is None and out[1][i] is None
 
 
 def test_segmentation(docs):
