@@ -34,7 +34,7 @@ BLOCK = 16
 #: How many of the blocks left are visited in each step; the last one repeats.
 STEPS = (8, 24, 64, 128, 256)
 #: Terms of more than this share of the examples are held as columns besides.
-DENSE = 0.05
+DENSE = 0.1
 #: Bound of the rounding error of 32-bit bounds and scores.
 ROUNDING = 1e-4
 #: Besides a word, its first so many bytes are terms (they join inflected forms).
@@ -137,7 +137,8 @@ class ToxicityModel:
         some = self.column[terms] >= 0
         heavy[self.column[terms[some]]] = light[some]
         left, bar = np.flatnonzero(upper > ROUNDING), np.float32(0)
-        places, scores = [], []
+        places, scores = np.zeros(0, np.int64), np.zeros(0, np.float32)
+        own = int(np.searchsorted(self.filled, skip)) if skip >= 0 else -1
         self.asked += self.blocks
         for step in (*STEPS, *[STEPS[-1]] * self.blocks):
             left = left[upper[left] >= bar]
@@ -148,18 +149,16 @@ class ToxicityModel:
                 by = np.argpartition(-upper[now], step - 1)
                 now, left = now[by[:step]], now[by[step:]]
             self.visited += len(now)
-            scores.append(wide[now].reshape(-1, len(heavy)) @ heavy + rare[now].reshape(-1))
-            places.append((now[:, None] * BLOCK + np.arange(BLOCK)).reshape(-1))
-            if skip >= 0:
-                own = np.searchsorted(self.filled, skip)
-                scores[-1][places[-1] == own] = 0
-            best = np.concatenate(scores)
-            if len(best) > self.k:
-                bar = max(np.partition(best, -self.k)[-self.k] - np.float32(2 * ROUNDING), np.float32(0))
-        if not places:
-            return np.zeros(0, np.int64), np.zeros(0)
-        places, best = np.concatenate(places), np.concatenate(scores)
-        return self._exact(places[(best >= bar) & (best > 0)], terms, w)
+            s = wide[now].reshape(-1, len(heavy)) @ heavy + rare[now].reshape(-1)
+            on = np.flatnonzero((s >= bar) & (s > 0))
+            place = now[on // BLOCK] * BLOCK + on % BLOCK
+            if skip >= 0 and self.filled[own] == skip:
+                on, place = on[place != own], place[place != own]
+            places, scores = np.concatenate([places, place]), np.concatenate([scores, s[on]])
+            if len(scores) > self.k:
+                bar = max(np.partition(scores, -self.k)[-self.k] - np.float32(2 * ROUNDING), np.float32(0))
+                places, scores = places[scores >= bar], scores[scores >= bar]
+        return self._exact(places, terms, w)
 
     def _exact(self, places: np.ndarray, terms: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The k best of some examples by their cosines in double precision."""
@@ -289,20 +288,23 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text"
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("score double, neighbours array<struct<example:long,label:long,cosine:double>>")
-    def scored(texts):  # type: ignore[no-untyped-def]
-        import pandas as pd
+    kind = "struct<score:double,neighbours:array<struct<example:long,label:long,cosine:double>>>"
+    columns = pa.struct([("score", pa.float64()), ("neighbours", pa.list_(pa.struct([
+        ("example", pa.int64()), ("label", pa.int64()), ("cosine", pa.float64())])))])
 
+    @F.arrow_udf(kind)
+    def scored(texts: pa.Array) -> pa.Array:
         model, keys, distinct = shared.value, [], {}
-        batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.large_string(), from_pandas=True)], names=["text"])
-        for _, h in ta.text_rows(batch, "text", ta.BARE_WORDS, prefixes=PREFIXES):
+        for _, h in ta.text_rows(pa.RecordBatch.from_arrays([texts], names=["text"]), "text", ta.BARE_WORDS, prefixes=PREFIXES):
             terms, counts = _terms(h, model.vocabulary)
             keys.append(terms.tobytes() + counts.tobytes())
             distinct.setdefault(keys[-1], (terms, counts))
-        known = dict(zip(distinct, ((model.score(d, s), [{"example": int(x), "label": int(model.labels[x]), "cosine": float(c)} for x, c in zip(d, s)])
-                                    for d, s in (model.neighbours(t, c) for t, c in distinct.values()))))
-        out, near = [known[key][0] for key in keys], [known[key][1] for key in keys]
-        return pd.DataFrame({"score": pd.Series(out, dtype=float), "neighbours": pd.Series(near, dtype=object)})
+        known = {}
+        for key, (terms, counts) in distinct.items():
+            d, s = model.neighbours(terms, counts)
+            near = [{"example": int(x), "label": int(model.labels[x]), "cosine": float(c)} for x, c in zip(d, s)]
+            known[key] = {"score": model.score(d, s), "neighbours": near}
+        return pa.array([known[key] for key in keys], columns)
 
     return (docs.withColumn("_toxicity", scored(F.col(text_col).cast("string")))
             .withColumns({score: F.col("_toxicity.score"), "neighbours": F.col("_toxicity.neighbours")}).drop("_toxicity"))
