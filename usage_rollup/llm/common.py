@@ -12,12 +12,17 @@ from pyspark.sql import functions as F
 from ..session import scratch_dir, ship_package
 from ..sources import storage
 
+#: Rows of text handed to Python at once, unless the session says otherwise: a batch stands in memory
+#: several times, in the executor and in its worker, and documents are long.
+BATCH_SETTING, BATCH_DEFAULT, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "2000"
 #: Tables written by ``stored`` in this process, oldest first.
 _written: list[str] = []
 
 
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
     ship_package(spark)
+    if spark.conf.get(BATCH_SETTING) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
