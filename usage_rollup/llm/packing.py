@@ -29,7 +29,7 @@ CAPACITY = 2048
 #: Search effort: fillings tried beyond the first descent.
 MAX_NODES = 4000
 SALTS = 1024
-_CACHE = 400_000
+_CACHE = 150_000
 _ODD_SPACE = re.compile(r"\s | \s")
 
 
@@ -103,7 +103,7 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     part = ids[lo:hi].tobytes()
                     rows.append((doc_id, k, lo, hi - lo, part, zlib.crc32(part)))
                 held += len(ids)
-                if held > 1_000_000:
+                if held > 250_000:
                     yield _batch(rows, names)
                     rows, held = [], 0
             if rows:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textarrays as ta
-from .common import documents, stored
+from .common import documents, give_back, lean, stored
 
 KINDS = ("assign", "access", "hex")
 # The base patterns.
@@ -80,7 +80,7 @@ def _samples(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(values, pa.string())],
                                              names=["kind", "value"])
 
-    return docs.select("text").mapInArrow(run, "kind string, value string")
+    return docs.select("text").mapInArrow(lean(run), "kind string, value string")
 
 
 # --- grammar inference ----------------------------------------------------------------
@@ -253,6 +253,7 @@ def find_secrets(docs: DataFrame, model: SecretModel, text_col: str = "text", ou
                           if not any(s < m.end() and m.start() < e for s, e in taken)
                           and model.score(m.group()) >= model.min_bits]
             rows[i] = [{"kind": kinds[k], "start": s, "end": e} for s, k, e in sorted(found)]
+        give_back()
         return pd.Series(rows)
 
     return docs.withColumn(out, spans(F.col(text_col).cast("string")))
@@ -275,6 +276,7 @@ def redact(docs: DataFrame, spans: str = "secrets", text_col: str = "text", mark
                     at = max(at, r["end"])
                 text = "".join([*parts, text[at:]])
             out.append(text)
+        give_back()
         return pd.Series(out, dtype=object)
 
     return docs.withColumn(text_col, F.when(F.size(spans) > 0, cut(F.col(text_col), F.col(spans))).otherwise(F.col(text_col)))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textarrays as ta
-from .common import documents, lean, stored
+from .common import documents, give_back, lean, stored
 
 MAX_LABELLED = 20_000
 #: Chi-square that a term needs, whatever the number of labelled rows.
@@ -304,7 +304,9 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text"
             d, s = model.neighbours(terms, counts)
             near = [{"example": int(x), "label": int(model.labels[x]), "cosine": float(c)} for x, c in zip(d, s)]
             known[key] = {"score": model.score(d, s), "neighbours": near}
-        return pa.array([known[key] for key in keys], columns)
+        out = pa.array([known[key] for key in keys], columns)
+        give_back()
+        return out
 
     return (docs.withColumn("_toxicity", scored(F.col(text_col).cast("string")))
             .withColumns({score: F.col("_toxicity.score"), "neighbours": F.col("_toxicity.neighbours")}).drop("_toxicity"))
