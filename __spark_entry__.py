@@ -139,7 +139,7 @@ def _ingest_created(spark, sf):
 
     source, target, log = scratch_dir(spark, "q-source"), scratch_dir(spark, "q-raw"), _log(spark, sf)
     by_month = log.withColumn("log_month", maintain.log_partition("timestamp", "month"))
-    maintain.clustered(by_month, "log_month").write.partitionBy("log_month").parquet(source)
+    _land(by_month, source)
     maintain.ensure_target(spark, by_month, target, ["log_month"])
     run_ingest(spark, source, target, JobParams(project="gamma", start="1992-01-01", end="2024-02-01"),
                options={"mergeSchema": "false"}, schema=by_month.schema, **_BY_MONTH)
@@ -221,6 +221,12 @@ def _jobs(spark, sf):
     return load_rollup(spark, rollup).select(*ROLLUP_COLUMNS)
 
 
+def _land(rows, path):
+    """Append rows to a landing folder, one folder a month; a month that holds most rows is written by several tasks."""
+    with maintain.unsorted_writes(rows):
+        maintain.clustered(rows, "log_month").write.mode("append").partitionBy("log_month").parquet(path)
+
+
 def _stream(spark, sf):
     """The whole log lands in three drops, one folder a month, the last with late rows of every year; the rollup is versioned."""
     from usage_rollup.streaming import start_incremental_rollup
@@ -244,7 +250,7 @@ def _stream_additive(spark, sf):
     table = versions.rollup_table(spark, scratch_dir(spark, "q-partials"))
     late = F.dayofmonth("timestamp") == 17
     for drop in (log.where(~late), log.where(late)):
-        drop.repartition("log_month").write.mode("append").partitionBy("log_month").parquet(src)
+        _land(drop, src)
         additive.start_additive_rollup(spark, src, table, ckpt, "landing").awaitTermination()
     if additive.add_batch(table, log, 0, "landing"):
         raise AssertionError("a batch was added twice")

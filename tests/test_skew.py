@@ -1,8 +1,10 @@
 """Skew: a partition value holding most rows is written by several tasks."""
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.readwriter import DataFrameWriter
 
-from usage_rollup.operators.maintain import clustered
+from usage_rollup.operators.maintain import clustered, unsorted_writes
 from usage_rollup.sources import storage
 
 
@@ -22,3 +24,30 @@ def test_rebalanced_write_splits_a_hot_partition(spark, scratch):
     assert hot_files > 1, hot_files  # the hot value was split across tasks
     assert cold_files == 1, cold_files  # small values stay in one file
     assert spark.read.parquet(path).count() == 400_000
+
+
+@pytest.mark.parametrize("query", ["incremental_stream_additive"])
+def test_no_task_of_a_write_takes_or_sorts_a_whole_month(spark, monkeypatch, query):
+    import __spark_entry__
+
+    writes, plain = [], DataFrameWriter.parquet
+
+    def parquet(self, path, *args, **kwargs):
+        writes.append((int(self._spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) > 0,
+                       "RepartitionByExpression" in self._df._jdf.queryExecution().analyzed().toString()))
+        return plain(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    __spark_entry__.queries()[query](spark, "/root/testdata/sf0.001")
+    assert writes and set(writes) == {(True, False)}
+    assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) <= 0
+
+
+def test_more_partition_values_than_open_files(spark, scratch):
+    path = scratch("many")
+    df = spark.range(0, 3000, numPartitions=1).withColumn("d", F.col("id") % 130)
+    with unsorted_writes(df):
+        df.write.partitionBy("d").parquet(path)
+    got = spark.read.parquet(path).groupBy("d").agg(F.count("*").alias("n"), F.sum("id").alias("s"))
+    want = df.groupBy("d").agg(F.count("*").alias("n"), F.sum("id").alias("s"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))

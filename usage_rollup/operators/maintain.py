@@ -38,6 +38,7 @@ from __future__ import annotations
 import datetime as _dt
 import hashlib
 import json
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
@@ -60,6 +61,8 @@ LOG_PARTITION = "log_date"
 ROLLUP_PARTITION = "download_month"
 ROLLUP_DATE = "download_date"
 ROLLUP_GRAINS = {"month": ROLLUP_PARTITION, "day": ROLLUP_DATE}
+#: Spark's setting for, and number of, the files a task of a partitioned write holds open at once.
+OPEN_FILES_SETTING, OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters", 50
 
 
 def rollup_partition_column(grain: str = "month") -> str:
@@ -86,6 +89,26 @@ def clustered(df: DataFrame, *cols: str) -> DataFrame:
     return df.hint("rebalance", *cols)
 
 
+@contextmanager
+def unsorted_writes(df: DataFrame):
+    """Partitioned writes of ``df`` inside hold several files open instead of sorting each task's rows first.
+
+    The sort keeps a task's rows in memory, and how many these are is decided by compressed
+    bytes (a scan split, a shuffle block). An open file holds one row group at most. A task
+    that meets more than ``OPEN_FILES`` partition values sorts the rows from there on: then it holds
+    many thin values. A limit that the session already sets stays.
+    """
+    conf = df.sparkSession.conf
+    ours = int(conf.get(OPEN_FILES_SETTING)) <= 0
+    if ours:
+        conf.set(OPEN_FILES_SETTING, str(OPEN_FILES))
+    try:
+        yield
+    finally:
+        if ours:
+            conf.unset(OPEN_FILES_SETTING)
+
+
 # --- catalog helpers (W1-W3) -------------------------------------------------
 
 
@@ -229,7 +252,8 @@ def _swap_in(spark: SparkSession, new_path: str, target: str, partition_col: str
          .partitionBy(partition_col))
     if max_records:
         w = w.option("maxRecordsPerFile", int(max_records))
-    w.parquet(target)
+    with unsorted_writes(new):
+        w.parquet(target)
     present = set(storage.list_partitions(spark, new_path, partition_col))
     for value in touched:
         if value not in present:
@@ -283,8 +307,9 @@ def _publish(spark: SparkSession, new: DataFrame, target: str, partition_col: st
     """
     pend = _pending_dir(spark, _location(spark, target))
     if not (staged_path and storage.rename(spark, staged_path, f"{pend}/new")):
-        (clustered(new, partition_col).write.mode("overwrite").option("maxRecordsPerFile", int(max_records or 0))
-         .partitionBy(partition_col).parquet(f"{pend}/new"))
+        with unsorted_writes(new):
+            (clustered(new, partition_col).write.mode("overwrite").option("maxRecordsPerFile", int(max_records or 0))
+             .partitionBy(partition_col).parquet(f"{pend}/new"))
     # manifest last: a snapshot counts as complete only once both exist
     manifest = {"partition_col": partition_col, "touched": list(touched), "schema": new.schema.jsonValue()}
     storage.write_text(spark, f"{pend}/manifest.json", json.dumps(manifest))
@@ -304,14 +329,16 @@ def _first_load(spark: SparkSession, stage_path: str, target: str, partition_col
         w = clustered(staged, partition_col).write.mode("append").format("parquet").partitionBy(partition_col)
         if max_records:
             w = w.option("maxRecordsPerFile", int(max_records))
-        w.saveAsTable(target)
+        with unsorted_writes(staged):
+            w.saveAsTable(target)
         return
     if not storage.exists(spark, target) and storage.rename(spark, stage_path, target):
         return
     w = clustered(staged, partition_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if max_records:
         w = w.option("maxRecordsPerFile", int(max_records))
-    w.partitionBy(partition_col).parquet(target)
+    with unsorted_writes(staged):
+        w.partitionBy(partition_col).parquet(target)
 
 
 def replace_range(
@@ -359,8 +386,9 @@ def replace_range(
     schema = staged.schema
     stage_path = scratch_dir(spark, "staged")
     src = clustered(staged, partition_col) if cluster_staged else staged
-    (src.write.mode("overwrite")
-     .option("maxRecordsPerFile", int(max_records or 0)).partitionBy(partition_col).parquet(stage_path))
+    with unsorted_writes(staged):
+        (src.write.mode("overwrite")
+         .option("maxRecordsPerFile", int(max_records or 0)).partitionBy(partition_col).parquet(stage_path))
     staged_dates = storage.list_partitions(spark, stage_path, partition_col)
     try:
         if not staged_dates:
@@ -431,7 +459,8 @@ def upsert_by_key(spark: SparkSession, target: str, batch: DataFrame, key: str =
     batch = with_rollup_partition(batch, partition_col)
     schema = batch.schema
     stage_path = scratch_dir(spark, "batch")
-    clustered(batch, partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(stage_path)
+    with unsorted_writes(batch):
+        clustered(batch, partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(stage_path)
     touched = storage.list_partitions(spark, stage_path, partition_col)
     try:
         if not touched:
@@ -465,10 +494,11 @@ def append(df: DataFrame, target: str, max_records: int = NO_LIMIT,
     w = src.write.mode("append").option("maxRecordsPerFile", int(max_records))
     if partition_by:
         w = w.partitionBy(*partition_by)
-    if "/" in target or ":" in target:
-        w.parquet(target)
-    else:
-        w.format("parquet").saveAsTable(target)
+    with unsorted_writes(df):
+        if "/" in target or ":" in target:
+            w.parquet(target)
+        else:
+            w.format("parquet").saveAsTable(target)
     return _observed_rows(obs, df)
 
 
@@ -548,7 +578,8 @@ def write_rollup(spark: SparkSession, rollup: DataFrame, target: str, mode: str
         # an existing table: snapshot first, then swap every partition, so a crash loses nothing
         stage_path = scratch_dir(spark, "refresh")
         try:
-            clustered(rollup, part).write.mode("overwrite").partitionBy(part).parquet(stage_path)
+            with unsorted_writes(rollup):
+                clustered(rollup, part).write.mode("overwrite").partitionBy(part).parquet(stage_path)
             staged = spark.read.schema(rollup.schema).parquet(stage_path)
             n = staged.count()
             touched = sorted(set(old) | set(storage.list_partitions(spark, stage_path, part)))
@@ -559,10 +590,11 @@ def write_rollup(spark: SparkSession, rollup: DataFrame, target: str, mode: str
     obs = Observation("rollup")
     src = clustered(rollup, part).observe(obs, F.count(F.lit(1)).alias("n"))
     w = src.write.mode("overwrite").partitionBy(part)
-    if _is_path(target):
-        w.parquet(target)
-    else:
-        w.format("parquet").saveAsTable(target)
+    with unsorted_writes(rollup):
+        if _is_path(target):
+            w.parquet(target)
+        else:
+            w.format("parquet").saveAsTable(target)
     return _observed_rows(obs, rollup)
 
 
@@ -583,11 +615,12 @@ def export_partitioned(df: DataFrame, date_col: str, path: str, max_records: int
     Dynamic overwrite rewrites only the exported months.
     """
     out = with_year_month(df, date_col)
-    (clustered(out, "year", "month")
-     .write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .option("compression", "zstd")
-     .option("maxRecordsPerFile", int(max_records))
-     .option("parquet.block.row.count.limit", int(row_group_rows))
-     .partitionBy("year", "month")
-     .parquet(path))
+    with unsorted_writes(out):
+        (clustered(out, "year", "month")
+         .write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic")
+         .option("compression", "zstd")
+         .option("maxRecordsPerFile", int(max_records))
+         .option("parquet.block.row.count.limit", int(row_group_rows))
+         .partitionBy("year", "month")
+         .parquet(path))

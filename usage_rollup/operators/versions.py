@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from usage_rollup.operators.maintain import (LOG_PARTITION, ROLLUP_DATE, _range_dates, clustered, delete_range_scoped,
-                                             log_partition, rollup_partition_column, with_rollup_partition)
+                                             log_partition, rollup_partition_column, unsorted_writes, with_rollup_partition)
 from usage_rollup.operators.quality import quality_exprs, validate_stats
 from usage_rollup.params import MAX_NULL_PCT, NO_LIMIT
 from usage_rollup.sources import storage
@@ -189,7 +189,8 @@ class Change:
         if t.bloom_col:
             w = w.option(f"parquet.bloom.filter.enabled#{t.bloom_col}", "true")
         path = f"{t.root}/data/gen={gen}"
-        w.parquet(path)
+        with unsorted_writes(df):
+            w.parquet(path)
         return {v: [(gen, None)] for v in storage.list_partitions(t.spark, path, t.partition_col)}
 
     def commit(self, parts: dict, schema: T.StructType, facts: dict | None = None) -> int:
