@@ -404,7 +404,7 @@ def _stream_all(spark, sf):
     ckpt = scratch_dir(spark, "q-stream-ckpt")
     cut = _ts_lt(log, "1998-03-15 12:00:00")
     for drop in (log.where(cut), log.where(~cut)):
-        drop.repartition("log_month").write.mode("append").partitionBy("log_month").parquet(src)
+        _land(drop, src)
         start_incremental_rollup(spark, src, target, ckpt).awaitTermination()
     return spark.read.parquet(target).select(*ROLLUP_COLUMNS)
 
