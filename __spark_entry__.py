@@ -236,7 +236,7 @@ def _stream(spark, sf):
     target = versions.rollup_table(spark, scratch_dir(spark, "q-rollup"))
     late, cut = F.dayofmonth("timestamp") == 17, _ts_lt(log, "1998-03-15 12:00:00")
     for drop in (log.where(cut & ~late), log.where(~cut & ~late), log.where(late)):
-        drop.repartition("log_month").write.mode("append").partitionBy("log_month").parquet(src)
+        _land(drop, src)
         start_incremental_rollup(spark, src, target, ckpt).awaitTermination()
     return target.read().select(*ROLLUP_COLUMNS)
 
