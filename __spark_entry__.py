@@ -333,7 +333,7 @@ def _log_folder(spark, sf):
     rows = log.withColumn("log_month", maintain.log_partition("timestamp", "month"))
     # one folder level a project; the column itself stays in the files
     for project in ("alpha", "beta", "gamma"):
-        rows.where(F.col("project") == project).repartition("log_month").write.partitionBy("log_month").parquet(f"{path}/project={project}")
+        _land(rows.where(F.col("project") == project), f"{path}/project={project}")
     ntz = log.schema["timestamp"].dataType.typeName() == "timestamp_ntz"
     return flat_log(scan_log(spark, read_log_folder(spark, path, timestamp_ntz=str(ntz).lower()), SCAN))
 
