@@ -26,7 +26,8 @@ def test_rebalanced_write_splits_a_hot_partition(spark, scratch):
     assert spark.read.parquet(path).count() == 400_000
 
 
-@pytest.mark.parametrize("query", ["incremental_stream_additive", "incremental_stream_rollup_all", "incremental_stream_rollup", "scan_log_folder"])
+@pytest.mark.parametrize("query", ["incremental_stream_additive", "incremental_stream_rollup_all", "incremental_stream_rollup",
+                                   "scan_log_folder", "delete_all_then_reload"])
 def test_no_task_of_a_write_takes_or_sorts_a_whole_month(spark, monkeypatch, query):
     import __spark_entry__
 
