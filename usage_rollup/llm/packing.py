@@ -15,7 +15,6 @@ from salted counts, so a length that a third of all pieces share is split.
 
 from __future__ import annotations
 
-import re
 import zlib
 
 import numpy as np
@@ -29,20 +28,17 @@ CAPACITY = 2048
 #: Search effort: fillings tried beyond the first descent.
 MAX_NODES = 4000
 SALTS = 1024
-_CACHE = 150_000
-_ODD_SPACE = re.compile(r"\s | \s")
 
 
 # --- tokenising ---------------------------------------------------------------------
 
 
 class ByteBpe:
-    """Ids of the byte-level BPE vocabulary, with a cache of space-led words.
+    """Ids of the byte-level BPE vocabulary.
 
     The vocabulary file of ``tokenizers`` gives the merges' ranks; ``tiktoken``
-    applies them (same ids, faster). A text without a space next to other white
-    space is cut before each space, which is always a boundary of the
-    tokeniser's own pre-tokens, and every distinct word is encoded once.
+    applies them (same ids, faster), to a whole text at once: a cache of words in
+    Python takes longer than it saves, and memory.
     """
 
     def __init__(self, ranks_path: str):
@@ -55,26 +51,9 @@ class ByteBpe:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.encoding = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                                           special_tokens={})
-        self.cache: dict[str, tuple] = {}
 
     def encode(self, text: str) -> np.ndarray:
-        if _ODD_SPACE.search(text):
-            return np.array(self.encoding.encode_ordinary(text), np.uint32)
-        cache, encode = self.cache, self.encoding.encode_ordinary
-        if len(cache) > _CACHE:
-            cache.clear()
-        out: list[int] = []
-        words = text.split(" ")
-        if words[0]:
-            out += encode(words[0])
-        for w in words[1:]:
-            ids = cache.get(w)
-            if ids is None:
-                ids = encode(" " + w)
-                if len(w) < 64:
-                    cache[w] = ids
-            out += ids
-        return np.array(out, np.uint32)
+        return np.array(self.encoding.encode_ordinary(text), np.uint32)
 
 
 def default_ranks() -> str:
