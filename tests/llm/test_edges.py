@@ -463,6 +463,17 @@ def test_blocks_below_the_kth_score_are_skipped():
     assert 0 < model.visited < 0.1 * model.asked
 
 
+def test_a_scoring_task_leaves_no_matrices_behind():
+    """Workers wait for the next stage with the model in memory: its matrices are dropped when a task ends."""
+    model = toxicity.ToxicityModel(np.arange(1, 41, dtype=np.uint64), k=3)
+    model.index([(np.arange(20 * g, 20 * g + 20), np.ones(20, np.int64)) for g in (0, 1)], np.array([0, 1]))
+    want = model.neighbours(np.arange(20), np.ones(20, np.int64))
+    assert model._unfolded is not None
+    model.fold()
+    assert model._unfolded is None
+    assert all(np.array_equal(a, b) for a, b in zip(want, model.neighbours(np.arange(20), np.ones(20, np.int64))))
+
+
 def test_neighbours_with_rare_and_frequent_terms():
     rng = np.random.default_rng(8)
     model = toxicity.ToxicityModel(np.arange(1, 401, dtype=np.uint64), k=7)

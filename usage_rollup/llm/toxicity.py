@@ -17,6 +17,7 @@ first), which bounds the vocabulary too; document frequencies and scores cover e
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -112,6 +113,10 @@ class ToxicityModel:
             self._unfolded = top, wide.reshape(self.blocks, BLOCK, -1)
         return self._unfolded
 
+    def fold(self) -> None:
+        """Drops the matrices (a worker that waits for its next stage keeps the model)."""
+        self._unfolded = None
+
     def neighbours(self, terms: np.ndarray, counts: np.ndarray, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of largest cosine over 0 (exact; ties to the smaller number): (numbers, cosines)."""
         return self._without(terms, self.weights(terms, counts), skip)
@@ -149,7 +154,7 @@ class ToxicityModel:
                 by = np.argpartition(-upper[now], step - 1)
                 now, left = now[by[:step]], now[by[step:]]
             self.visited += len(now)
-            s = wide[now].reshape(-1, len(heavy)) @ heavy + rare[now].reshape(-1)
+            s = wide[now].reshape(len(now) * BLOCK, len(heavy)) @ heavy + rare[now].reshape(-1)
             on = np.flatnonzero((s >= bar) & (s > 0))
             place = now[on // BLOCK] * BLOCK + on % BLOCK
             if skip >= 0 and self.filled[own] == skip:
@@ -255,7 +260,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, k:
                                               pa.array([c.tolist() for _, c in found], pa.list_(pa.int64())),
                                               b.column("toxic").cast(pa.int64())], names=["terms", "counts", "toxic"])
 
-    rows = sample.mapInArrow(vectors, "terms array<long>, counts array<long>, toxic long").toArrow()
+    rows = sample.mapInArrow(lean(vectors), "terms array<long>, counts array<long>, toxic long").toArrow()
     found = sorted(zip((x.values.to_numpy() for x in rows["terms"]), (x.values.to_numpy() for x in rows["counts"]), rows["toxic"].to_pylist()),
                    key=lambda r: (r[0].tobytes(), r[1].tobytes(), r[2]))
     model.index([(x, c) for x, c, _ in found], np.array([y for _, _, y in found], np.int64))
@@ -269,13 +274,17 @@ def _votes(spark, model: ToxicityModel) -> np.ndarray:
     shared, out = spark.sparkContext.broadcast(model), np.zeros(len(model.labels))
 
     def run(batches):
-        for b in batches:
-            numbers = b.column("id").to_pylist()
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([shared.value.vote_without(i) for i in numbers], pa.float64())],
-                                             names=["id", "vote"])
+        try:
+            for b in batches:
+                numbers = b.column("id").to_pylist()
+                yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([shared.value.vote_without(i) for i in numbers], pa.float64())],
+                                                 names=["id", "vote"])
+        finally:
+            shared.value.fold()
 
     parts = max(1, min(spark.sparkContext.defaultParallelism, len(out) // 500))
-    rows = spark.range(len(out), numPartitions=parts).mapInArrow(run, "id long, vote double").toArrow()
+    rows = spark.range(len(out), numPartitions=parts).mapInArrow(lean(run), "id long, vote double").toArrow()
+    shared.unpersist()
     out[rows["id"].to_numpy()] = rows["vote"].to_numpy()
     return out
 
@@ -292,9 +301,8 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text"
     columns = pa.struct([("score", pa.float64()), ("neighbours", pa.list_(pa.struct([
         ("example", pa.int64()), ("label", pa.int64()), ("cosine", pa.float64())])))])
 
-    @F.arrow_udf(kind)
-    def scored(texts: pa.Array) -> pa.Array:
-        model, keys, distinct = shared.value, [], {}
+    def scores(model: ToxicityModel, texts: pa.Array) -> pa.Array:
+        keys, distinct = [], {}
         for _, h in ta.text_rows(pa.RecordBatch.from_arrays([texts], names=["text"]), "text", ta.BARE_WORDS, prefixes=PREFIXES):
             terms, counts = _terms(h, model.vocabulary)
             keys.append(terms.tobytes() + counts.tobytes())
@@ -304,9 +312,17 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text"
             d, s = model.neighbours(terms, counts)
             near = [{"example": int(x), "label": int(model.labels[x]), "cosine": float(c)} for x, c in zip(d, s)]
             known[key] = {"score": model.score(d, s), "neighbours": near}
-        out = pa.array([known[key] for key in keys], columns)
-        give_back()
-        return out
+        return pa.array([known[key] for key in keys], columns)
+
+    @F.arrow_udf(kind)
+    def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        try:
+            for texts in batches:
+                yield scores(shared.value, texts)
+                give_back()
+        finally:
+            shared.value.fold()
+            give_back()
 
     return (docs.withColumn("_toxicity", scored(F.col(text_col).cast("string")))
             .withColumns({score: F.col("_toxicity.score"), "neighbours": F.col("_toxicity.neighbours")}).drop("_toxicity"))
