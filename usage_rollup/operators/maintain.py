@@ -61,8 +61,15 @@ LOG_PARTITION = "log_date"
 ROLLUP_PARTITION = "download_month"
 ROLLUP_DATE = "download_date"
 ROLLUP_GRAINS = {"month": ROLLUP_PARTITION, "day": ROLLUP_DATE}
-#: Spark's setting for, and number of, the files a task of a partitioned write holds open at once.
-OPEN_FILES_SETTING, OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters", 50
+#: Files that a task of a partitioned write holds open at once.
+OPEN_FILES = 50
+#: Parts of a rebalanced write's shuffle: as many as Spark writes straight through (the default of
+#: ``spark.shuffle.sort.bypassMergeThreshold``); with more, it keeps a task's rows to order them by part.
+REBALANCE_PARTS = 200
+#: Settings of a partitioned write. So high a number of parts to keep makes AQE merge parts up to its
+#: smallest size (1 MB) only, not up to the advisory one: merged thin values would be too many files.
+WRITE_SETTINGS = {"spark.sql.maxConcurrentOutputFileWriters": str(OPEN_FILES),
+                  "spark.sql.adaptive.coalescePartitions.minPartitionNum": "10000"}
 
 
 def rollup_partition_column(grain: str = "month") -> str:
@@ -84,9 +91,11 @@ def clustered(df: DataFrame, *cols: str) -> DataFrame:
     A ``REBALANCE`` hint: AQE hashes on ``cols``, merges small partitions and
     splits skewed ones, so each table partition is written by one task (one
     file) unless it is hot, in which case several tasks share it. Without it
-    every task writes a file into every partition it holds rows for.
+    every task writes a file into every partition it holds rows for. The number
+    of parts is fixed, so that the rows pass through whatever
+    ``spark.sql.shuffle.partitions`` is.
     """
-    return df.hint("rebalance", *cols)
+    return df.hint("rebalance", REBALANCE_PARTS, *cols)
 
 
 @contextmanager
@@ -95,18 +104,19 @@ def unsorted_writes(df: DataFrame):
 
     The sort keeps a task's rows in memory, and how many these are is decided by compressed
     bytes (a scan split, a shuffle block). An open file holds one row group at most. A task
-    that meets more than ``OPEN_FILES`` partition values sorts the rows from there on: then it holds
-    many thin values. A limit that the session already sets stays.
+    that meets more than ``OPEN_FILES`` partition values sorts the rows from there on (Spark's
+    figure of a task's peak memory leaves that sort out). Rebalanced parts are therefore
+    merged up to 1 MB only, so such a task holds little. Limits that the session already sets stay.
     """
     conf = df.sparkSession.conf
-    ours = int(conf.get(OPEN_FILES_SETTING)) <= 0
-    if ours:
-        conf.set(OPEN_FILES_SETTING, str(OPEN_FILES))
+    ours = {k: v for k, v in WRITE_SETTINGS.items() if int(conf.get(k, None) or 0) <= 0}
+    for k, v in ours.items():
+        conf.set(k, v)
     try:
         yield
     finally:
-        if ours:
-            conf.unset(OPEN_FILES_SETTING)
+        for k in ours:
+            conf.unset(k)
 
 
 # --- catalog helpers (W1-W3) -------------------------------------------------
@@ -321,12 +331,13 @@ def _first_load(spark: SparkSession, stage_path: str, target: str, partition_col
     """Create the target from the staged rows (already laid out as the target is).
 
     On the same file system the staged folder is moved into place (one
-    metadata operation, and the target appears whole); otherwise it is copied.
-    A catalog target is created as a partitioned table.
+    metadata operation, and the target appears whole); otherwise it is copied
+    without another shuffle, as in ``_swap_in``. A catalog target is created as a
+    partitioned table.
     """
     staged = spark.read.schema(schema).parquet(stage_path)
     if not _is_path(target):
-        w = clustered(staged, partition_col).write.mode("append").format("parquet").partitionBy(partition_col)
+        w = staged.write.mode("append").format("parquet").partitionBy(partition_col)
         if max_records:
             w = w.option("maxRecordsPerFile", int(max_records))
         with unsorted_writes(staged):
@@ -334,7 +345,7 @@ def _first_load(spark: SparkSession, stage_path: str, target: str, partition_col
         return
     if not storage.exists(spark, target) and storage.rename(spark, stage_path, target):
         return
-    w = clustered(staged, partition_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    w = staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if max_records:
         w = w.option("maxRecordsPerFile", int(max_records))
     with unsorted_writes(staged):
