@@ -2,13 +2,16 @@
 
 import base64
 import hashlib
+import pickle
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
 from usage_rollup.llm import chat, line_dedup, neighbours, ngram_join, packing, quality, secrets, segmentation, toxicity, warc
+from usage_rollup.llm.common import connected_components
 
 LONG = "lorem ipsum dolor sit amet " * 4000
 ROWS = [(1, None), (2, ""), (3, " \n\t"), (4, LONG), (5, "one two three"), (5, "one two three"), (None, "null id one two"),
@@ -474,6 +477,32 @@ def test_a_scoring_task_leaves_no_matrices_behind():
     assert all(np.array_equal(a, b) for a, b in zip(want, model.neighbours(np.arange(20), np.ones(20, np.int64))))
 
 
+def test_the_index_takes_few_bytes_an_entry():
+    """The driver builds and holds it: copies of all entries add up there."""
+    rng = np.random.default_rng(9)
+    examples = [(np.sort(rng.choice(5000, 60, replace=False)), rng.integers(1, 4, 60)) for _ in range(3000)]
+    model = toxicity.ToxicityModel(np.arange(1, 5001, dtype=np.uint64))
+    tracemalloc.start()
+    model.index(examples, rng.integers(0, 2, 3000))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 * len(model.term)
+    assert len(pickle.dumps(model)) < 36 * len(model.term)
+    for t in (0, 17, 4999):  # inverted lists by term, then place
+        at = slice(model.list_first[t], model.list_first[t + 1])
+        assert model.list_place[at].tolist() == [i for i, (x, _) in enumerate(examples) if t in x]
+        assert np.allclose(model.list_weight[at], [model.weights(*e)[e[0] == t][0] for e in examples if t in e[0]])
+
+
+def test_components_take_the_smallest_node(spark):
+    chain = [(i, i + 1) for i in range(100, 160)]
+    edges = [*chain[::-1], (160, 100), (7, 7), (1, 9), (9, 1), (None, 3), (-5, 2000), (2000, 1999), *[(5, 300 + i) for i in range(50)]]
+    got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    want = {**{i: 100 for i in range(100, 161)}, 1: 1, 9: 1, -5: -5, 2000: -5, 1999: -5, 5: 5, **{300 + i: 5 for i in range(50)}}
+    assert got == want
+    assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_neighbours_with_rare_and_frequent_terms():
     rng = np.random.default_rng(8)
     model = toxicity.ToxicityModel(np.arange(1, 401, dtype=np.uint64), k=7)

@@ -83,9 +83,11 @@ def connected_components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     label = stored(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
                    .select("node", F.least("node", "m").alias("component")), "cc-labels")
     for _ in range(max_rounds):
-        near = (both.join(label.withColumnRenamed("node", "b"), "b")
-                .groupBy(F.col("a").alias("node")).agg(F.min("component").alias("m")))
-        step = label.join(near, "node").select("node", "component", F.least("component", "m").alias("to"))
+        near = both.join(label.withColumnRenamed("node", "b"), "b").select(
+            F.col("a").alias("node"), F.lit(None).cast(label.schema["component"].dataType).alias("component"), F.col("component").alias("m"))
+        # a node's own label goes along with its neighbours', so one grouping has both
+        step = (near.union(label.select("node", "component", F.col("component").alias("m")))
+                .groupBy("node").agg(F.max("component").alias("component"), F.min("m").alias("to")))
         jump = label.select(F.col("node").alias("to"), F.col("component").alias("next"))
         new = stored(step.join(jump, "to", "left")
                      .select("node", F.least("to", F.coalesce("next", "to")).alias("component"),

@@ -220,10 +220,9 @@ def _bit_filter(keys: DataFrame) -> np.ndarray:
     """Bits of ``key mod FILTER_BITS``: FILTER_BITS / 64 words at most reach the driver."""
     p = F.pmod(F.col("key"), F.lit(FILTER_BITS))
     rows = (keys.select((p / 64).cast("long").alias("w"), (p % 64).cast("int").alias("b"))
-            .select("w", F.expr("shiftleft(1L, b)").alias("m")).groupBy("w").agg(F.bit_or("m").alias("m")).collect())
+            .select("w", F.expr("shiftleft(1L, b)").alias("m")).groupBy("w").agg(F.bit_or("m").alias("m")).toArrow())
     bits = np.zeros(FILTER_BITS // 64, np.int64)
-    for r in rows:
-        bits[r.w] = r.m
+    bits[rows["w"].to_numpy()] = rows["m"].to_numpy()
     return bits.view(np.uint64)
 
 
@@ -416,9 +415,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     first = stored(narrow.mapInArrow(lean(run), schema), "jaccard-entities")
     entities = first.where("kind = 0").select("doc_id", "key", "n")
     frequent = (first.where("kind = 1").groupBy("key").agg(F.sum("n").alias("df")).where(F.col("df") >= MIN_FREQUENT)
-                .orderBy(F.desc("df"), "key").limit(MAX_FREQUENT).collect())
-    order = np.array([r.key for r in frequent], np.int64).view(np.uint64)
-    df = np.array([r.df for r in frequent], np.int64)
+                .orderBy(F.desc("df"), "key").limit(MAX_FREQUENT).toArrow())
+    order = frequent["key"].to_numpy().view(np.uint64)
+    df = frequent["df"].to_numpy()
     order = order[np.lexsort((order, df))]
 
     run, schema = _signatures("text", size, percent, spark.sparkContext.broadcast(order))

@@ -74,7 +74,8 @@ class ToxicityModel:
     def index(self, examples: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> None:
         """Block-max index of (terms, counts) examples; those without terms are in no block."""
         self.labels = labels
-        self.term = np.concatenate([t for t, _ in examples]) if examples else np.zeros(0, np.int64)
+        # 32-bit numbers and few copies: the driver holds all entries while it orders them
+        self.term = (np.concatenate([t for t, _ in examples]) if examples else np.zeros(0)).astype(np.int32, copy=False)
         self.value = np.concatenate([self.weights(t, c) for t, c in examples]) if examples else np.zeros(0)
         #: first entry of each example
         self.start = np.concatenate([[0], np.cumsum([len(t) for t, _ in examples])]).astype(np.int64)
@@ -83,14 +84,19 @@ class ToxicityModel:
         self.filled = np.flatnonzero(sizes)
         self.entry = np.append(self.start[self.filled], self.start[-1])
         self.blocks = -(-len(self.filled) // BLOCK)
-        place = np.repeat(np.arange(len(self.filled)), sizes[self.filled])
-        # inverted lists of (place, weight), by term; of each block the largest weight
-        order = np.lexsort((place, self.term))
-        self.list_place, self.list_weight = place[order], self.value[order].astype(np.float32)
-        self.list_first = np.searchsorted(self.term[order], np.arange(len(self.vocabulary) + 1))
-        cell = self.term[order] * max(self.blocks, 1) + self.list_place // BLOCK
+        # inverted lists of (place, weight), by term, then place; of each block the largest weight
+        order = np.argsort(self.term, kind="stable")
+        self.list_place = np.repeat(np.arange(len(self.filled), dtype=np.int32), sizes[self.filled])[order]
+        self.list_weight, by = self.value.astype(np.float32)[order], self.term[order]
+        del order
+        self.list_first = np.searchsorted(by, np.arange(len(self.vocabulary) + 1, dtype=np.int32))
+        cell = by.astype(np.int64)
+        del by
+        cell *= max(self.blocks, 1)
+        cell += self.list_place // BLOCK
         first = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else np.zeros(0, np.int64)
         self.max_cell = cell[first]
+        del cell
         self.max_weight = np.maximum.reduceat(self.list_weight, first) if len(first) else np.zeros(0, np.float32)
         often = np.diff(self.list_first) > DENSE * len(self.filled)
         #: column of each frequent term, -1 without
@@ -249,21 +255,23 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, k:
                                          names=["term", "df"])
 
     df = np.zeros(len(model.vocabulary) + 1)
-    for r in docs.select("text").mapInArrow(lean(frequencies), "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).collect():
-        df[r.term + 1] = r.df
+    rows = docs.select("text").mapInArrow(lean(frequencies), "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
+    df[rows["term"].to_numpy() + 1] = rows["df"].to_numpy()
     model.idf = np.log((df[0] + 1) / (df[1:] + 1)) + 1
 
     def vectors(batches):
         for b in batches:
             found = [_terms(h, shared.value) for _, h in ta.text_rows(b, "text", ta.BARE_WORDS, prefixes=PREFIXES)]
-            yield pa.RecordBatch.from_arrays([pa.array([x.tolist() for x, _ in found], pa.list_(pa.int64())),
-                                              pa.array([c.tolist() for _, c in found], pa.list_(pa.int64())),
+            yield pa.RecordBatch.from_arrays([pa.array([x.tolist() for x, _ in found], pa.list_(pa.int32())),
+                                              pa.array([c.tolist() for _, c in found], pa.list_(pa.int32())),
                                               b.column("toxic").cast(pa.int64())], names=["terms", "counts", "toxic"])
 
-    rows = sample.mapInArrow(lean(vectors), "terms array<long>, counts array<long>, toxic long").toArrow()
+    rows = sample.mapInArrow(lean(vectors), "terms array<int>, counts array<int>, toxic long").toArrow()
     found = sorted(zip((x.values.to_numpy() for x in rows["terms"]), (x.values.to_numpy() for x in rows["counts"]), rows["toxic"].to_pylist()),
                    key=lambda r: (r[0].tobytes(), r[1].tobytes(), r[2]))
     model.index([(x, c) for x, c, _ in found], np.array([y for _, _, y in found], np.int64))
+    del rows, found
+    give_back()
     model.set_rate()
     model.calibrate(_votes(spark, model))
     return model
